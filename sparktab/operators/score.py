@@ -116,18 +116,16 @@ def parse_records(
     """Records with every field a number, as columns; and the rejects with their text.
 
     Rejected are texts that are no JSON, records without a field, and fields
-    that are null, NaN or no number.
+    that are null, NaN or no number. Each text is parsed once: the record is
+    unpacked by a generator, below which no filter is pushed.
     """
     rest = [quoted(c) for c in df.columns if c != json_col]
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in fields])
-    parsed = df.withColumn("_record", F.from_json(quoted(json_col), schema, {"mode": "PERMISSIVE"}))
-    values = [F.col("_record")[name] for name in fields]
-    absent = F.array_compact(
-        F.array(*[F.when(v.isNull() | F.isnan(v), F.lit(n)) for n, v in zip(fields, values, strict=True)])
-    )
-    marked = parsed.withColumn("missing_fields", absent)
-    good = marked.where(F.size("missing_fields") == 0)
-    good = good.select(*rest, *[v.alias(n) for n, v in zip(fields, values, strict=True)])
+    record = F.from_json(quoted(json_col), schema, {"mode": "PERMISSIVE"})
+    parsed = df.select(*rest, quoted(json_col), F.inline_outer(F.array(record)))
+    absent = [F.when(quoted(n).isNull() | F.isnan(quoted(n)), F.lit(n)) for n in fields]
+    marked = parsed.withColumn("missing_fields", F.array_compact(F.array(*absent)))
+    good = marked.where(F.size("missing_fields") == 0).select(*rest, *[quoted(n) for n in fields])
     bad = marked.where(F.size("missing_fields") > 0).select(*rest, quoted(json_col), "missing_fields")
     return good, bad
 

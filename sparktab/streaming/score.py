@@ -28,12 +28,14 @@ def score_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         if json_col is None:
             scored = score(batch, scorer, proba)
         else:
             scored, rejects = score_json(batch, json_col, scorer)
             rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch={batch_id}")
         scored.write.mode("overwrite").parquet(f"{sink}/scored/batch={batch_id}")
+        batch.unpersist()
 
     return start(stream, write, checkpoint, "append", trigger)
 
