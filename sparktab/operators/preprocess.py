@@ -7,6 +7,7 @@ learns is a small mapping of numbers and category lists, ready for JSON.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -98,22 +99,34 @@ def modes(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Any]:
     return {r["name"]: r["value"] for r in best.collect()}
 
 
-def categories(df: DataFrame, values: Mapping[str, Column], limits: Mapping[str, int]) -> dict[str, list]:
-    """Sorted distinct values per column, a missing one last; errors above the limit."""
+def value_counts(
+    df: DataFrame, values: Mapping[str, Column], limits: Mapping[str, int]
+) -> dict[str, list[tuple[Any, int]]]:
+    """Distinct values and their counts per column, sorted, a missing value last.
+
+    All columns must be of one type. A column with more distinct values than
+    its limit is an error, which also bounds what reaches the driver.
+    """
     if not values:
         return {}
     pairs = [F.struct(F.lit(name).alias("name"), v.alias("value")) for name, v in values.items()]
-    rows = df.select(F.inline(F.array(*pairs))).distinct().limit(sum(limits.values()) + len(limits) + 1)
-    found: dict[str, list] = {name: [] for name in values}
-    for row in rows.collect():
-        found[row["name"]].append(row["value"])
+    counts = df.select(F.inline(F.array(*pairs))).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    found: dict[str, list[tuple[Any, int]]] = {name: [] for name in values}
+    for row in counts.limit(sum(limits.values()) + len(limits) + 1).collect():
+        found[row["name"]].append((row["value"], row["n"]))
     for name, items in found.items():
-        if len(items) > limits[name]:
+        if sum(v is not None for v, _ in items) > limits[name]:
             raise PreprocessError(f"{name} has more than {limits[name]} categories")
-        items.sort(key=lambda v: (v is None, v if v is not None else 0))
+        items.sort(key=lambda item: (item[0] is None, item[0] if item[0] is not None else 0))
     return found
 
 
+def _top(items: Sequence[tuple[Any, int]]) -> Any:
+    """The most frequent present value of a sorted count list, ties to the smallest."""
+    known = [item for item in items if item[0] is not None]
+    return max(known, key=lambda item: item[1])[0] if known else None
+
+
 def _common_type(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Columns by type, so that columns of one type share a job."""
     groups: dict[str, list[str]] = {}
@@ -131,6 +144,22 @@ def drop_close_edges(edges: Sequence[float]) -> list[float]:
     return kept
 
 
+def _known(value: Any, column: str) -> Any:
+    if value is None:
+        raise PreprocessError(f"{column} has no values to impute from")
+    return value
+
+
+def _with_filled(n: int, mean: float, var: float, missing: int, fill: float | None) -> tuple[float, float]:
+    """Mean and population variance after ``missing`` rows were set to ``fill``."""
+    if not missing or fill is None:
+        return mean, var
+    total = n + missing
+    moved = (n * mean + missing * fill) / total
+    spread = n * (var + (mean - moved) ** 2) + missing * (fill - moved) ** 2
+    return moved, spread / total
+
+
 @dataclass
 class Preprocessor:
     """Feature steps, rename, then one branch per column; other columns are dropped."""
@@ -164,68 +193,79 @@ class Preprocessor:
         return F.when(value.isNotNull(), F.lit(0.0)) if std == 0 else (value - mean) / std
 
     def fit(self, df: DataFrame) -> dict[str, Any]:
-        params: dict[str, Any] = {"steps": fit_steps(df, self.steps), "impute": {}, "scale": {}, "edges": {}, "categories": {}}
+        """Learn everything: one aggregate for all numbers, one count for all categories.
+
+        Medians, modes of plain columns and bin edges add a job each where asked for.
+        """
+        params: dict[str, Any] = {"steps": fit_steps(df, self.steps)}
+        params.update({"impute": {}, "scale": {}, "edges": {}, "categories": {}})
         df = self._input(df, params)
         require_columns(df, [*[b.column for b in self.branches], *self.passthrough])
         numeric = [b for b in self.branches if b.kind == "numeric"]
-        self._fit_impute(df, numeric, params)
-        self._fit_scale(df, [b for b in numeric if b.scaler], params)
+        self._fit_numeric(df, numeric, params)
         binned = [b for b in numeric if b.bins]
         for bins in sorted({b.bins for b in binned}):
             values = {b.column: self._scaled(df, b, params) for b in binned if b.bins == bins}
             edges = quantiles(df, values, [i / bins for i in range(bins + 1)], **self._limits())
             params["edges"].update({c: drop_close_edges(e) for c, e in edges.items()})
-        self._fit_categories(df, [b for b in self.branches if b.encoding], params)
+        self._fit_categories(df, params)
         return params
 
     def _limits(self) -> dict[str, int]:
         return {} if self.exact_rows is None else {"exact_rows": self.exact_rows}
 
-    def _fit_impute(self, df: DataFrame, numeric: Sequence[Branch], params: dict) -> None:
+    def _fit_numeric(self, df: DataFrame, numeric: Sequence[Branch], params: dict) -> None:
         value = {b.column: present(df, b.column).cast("double") for b in numeric}
-        means = [b.column for b in numeric if b.impute == "mean"]
-        if means:
-            row = df.agg(*[F.avg(value[c]).alias(c) for c in means]).first()
-            params["impute"].update({c: row[c] for c in means})
+        fill = {}
         medians = {b.column: value[b.column] for b in numeric if b.impute == "median"}
         if medians:
             found = quantiles(df, medians, [0.5], **self._limits())
-            params["impute"].update({c: q[0] if q else None for c, q in found.items()})
-        params["impute"].update(
-            modes(df, {b.column: value[b.column] for b in numeric if b.impute == "most_frequent"})
-        )
-        filled = [b for b in self.branches if b.kind == "category" and b.impute]
-        for names in _common_type(df, [b.column for b in filled]).values():
-            params["impute"].update(modes(df, {c: present(df, c) for c in names}))
-        for branch in self.branches:
-            if branch.impute and params["impute"].get(branch.column) is None:
-                raise PreprocessError(f"{branch.column} has no values to impute from")
-
-    def _fit_scale(self, df: DataFrame, scaled: Sequence[Branch], params: dict) -> None:
-        stats = []
-        for i, b in enumerate(scaled):
-            value = self._filled(df, b, params)
+            fill.update({c: q[0] if q else None for c, q in found.items()})
+        fill.update(modes(df, {b.column: value[b.column] for b in numeric if b.impute == "most_frequent"}))
+        summed = [b for b in numeric if b.impute == "mean" or b.scaler]
+        stats = [F.count(F.lit(1)).alias("n")]
+        for i, b in enumerate(summed):
+            v = value[b.column]
+            parts = {"n": F.count(v), "mean": F.avg(v), "var": F.var_pop(v), "min": F.min(v), "max": F.max(v)}
+            stats += [part.alias(f"{name}{i}") for name, part in parts.items()]
+        row = df.agg(*stats).first() if summed else None
+        for i, b in enumerate(summed):
+            if row[f"n{i}"] == 0:
+                raise PreprocessError(f"{b.column} has no values to learn from")
+            low, high = row[f"min{i}"], row[f"max{i}"]
+            mean = min(max(row[f"mean{i}"], low), high)
+            if b.impute == "mean":
+                fill[b.column] = mean
+            missing = row["n"] - row[f"n{i}"] if b.impute else 0
             if b.scaler == "minmax":
-                stats += [F.min(value).alias(f"a{i}"), F.max(value).alias(f"b{i}")]
+                params["scale"][b.column] = {"min": low, "max": high}
             elif b.scaler == "standard":
-                stats += [F.avg(value).alias(f"a{i}"), F.stddev_pop(value).alias(f"b{i}")]
-            else:
+                constant = low == high and (not missing or fill.get(b.column) == low)
+                var = 0.0 if constant else row[f"var{i}"]
+                mean, var = _with_filled(row[f"n{i}"], mean, var, 0 if constant else missing, fill.get(b.column))
+                params["scale"][b.column] = {"mean": mean, "std": math.sqrt(var)}
+            elif b.scaler:
                 raise PreprocessError(f"unknown scaler {b.scaler!r}")
-        if not stats:
-            return
-        row = df.agg(*stats).first()
-        for i, b in enumerate(scaled):
-            names = ("min", "max") if b.scaler == "minmax" else ("mean", "std")
-            if row[f"a{i}"] is None:
-                raise PreprocessError(f"{b.column} has no values to scale by")
-            params["scale"][b.column] = dict(zip(names, (row[f"a{i}"], row[f"b{i}"]), strict=True))
-
-    def _fit_categories(self, df: DataFrame, encoded: Sequence[Branch], params: dict) -> None:
-        by_name = {b.column: b for b in encoded}
-        for names in _common_type(df, list(by_name)).values():
-            limits = {c: MAX_ONEHOT if by_name[c].encoding == "onehot" else MAX_ORDINAL for c in names}
-            values = {c: self._filled(df, by_name[c], params) for c in names}
-            params["categories"].update(categories(df, values, limits))
+        for b in numeric:
+            if b.impute:
+                params["impute"][b.column] = _known(fill.get(b.column), b.column)
+
+    def _fit_categories(self, df: DataFrame, params: dict) -> None:
+        branches = {b.column: b for b in self.branches if b.kind == "category"}
+        for names in _common_type(df, list(branches)).values():
+            encoded = [c for c in names if branches[c].encoding]
+            plain = {c: present(df, c) for c in names if not branches[c].encoding and branches[c].impute}
+            fill = modes(df, plain)
+            limits = {c: MAX_ONEHOT if branches[c].encoding == "onehot" else MAX_ORDINAL for c in encoded}
+            counts = value_counts(df, {c: present(df, c) for c in encoded}, limits)
+            for c, items in counts.items():
+                if branches[c].impute:
+                    fill[c] = _top(items)
+                    items = [item for item in items if item[0] is not None]
+                params["categories"][c] = [v for v, _ in items]
+            for c in names:
+                if branches[c].impute:
+                    params["impute"][c] = _known(fill.get(c), c)
 
     def _branch_output(self, df: DataFrame, branch: Branch, params: Mapping[str, Any]) -> list[Column]:
         if branch.kind == "numeric":

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktab.functions.values import quoted
 
-FINGERPRINT_DIGITS = 8
+PIECE = (1 << 20) - 1
 MILLIONTHS_BELOW = 9e12
 
 
@@ -56,36 +56,44 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "ordinal int, column string, type string")
 
 
-def text_form(df: DataFrame, name: str):
-    """Length and text of a value: doubles as whole millionths, times as ISO.
+def text_form(df: DataFrame, name: str) -> Column:
+    """A closed text form of a value: doubles as whole millionths, times as microseconds.
 
-    Doubles too large for whole millionths, infinities and NaN keep Spark's text.
+    Text carries its length, so that no two rows share a form. Doubles too
+    large for whole millionths, infinities and NaN keep Spark's text.
     """
     value, data_type = quoted(name), df.schema[name].dataType
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         number = value.cast("double")
         scaled = F.floor(number * 1e6 + 0.5).cast("string")
         value = F.when(F.abs(number) < MILLIONTHS_BELOW, scaled).otherwise(number.cast("string"))
-    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif isinstance(data_type, T.TimestampNTZType):
+        value = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), value).cast("string")
+    elif isinstance(data_type, T.TimestampType):
+        value = F.unix_micros(value).cast("string")
+    elif isinstance(data_type, T.StringType):
+        value = F.concat(F.length(value), F.lit(":"), value)
     else:
         value = value.cast("string")
-    return F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("-"))
+    return F.coalesce(F.concat(value, F.lit("|")), F.lit("-|"))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """A content hash that no reordering of rows or partitions changes.
 
-    Every row gives an MD5; the sum of its leading digits and the row count
-    are combined per task first, so the shuffle carries one row per task.
+    Every row gives an MD5, cut into pieces of 20 bits; the sums of the pieces
+    and the row count are combined per task first, so the shuffle carries one
+    row per task, and 64-bit sums hold for trillions of rows.
     """
     columns = list(columns or df.columns)
-    row_hash = F.md5(F.concat(*[text_form(df, c) for c in columns]).cast("binary"))
-    lead = F.conv(F.substring(row_hash, 1, FINGERPRINT_DIGITS), 16, 10).cast("decimal(38,0)")
-    totals = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(lead), F.lit(0)).cast("string").alias("hash_sum"),
+    hashed = df.select(F.md5(F.concat(*[text_form(df, c) for c in columns]).cast("binary")).alias("h"))
+    words = hashed.select(
+        *[F.conv(F.substring("h", at, 10), 16, 10).cast("bigint").alias(f"w{at}") for at in (1, 11)]
     )
-    return totals.select(
-        "n_rows", F.md5(F.concat_ws("|", F.col("n_rows"), F.col("hash_sum"))).alias("fingerprint")
+    pieces = [F.shiftright("w1", 20), F.col("w1").bitwiseAND(PIECE), F.shiftright("w11", 20), F.col("w11").bitwiseAND(PIECE)]
+    totals = words.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.coalesce(F.sum(p), F.lit(0)).alias(f"s{i}") for i, p in enumerate(pieces)],
     )
+    parts = F.concat_ws("|", "n_rows", *[f"s{i}" for i in range(len(pieces))])
+    return totals.select("n_rows", F.md5(parts.cast("binary")).alias("fingerprint"))

@@ -260,6 +260,14 @@ def _cell_bounds(placed: DataFrame, needed: int, barring: bool) -> dict[str, np.
     return {"cell": ids, "nearest": nearest, "farthest": farthest, "kth": kth, "n": n_rows}
 
 
+def _count_both(queries: DataFrame, refs: DataFrame) -> tuple[int, int]:
+    """Row counts of two tables in one job."""
+    sides = [df.select(F.lit(side).alias("side")) for side, df in enumerate((queries, refs))]
+    rows = sides[0].unionByName(sides[1]).groupBy("side").count().collect()
+    counts = {row.side: row["count"] for row in rows}
+    return counts.get(0, 0), counts.get(1, 0)
+
+
 def knn_join(
     queries: DataFrame,
     refs: DataFrame,
@@ -295,7 +303,7 @@ def knn_join(
         r_cols.append(F.col(bar).alias("ref_bar"))
     q, r = queries.select(*q_cols), refs.select(*r_cols)
 
-    n_queries, n_refs = queries.count(), refs.count()
+    n_queries, n_refs = _count_both(queries, refs)
     first = r.select(F.size("ref_vector").alias("d")).first()
     dim = first.d if first else 1
     tile_rows = tile_rows or max(1024, TILE_BYTES // (8 * max(dim, 1)))

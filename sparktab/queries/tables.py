@@ -124,18 +124,15 @@ def schema_capture(spark: SparkSession, folder: str) -> DataFrame:
     return schema_rows(table(spark, folder, "lineitem"))
 
 
-def _text(expression: str) -> str:
-    return f"coalesce(length({expression})::VARCHAR || ':' || {expression}, '-')"
-
-
 @query(
-    f"""WITH hashed AS (
-      SELECT md5({_text("l_orderkey::VARCHAR")} || {_text("l_linenumber::VARCHAR")}
-        || {_text("floor(l_extendedprice * 1e6 + 0.5)::BIGINT::VARCHAR")}
-        || {_text("floor(l_discount * 1e6 + 0.5)::BIGINT::VARCHAR")} || {_text("l_returnflag")}
-        || {_text("strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f')")}) AS h FROM lineitem),
-    total AS (SELECT count(*)::BIGINT AS n_rows, sum(('0x' || h[1:8])::BIGINT)::HUGEINT AS hash_sum FROM hashed)
-    SELECT n_rows, md5(n_rows::VARCHAR || '|' || hash_sum::VARCHAR) AS fingerprint FROM total"""
+    """WITH hashed AS (
+      SELECT md5(l_orderkey || '|' || l_linenumber || '|' || floor(l_extendedprice * 1e6 + 0.5)::BIGINT || '|'
+        || floor(l_discount * 1e6 + 0.5)::BIGINT || '|' || length(l_returnflag) || ':' || l_returnflag || '|'
+        || epoch_us(l_shipdate) || '|') AS h FROM lineitem),
+    words AS (SELECT ('0x' || h[1:10])::BIGINT AS a, ('0x' || h[11:20])::BIGINT AS b FROM hashed),
+    total AS (SELECT count(*)::BIGINT AS n_rows, sum(a >> 20) AS s0, sum(a & 1048575) AS s1, sum(b >> 20) AS s2,
+      sum(b & 1048575) AS s3 FROM words)
+    SELECT n_rows, md5(concat_ws('|', n_rows, s0, s1, s2, s3)) AS fingerprint FROM total"""
 )
 def input_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
