@@ -4,8 +4,8 @@ Reference rows are put into cells, each cell around one of a few pivot rows,
 and cells with many rows are cut into several tiles by a hash of the id.
 A query row is sent only to the cells that can still hold one of its k
 nearest rows; the triangle inequality on the distances to the pivots decides
-that, so no neighbour is lost. Where it cannot rule out a cell (few rows, or
-distances all alike) the rows of that cell are compared.
+that, so no neighbour is lost. If that rules out little (distances all alike),
+or there are few rows, cells are left aside and the tiles are cut by hash alone.
 
 Both sides meet in a cogroup on (cell, reference part, query part). Every group
 holds a bounded number of rows of either side whatever the skew, computes its
@@ -16,22 +16,28 @@ written out. A window then merges the k best of each tile.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TILE_BYTES = 32 << 20
 CHUNK_CELLS = 1 << 21
+CHUNK_QUERIES = 1024
+BLOCK_REFS = 2048
 MAX_PIVOTS = 512
 MAX_PIVOT_VALUES = 1 << 22
 CELLS_PER_TILE = 4
 RADIUS_STEPS = 64
-MIN_QUERIES_PER_TILE = 256
+MIN_TILE_PRODUCTS = 1 << 30
+LOWEST_SCORE = -1e30
+MAX_TASKS = 50_000
+MOST_COMPARED = 0.5
 DIGITS = 9
 SLACK = 1e-8
 
@@ -81,75 +87,149 @@ def _spread(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares - 2.0 * points @ pivots.T, 0.0))
 
 
-def _distances(queries: np.ndarray, refs: np.ndarray, metric: str, k: int, barred) -> np.ndarray:
-    """Rounded distances of a chunk; barred pairs and sure losers are infinite."""
-    if metric == "cosine":
-        found = np.clip(1.0 - queries @ refs.T, 0.0, 2.0)
-        if barred is not None:
-            found[barred] = np.inf
-        return np.round(found, DIGITS)
-    # A matrix product screens; differences then give the exact distance.
-    q_sq, r_sq = (queries * queries).sum(1), (refs * refs).sum(1)
-    screen = q_sq[:, None] + r_sq[None, :] - 2.0 * queries @ refs.T
-    if barred is not None:
-        screen[barred] = np.inf
-    limit = np.partition(screen, min(k, screen.shape[1]) - 1, axis=1)[:, min(k, screen.shape[1]) - 1]
-    limit = np.where(np.isfinite(limit), limit, np.inf)
-    slack = 1e-9 * (1.0 + q_sq + r_sq.max() + np.abs(np.where(np.isfinite(limit), limit, 0.0)))
-    rows, cols = np.nonzero((screen <= (limit + slack)[:, None]) & np.isfinite(screen))
-    found = np.full(screen.shape, np.inf)
-    step = max(1, CHUNK_CELLS // queries.shape[1])
-    for start in range(0, len(rows), step):
-        i, j = rows[start : start + step], cols[start : start + step]
-        gap = queries[i] - refs[j]
-        found[i, j] = np.round(np.sqrt((gap * gap).sum(1)), DIGITS)
-    return found
-
-
-def _nearest(found: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the k smallest columns, ties to the earlier column."""
-    k = min(k, found.shape[1])
-    limit = np.partition(found, k - 1, axis=1)[:, k - 1 : k]
-    below = found < limit
-    level = found == limit
-    room = k - below.sum(1, keepdims=True)
-    keep = below | (level & (np.cumsum(level, axis=1) <= room))
-    rows, cols = np.nonzero(keep)
-    usable = np.isfinite(found[rows, cols])
-    return rows[usable], cols[usable]
-
-
-def _tile_join(k: int, metric: str, barring: bool, has_label: bool):
-    """The cogroup function of one tile: k nearest references of each query."""
+def _matching(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All index pairs (i, j) with left[i] == right[j]."""
+    order = np.argsort(right, kind="stable")
+    low = np.searchsorted(right[order], left, "left")
+    n = np.searchsorted(right[order], left, "right") - low
+    rows = np.repeat(np.arange(len(left)), n)
+    step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+    return rows, order[np.repeat(low, n) + step]
+
+
+def _places(rows: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each run of equal values."""
+    starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]) if len(rows) else rows
+    return np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
+
+
+def _first_of_equal(vectors: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
+    """Rows among the first n of their (equal vector, group), which are all that can win."""
+    data = np.ascontiguousarray(vectors)
+    keys = data.view(np.dtype((np.void, data.itemsize * data.shape[1]))).ravel()
+    _, same = np.unique(keys, return_inverse=True)
+    order = np.lexsort((np.arange(len(same)), groups, same))
+    runs = same[order].astype(np.int64) * (int(groups.max(initial=0)) + 1) + groups[order]
+    keep = np.zeros(len(same), dtype=bool)
+    keep[order[_places(runs) < n]] = True
+    return keep
+
+
+class _Nearest:
+    """The k nearest reference rows of chunks of query rows.
+
+    A matrix product gives a score that grows as the distance falls; it only
+    has to be right up to ``slack``. Rows that may be among the k best are kept
+    and their distance is then computed exactly.
+    """
+
+    def __init__(self, refs: np.ndarray, metric: str, k: int) -> None:
+        self.metric, self.k = metric, k
+        if metric == "cosine":
+            self.refs = _unit(refs)
+            self.screen = self.refs.astype(np.float32)
+            self.shift, self.half_squares = None, None
+        else:
+            self.refs, self.shift = refs, refs.mean(axis=0)
+            self.screen = refs - self.shift
+            self.half_squares = (self.screen * self.screen).sum(axis=1) / 2
+
+    def _scores(self, queries: np.ndarray, block: slice) -> np.ndarray:
+        scores = queries @ self.screen[block].T
+        if self.half_squares is not None:
+            scores -= self.half_squares[block]
+        return scores
+
+    def _slack(self, squares: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """How far a score may be off, and how much rounding may hide."""
+        dim = self.screen.shape[1]
+        if self.metric == "cosine":
+            return np.full(len(squares), (dim + 8) * 1.2e-7 + 4e-9)
+        gap = np.sqrt(np.maximum(squares - 2 * np.where(np.isfinite(least), least, 0.0), 0.0))
+        size = squares + 2 * self.half_squares.max()
+        return (dim + 8) * 1e-15 * size + 4e-9 * (gap + np.sqrt((dim + 8) * 1e-15 * size) + 1e-9)
+
+    def _exact(self, queries: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rows))
+        step = max(1, CHUNK_CELLS // queries.shape[1])
+        for at in range(0, len(rows), step):
+            q, r = queries[rows[at : at + step]], self.refs[cols[at : at + step]]
+            if self.metric == "cosine":
+                out[at : at + step] = np.clip(1.0 - np.einsum("ij,ij->i", q, r), 0.0, 2.0)
+            else:
+                gap = q - r
+                out[at : at + step] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        return np.round(out, DIGITS)
+
+    def __call__(self, queries: np.ndarray, bars: np.ndarray | None, ref_bars: np.ndarray | None):
+        """Query rows, reference rows and distances of the k nearest."""
+        k, n = self.k, len(queries)
+        if self.metric == "cosine":
+            queries = _unit(queries)
+            screen = queries.astype(np.float32)
+            squares = np.ones(n)
+        else:
+            screen = queries - self.shift
+            squares = (screen * screen).sum(axis=1)
+        least = np.full(n, -np.inf)
+        rows = cols = np.zeros(0, dtype=np.int64)
+        scores = np.zeros(0)
+        for start in range(0, len(self.refs), BLOCK_REFS):
+            block = self._scores(screen, slice(start, start + BLOCK_REFS))
+            if bars is not None:
+                i, j = _matching(bars, ref_bars[start : start + BLOCK_REFS])
+                block[i, j] = -np.inf
+            if not np.isfinite(least).all() and block.shape[1] > k:
+                least = np.maximum(least, -np.partition(-block, k - 1, axis=1)[:, k - 1])
+            floor = np.maximum(least - self._slack(squares, least), LOWEST_SCORE)
+            wanted = block >= floor.astype(block.dtype)[:, None]
+            i, j = np.divmod(np.flatnonzero(wanted), block.shape[1])
+            rows, cols = np.concatenate([rows, i]), np.concatenate([cols, j + start])
+            scores = np.concatenate([scores, block[i, j]])
+            order = np.lexsort((-scores, rows))
+            rows, cols, scores = rows[order], cols[order], scores[order]
+            at_k = _places(rows) == k - 1
+            least[rows[at_k]] = np.maximum(least[rows[at_k]], scores[at_k])
+            keep = scores >= (least - self._slack(squares, least))[rows]
+            rows, cols, scores = rows[keep], cols[keep], scores[keep]
+        dist = self._exact(queries, rows, cols)
+        order = np.lexsort((cols, dist, rows))
+        order = order[_places(rows[order]) < k]
+        return rows[order], cols[order], dist[order]
+
+
+def _tile_join(k: int, metric: str, bar: str | None, has_label: bool):
+    """The cogroup function of one tile: k nearest references of each query.
+
+    ``bar`` is "self" where the barred column is the row id, "group" for
+    other columns. References are sorted by id, so the first of equal ones win.
+    """
 
     def join(queries: pa.Table, refs: pa.Table) -> pa.Table:
-        refs = refs.combine_chunks().sort_by("ref_id")
-        queries = queries.combine_chunks()
-        picked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        picked = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
+        queries, refs = queries.combine_chunks(), refs.combine_chunks().sort_by("ref_id")
         if queries.num_rows and refs.num_rows:
             q, r = _matrix(queries, "query_vector"), _matrix(refs, "ref_vector")
             if q.shape[1] != r.shape[1]:
-                raise ValueError("query and reference vectors differ in length")
-            if metric == "cosine":
-                q, r = _unit(q), _unit(r)
-            codes = None
-            if barring:
-                both = pa.chunked_array([queries["query_bar"].combine_chunks(), refs["ref_bar"].combine_chunks()])
-                codes = both.combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            step = max(1, CHUNK_CELLS // len(r))
-            for start in range(0, len(q), step):
-                chunk = q[start : start + step]
-                barred = None
-                if codes is not None:
-                    mine = codes[start : start + len(chunk)]
-                    barred = mine[:, None] == codes[len(q) :][None, :]
-                found = _distances(chunk, r, metric, k, barred)
-                rows, cols = _nearest(found, k)
-                picked.append((rows + start, cols, found[rows, cols]))
-        empty = np.zeros(0, dtype=np.int64)
-        rows = np.concatenate([p[0] for p in picked]) if picked else empty
-        cols = np.concatenate([p[1] for p in picked]) if picked else empty
-        dist = np.concatenate([p[2] for p in picked]) if picked else empty.astype(float)
+                raise ValueError("query and reference vectors of unequal length")
+            bars = ref_bars = None
+            groups = np.zeros(len(r), dtype=np.int64)
+            if bar:
+                both = [queries["query_bar"].combine_chunks(), refs["ref_bar"].combine_chunks()]
+                codes = pa.chunked_array(both).combine_chunks().dictionary_encode().indices
+                codes = codes.to_numpy(zero_copy_only=False).astype(np.int64)
+                bars, ref_bars = codes[: len(q)], codes[len(q) :]
+                groups = ref_bars if bar == "group" else groups
+            keep = _first_of_equal(r, groups, k + 1 if bar == "self" else k)
+            if not keep.all():
+                refs, r = refs.filter(pa.array(keep)), r[keep]
+                ref_bars = ref_bars[keep] if bar else None
+            nearest = _Nearest(r, metric, k)
+            for start in range(0, len(q), CHUNK_QUERIES):
+                stop = start + CHUNK_QUERIES
+                rows, cols, dist = nearest(q[start:stop], bars[start:stop] if bar else None, ref_bars)
+                picked.append((rows + start, cols, dist))
+        rows, cols, dist = (np.concatenate(part) for part in zip(*picked, strict=True))
         out = {
             "query_id": queries["query_id"].take(pa.array(rows)),
             "ref_id": refs["ref_id"].take(pa.array(cols)),
@@ -260,6 +340,29 @@ def _cell_bounds(placed: DataFrame, needed: int, barring: bool) -> dict[str, np.
     return {"cell": ids, "nearest": nearest, "farthest": farthest, "kth": kth, "n": n_rows}
 
 
+def _vector(df: DataFrame, name: str) -> Column:
+    """The vector column; float arrays stay float, which halves what is shuffled."""
+    floats = isinstance(df.schema[name].dataType, T.ArrayType) and isinstance(
+        df.schema[name].dataType.elementType, T.FloatType
+    )
+    return F.col(name) if floats else F.col(name).cast("array<double>")
+
+
+def _parts(n_queries: int, n_refs: int, dim: int, tile_rows: int, parallel: int) -> tuple[int, int]:
+    """Reference parts and query parts of a cell: full tiles, or more of them for idle cores."""
+    r_parts = math.ceil(max(n_refs, 1) / tile_rows)
+    full = math.ceil(max(n_queries, 1) / tile_rows)
+    worth = math.ceil(n_queries * n_refs * dim / r_parts / MIN_TILE_PRODUCTS)
+    return r_parts, max(full, min(worth, math.ceil(parallel / r_parts)))
+
+
+def _tasks(n_tiles: int, parallel: int) -> int:
+    """Shuffle partitions: room to spread few tiles, several tiles per task for many."""
+    if n_tiles <= parallel:
+        return 1 if n_tiles == 1 else 4 * n_tiles
+    return min(MAX_TASKS, max(4 * parallel, n_tiles // 4))
+
+
 def _count_both(queries: DataFrame, refs: DataFrame) -> tuple[int, int]:
     """Row counts of two tables in one job."""
     sides = [df.select(F.lit(side).alias("side")) for side, df in enumerate((queries, refs))]
@@ -268,6 +371,34 @@ def _count_both(queries: DataFrame, refs: DataFrame) -> tuple[int, int]:
     return counts.get(0, 0), counts.get(1, 0)
 
 
+@dataclass
+class _Routed:
+    """References with their cell, queries with the cells to visit, and counts per cell."""
+
+    queries: DataFrame
+    refs: DataFrame
+    sizes: dict[int, int]
+    visits: dict[int, int]
+
+
+def _cells(q: DataFrame, r: DataFrame, pivots: int, metric: str, needed: int, barring: bool) -> _Routed:
+    points = _pick_pivots(r, pivots, metric)
+    placed = _with_fields(
+        r.schema, T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())
+    )
+    r = r.mapInArrow(_place_refs(points, metric), placed)
+    cells = _cell_bounds(r, needed, barring)
+    visiting = _with_fields(q.schema, T.StructField("cells", T.ArrayType(T.IntegerType())))
+    q = q.mapInArrow(_route_queries(points, metric, cells), visiting)
+    seen = q.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()
+    return _Routed(
+        queries=q,
+        refs=r.drop("reach"),
+        sizes=dict(zip(cells["cell"].tolist(), cells["n"].tolist(), strict=True)),
+        visits={row.cell: row["count"] for row in seen},
+    )
+
+
 def knn_join(
     queries: DataFrame,
     refs: DataFrame,
@@ -293,9 +424,8 @@ def knn_join(
         raise ValueError(f"unknown metric {metric!r}")
     if k < 1:
         raise ValueError("k must be at least 1")
-    vector = F.col(vector_col).cast("array<double>")
-    q_cols = [F.col(id_col).alias("query_id"), vector.alias("query_vector")]
-    r_cols = [F.col(id_col).alias("ref_id"), vector.alias("ref_vector")]
+    q_cols = [F.col(id_col).alias("query_id"), _vector(queries, vector_col).alias("query_vector")]
+    r_cols = [F.col(id_col).alias("ref_id"), _vector(refs, vector_col).alias("ref_vector")]
     if label_col:
         r_cols.append(F.col(label_col).alias("ref_label"))
     if bar:
@@ -311,29 +441,21 @@ def knn_join(
         pivots = 1 if n_refs <= tile_rows else math.ceil(CELLS_PER_TILE * n_refs / tile_rows)
     pivots = max(1, min(pivots, MAX_PIVOTS, MAX_PIVOT_VALUES // max(dim, 1)))
 
-    if pivots == 1:
+    routed = None
+    if pivots > 1:
+        routed = _cells(q, r, pivots, metric, k + (1 if bar == id_col else 0), bool(bar) and bar != id_col)
+        compared = sum(routed.visits.get(cell, 0) * n for cell, n in routed.sizes.items())
+        if compared > MOST_COMPARED * n_queries * n_refs:
+            routed = None
+    if routed is None:
         r, q = r.withColumn("cell", F.lit(0)), q.withColumn("cells", F.array(F.lit(0)))
         sizes, visits = {0: n_refs}, {0: n_queries}
     else:
-        points = _pick_pivots(r, pivots, metric)
-        place = _with_fields(r.schema, T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType()))
-        r = r.mapInArrow(_place_refs(points, metric), place)
-        self_bar = bar == id_col
-        cells = _cell_bounds(r, k + (1 if self_bar else 0), bool(bar) and not self_bar)
-        r = r.drop("reach")
-        routed = _with_fields(q.schema, T.StructField("cells", T.ArrayType(T.IntegerType())))
-        q = q.mapInArrow(_route_queries(points, metric, cells), routed)
-        sizes = dict(zip(cells["cell"].tolist(), cells["n"].tolist(), strict=True))
-        seen = q.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()
-        visits = {row.cell: row["count"] for row in seen}
-
-    spark = queries.sparkSession
-    parallel = spark.sparkContext.defaultParallelism
-    query_tile = min(tile_rows, max(MIN_QUERIES_PER_TILE, math.ceil(n_queries / parallel)))
-    grid = [
-        (cell, math.ceil(max(size, 1) / tile_rows), math.ceil(max(visits.get(cell, 0), 1) / query_tile))
-        for cell, size in sizes.items()
-    ]
+        q, r, sizes, visits = routed.queries, routed.refs, routed.sizes, routed.visits
+
+    parallel = queries.sparkSession.sparkContext.defaultParallelism
+    grid = [(c, *_parts(visits.get(c, 0), size, dim, tile_rows, parallel)) for c, size in sizes.items()]
+    tasks = _tasks(sum(a * b for _, a, b in grid), parallel)
     layout = F.create_map(*[F.lit(x) for c, a, b in grid for x in (c, F.array(F.lit(a), F.lit(b)))])
     parts = layout[F.col("cell")]
 
@@ -348,11 +470,13 @@ def knn_join(
     if label_col:
         out.append(T.StructField("ref_label", r.schema["ref_label"].dataType))
     out.append(T.StructField("dist", T.DoubleType()))
+    barred = None if bar is None else "self" if bar == id_col else "group"
     tile = ["cell", "r_part", "q_part"]
     found = (
-        q.groupBy(*tile)
-        .cogroup(r.groupBy(*tile))
-        .applyInArrow(_tile_join(k, metric, bool(bar), bool(label_col)), T.StructType(out))
+        q.repartition(tasks, *tile)
+        .groupBy(*tile)
+        .cogroup(r.repartition(tasks, *tile).groupBy(*tile))
+        .applyInArrow(_tile_join(k, metric, barred, bool(label_col)), T.StructType(out))
     )
     order = W.partitionBy("query_id").orderBy("dist", "ref_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
