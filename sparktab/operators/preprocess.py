@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from sparktab.functions.values import present, quoted
 from sparktab.operators.features import Step, apply_steps, build_steps, fit_steps
 from sparktab.plans.quantiles import quantiles
+from sparktab.plans.running import running_sums
+from sparktab.session import scratch_path
 
 # Defaults of a column without settings of its own, the code of a
 # category not seen in fitting, and the gap under which two bin edges are one.
@@ -101,24 +103,42 @@ def modes(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Any]:
 
 def value_counts(
     df: DataFrame, values: Mapping[str, Column], limits: Mapping[str, int]
-) -> dict[str, list[tuple[Any, int]]]:
+) -> dict[str, list[tuple[Any, int]] | None]:
     """Distinct values and their counts per column, sorted, a missing value last.
 
     All columns must be of one type. A column with more distinct values than
-    its limit is an error, which also bounds what reaches the driver.
+    its limit gives None, so what reaches the driver is bounded.
     """
     if not values:
         return {}
     pairs = [F.struct(F.lit(name).alias("name"), v.alias("value")) for name, v in values.items()]
     counts = df.select(F.inline(F.array(*pairs))).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    found: dict[str, list[tuple[Any, int]]] = {name: [] for name in values}
-    for row in counts.limit(sum(limits.values()) + len(limits) + 1).collect():
+    most = sum(limits.values()) + len(limits)
+    rows = counts.limit(most + 1).collect()
+    wide: set[str] = set()
+    if len(rows) > most:
+        sizes = counts.groupBy("name").agg(F.count("value").alias("n")).collect()
+        wide = {row["name"] for row in sizes if row["n"] > limits[row["name"]]}
+        rows = counts.where(~F.col("name").isin(list(wide))).collect()
+    found: dict[str, list[tuple[Any, int]]] = {name: [] for name in values if name not in wide}
+    for row in rows:
         found[row["name"]].append((row["value"], row["n"]))
     for name, items in found.items():
-        if sum(v is not None for v, _ in items) > limits[name]:
-            raise PreprocessError(f"{name} has more than {limits[name]} categories")
         items.sort(key=lambda item: (item[0] is None, item[0] if item[0] is not None else 0))
-    return found
+        if sum(v is not None for v, _ in items) > limits[name]:
+            wide.add(name)
+    return {name: None if name in wide else found[name] for name in values}
+
+
+def code_table(df: DataFrame, value: Column) -> dict[str, Any]:
+    """Codes of many categories as a table in the shared folder, and whether one is missing."""
+    known = df.select(value.alias("_category")).distinct()
+    missing = not known.where("_category is null").isEmpty()
+    ranked = running_sums(known.dropna().withColumn("n", F.lit(1)), "_category", ["n"])
+    codes = ranked.select("_category", (F.col("run_n") - 1).cast("double").alias("_code"))
+    path = scratch_path(df.sparkSession, "codes")
+    codes.write.parquet(path)
+    return {"table": path, "missing": missing}
 
 
 def _top(items: Sequence[tuple[Any, int]]) -> Any:
@@ -259,6 +279,9 @@ class Preprocessor:
             limits = {c: MAX_ONEHOT if branches[c].encoding == "onehot" else MAX_ORDINAL for c in encoded}
             counts = value_counts(df, {c: present(df, c) for c in encoded}, limits)
             for c, items in counts.items():
+                if items is None:
+                    self._fit_wide(df, branches[c], fill, params)
+                    continue
                 if branches[c].impute:
                     fill[c] = _top(items)
                     items = [item for item in items if item[0] is not None]
@@ -267,6 +290,17 @@ class Preprocessor:
                 if branches[c].impute:
                     params["impute"][c] = _known(fill.get(c), c)
 
+    def _fit_wide(self, df: DataFrame, branch: Branch, fill: dict, params: dict) -> None:
+        """More categories than may reach the driver: codes become a table."""
+        c = branch.column
+        if branch.encoding == "onehot":
+            raise PreprocessError(f"{c} has more than {MAX_ONEHOT} categories")
+        value = present(df, c)
+        if branch.impute:
+            fill.update(modes(df, {c: value}))
+            value = F.coalesce(value, F.lit(_known(fill.get(c), c)))
+        params["categories"][c] = code_table(df, value)
+
     def _branch_output(self, df: DataFrame, branch: Branch, params: Mapping[str, Any]) -> list[Column]:
         if branch.kind == "numeric":
             value = self._scaled(df, branch, params)
@@ -317,16 +351,23 @@ class Preprocessor:
         return out
 
 
-def _ordinal_codes(df: DataFrame, name: str, items: Sequence) -> DataFrame:
-    """Codes by position in the sorted categories; a seen missing value stays missing."""
-    known = [c for c in items if c is not None]
-    value_type = df.schema[name].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(
-        [(c, float(i)) for i, c in enumerate(known)], f"_category {value_type}, _code double"
-    )
-    joined = df.join(F.broadcast(table), quoted(name) == F.col("_category"), "left")
+def _ordinal_codes(df: DataFrame, name: str, items: Sequence | Mapping[str, Any]) -> DataFrame:
+    """Codes by position in the sorted categories; a seen missing value stays missing.
+
+    A category list is at most MAX_ORDINAL rows and is broadcast; a code table
+    is joined as it comes.
+    """
+    if isinstance(items, Mapping):
+        codes, missing = df.sparkSession.read.parquet(items["table"]), items["missing"]
+    else:
+        known = [c for c in items if c is not None]
+        missing = len(known) < len(items)
+        schema = f"_category {df.schema[name].dataType.simpleString()}, _code double"
+        rows = [(c, float(i)) for i, c in enumerate(known)]
+        codes = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    joined = df.join(codes, quoted(name) == F.col("_category"), "left")
     unseen = F.lit(float(UNSEEN_CODE))
-    if len(known) < len(items):
+    if missing:
         unseen = F.when(quoted(name).isNotNull(), unseen)
     code = F.coalesce(F.col("_code"), unseen).alias(name)
     return joined.select(*[code if c == name else quoted(c) for c in df.columns])

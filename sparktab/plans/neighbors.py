@@ -215,7 +215,8 @@ def _tile_join(k: int, metric: str, bar: str | None, has_label: bool):
             bars = ref_bars = None
             groups = np.zeros(len(r), dtype=np.int64)
             if bar:
-                both = [queries["query_bar"].combine_chunks(), refs["ref_bar"].combine_chunks()]
+                names = ("query_id", "ref_id") if bar == "self" else ("query_bar", "ref_bar")
+                both = [queries[names[0]].combine_chunks(), refs[names[1]].combine_chunks()]
                 codes = pa.chunked_array(both).combine_chunks().dictionary_encode().indices
                 codes = codes.to_numpy(zero_copy_only=False).astype(np.int64)
                 bars, ref_bars = codes[: len(q)], codes[len(q) :]
@@ -356,11 +357,17 @@ def _parts(n_queries: int, n_refs: int, dim: int, tile_rows: int, parallel: int)
     return r_parts, max(full, min(worth, math.ceil(parallel / r_parts)))
 
 
-def _tasks(n_tiles: int, parallel: int) -> int:
-    """Shuffle partitions: room to spread few tiles, several tiles per task for many."""
-    if n_tiles <= parallel:
-        return 1 if n_tiles == 1 else 4 * n_tiles
-    return min(MAX_TASKS, max(4 * parallel, n_tiles // 4))
+def _spread_tiles(df: DataFrame, tile: list[str], n_tiles: int) -> DataFrame:
+    """Shuffle by tile: room to spread few tiles, several tiles per task for many.
+
+    The session's own number of shuffle partitions is left alone if it is enough.
+    """
+    spark = df.sparkSession
+    parallel = spark.sparkContext.defaultParallelism
+    tasks = 4 * n_tiles if n_tiles <= parallel else min(MAX_TASKS, max(4 * parallel, n_tiles // 4))
+    if n_tiles == 1 or tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *tile)
 
 
 def _count_both(queries: DataFrame, refs: DataFrame) -> tuple[int, int]:
@@ -428,7 +435,8 @@ def knn_join(
     r_cols = [F.col(id_col).alias("ref_id"), _vector(refs, vector_col).alias("ref_vector")]
     if label_col:
         r_cols.append(F.col(label_col).alias("ref_label"))
-    if bar:
+    barred = None if bar is None else "self" if bar == id_col else "group"
+    if barred == "group":
         q_cols.append(F.col(bar).alias("query_bar"))
         r_cols.append(F.col(bar).alias("ref_bar"))
     q, r = queries.select(*q_cols), refs.select(*r_cols)
@@ -443,7 +451,7 @@ def knn_join(
 
     routed = None
     if pivots > 1:
-        routed = _cells(q, r, pivots, metric, k + (1 if bar == id_col else 0), bool(bar) and bar != id_col)
+        routed = _cells(q, r, pivots, metric, k + (barred == "self"), barred == "group")
         compared = sum(routed.visits.get(cell, 0) * n for cell, n in routed.sizes.items())
         if compared > MOST_COMPARED * n_queries * n_refs:
             routed = None
@@ -455,7 +463,7 @@ def knn_join(
 
     parallel = queries.sparkSession.sparkContext.defaultParallelism
     grid = [(c, *_parts(visits.get(c, 0), size, dim, tile_rows, parallel)) for c, size in sizes.items()]
-    tasks = _tasks(sum(a * b for _, a, b in grid), parallel)
+    n_tiles = sum(a * b for _, a, b in grid)
     layout = F.create_map(*[F.lit(x) for c, a, b in grid for x in (c, F.array(F.lit(a), F.lit(b)))])
     parts = layout[F.col("cell")]
 
@@ -470,12 +478,11 @@ def knn_join(
     if label_col:
         out.append(T.StructField("ref_label", r.schema["ref_label"].dataType))
     out.append(T.StructField("dist", T.DoubleType()))
-    barred = None if bar is None else "self" if bar == id_col else "group"
     tile = ["cell", "r_part", "q_part"]
     found = (
-        q.repartition(tasks, *tile)
+        _spread_tiles(q, tile, n_tiles)
         .groupBy(*tile)
-        .cogroup(r.repartition(tasks, *tile).groupBy(*tile))
+        .cogroup(_spread_tiles(r, tile, n_tiles).groupBy(*tile))
         .applyInArrow(_tile_join(k, metric, barred, bool(label_col)), T.StructType(out))
     )
     order = W.partitionBy("query_id").orderBy("dist", "ref_id")

@@ -13,9 +13,10 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparktab.plans.running import running_sums
+
 EXACT_ROWS = 10_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -74,8 +75,8 @@ def _select(df: DataFrame, brackets: list[tuple[int, float, float]]) -> dict[int
         .groupBy("rank", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    through = F.sum("n").over(W.partitionBy("rank").orderBy("v"))
-    start = F.create_map(*[F.lit(x) for r, _, _ in brackets for x in (r, below[f"b{r}"])])
-    placed = counted.withColumn("end", through + start[F.col("rank").cast("int")])
+    summed = running_sums(counted, "v", ["n"], by=["rank"])
+    start = F.create_map(*[F.lit(x).cast("bigint") for r, _, _ in brackets for x in (r, below[f"b{r}"])])
+    placed = summed.withColumn("end", F.col("run_n") + start[F.col("rank")])
     hit = (F.col("end") > F.col("rank")) & (F.col("end") - F.col("n") <= F.col("rank"))
     return {row.rank: row.v for row in placed.where(hit).select("rank", "v").collect()}

@@ -12,15 +12,17 @@ SLICE_VALUES = 100_000
 MAX_SLICES = 2_000
 
 
-def slice_edges(df: DataFrame, order_col: str, slice_values: int = SLICE_VALUES) -> list[float]:
-    """Cut points that give slices of about ``slice_values`` rows of ``df``; at most MAX_SLICES."""
-    n = df.count()
-    slices = min(MAX_SLICES, -(-n // slice_values))
+def slice_edges(df: DataFrame, order_col: str, slice_values: int = SLICE_VALUES) -> list:
+    """Cut points that give slices of about ``slice_values`` rows of ``df``; at most MAX_SLICES.
+
+    The points are values picked in hash order, so they spread like the
+    values themselves, of whatever type.
+    """
+    slices = min(MAX_SLICES, -(-df.count() // slice_values))
     if slices <= 1:
         return []
-    steps = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(order_col, steps, 10 * MAX_SLICES).alias("edges")).first()
-    return sorted(set(row.edges or []))
+    picked = df.select(F.col(order_col).alias("v")).distinct().orderBy(F.xxhash64("v"), "v").limit(slices - 1)
+    return sorted(row.v for row in picked.collect())
 
 
 def running_sums(
@@ -29,7 +31,7 @@ def running_sums(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    slice_values: int = SLICE_VALUES,
+    slice_values: int | None = None,
 ) -> DataFrame:
     """Add ``run_<c>``: the sum of c over all rows up to and including this one.
 
@@ -37,13 +39,13 @@ def running_sums(
     the order column, summed inside their slice, and shifted by the totals of
     the slices before; the totals are a table of slices x ``by`` groups.
     """
-    edges = slice_edges(df, order_col, slice_values)
+    edges = slice_edges(df, order_col, slice_values or SLICE_VALUES)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     if not edges:
         inside = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(inside).alias(f"run_{c}") for c in sums])
 
-    levels = F.array(*[F.lit(float(e)) for e in edges])
+    levels = F.array(*[F.lit(e) for e in edges])
     place = F.size(F.filter(levels, lambda e: e < F.col(order_col)))
     sliced = df.withColumn("_slice", -place if descending else place)
     inside = W.partitionBy(*by, "_slice").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
