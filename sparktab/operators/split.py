@@ -9,15 +9,18 @@ its class. Ids must be unique.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from fractions import Fraction
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MAX_CLASSES = 10_000
+LITERAL_CLASSES = 64
 SLICE_ROWS = 100_000
 
 
@@ -76,30 +79,63 @@ def _label(df: DataFrame, target: str | None) -> Column:
     return F.col(target) if target else F.lit(0)
 
 
+def _attach(df: DataFrame, label: str, values: dict[Any, dict], fields: dict[str, str]) -> DataFrame:
+    """Add one struct per class as column ``of_class``.
+
+    A few classes become a literal map, so this is a projection; more of them
+    (MAX_CLASSES at most) are broadcast.
+    """
+    schema = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
+    if len(values) <= LITERAL_CLASSES and all(type(k) in (int, str) for k in values):
+        text = F.lit(json.dumps({str(k): v for k, v in values.items()}))
+        found = F.from_json(text, f"map<string, {schema}>")[F.col(label).cast("string")]
+        return df.select("*", found.alias("of_class"))
+    label_type = df.schema[label].dataType.simpleString()
+    rows = [(k, tuple(v[name] for name in fields)) for k, v in values.items()]
+    table = df.sparkSession.createDataFrame(rows, f"_label {label_type}, of_class {schema}")
+    return df.join(F.broadcast(table), F.col(label) == F.col("_label")).drop("_label")
+
+
 def cut_points(
     df: DataFrame, id_col: str, target: str | None, seed: int, positions: dict[str, dict]
 ) -> dict:
-    """The order key at each (class, named position); none at position 0."""
-    spark = df.sparkSession
+    """The order key at each (class, named position); none at position 0.
+
+    One job counts rows per class and slice and finds the slices that hold a
+    position, at most classes x positions rows; another ranks those slices.
+    """
+    names = list(positions)
+    labels = {label for per_class in positions.values() for label in per_class}
     n_rows = max(max(p.values(), default=0) for p in positions.values())
-    keyed = df.select(_label(df, target).alias("label"), order_key(id_col, seed).alias("key"))
-    keyed = keyed.withColumn("slice", F.substring("key", 1, _digits(n_rows)))
-    label_type = keyed.schema["label"].dataType.simpleString()
-
-    wanted = [
-        (0 if target is None else label, name, at)
-        for name, per_class in positions.items()
-        for label, at in per_class.items()
-    ]
-    cuts = F.broadcast(spark.createDataFrame(wanted, f"label {label_type}, name string, at bigint"))
+    keyed = df.select(
+        _label(df, target).alias("label"),
+        order_key(id_col, seed).alias("key"),
+        F.substring(order_key(id_col, seed), 1, _digits(n_rows)).alias("slice"),
+    )
+    at = {0 if target is None else label: {n: positions[n][label] for n in names} for label in labels}
     sizes = keyed.groupBy("label", "slice").agg(F.count(F.lit(1)).alias("n"))
     through = F.sum("n").over(W.partitionBy("label").orderBy("slice"))
-    slices = sizes.withColumn("through", through)
-    holding = slices.join(cuts, "label").where(
-        (F.col("at") > F.col("through") - F.col("n")) & (F.col("at") <= F.col("through"))
+    slices = _attach(sizes.withColumn("through", through), "label", at, dict.fromkeys(names, "bigint"))
+    holds = "{0} > through - n and {0} <= through"
+    wanted = " or ".join("(" + holds.format(f"of_class.{n}") + ")" for n in names)
+    held = {}
+    for row in slices.where(wanted).collect():
+        for n in names:
+            nth = row.of_class[n] - row.through + row.n
+            if 0 < nth <= row.n:
+                held[row.label, n] = {"slice": row.slice, "nth": nth}
+
+    none = {"slice": None, "nth": None}
+    chosen = {
+        label: {f"{key}_{n}": value for n in names for key, value in held.get((label, n), none).items()}
+        for label in at
+    }
+    fields = {f"{key}_{n}": kind for n in names for key, kind in (("slice", "string"), ("nth", "bigint"))}
+    near = _attach(keyed, "label", chosen, fields)
+    hits = ", ".join(
+        f"if(slice = of_class.slice_{n}, named_struct('name', '{n}', 'nth', of_class.nth_{n}), null)" for n in names
     )
-    holding = holding.select("label", "slice", "name", (F.col("at") - F.col("through") + F.col("n")).alias("nth"))
-    inside = keyed.join(F.broadcast(holding), ["label", "slice"])
+    inside = near.selectExpr("label", "key", f"inline(array_compact(array({hits})))")
     place = F.row_number().over(W.partitionBy("label", "name").orderBy("key"))
     found = inside.withColumn("place", place).where("place = nth").select("label", "name", "key")
     return {(r.label, r.name): r.key for r in found.collect()}
@@ -125,18 +161,15 @@ def stratified_split(
     }
     keys = cut_points(df, id_col, target, seed, ends)
     if target is None:
+        marked = df
         cut_test, cut_valid = (F.lit(keys.get((0, name))).cast("string") for name in ends)
-        joined = df
     else:
-        label_type = df.schema[target].dataType.simpleString()
-        rows = [(label, *(keys.get((label, name)) for name in ends)) for label in counts]
-        schema = f"cut_label {label_type}, cut_test string, cut_valid string"
-        cuts = df.sparkSession.createDataFrame(rows, schema)
-        joined = df.join(F.broadcast(cuts), F.col(target) == F.col("cut_label"))
-        cut_test, cut_valid = F.col("cut_test"), F.col("cut_valid")
+        cuts = {label: {name: keys.get((label, name)) for name in ends} for label in counts}
+        marked = _attach(df, target, cuts, {"test": "string", "valid": "string"})
+        cut_test, cut_valid = F.col("of_class.test"), F.col("of_class.valid")
     key = order_key(id_col, seed)
     split = F.when(key <= cut_test, "test").when(key <= cut_valid, "valid").otherwise("train")
-    return joined.select(*[F.col(c) for c in df.columns], split.alias("split"))
+    return marked.select(*df.columns, split.alias("split"))
 
 
 def half_sample(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:

@@ -440,6 +440,7 @@ def knn_join(
         q_cols.append(F.col(bar).alias("query_bar"))
         r_cols.append(F.col(bar).alias("ref_bar"))
     q, r = queries.select(*q_cols), refs.select(*r_cols)
+    q_fields, r_fields = q.schema, r.schema
 
     n_queries, n_refs = _count_both(queries, refs)
     first = r.select(F.size("ref_vector").alias("d")).first()
@@ -456,27 +457,23 @@ def knn_join(
         if compared > MOST_COMPARED * n_queries * n_refs:
             routed = None
     if routed is None:
-        r, q = r.withColumn("cell", F.lit(0)), q.withColumn("cells", F.array(F.lit(0)))
-        sizes, visits = {0: n_refs}, {0: n_queries}
+        cells, sizes, visits = ("0", "array(0)"), {0: n_refs}, {0: n_queries}
     else:
-        q, r, sizes, visits = routed.queries, routed.refs, routed.sizes, routed.visits
+        cells, sizes, visits = ("cell", "cells"), routed.sizes, routed.visits
+        q, r = routed.queries, routed.refs
 
     parallel = queries.sparkSession.sparkContext.defaultParallelism
-    grid = [(c, *_parts(visits.get(c, 0), size, dim, tile_rows, parallel)) for c, size in sizes.items()]
-    n_tiles = sum(a * b for _, a, b in grid)
-    layout = F.create_map(*[F.lit(x) for c, a, b in grid for x in (c, F.array(F.lit(a), F.lit(b)))])
-    parts = layout[F.col("cell")]
-
-    q = q.withColumn("cell", F.explode("cells")).drop("cells").withColumn("parts", parts)
-    q = q.withColumn("q_part", F.pmod(F.xxhash64("query_id"), F.col("parts")[1]).cast("int"))
-    q = q.withColumn("r_part", F.explode(F.sequence(F.lit(0), F.col("parts")[0] - 1))).drop("parts")
-    r = r.withColumn("parts", parts)
-    r = r.withColumn("r_part", F.pmod(F.xxhash64("ref_id"), F.col("parts")[0]).cast("int"))
-    r = r.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.col("parts")[1] - 1))).drop("parts")
-
-    out = [T.StructField("query_id", q.schema["query_id"].dataType), T.StructField("ref_id", r.schema["ref_id"].dataType)]
-    if label_col:
-        out.append(T.StructField("ref_label", r.schema["ref_label"].dataType))
+    grid = {c: _parts(visits.get(c, 0), size, dim, tile_rows, parallel) for c, size in sizes.items()}
+    n_tiles = sum(a * b for a, b in grid.values())
+    layout = ", ".join(f"{c}, named_struct('r', {a}, 'q', {b})" for c, (a, b) in grid.items())
+    q_names, r_names = q_fields.fieldNames(), r_fields.fieldNames()
+    q = q.selectExpr(*q_names, f"explode({cells[1]}) as cell")
+    q = q.selectExpr("*", f"map({layout})[cell] as parts")
+    q = q.selectExpr(*q_names, "cell", "cast(pmod(xxhash64(query_id), parts.q) as int) as q_part", "explode(sequence(0, parts.r - 1)) as r_part")
+    r = r.selectExpr(*r_names, f"{cells[0]} as cell", f"map({layout})[{cells[0]}] as parts")
+    r = r.selectExpr(*r_names, "cell", "cast(pmod(xxhash64(ref_id), parts.r) as int) as r_part", "explode(sequence(0, parts.q - 1)) as q_part")
+
+    out = [q_fields["query_id"], r_fields["ref_id"], *([r_fields["ref_label"]] if label_col else [])]
     out.append(T.StructField("dist", T.DoubleType()))
     tile = ["cell", "r_part", "q_part"]
     found = (

@@ -435,7 +435,15 @@ def column_transform(spark: SparkSession, folder: str) -> DataFrame:
     return out.toDF("p_partkey", "size", "price_low", "price_high", "p_type", "p_brand")
 
 
-@query()
+@query(
+    f"""WITH {PART},
+    kinds AS (SELECT DISTINCT p_type FROM part_clean WHERE p_type IS NOT NULL),
+    names AS (
+      SELECT 0 AS place, 'size' AS name UNION ALL SELECT 1, 'price'
+      UNION ALL SELECT 1 + row_number() OVER (ORDER BY p_type), 'p_type_' || p_type FROM kinds
+      UNION ALL SELECT 1000000, 'p_brand')
+    SELECT (row_number() OVER (ORDER BY place) - 1)::INTEGER AS ordinal, name FROM names"""
+)
 def output_names(spark: SparkSession, folder: str) -> DataFrame:
     config = {**PART_CONFIG, "preprocessing": {**PART_CONFIG["preprocessing"], "p_type": {}}}
     plan = build_preprocessor(config)

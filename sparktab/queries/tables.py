@@ -119,7 +119,12 @@ def head_sample(spark: SparkSession, folder: str) -> DataFrame:
     return first_rows(table(spark, folder, "orders"), ["o_orderkey"], 100)
 
 
-@query()
+@query(
+    """SELECT (row_number() OVER () - 1)::INTEGER AS ordinal, column_name AS "column",
+      CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+        WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END AS type
+    FROM (DESCRIBE SELECT * FROM lineitem)"""
+)
 def schema_capture(spark: SparkSession, folder: str) -> DataFrame:
     return schema_rows(table(spark, folder, "lineitem"))
 

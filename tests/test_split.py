@@ -53,10 +53,17 @@ def test_hold_out_and_plain_split(spark):
     assert plain == {"test": 20, "valid": 20, "train": 60}
 
 
-def test_the_table_is_not_shuffled(spark, small):
+def test_the_split_is_a_projection(spark, small):
     df = spark.read.parquet(f"{small}/orders.parquet")
     plan = s.stratified_split(df, "o_orderkey", "o_orderstatus")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_many_classes_give_the_same_split(spark, monkeypatch):
+    df = spark.range(400).withColumn("y", (F.col("id") % 7).cast("int"))
+    few = sorted(s.stratified_split(df, "id", "y").collect())
+    monkeypatch.setattr(s, "LITERAL_CLASSES", 2)
+    assert sorted(s.stratified_split(df, "id", "y").collect()) == few
 
 
 def test_half_and_complement(spark):
