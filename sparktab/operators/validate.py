@@ -10,6 +10,8 @@ import logging
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -168,20 +170,33 @@ def report_matrix(report: DataFrame) -> DataFrame:
     return wide.agg(F.first("severity")).drop("ordinal")
 
 
+def _smallest(names: Sequence[str], n: int):
+    """Per task the n smallest distinct texts of every column."""
+
+    def pick(batches):
+        kept = {name: pa.array([], pa.string()) for name in names}
+        for batch in batches:
+            for at, name in enumerate(names):
+                values = pc.unique(pa.concat_arrays([kept[name], batch.column(at)]).drop_null())
+                kept[name] = values.take(pc.array_sort_indices(values)[:n])
+        columns = [pa.array([name for name in names for _ in kept[name]], pa.string())]
+        columns.append(pa.concat_arrays([kept[name] for name in names]))
+        yield pa.RecordBatch.from_arrays(columns, names=["column", "value"])
+
+    return pick
+
+
 def sample_values(df: DataFrame, rules: Sequence[Rule], n: int = 5) -> DataFrame:
-    """Up to n distinct present values per checked column, the smallest first.
+    """Up to n distinct present values per checked column, as text, the smallest first.
 
-    Distinct values and the first n per task are found before any row moves
-    to the task of its column.
+    Every task keeps n values per column, so a column of distinct keys or of
+    one hot value shuffles no more than that.
     """
-    shown = [
-        F.struct(
-            F.lit(rule["name"]).alias("column"),
-            F.when(~is_missing(df, rule["name"]), quoted(rule["name"]).cast("string")).alias("value"),
-        )
-        for _, rule in checkable(df, rules)
-    ]
-    values = df.select(F.inline(F.array(*shown))).where("value is not null").distinct()
+    names = [rule["name"] for _, rule in checkable(df, rules)]
+    texts = [F.when(~is_missing(df, c), quoted(c).cast("string")).alias(f"c{i}") for i, c in enumerate(names)]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, value string, place int")
+    values = df.select(*texts).mapInArrow(_smallest(names, n), "column string, value string").distinct()
     place = F.row_number().over(W.partitionBy("column").orderBy("value"))
     return values.withColumn("place", place).where(F.col("place") <= n)
 

@@ -28,10 +28,9 @@ def rename_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders")
 def select_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The features in the asked order, the target apart as the last column."""
     orders = table(spark, folder, "orders")
-    with_target = select(orders, "o_orderkey", ["o_totalprice", "o_orderpriority"], "o_orderstatus")
-    features = with_target.drop("o_orderstatus")
-    return features.join(with_target.select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    return select(orders, "o_orderkey", ["o_totalprice", "o_orderpriority"], "o_orderstatus")
 
 
 FLAGS = """flags AS (
