@@ -20,9 +20,14 @@ LOGICAL_TYPES = {
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
+def sql_name(name: str) -> str:
+    """The name as SQL reads it, even if it holds dots or spaces."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """The column of exactly this name, even if it holds dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column of exactly this name."""
+    return F.col(sql_name(name))
 
 
 def type_of(df: DataFrame, name: str) -> T.DataType:

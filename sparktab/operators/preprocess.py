@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.functions.values import present, quoted
+from sparktab.functions.values import present, quoted, sql_name
 from sparktab.operators.features import Step, apply_steps, build_steps, fit_steps
 from sparktab.plans.quantiles import quantiles
 from sparktab.plans.running import running_sums
@@ -60,7 +60,7 @@ def select_features(df: DataFrame, id_col: str, features: Sequence[str], target:
     """Id, features and target, in this order; the rest is never read."""
     columns = [id_col, *features, *([target] if target else [])]
     require_columns(df, columns)
-    return df.select(*[quoted(c) for c in columns])
+    return df.select(*map(sql_name, columns))
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -72,15 +72,19 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
 
 def array_to_columns(df: DataFrame, array_col: str, names: Sequence[str]) -> DataFrame:
     """A matrix column as named columns, by position."""
-    rest = [quoted(c) for c in df.columns if c != array_col]
-    return df.select(*rest, *[F.get(array_col, F.lit(i)).alias(n) for i, n in enumerate(names)])
+    rest = [sql_name(c) for c in df.columns if c != array_col]
+    parts = [f"get({sql_name(array_col)}, {i}) as {sql_name(n)}" for i, n in enumerate(names)]
+    return df.selectExpr(*rest, *parts)
 
 
-def columns_to_array(df: DataFrame, columns: Sequence[str], array_col: str) -> DataFrame:
-    """Named columns as one vector column, in the given order."""
-    rest = [quoted(c) for c in df.columns if c not in columns]
-    vector = F.array(*[quoted(c).cast("double") for c in columns])
-    return df.select(*rest, vector.alias(array_col))
+def columns_to_array(
+    df: DataFrame, columns: Sequence[str], array_col: str, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Named columns as one vector column, in the given order, after the columns kept."""
+    if keep is None:
+        keep = [c for c in df.columns if c not in set(columns)]
+    values = ", ".join(f"cast({sql_name(c)} as double)" for c in columns)
+    return df.selectExpr(*map(sql_name, keep), f"array({values}) as {sql_name(array_col)}")
 
 
 def modes(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Any]:
@@ -340,10 +344,10 @@ class Preprocessor:
         """The ``keep`` columns (id, target, split), then the features."""
         ready = self._input(df, params)
         require_columns(ready, [*[b.column for b in self.branches], *self.passthrough, *keep])
-        columns = [quoted(c) for c in keep]
+        columns = [sql_name(c) for c in keep]
         for branch in self.branches:
             columns += self._branch_output(ready, branch, params)
-        columns += [quoted(c) for c in self.passthrough]
+        columns += [sql_name(c) for c in self.passthrough]
         out = ready.select(*columns)
         for branch in self.branches:
             if branch.encoding == "ordinal":

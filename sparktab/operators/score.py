@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.functions.values import quoted
+from sparktab.functions.values import sql_name
 from sparktab.operators.knn import KnnModel
 from sparktab.operators.preprocess import Preprocessor, columns_to_array, require_columns
 from sparktab.sources.readers import read_table
@@ -57,8 +57,7 @@ class Scorer:
         if self.preprocessor is not None:
             df = self.preprocessor.transform(df, self.params, keep=[self.model.id_col])
             names = self.preprocessor.output_names(self.params)
-        chosen = df.select(quoted(self.model.id_col), *[quoted(n) for n in names])
-        return columns_to_array(chosen, names, self.model.vector_col)
+        return columns_to_array(df, names, self.model.vector_col, keep=[self.model.id_col])
 
     def predict(self, df: DataFrame, proba: bool = False) -> DataFrame:
         return self.model.predict(self.vectors(df), proba)
@@ -119,14 +118,16 @@ def parse_records(
     that are null, NaN or no number. Each text is parsed once: the record is
     unpacked by a generator, below which no filter is pushed.
     """
-    rest = [quoted(c) for c in df.columns if c != json_col]
-    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in fields])
-    record = F.from_json(quoted(json_col), schema, {"mode": "PERMISSIVE"})
-    parsed = df.select(*rest, quoted(json_col), F.inline_outer(F.array(record)))
-    absent = [F.when(quoted(n).isNull() | F.isnan(quoted(n)), F.lit(n)) for n in fields]
-    marked = parsed.withColumn("missing_fields", F.array_compact(F.array(*absent)))
-    good = marked.where(F.size("missing_fields") == 0).select(*rest, *[quoted(n) for n in fields])
-    bad = marked.where(F.size("missing_fields") > 0).select(*rest, quoted(json_col), "missing_fields")
+    rest, text = [sql_name(c) for c in df.columns if c != json_col], sql_name(json_col)
+    names = [sql_name(n) for n in fields]
+    schema = ", ".join(f"{n} double" for n in names)
+    record = f"from_json({text}, '{schema}', map('mode', 'PERMISSIVE'))"
+    parsed = df.selectExpr(*rest, text, f"inline_outer(array({record}))")
+    texts = ["'" + f.replace("'", r"\'") + "'" for f in fields]
+    absent = ", ".join(f"if({n} is null or isnan({n}), {t}, null)" for t, n in zip(texts, names, strict=True))
+    marked = parsed.selectExpr("*", f"array_compact(array({absent})) as missing_fields")
+    good = marked.where("size(missing_fields) = 0").drop(json_col, "missing_fields")
+    bad = marked.where("size(missing_fields) > 0").selectExpr(*rest, text, "missing_fields")
     return good, bad
 
 

@@ -169,7 +169,7 @@ def stratified_split(
         cut_test, cut_valid = F.col("of_class.test"), F.col("of_class.valid")
     key = order_key(id_col, seed)
     split = F.when(key <= cut_test, "test").when(key <= cut_valid, "valid").otherwise("train")
-    return marked.select(*df.columns, split.alias("split"))
+    return marked.withColumn("split", split).drop("of_class")
 
 
 def half_sample(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:

@@ -89,15 +89,14 @@ def batch_inference(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _records(rows: DataFrame) -> DataFrame:
-    """Rows as JSON records; every tenth lacks a field, the next one holds text in it."""
-    digit = F.col("vec_id") % 10
-    values = [F.col(c).cast("string") for c in FEATURES]
-    first = F.when(digit == 0, None).when(digit == 1, "none").otherwise(values[0])
-    pairs = [first.alias(FEATURES[0]), *[v.cast("double").alias(c) for v, c in zip(values[1:], FEATURES[1:], strict=True)]]
-    number = F.struct(F.col(FEATURES[0]), *pairs[1:])
-    text = F.struct(*pairs)
-    record = F.when(digit > 1, F.to_json(number)).otherwise(F.to_json(text))
-    return rows.select("vec_id", record.alias("record"))
+    """Rows as JSON records; by id some lack the first field or hold text in it."""
+    rest = ", ".join(f"'{c}', {c}" for c in FEATURES[1:])
+    return rows.selectExpr(
+        "vec_id",
+        f"""case vec_id % 10 when 0 then to_json(named_struct({rest}))
+          when 1 then to_json(named_struct('f0', 'none', {rest}))
+          else to_json(named_struct('f0', f0, {rest})) end as record""",
+    )
 
 
 @query(
