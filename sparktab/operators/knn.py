@@ -21,6 +21,7 @@ WEIGHTS = ("uniform", "distance")
 DEFAULT_PARAMS = {"n_neighbors": 5, "metric": "cosine", "weights": "uniform"}
 
 VOTE_DIGITS = 9
+COLUMN_CLASSES = 40
 
 
 class ModelError(ValueError):
@@ -163,6 +164,37 @@ def _first_largest(sums: list[Column], classes: list) -> Column:
     return choice
 
 
+def _choices_by_columns(weighted: DataFrame, classes: list, weights: Sequence[str]) -> DataFrame:
+    """The prediction at every rank from one running sum per class and weighting."""
+    along = W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
+    sums = {
+        (w, i): F.sum(F.when(F.col("ref_label") == F.lit(c), F.col(w)).otherwise(0.0)).over(along)
+        for w in weights
+        for i, c in enumerate(classes)
+    }
+    running = weighted.select("query_id", "rank", *[s.alias(f"v_{w}_{i}") for (w, i), s in sums.items()])
+    choices = [
+        _first_largest([F.round(f"v_{w}_{i}", VOTE_DIGITS) for i in range(len(classes))], classes).alias(w)
+        for w in weights
+    ]
+    return running.select("query_id", F.col("rank").alias("k"), *choices)
+
+
+def _choices_by_rows(weighted: DataFrame, max_k: int, weights: Sequence[str]) -> DataFrame:
+    """The same for many classes: every neighbour votes in each k it belongs to.
+
+    At most max_k * (max_k + 1) / 2 rows per query, in the partitioning of the join.
+    """
+    ks = F.explode(F.sequence(F.col("rank"), F.lit(max_k))).alias("k")
+    found = weighted.withColumn("n_found", F.max("rank").over(W.partitionBy("query_id")))
+    votes = found.select("query_id", "n_found", "ref_label", *weights, ks).where("k <= n_found")
+    sums = votes.groupBy("query_id", "k", "ref_label").agg(*[F.sum(w).alias(w) for w in weights])
+    best = [
+        F.min_by("ref_label", F.struct(-F.round(w, VOTE_DIGITS), F.col("ref_label"))).alias(w) for w in weights
+    ]
+    return sums.groupBy("query_id", "k").agg(*best)
+
+
 def knn_grid(
     folds: DataFrame,
     id_col: str,
@@ -184,24 +216,15 @@ def knn_grid(
     nearest = knn_join(
         folds, folds, max_k, id_col=id_col, vector_col=vector_col, label_col=label_col, metric=metric, bar=fold_col
     )
-    along = W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-    least = F.min("dist").over(along)
-    weighted = nearest.withColumn(
-        "near",
-        F.when(least == 0, (F.col("dist") == 0).cast("double")).otherwise(F.try_divide(F.lit(1.0), F.col("dist"))),
+    least = F.min("dist").over(W.partitionBy("query_id"))
+    near = F.when(least == 0, (F.col("dist") == 0).cast("double")).otherwise(
+        F.try_divide(F.lit(1.0), F.col("dist"))
     )
-    weight_of = {"uniform": F.lit(1.0), "distance": F.col("near")}
-    sums = {
-        (w, i): F.sum(F.when(F.col("ref_label") == F.lit(c), weight_of[w]).otherwise(0.0)).over(along)
-        for w in weights
-        for i, c in enumerate(classes)
-    }
-    running = weighted.select("query_id", "rank", *[s.alias(f"v_{w}_{i}") for (w, i), s in sums.items()])
-    choices = [
-        _first_largest([F.round(f"v_{w}_{i}", VOTE_DIGITS) for i in range(len(classes))], classes).alias(w)
-        for w in weights
-    ]
-    chosen = running.select("query_id", F.col("rank").alias("k"), *choices)
+    weighted = nearest.withColumns({"uniform": F.lit(1.0), "distance": near})
+    if len(classes) <= COLUMN_CLASSES:
+        chosen = _choices_by_columns(weighted, classes, weights)
+    else:
+        chosen = _choices_by_rows(weighted, max_k, weights)
     truth = folds.select(F.col(id_col).alias("query_id"), F.col(fold_col).alias("fold"), F.col(label_col).alias("label"))
     hits = chosen.join(truth, "query_id").groupBy("k", "fold")
     by_fold = hits.agg(*[F.avg((F.col(w) == F.col("label")).cast("double")).alias(w) for w in weights])

@@ -31,6 +31,7 @@ CHUNK_CELLS = 1 << 21
 CHUNK_QUERIES = 1024
 BLOCK_REFS = 2048
 MAX_PIVOTS = 512
+MAX_BARS = 100
 MAX_PIVOT_VALUES = 1 << 22
 CELLS_PER_TILE = 4
 RADIUS_STEPS = 64
@@ -388,7 +389,12 @@ class _Routed:
     visits: dict[int, int]
 
 
-def _cells(q: DataFrame, r: DataFrame, pivots: int, metric: str, needed: int, barring: bool) -> _Routed:
+def _cells(
+    q: DataFrame, r: DataFrame, pivots: int, metric: str, needed: int, barring: bool
+) -> _Routed | None:
+    """Route by cells; None where the counts per barred value would be too many for the driver."""
+    if barring and r.select("ref_bar").distinct().limit(MAX_BARS + 1).count() > MAX_BARS:
+        return None
     points = _pick_pivots(r, pivots, metric)
     placed = _with_fields(
         r.schema, T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())
@@ -424,8 +430,7 @@ def knn_join(
     Returns ``query_id, ref_id, [ref_label,] dist, rank``; distances are rounded
     to nine digits and ties go to the smaller reference id. ``bar`` names a
     column of both sides; pairs with equal values in it are not compared (the
-    id for a self join, the fold for cross-validation; a non-id column must
-    have few values, as the counts per value reach the driver).
+    id for a self join, the fold for cross-validation).
     """
     if metric not in ("cosine", "euclidean", "minkowski"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -453,9 +458,9 @@ def knn_join(
     routed = None
     if pivots > 1:
         routed = _cells(q, r, pivots, metric, k + (barred == "self"), barred == "group")
+    if routed is not None:
         compared = sum(routed.visits.get(cell, 0) * n for cell, n in routed.sizes.items())
-        if compared > MOST_COMPARED * n_queries * n_refs:
-            routed = None
+        routed = routed if compared <= MOST_COMPARED * n_queries * n_refs else None
     if routed is None:
         cells, sizes, visits = ("0", "array(0)"), {0: n_refs}, {0: n_queries}
     else:

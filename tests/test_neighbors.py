@@ -148,6 +148,24 @@ def test_grid_is_the_same_as_single_runs(spark):
         assert grid[weights, k] == pytest.approx(by_fold.agg(F.avg("a")).first()[0])
 
 
+def test_grid_of_many_classes(spark, monkeypatch):
+    rows = [(i, v, int(i % 11), f) for i, v, _, f in clustered(120, 8, spread=0.8)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    few = sorted(knn.knn_grid(df, "id", "v", "y", max_k=6).collect())
+    monkeypatch.setattr(knn, "COLUMN_CLASSES", 3)
+    many = sorted(knn.knn_grid(df, "id", "v", "y", max_k=6).collect())
+    assert [r[:2] for r in many] == [r[:2] for r in few]
+    assert [r.accuracy for r in many] == pytest.approx([r.accuracy for r in few])
+
+
+def test_many_barred_values(spark, monkeypatch):
+    monkeypatch.setattr("sparktab.plans.neighbors.MAX_BARS", 3)
+    rows = clustered(150, 4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = joined(knn_join(df, df, 4, id_col="id", vector_col="v", bar="fold", tile_rows=30, pivots=6))
+    same(got, brute(rows, rows, 4, "cosine", lambda a, b: a[2] == b[2]))
+
+
 def test_best_params(spark):
     grid = spark.createDataFrame(
         [("distance", 3, 0.9), ("uniform", 3, 0.9), ("uniform", 5, 0.9), ("uniform", 1, 0.8)],
