@@ -8,7 +8,7 @@ from dataclasses import dataclass, fields
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -155,29 +155,23 @@ def knn_predict(
     return votes.groupBy("query_id").agg(*shares, F.min_by("ref_label", best).alias("prediction"))
 
 
-def _first_largest(sums: list[Column], classes: list) -> Column:
-    """The first class whose running vote equals the largest."""
-    top = F.greatest(*sums) if len(sums) > 1 else sums[0]
-    choice = F.when(sums[0] == top, F.lit(classes[0]))
-    for total, label in zip(sums[1:], classes[1:], strict=True):
-        choice = choice.when(total == top, F.lit(label))
-    return choice
-
-
 def _choices_by_columns(weighted: DataFrame, classes: list, weights: Sequence[str]) -> DataFrame:
-    """The prediction at every rank from one running sum per class and weighting."""
-    along = W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-    sums = {
-        (w, i): F.sum(F.when(F.col("ref_label") == F.lit(c), F.col(w)).otherwise(0.0)).over(along)
-        for w in weights
-        for i, c in enumerate(classes)
-    }
-    running = weighted.select("query_id", "rank", *[s.alias(f"v_{w}_{i}") for (w, i), s in sums.items()])
-    choices = [
-        _first_largest([F.round(f"v_{w}_{i}", VOTE_DIGITS) for i in range(len(classes))], classes).alias(w)
-        for w in weights
+    """The prediction at every rank from one running sum per class and weighting.
+
+    The window has the order of the join's own ranking, so nothing is sorted again.
+    """
+    labels = F.array(*[F.lit(c) for c in classes])
+    placed = weighted.withColumn("place", F.array_position(labels, F.col("ref_label")))
+    over = "over (partition by query_id order by dist, ref_id rows unbounded preceding)"
+    places = range(1, len(classes) + 1)
+    sums = [
+        f"round(sum(if(place = {i}, {w}, 0D)) {over}, {VOTE_DIGITS}) as {w}_{i}" for w in weights for i in places
     ]
-    return running.select("query_id", F.col("rank").alias("k"), *choices)
+    running = placed.selectExpr("query_id", "rank as k", *sums)
+    votes = {w: "array(" + ", ".join(f"{w}_{i}" for i in places) + ")" for w in weights}
+    first = [f"cast(array_position({v}, array_max({v})) as int) as {w}" for w, v in votes.items()]
+    chosen = running.selectExpr("query_id", "k", *first)
+    return chosen.select("query_id", "k", *[F.element_at(labels, F.col(w)).alias(w) for w in weights])
 
 
 def _choices_by_rows(weighted: DataFrame, max_k: int, weights: Sequence[str]) -> DataFrame:
@@ -211,6 +205,7 @@ def knn_grid(
     One join finds the ``max_k`` nearest rows outside the query's own fold;
     running votes along the rank then give the prediction for all k at once.
     Returns ``weights, k, accuracy`` as the mean over the folds' accuracies.
+    ``folds`` is read several times and is best a stored table.
     """
     classes = sorted(classes or class_counts(folds, label_col))
     nearest = knn_join(

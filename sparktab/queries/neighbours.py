@@ -143,7 +143,7 @@ GRID = f"""WITH base AS ({vectors()}),
 
 
 def _grid(spark: SparkSession, folder: str) -> DataFrame:
-    folds = kfold(_embeddings(spark, folder), "vec_id", "label")
+    folds = materialize(kfold(_embeddings(spark, folder), "vec_id", "label"), "folds")
     grid = knn.knn_grid(folds, "vec_id", "embedding", "label")
     return grid.withColumn("accuracy", F.round("accuracy", 6))
 
