@@ -41,6 +41,7 @@ MAX_TASKS = 50_000
 MOST_COMPARED = 0.5
 DIGITS = 9
 SLACK = 1e-8
+SAFETY = 1e-6
 
 
 def _matrix(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
@@ -83,7 +84,9 @@ def _points(matrix: np.ndarray, metric: str, side: int) -> np.ndarray:
 
 
 def _spread(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Euclidean distances of points to pivots."""
+    """Euclidean distances of points to pivots, computed around the middle of the pivots."""
+    middle = pivots.mean(axis=0)
+    points, pivots = points - middle, pivots - middle
     squares = (points * points).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :]
     return np.sqrt(np.maximum(squares - 2.0 * points @ pivots.T, 0.0))
 
@@ -273,14 +276,17 @@ def _route_queries(pivots: np.ndarray, metric: str, cells: dict[str, np.ndarray]
             spread = _spread(_points(_matrix(batch, "query_vector"), metric, 0), pivots)
             home = spread.argmin(axis=1)
             here = spread[:, ids]
-            bound = (here + kth[None, :]).min(axis=1)
+            # What the distances may be off by, taken off every lower bound.
+            size = 1.0 + spread.max(axis=1, keepdims=True) + between.max()
+            off = SAFETY * size
+            bound = (here + kth[None, :]).min(axis=1, keepdims=True) + off
             apart = between[home][:, ids]
             at_home = spread[np.arange(len(home)), home][:, None]
             with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(apart > 0, (here**2 - at_home**2) / (2.0 * apart), 0.0)
-            least = np.maximum.reduce([here - farthest, nearest - here, plane, np.zeros_like(here)])
-            scale = 1.0 + bound**2 + (here**2).max(axis=1)
-            wanted = least**2 <= (bound**2 + SLACK * scale)[:, None]
+                plane = (here**2 - at_home**2 - off**2) / (2.0 * apart)
+            plane = np.where(apart > off, plane, 0.0)
+            least = np.maximum.reduce([here - farthest, nearest - here, plane]) - off
+            wanted = np.maximum(least, 0.0) ** 2 <= bound**2 + SLACK
             offsets = np.concatenate([[0], np.cumsum(wanted.sum(axis=1))]).astype(np.int32)
             chosen = np.broadcast_to(ids, wanted.shape)[wanted].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(chosen))

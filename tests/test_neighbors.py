@@ -97,6 +97,15 @@ def test_far_apart_scales(spark):
     same(got, brute(rows, rows, 4, "euclidean", lambda a, b: a[0] == b[0]))
 
 
+def test_tight_groups_far_from_the_origin(spark):
+    rng = np.random.default_rng(6)
+    centres = 1e5 + rng.normal(size=(8, 4))
+    rows = [(i, (centres[i % 8] + 1e-3 * rng.normal(size=4)).tolist(), 0, 0) for i in range(320)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = joined(knn_join(df, df, 4, id_col="id", vector_col="v", metric="euclidean", bar="id", tile_rows=30, pivots=24))
+    same(got, brute(rows, rows, 4, "euclidean", lambda a, b: a[0] == b[0]))
+
+
 def test_bad_vectors_are_refused(spark):
     for bad in ([1.0], [float("nan"), 1.0], None):
         df = spark.createDataFrame([(1, [1.0, 2.0]), (2, bad)], "id int, v array<double>")
