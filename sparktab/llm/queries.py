@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import table
+from sparktab.llm.common import pick, table
+from sparktab.llm.decontaminate import overlaps
+from sparktab.llm.mixing import mix
+from sparktab.llm.quality import fit_rules, quality
+from sparktab.llm.secrets import secret_spans
 from sparktab.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +26,29 @@ def query(fn):
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged, _ = quality(pick(docs, doc_id="doc_id", text="text"), fit_rules(docs, table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")).drop("text")
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    found = overlaps(docs, table(spark, sf_dir, "benchmark")).where("overlaps <> ''")
+    items = F.transform(F.split("overlaps", ";"), lambda x: F.split(x, ":")[0].cast("long"))
+    return found.select("doc_id", items.alias("item_ids"), F.size(items).cast("long").alias("n_items"), "overlaps")
+
+
+@query
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, _ = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
