@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 from sparktab.llm.common import pick, table
 from sparktab.llm.decontaminate import overlaps
+from sparktab.llm.licenses import license_scan
 from sparktab.llm.mixing import mix
+from sparktab.llm.pii import pii_spans
 from sparktab.llm.quality import fit_rules, quality
 from sparktab.llm.secrets import secret_spans
 from sparktab.llm.simhash import simhash_groups
+from sparktab.llm.urls import canonical, host_of, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+SPAM = "casino|pills|bets|adult"
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -52,3 +58,21 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept")
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")).drop("text")
+
+
+@query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the URLs of hosts that name a spam trade, in canonical form."""
+    pages = pick(table(spark, sf_dir, "pages"), page_id="page_id", url="url")
+    listed = pages.where(host_of(F.col("url")).rlike(SPAM)).select(canonical(F.col("url")).alias("canonical"))
+    return url_filter(pages, listed)[0].select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")).drop("text")
