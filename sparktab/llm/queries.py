@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparktab.llm.common import pick, table
 from sparktab.llm.decontaminate import overlaps
 from sparktab.llm.licenses import license_scan
+from sparktab.llm.lm import lm_scores
 from sparktab.llm.mixing import mix
 from sparktab.llm.pii import pii_spans
 from sparktab.llm.quality import fit_rules, quality
@@ -76,3 +77,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_spans(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")).drop("text")
+
+
+@query
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
