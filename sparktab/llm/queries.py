@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktab.llm.common import pick, table
 from sparktab.llm.decontaminate import overlaps
+from sparktab.llm.html import extract_text
 from sparktab.llm.licenses import license_scan
 from sparktab.llm.lm import lm_scores
 from sparktab.llm.mixing import mix
@@ -82,3 +83,9 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = pick(table(spark, sf_dir, "pages"), page_id="page_id", url="url", html="html")
+    return extract_text(pages).select("page_id", "url", "text", "n_chars")
