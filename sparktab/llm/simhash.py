@@ -16,7 +16,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -154,6 +154,11 @@ def _forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which signed fingerprints differ (of signed numbers numpy would count those of the absolute value)."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _spread(values: np.ndarray, home: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
     """Search from member to member of a large bucket: each member that is reached leaves the rest."""
     rest = np.arange(len(values))
@@ -161,7 +166,7 @@ def _spread(values: np.ndarray, home: np.ndarray, distance: int) -> Iterator[tup
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             i = queue.pop()
-            near = np.bitwise_count(values[rest] ^ values[i]) <= distance
+            near = differing(values[rest], values[i]) <= distance
             if not home[i]:
                 near &= home[rest]
             found = rest[near]
@@ -193,7 +198,7 @@ def _links(distance: int):
             hit = s_run[k:] == s_run[:-k]
             if not hit.any():
                 break
-            hit &= (np.bitwise_count(s_fp[k:] ^ s_fp[:-k]) <= distance) & (s_home[k:] | s_home[:-k]) & (s_fp[k:] != s_fp[:-k])
+            hit &= (differing(s_fp[k:], s_fp[:-k]) <= distance) & (s_home[k:] | s_home[:-k]) & (s_fp[k:] != s_fp[:-k])
             at = np.flatnonzero(hit)
             found += zip(s_fp[at].tolist(), s_fp[at + k].tolist(), strict=True)
         starts = np.flatnonzero(new)
@@ -208,6 +213,19 @@ def _links(distance: int):
     return run
 
 
+def _members(i: int, p: Partition) -> Column:
+    """The rows of one fingerprint for one partition: its own value, and the values it probes."""
+    value = F.col("fp").bitwiseAND(F.lit(p.mask))
+
+    def row(x: Column, home: bool) -> Column:
+        return F.struct(F.lit(i).alias("part"), x.alias("value"), F.lit(home).alias("home"))
+
+    own = F.array(row(value, True))
+    if not p.flips:
+        return own
+    return F.concat(own, F.transform(F.array(*map(F.lit, p.flips)), lambda x: row(value.bitwiseXOR(x), False)))
+
+
 def hamming_links(nodes: DataFrame, rows: int, distance: int = 3) -> DataFrame:
     """Edges ``u, v`` that connect all fingerprints (column fp, distinct) within the distance.
 
@@ -221,18 +239,9 @@ def hamming_links(nodes: DataFrame, rows: int, distance: int = 3) -> DataFrame:
     picked = nodes.where(F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else nodes
     sample = np.array([r[0] for r in picked.select("fp").collect()], np.int64).astype(np.uint64)
     plan = plan_partitions(sample, rows, distance)
-    members = []
-    for i, p in enumerate(plan):
-        value = F.col("fp").bitwiseAND(F.lit(p.mask))
-        members.append(F.array(F.struct(F.lit(i).alias("part"), value.alias("value"), F.lit(True).alias("home"))))
-        if p.flips:
-            probe = F.transform(
-                F.array(*map(F.lit, p.flips)),
-                lambda x, v=value, i=i: F.struct(F.lit(i).alias("part"), v.bitwiseXOR(x).alias("value"), F.lit(False).alias("home")),
-            )
-            members.append(probe)
+    members = F.concat(*[_members(i, p) for i, p in enumerate(plan)])
     rows_out = rows * sum(1 + len(p.flips) for p in plan)
-    exploded = nodes.select("fp", F.explode(F.concat(*members)).alias("m")).select("fp", "m.part", "m.value", "m.home")
+    exploded = nodes.select("fp", F.explode(members).alias("m")).select("fp", "m.part", "m.value", "m.home")
     hot = materialize(exploded.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > TILE), "buckets")
     tiles = F.ceil(F.sqrt(F.coalesce("n", F.lit(1)) / TILE)).cast("long")
     dealt = exploded.join(hot, ["part", "value"], "left").withColumn("tiles", F.when(F.col("n").isNull(), 1).otherwise(tiles))
