@@ -28,7 +28,7 @@ from sparktab.session import materialize
 DEEPEST, LONGEST_GROUP = 150, 4
 #: Nodes from which a list that does not fold becomes one repeated group.
 LONGEST_LIST = 48
-#: Pages that must share a slot's text before it counts as part of the template (outside articles).
+#: Pages a host must have before a text that all of them share counts as part of the template (outside articles).
 TEMPLATE_PAGES = 4
 #: Bytes of wrappers up to which they are sent to every task, and salts that share a host's partial wrappers out.
 SEND_BYTES, SALTS = 32 << 20, 16
@@ -269,15 +269,15 @@ class Wrapper:
         """Blocks of the page's main text, white space within each one space, one line each."""
         blocks: list[list[str]] = [[]]
         region = self.region if self.region and _holds(page, self.region) else None
-        self._walk(page, self.nodes, region, region is None, False, blocks)
+        self._walk(page, self.nodes, region, region is None, False, True, blocks)
         lines = (" ".join("".join(b).split()) for b in blocks)
         return "\n".join(line for line in lines if line)
 
-    def _walk(self, element: Element, nodes: list, region: str | None, inside: bool, header: bool, blocks: list) -> None:
+    def _walk(self, element: Element, nodes: list, region: str | None, inside: bool, header: bool, always: bool, blocks: list) -> None:
         partners = self._partners(element, nodes)
         for child, node in zip(element.children, partners, strict=True):
             if isinstance(child, str):
-                template = region is None and node and node[3] and self.pages >= TEMPLATE_PAGES
+                template = region is None and always and node and node[3] and not node[1] and self.pages >= TEMPLATE_PAGES
                 if inside and not template and (not header or element.tag in HEADINGS):
                     blocks[-1].append(unescape(child))
                 continue
@@ -293,7 +293,7 @@ class Wrapper:
                         blocks.append([])
                     continue
                 below = True
-            self._walk(child, node[3] if node else [], region, inside or child.tag == region, below, blocks)
+            self._walk(child, node[3] if node else [], region, inside or child.tag == region, below, always and bool(node) and not node[1], blocks)
             if block:
                 blocks.append([])
 
