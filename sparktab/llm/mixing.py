@@ -27,26 +27,30 @@ class Margins:
     targets: dict[str, dict[str, float]] = field(default_factory=dict)
 
 
-def topic(text: Column) -> Column:
-    """A coarse topic from the whole text's marks: table, markup, figures or prose (null and empty: none)."""
+def count(text: Column, characters: str) -> Column:
+    """How many of some one-byte characters the whole text has."""
+    return F.octet_length(text) - F.octet_length(F.translate(text, characters, ""))
+
 
-    def count(characters: str) -> Column:
-        return F.length(text) - F.length(F.translate(text, characters, ""))
+def topic(text: Column) -> Column:
+    """A coarse topic from the whole text's marks: table, markup, figures or prose (null and empty: none).
 
-    size = F.length(text)
+    Most texts have few marks of any kind, which one count tells.
+    """
+    size = F.octet_length(text)
     return (
         F.when(text.isNull() | (size == 0), F.lit("none"))
-        .when(count("|") * 100 >= size, "table")
-        .when(count("#*$%&<>") * 50 >= size, "markup")
-        .when(count("0123456789") * 50 >= size, "figures")
+        .when(count(text, "|#*$%&<>0123456789") * 100 < size, "prose")
+        .when(count(text, "|") * 100 >= size, "table")
+        .when(count(text, "#*$%&<>") * 50 >= size, "markup")
+        .when(count(text, "0123456789") * 50 >= size, "figures")
         .otherwise("prose")
     )
 
 
 def tokens(text: Column) -> Column:
     """Words between spaces and line ends of the whole text, 1 at least, so that every row has weight."""
-    spaces = F.length(text) - F.length(F.translate(text, " \n\t", ""))
-    return F.coalesce(spaces + 1, F.lit(1)).cast("long")
+    return F.coalesce(count(text, " \n\t") + 1, F.lit(1)).cast("long")
 
 
 def draw(key: Column) -> Column:

@@ -12,17 +12,18 @@ from sparktab.llm.decontaminate import overlaps
 from sparktab.llm.html import extract_text
 from sparktab.llm.licenses import license_scan
 from sparktab.llm.lm import lm_scores
-from sparktab.llm.mixing import mix
+from sparktab.llm.mixing import LEAST_SHARE, REST, ROUNDS, TEMPER, mix
 from sparktab.llm.pii import pii_spans
 from sparktab.llm.quality import fit_rules, quality
 from sparktab.llm.secrets import secret_spans
 from sparktab.llm.simhash import simhash_groups
-from sparktab.llm.urls import canonical, host_of, url_filter
+from sparktab.llm.urls import LOWER, UPPER, canonical, host_of, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Words of hosts whose pages make up the list of op4.
 SPAM = "casino|pills|bets|adult"
 
 
@@ -89,3 +90,73 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = pick(table(spark, sf_dir, "pages"), page_id="page_id", url="url", html="html")
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+ORACLES["op4_url_filter"] = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw_host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+named AS (SELECT page_id, translate(raw_host, '{UPPER}', '{LOWER}') AS host, path FROM parts),
+formed AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^(www|m)\\.', ''), ':[0-9]*$', '')
+                 || regexp_replace(regexp_replace(path, '/index\\.html?$', '/'), '/+$', '') END AS canonical
+  FROM named),
+listed AS (SELECT DISTINCT canonical FROM formed WHERE regexp_matches(host, '{SPAM}') AND canonical IS NOT NULL),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM formed)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+def mixing_sql(rounds: int = ROUNDS) -> str:
+    """The raking of op6 as one chain of common tables, three for each round."""
+    size = "strlen(text)"
+
+    def count(characters: str) -> str:
+        return f"({size} - strlen(translate(text, {characters}, '')))"
+
+    steps, margins = [], ("source", "lang", "topic")
+    for i in range(rounds * len(margins)):
+        c = margins[i % len(margins)]
+        steps.append(
+            f"w{i + 1} AS MATERIALIZED (SELECT x.p_source, x.p_lang, x.p_topic, x.n, x.w * (share / sum(x.w) OVER (PARTITION BY x.p_{c})) AS w "
+            f"FROM w{i} x JOIN goal_{c} USING (p_{c}))"
+        )
+    pools = ",\n".join(
+        f"pool_{c} AS (SELECT k_{c}, CASE WHEN sum(n) < {LEAST_SHARE} * (SELECT sum(n) FROM raw) THEN '{REST}' ELSE k_{c} END AS p_{c} FROM raw GROUP BY k_{c})" for c in margins
+    )
+    goals = ",\n".join(
+        f"goal_{c} AS MATERIALIZED (SELECT p_{c}, pow(sum(n), {TEMPER}) / sum(pow(sum(n), {TEMPER})) OVER () AS share FROM cells GROUP BY p_{c})" for c in margins
+    )
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, source, lang, coalesce({count("' ' || chr(10) || chr(9)")} + 1, 1)::BIGINT AS n_tokens,
+         CASE WHEN text IS NULL OR {size} = 0 THEN 'none' WHEN {count("'|'")} * 100 >= {size} THEN 'table'
+              WHEN {count("'#*$%&<>'")} * 50 >= {size} THEN 'markup' WHEN {count("'0123456789'")} * 50 >= {size} THEN 'figures'
+              ELSE 'prose' END AS topic
+  FROM documents),
+keyed AS (SELECT *, coalesce(source, '(null)') AS k_source, coalesce(lang, '(null)') AS k_lang, topic AS k_topic FROM docs),
+raw AS MATERIALIZED (SELECT k_source, k_lang, k_topic, sum(n_tokens)::DOUBLE AS n FROM keyed GROUP BY ALL),
+{pools},
+cells AS MATERIALIZED (
+  SELECT p_source, p_lang, p_topic, sum(n) AS n FROM raw JOIN pool_source USING (k_source) JOIN pool_lang USING (k_lang) JOIN pool_topic USING (k_topic) GROUP BY ALL),
+{goals},
+w0 AS MATERIALIZED (SELECT *, n / (SELECT sum(n) FROM cells) AS w FROM cells),
+{",".join(steps)},
+fitted AS MATERIALIZED (SELECT *, w / n * (SELECT sum(n) FROM cells) AS weight FROM w{len(steps)})
+SELECT doc_id, source, lang, topic, n_tokens, weight, weight / (SELECT max(weight) FROM fitted) AS probability,
+       ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) < weight / (SELECT max(weight) FROM fitted) AS kept
+FROM keyed JOIN pool_source USING (k_source) JOIN pool_lang USING (k_lang) JOIN pool_topic USING (k_topic) JOIN fitted USING (p_source, p_lang, p_topic)
+"""
+
+
+ORACLES["op6_mix"] = mixing_sql()
