@@ -71,7 +71,8 @@ def _targets(cells: DataFrame, column: str, wanted: dict[str, float] | None) ->
         sums = sums.withColumn("raw", F.coalesce(listed[F.col(column)], F.lit(0.0)))
     else:
         sums = sums.withColumn("raw", F.pow("n", F.lit(TEMPER)))
-    return sums.select(column, (F.col("raw") / F.lit(_total(sums, "raw"))).alias("share"))
+    total = _total(sums, "raw")
+    return sums.select(column, (F.col("raw") / total if total else F.lit(0.0)).alias("share"))
 
 
 def rake(cells: DataFrame, margins: Margins, rounds: int = ROUNDS) -> DataFrame:
@@ -81,7 +82,7 @@ def rake(cells: DataFrame, margins: Margins, rounds: int = ROUNDS) -> DataFrame:
     Sums combine before the shuffle, so a value that holds most cells is one row
     per task; the state is written after each round.
     """
-    state = materialize(cells.withColumn("w", F.col("n") / F.lit(_total(cells, "n"))), "cells")
+    state = materialize(cells.withColumn("w", F.col("n") / F.lit(_total(cells, "n") or 1.0)), "cells")
     targets = [materialize(_targets(state, c, margins.targets.get(c)), "targets") for c in margins.columns]
     for _ in range(rounds):
         for column, target in zip(margins.columns, targets, strict=True):
@@ -100,7 +101,8 @@ def mix(df: DataFrame, margins: Margins | None = None, id_col: str = "doc_id", t
     in expectation and no probability exceeds 1. The draw depends on the id
     alone: repeated ids fall together, a null id counts as empty. Null margin
     values are a value of their own; values below the least share of tokens are
-    fitted together, so that one odd document cannot set the scale.
+    fitted together, so that one odd document cannot set the scale. Where
+    targets are given, values without one are never drawn.
     """
     margins = margins or Margins()
     names = {k: fresh(df, k) for k in ("n_tokens", "weight", "probability", "kept")}
@@ -114,7 +116,7 @@ def mix(df: DataFrame, margins: Margins | None = None, id_col: str = "doc_id", t
     raw = materialize(out.groupBy(*keys.values()).agg(F.sum(n).alias("n")).select(*[F.col(k).alias(c) for c, k in keys.items()], "n"), "cells")
     least, pooled = LEAST_SHARE * _total(raw, "n"), raw
     for c in margins.columns:
-        small = raw.groupBy(c).agg(F.sum("n").alias("own")).select(c, F.when(F.col("own") < least, F.lit(REST)).otherwise(F.col(c)).alias(f"to_{c}"))
+        small = raw.groupBy(c).agg(F.sum("n").alias("own")).select(c, F.when((F.col("own") < least) & ~F.col(c).isin(list(margins.targets.get(c, ()))), F.lit(REST)).otherwise(F.col(c)).alias(f"to_{c}"))
         pooled = pooled.join(small, c)
     pooled = materialize(pooled, "pooled")
     to = [F.col(f"to_{c}").alias(c) for c in margins.columns]
