@@ -41,7 +41,7 @@ def difference(spark_df, db, sql) -> str | None:
     bad = [(g, w) for g, w in zip(got[1], want[1], strict=True) if g != w]
     if bad:
         return f"{len(bad)} rows differ, e.g. {bad[0][0]} != {bad[0][1]}"
-    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     kinds = dict(zip(relation.columns, map(str, relation.types), strict=True))
     off = {n: (t, kinds[n]) for n, t in spark_df.dtypes if names.get(t, t) != kinds[n]}
     return f"types {off}" if off else None
