@@ -234,6 +234,14 @@ def merge_lists(a: list, b: list) -> list:
     return bounded(out)
 
 
+def slots(nodes: list) -> dict:
+    """A wrapper for reading: by key whether it is optional, and its slots or its shared text's checksum."""
+    by: dict[str, list] = {}
+    for n in spread(nodes):
+        by[n[0]] = merge(by[n[0]], n) if n[0] in by else n
+    return {k: (n[1], n[3] if k == "#" else slots(n[3])) for k, n in by.items()}
+
+
 def expression(nodes: list) -> str:
     """The wrapper as a regular expression over tags and text slots."""
     out = []
@@ -262,22 +270,22 @@ class Wrapper:
     """A host's wrapper and the judgement of its slots."""
 
     def __init__(self, nodes: list, pages: int):
-        self.nodes, self.pages = nodes, pages
+        self.slots, self.pages = slots(nodes), pages
         self.region = next((t for t in MAIN_TAGS if _has(nodes, t)), None)
 
     def read(self, page: Element) -> str:
         """Blocks of the page's main text, white space within each one space, one line each."""
         blocks: list[list[str]] = [[]]
         region = self.region if self.region and _holds(page, self.region) else None
-        self._walk(page, self.nodes, region, region is None, False, True, blocks)
+        self._walk(page, self.slots, region, region is None, False, True, blocks)
         lines = (" ".join("".join(b).split()) for b in blocks)
         return "\n".join(line for line in lines if line)
 
-    def _walk(self, element: Element, nodes: list, region: str | None, inside: bool, header: bool, always: bool, blocks: list) -> None:
-        partners = self._partners(element, nodes)
-        for child, node in zip(element.children, partners, strict=True):
+    def _walk(self, element: Element, here: dict, region: str | None, inside: bool, header: bool, always: bool, blocks: list) -> None:
+        for child in element.children:
             if isinstance(child, str):
-                template = region is None and always and node and node[3] and not node[1] and self.pages >= TEMPLATE_PAGES
+                shared = here.get("#")
+                template = region is None and always and shared and not shared[0] and shared[1] and self.pages >= TEMPLATE_PAGES
                 if inside and not template and (not header or element.tag in HEADINGS):
                     blocks[-1].append(unescape(child))
                 continue
@@ -293,31 +301,11 @@ class Wrapper:
                         blocks.append([])
                     continue
                 below = True
-            self._walk(child, node[3] if node else [], region, inside or child.tag == region, below, always and bool(node) and not node[1], blocks)
+            optional, content = here.get(child.key, (True, {}))
+            self._walk(child, content, region, inside or child.tag == region, below, always and not optional, blocks)
             if block:
                 blocks.append([])
 
-    @staticmethod
-    def _partners(element: Element, nodes: list) -> list:
-        """For each child the wrapper node it falls on; repeated groups are entered again and again."""
-        by: dict[str, list] = {}
-        for n in spread(nodes):
-            by.setdefault(n[0], []).append(n)
-        used: dict[str, int] = {}
-        out, last = [], None
-        for child in element.children:
-            key = "#" if isinstance(child, str) else child.key
-            found = by.get(key)
-            if found:
-                if last is not None and last != key and not (key == "#" and not child.strip()):
-                    used[key] = min(used.get(key, -1) + 1, len(found) - 1)
-                out.append(found[max(0, used.get(key, 0))])
-            else:
-                out.append(None)
-            last = key
-        return out
-
-
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
