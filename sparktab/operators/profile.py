@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from sparktab.functions.values import quoted
 
 PIECE = (1 << 20) - 1
-MILLIONTHS_BELOW = 9e12
 
 
 def profile(df: DataFrame, name: str = "table") -> DataFrame:
@@ -24,21 +23,16 @@ def profile(df: DataFrame, name: str = "table") -> DataFrame:
     )
 
 
-def duplicate_count(
-    df: DataFrame, columns: Sequence[str] | None = None, digest: Sequence[str] = ()
-) -> DataFrame:
+def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows beyond the first of each identical row; nulls are equal.
 
-    Grouping combines on the map side, so many copies of one row cost one row
-    per task in the shuffle. Long text columns named in ``digest`` take part
-    as their SHA-256 instead of travelling whole.
+    Rows meet by a 256-bit digest of all their values, so neither long text nor
+    wide rows travel, and counting combines on the map side, so many copies of
+    one row cost one row per task in the shuffle.
     """
     columns = list(columns or df.columns)
-    keys = [
-        F.sha2(quoted(c), 256).alias(f"k{i}") if c in digest else quoted(c).alias(f"k{i}")
-        for i, c in enumerate(columns)
-    ]
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    row = F.unhex(F.sha2(F.concat(*[text_form(df, c) for c in columns]), 256))
+    groups = df.groupBy(row.alias("row")).agg(F.count(F.lit(1)).alias("copies"))
     return groups.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("n_rows"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"),
@@ -56,23 +50,42 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "ordinal int, column string, type string")
 
 
+def exact_form(number: Column) -> Column:
+    """A double as text without loss: sign, 53-bit mantissa and exponent of two.
+
+    The exponent from the logarithm may be one off and is set right by the
+    mantissa, which a division by a power of two leaves exact.
+    """
+    size = F.abs(number)
+    near = F.floor(F.log2(size))
+    off = size / F.pow(F.lit(2.0), near)
+    exponent = (near + F.when(off >= 2, 1).when(off < 1, -1).otherwise(0)).cast("bigint")
+    mantissa = (size / F.pow(F.lit(2.0), exponent) * float(1 << 52)).cast("bigint")
+    form = F.concat(F.when(number < 0, "-").otherwise(""), mantissa.cast("string"), F.lit("e"), exponent.cast("string"))
+    return (
+        F.when(F.isnan(number), "nan")
+        .when(number == 0, "0")
+        .when(size == float("inf"), F.when(number > 0, "inf").otherwise("-inf"))
+        .when(number.isNotNull(), form)
+    )
+
+
 def text_form(df: DataFrame, name: str) -> Column:
-    """A closed text form of a value: doubles as whole millionths, times as microseconds.
+    """A closed text form of a value: doubles by mantissa and exponent, times as microseconds.
 
-    Text carries its length, so that no two rows share a form. Doubles too
-    large for whole millionths, infinities and NaN keep Spark's text.
+    Text carries its length, so that no two rows share a form.
     """
     value, data_type = quoted(name), df.schema[name].dataType
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        number = value.cast("double")
-        scaled = F.floor(number * 1e6 + 0.5).cast("string")
-        value = F.when(F.abs(number) < MILLIONTHS_BELOW, scaled).otherwise(number.cast("string"))
+        value = exact_form(value.cast("double"))
     elif isinstance(data_type, T.TimestampNTZType):
         value = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), value).cast("string")
     elif isinstance(data_type, T.TimestampType):
         value = F.unix_micros(value).cast("string")
-    elif isinstance(data_type, T.StringType):
-        value = F.concat(F.length(value), F.lit(":"), value)
+    elif isinstance(data_type, (T.StringType, T.BinaryType)):
+        value = F.concat(F.length(value).cast("string"), F.lit(":"), value if isinstance(data_type, T.StringType) else F.hex(value))
+    elif isinstance(data_type, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.when(value.isNotNull(), F.to_json(F.struct(value.alias("v"))))
     else:
         value = value.cast("string")
     return F.coalesce(F.concat(value, F.lit("|")), F.lit("-|"))

@@ -99,19 +99,16 @@ def load_profile(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [profile(table(spark, folder, n), n) for n in names])
 
 
-@query(
-    """SELECT 'documents' AS table_name, count(*)::BIGINT AS n_rows,
-      (count(*) - count(DISTINCT text))::BIGINT AS n_duplicates FROM documents
-    UNION ALL
-    SELECT 'lineitem', (SELECT count(*)::BIGINT FROM lineitem),
-      (SELECT count(*) FROM lineitem)::BIGINT - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))::BIGINT"""
-)
+def _duplicates_sql(name: str) -> str:
+    return f"""SELECT '{name}' AS table_name, (SELECT count(*)::BIGINT FROM {name}) AS n_rows,
+      (SELECT count(*) FROM {name})::BIGINT - (SELECT count(*) FROM (SELECT DISTINCT * FROM {name}))::BIGINT AS n_duplicates"""
+
+
+@query(_duplicates_sql("documents") + " UNION ALL " + _duplicates_sql("lineitem") + " UNION ALL " + _duplicates_sql("labels"))
 def duplicate_count(spark: SparkSession, folder: str) -> DataFrame:
-    documents = count_duplicates(table(spark, folder, "documents"), ["text"], digest=["text"])
-    lineitem = count_duplicates(table(spark, folder, "lineitem"))
-    return documents.select(F.lit("documents").alias("table_name"), "*").unionByName(
-        lineitem.select(F.lit("lineitem").alias("table_name"), "*")
-    )
+    """Whole rows, long text included."""
+    parts = [count_duplicates(table(spark, folder, n)).select(F.lit(n).alias("table_name"), "*") for n in ("documents", "lineitem", "labels")]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 100")
@@ -129,16 +126,28 @@ def schema_capture(spark: SparkSession, folder: str) -> DataFrame:
     return schema_rows(table(spark, folder, "lineitem"))
 
 
+def _exact_sql(c: str) -> str:
+    """A double as sign, 53-bit mantissa and exponent of two."""
+    off = f"abs({c}) / pow(2.0::DOUBLE, floor(log2(abs({c}))))"
+    exponent = f"(floor(log2(abs({c}))) + CASE WHEN {off} >= 2 THEN 1 WHEN {off} < 1 THEN -1 ELSE 0 END)::BIGINT"
+    mantissa = f"(abs({c}) / pow(2.0::DOUBLE, {exponent}) * 4503599627370496::DOUBLE)::BIGINT"
+    return f"CASE WHEN {c} = 0 THEN '0' ELSE (CASE WHEN {c} < 0 THEN '-' ELSE '' END) || {mantissa} || 'e' || {exponent} END"
+
+
+WHOLE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+REAL = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+TEXT = ("l_returnflag", "l_linestatus")
+FORMS = [f"{c}::VARCHAR" for c in WHOLE] + [_exact_sql(c) for c in REAL] + [f"length({c}) || ':' || {c}" for c in TEXT] + ["epoch_us(l_shipdate)::VARCHAR"]
+ROW_FORM = " || ".join(f"coalesce(({f}) || '|', '-|')" for f in FORMS)
+
+
 @query(
-    """WITH hashed AS (
-      SELECT md5(l_orderkey || '|' || l_linenumber || '|' || floor(l_extendedprice * 1e6 + 0.5)::BIGINT || '|'
-        || floor(l_discount * 1e6 + 0.5)::BIGINT || '|' || length(l_returnflag) || ':' || l_returnflag || '|'
-        || epoch_us(l_shipdate) || '|') AS h FROM lineitem),
+    f"""WITH hashed AS (SELECT md5({ROW_FORM}) AS h FROM lineitem),
     words AS (SELECT ('0x' || h[1:10])::BIGINT AS a, ('0x' || h[11:20])::BIGINT AS b FROM hashed),
     total AS (SELECT count(*)::BIGINT AS n_rows, sum(a >> 20) AS s0, sum(a & 1048575) AS s1, sum(b >> 20) AS s2,
       sum(b & 1048575) AS s3 FROM words)
     SELECT n_rows, md5(concat_ws('|', n_rows, s0, s1, s2, s3)) AS fingerprint FROM total"""
 )
 def input_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    columns = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]
-    return fingerprint(table(spark, folder, "lineitem"), columns)
+    """All columns; the first is the order of the table's schema."""
+    return fingerprint(table(spark, folder, "lineitem"))

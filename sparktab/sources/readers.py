@@ -73,6 +73,7 @@ def load_source(
     spark: SparkSession,
     source: Mapping[str, Any],
     schema: T.StructType | str | None = None,
+    warn_if_empty: bool = True,
 ) -> DataFrame:
     """Scan the table a ``{raw_path, type, header, encoding}`` setting names."""
     fmt = source.get("type", "csv")
@@ -82,7 +83,7 @@ def load_source(
         if source.get("encoding"):
             options["encoding"] = source["encoding"]
     df = read_table(spark, source["raw_path"], fmt, schema, **options)
-    if not df.columns or df.isEmpty():
+    if warn_if_empty and (not df.columns or df.isEmpty()):
         log.warning("table %s is empty", source["raw_path"])
     return df
 

@@ -79,7 +79,17 @@ def test_fingerprint_ignores_order_only(spark):
 def test_duplicates_treat_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, None)], "a int, b string")
     assert p.duplicate_count(df).first().n_duplicates == 1
-    assert p.duplicate_count(df, digest=["b"]).first().n_duplicates == 1
+    assert p.duplicate_count(df, ["b"]).first().n_duplicates == 2
+    assert p.duplicate_count(df.where("false")).first().n_rows == 0
+
+
+def test_fingerprint_keeps_every_digit(spark):
+    def value(x):
+        return p.fingerprint(spark.createDataFrame([(x,)], "x double")).first().fingerprint
+
+    numbers = [0.1234561, 0.1234564, 0.12345640000000001, 1e-300, 2e-300, 5e-324, 1e300, -1e300, 9e15, 9e15 + 2, 0.0, 1.0, 2.0, -1.0, 0.5, float("inf"), float("-inf"), float("nan"), None]
+    assert len({value(x) for x in numbers}) == len(numbers)
+    assert value(0.0) == value(-0.0)
 
 
 def test_head_and_schema(spark):
