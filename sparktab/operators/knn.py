@@ -4,24 +4,31 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparktab.functions.distance import METRICS
+from sparktab.functions.values import quoted
 from sparktab.operators.split import class_counts
-from sparktab.plans.neighbors import knn_join
+from sparktab.plans.neighbors import _matrix, _Nearest, knn_join, nearest_distinct
+from sparktab.session import materialize
 
 # The vote weightings and the parameters of a model that names none.
 WEIGHTS = ("uniform", "distance")
 DEFAULT_PARAMS = {"n_neighbors": 5, "metric": "cosine", "weights": "uniform"}
 
 VOTE_DIGITS = 9
-COLUMN_CLASSES = 40
+#: Bytes of reference vectors up to which a model is sent to the rows instead of the rows to tiles.
+LOCAL_BYTES = 64 << 20
 
 
 class ModelError(ValueError):
@@ -40,6 +47,21 @@ class KnnModel:
     n_neighbors: int = 5
     metric: str = "cosine"
     weights: str = "uniform"
+    _local: Any = field(default=None, init=False, repr=False, compare=False)
+
+    def local(self) -> Local | None:
+        """The references on the driver if they are few enough, counted first; kept for later calls."""
+        if self._local is None:
+            size = self.refs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(self.vector_col)).alias("d")).first()
+            if 8 * size["n"] * max(size["d"] or 0, 1) > LOCAL_BYTES:
+                return None
+            got = self.refs.orderBy(self.id_col).select(self.vector_col, self.label_col).toArrow()
+            place = {c: i for i, c in enumerate(sorted(self.classes))}
+            codes = np.array([place[c] for c in got.column(1).to_pylist()], dtype=np.int64)
+            vectors = _matrix(got, self.vector_col) if len(codes) else np.zeros((0, 0))
+            spark = self.refs.sparkSession
+            self._local = spark.sparkContext.broadcast(Local(vectors, codes, sorted(self.classes), self.n_neighbors, self.metric, self.weights))
+        return self._local
 
     def neighbours(self, queries: DataFrame, bar: str | None = None) -> DataFrame:
         return knn_join(
@@ -54,19 +76,85 @@ class KnnModel:
         )
 
     def predict(self, queries: DataFrame, proba: bool = False) -> DataFrame:
-        """``<id>, prediction`` and, if asked, ``class_0..class_n`` vote shares."""
-        found = knn_predict(self.neighbours(queries), self.classes if proba else None, self.weights)
-        return found.withColumnRenamed("query_id", self.id_col)
+        """``<id>, prediction`` and, if asked, ``class_0..class_n`` vote shares; one row for every row."""
+        queries = queries.select(self.id_col, self.vector_col)
+        out = self.append(queries, proba).drop(self.vector_col)
+        return out.select(self.id_col, *[f"class_{i}" for i in range(len(self.classes)) if proba], "prediction")
+
+    def append(self, df: DataFrame, proba: bool = False) -> DataFrame:
+        """The rows with ``[class_0..class_n,] prediction``; needs no id in them.
+
+        A small model is sent to the rows, which then neither move nor join.
+        Before a large one the rows are numbered and written, and the number
+        stands for the row in the join.
+        """
+        local = self.local()
+        if local is not None:
+            return vote_in_place(df, self.vector_col, local, self.refs.schema[self.label_col].dataType, proba)
+        row = "_row"
+        numbered = materialize(df.withColumn(row, F.monotonically_increasing_id()), "rows")
+        refs = self.refs.select(F.col(self.id_col).alias(row), self.vector_col, self.label_col)
+        near = knn_join(numbered, refs, self.n_neighbors, id_col=row, vector_col=self.vector_col, label_col=self.label_col, metric=self.metric)
+        found = knn_predict(near, self.classes if proba else None, self.weights).withColumnRenamed("query_id", row)
+        return numbered.join(found, row, "left").select(*map(quoted, df.columns), *[c for c in found.columns if c != row])
 
     def settings(self) -> dict[str, Any]:
         """Everything but the reference rows."""
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "refs"}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("refs", "_local")}
+
+
+@dataclass
+class Local:
+    """The references in memory: vectors by id, class codes, classes, and how to vote."""
+
+    vectors: np.ndarray
+    codes: np.ndarray
+    classes: list
+    n_neighbors: int
+    metric: str
+    weights: str
+
+    def vote(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class code (-1 without references) and vote share of each class for every query."""
+        votes = np.zeros((len(queries), max(1, len(self.classes))))
+        if not len(self.codes) or not len(queries):
+            return np.full(len(queries), -1), votes
+        if queries.shape[1] != self.vectors.shape[1]:
+            raise ValueError("query and reference vectors of unequal length")
+        rows, cols, dist = nearest_distinct(_Nearest(self.vectors, self.metric, self.n_neighbors), queries)
+        weight = np.ones(len(rows))
+        if self.weights == "distance":
+            exact = np.zeros(len(queries), bool)
+            exact[rows[dist == 0]] = True
+            weight = np.where(exact[rows], dist == 0, 1.0 / np.where(dist > 0, dist, 1.0))
+        np.add.at(votes, (rows, self.codes[cols]), weight)
+        return np.round(votes, VOTE_DIGITS).argmax(axis=1), votes / votes.sum(axis=1, keepdims=True)
+
+
+def vote_in_place(df: DataFrame, vector_col: str, local, label_type: T.DataType, proba: bool) -> DataFrame:
+    """Add the votes of a broadcast model to every row, in its partition."""
+    shares = [f"class_{i}" for i in range(len(local.value.classes))] if proba else []
+    fields = [T.StructField(c, T.DoubleType()) for c in shares] + [T.StructField("prediction", label_type)]
+    schema = T.StructType([*df.schema.fields, *fields])
+    label_arrow = to_arrow_type(label_type)
+
+    def run(batches):
+        model = local.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes, votes = model.vote(_matrix(batch, vector_col))
+            labels = pa.array([model.classes[c] if c >= 0 else None for c in codes], label_arrow)
+            columns = [pa.array(votes[:, i]) for i in range(len(shares))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns, labels], names=[*batch.schema.names, *shares, "prediction"])
+
+    return df.mapInArrow(run, schema)
 
 
 def fit_knn(
     df: DataFrame, id_col: str, vector_col: str, label_col: str, params: Mapping[str, Any] | None = None
 ) -> KnnModel:
-    """Store the training rows and the sorted classes."""
+    """Write the training rows once, with the sorted classes."""
     params = {**DEFAULT_PARAMS, **(params or {})}
     if params["metric"] not in METRICS:
         raise ModelError(f"unknown metric {params['metric']!r}")
@@ -75,12 +163,13 @@ def fit_knn(
     for name in (id_col, vector_col, label_col):
         if name not in df.columns:
             raise ModelError(f"missing column {name!r}")
+    refs = materialize(df.select(id_col, vector_col, label_col), "references")
     return KnnModel(
-        refs=df.select(id_col, vector_col, label_col),
+        refs=refs,
         id_col=id_col,
         vector_col=vector_col,
         label_col=label_col,
-        classes=list(class_counts(df, label_col)),
+        classes=list(class_counts(refs, label_col)),
         n_neighbors=params["n_neighbors"],
         metric=params["metric"],
         weights=params["weights"],
@@ -155,27 +244,8 @@ def knn_predict(
     return votes.groupBy("query_id").agg(*shares, F.min_by("ref_label", best).alias("prediction"))
 
 
-def _choices_by_columns(weighted: DataFrame, classes: list, weights: Sequence[str]) -> DataFrame:
-    """The prediction at every rank from one running sum per class and weighting.
-
-    The window has the order of the join's own ranking, so nothing is sorted again.
-    """
-    labels = F.array(*[F.lit(c) for c in classes])
-    placed = weighted.withColumn("place", F.array_position(labels, F.col("ref_label")))
-    over = "over (partition by query_id order by dist, ref_id rows unbounded preceding)"
-    places = range(1, len(classes) + 1)
-    sums = [
-        f"round(sum(if(place = {i}, {w}, 0D)) {over}, {VOTE_DIGITS}) as {w}_{i}" for w in weights for i in places
-    ]
-    running = placed.selectExpr("query_id", "rank as k", *sums)
-    votes = {w: "array(" + ", ".join(f"{w}_{i}" for i in places) + ")" for w in weights}
-    first = [f"cast(array_position({v}, array_max({v})) as int) as {w}" for w, v in votes.items()]
-    chosen = running.selectExpr("query_id", "k", *first)
-    return chosen.select("query_id", "k", *[F.element_at(labels, F.col(w)).alias(w) for w in weights])
-
-
-def _choices_by_rows(weighted: DataFrame, max_k: int, weights: Sequence[str]) -> DataFrame:
-    """The same for many classes: every neighbour votes in each k it belongs to.
+def _choices(weighted: DataFrame, max_k: int, weights: Sequence[str]) -> DataFrame:
+    """The prediction at every k: every neighbour votes in each k it belongs to.
 
     At most max_k * (max_k + 1) / 2 rows per query, in the partitioning of the join.
     """
@@ -197,8 +267,7 @@ def knn_grid(
     fold_col: str = "fold",
     max_k: int = 50,
     weights: Sequence[str] = WEIGHTS,
-    metric: str = "cosine",
-    classes: Sequence | None = None,
+    metric: str = "euclidean",
 ) -> DataFrame:
     """Cross-validated accuracy of every k up to ``max_k`` under each weighting.
 
@@ -207,7 +276,6 @@ def knn_grid(
     Returns ``weights, k, accuracy`` as the mean over the folds' accuracies.
     ``folds`` is read several times and is best a stored table.
     """
-    classes = sorted(classes or class_counts(folds, label_col))
     nearest = knn_join(
         folds, folds, max_k, id_col=id_col, vector_col=vector_col, label_col=label_col, metric=metric, bar=fold_col
     )
@@ -216,10 +284,7 @@ def knn_grid(
         F.try_divide(F.lit(1.0), F.col("dist"))
     )
     weighted = nearest.withColumns({"uniform": F.lit(1.0), "distance": near})
-    if len(classes) <= COLUMN_CLASSES:
-        chosen = _choices_by_columns(weighted, classes, weights)
-    else:
-        chosen = _choices_by_rows(weighted, max_k, weights)
+    chosen = _choices(weighted, max_k, weights)
     truth = folds.select(F.col(id_col).alias("query_id"), F.col(fold_col).alias("fold"), F.col(label_col).alias("label"))
     hits = chosen.join(truth, "query_id").groupBy("k", "fold")
     by_fold = hits.agg(*[F.avg((F.col(w) == F.col("label")).cast("double")).alias(w) for w in weights])

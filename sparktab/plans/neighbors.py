@@ -39,7 +39,9 @@ MIN_TILE_PRODUCTS = 1 << 30
 LOWEST_SCORE = -1e30
 MAX_TASKS = 50_000
 MOST_COMPARED = 0.5
-DIGITS = 9
+#: Digits distances are ranked by, and cosine distances that are rounding of unit vectors.
+DIGITS = 12
+NO_DISTANCE = 1e-15
 SLACK = 1e-8
 SAFETY = 1e-6
 
@@ -154,19 +156,26 @@ class _Nearest:
         return (dim + 8) * 1e-15 * size + 4e-9 * (gap + np.sqrt((dim + 8) * 1e-15 * size) + 1e-9)
 
     def _exact(self, queries: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        """Distances to DIGITS significant digits; cosine as half the square of the gap of unit vectors."""
         out = np.empty(len(rows))
         step = max(1, CHUNK_CELLS // queries.shape[1])
         for at in range(0, len(rows), step):
             q, r = queries[rows[at : at + step]], self.refs[cols[at : at + step]]
+            gap = q - r
+            squares = np.einsum("ij,ij->i", gap, gap)
             if self.metric == "cosine":
-                out[at : at + step] = np.clip(1.0 - np.einsum("ij,ij->i", q, r), 0.0, 2.0)
+                dist = np.where(q.any(axis=1) & r.any(axis=1), squares / 2, 1.0)
+                out[at : at + step] = np.where(dist < NO_DISTANCE, 0.0, np.minimum(dist, 2.0))
             else:
-                gap = q - r
-                out[at : at + step] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-        return np.round(out, DIGITS)
+                out[at : at + step] = np.sqrt(squares)
+        return significant(out)
 
     def __call__(self, queries: np.ndarray, bars: np.ndarray | None, ref_bars: np.ndarray | None):
-        """Query rows, reference rows and distances of the k nearest."""
+        """Query rows, reference rows and distances of the k nearest.
+
+        Every block is cut to the k best by exact distance and place, so rows
+        that tie with many references hold no more than k of them.
+        """
         k, n = self.k, len(queries)
         if self.metric == "cosine":
             queries = _unit(queries)
@@ -177,29 +186,46 @@ class _Nearest:
             squares = (screen * screen).sum(axis=1)
         least = np.full(n, -np.inf)
         rows = cols = np.zeros(0, dtype=np.int64)
-        scores = np.zeros(0)
+        dist = np.zeros(0)
         for start in range(0, len(self.refs), BLOCK_REFS):
             block = self._scores(screen, slice(start, start + BLOCK_REFS))
             if bars is not None:
                 i, j = _matching(bars, ref_bars[start : start + BLOCK_REFS])
                 block[i, j] = -np.inf
-            if not np.isfinite(least).all() and block.shape[1] > k:
+            if block.shape[1] > k:
                 least = np.maximum(least, -np.partition(-block, k - 1, axis=1)[:, k - 1])
             floor = np.maximum(least - self._slack(squares, least), LOWEST_SCORE)
             wanted = block >= floor.astype(block.dtype)[:, None]
             i, j = np.divmod(np.flatnonzero(wanted), block.shape[1])
             rows, cols = np.concatenate([rows, i]), np.concatenate([cols, j + start])
-            scores = np.concatenate([scores, block[i, j]])
-            order = np.lexsort((-scores, rows))
-            rows, cols, scores = rows[order], cols[order], scores[order]
-            at_k = _places(rows) == k - 1
-            least[rows[at_k]] = np.maximum(least[rows[at_k]], scores[at_k])
-            keep = scores >= (least - self._slack(squares, least))[rows]
-            rows, cols, scores = rows[keep], cols[keep], scores[keep]
-        dist = self._exact(queries, rows, cols)
-        order = np.lexsort((cols, dist, rows))
-        order = order[_places(rows[order]) < k]
-        return rows[order], cols[order], dist[order]
+            dist = np.concatenate([dist, self._exact(queries, i, j + start)])
+            order = np.lexsort((cols, dist, rows))
+            order = order[_places(rows[order]) < k]
+            rows, cols, dist = rows[order], cols[order], dist[order]
+        return rows, cols, dist
+
+
+def significant(values: np.ndarray, digits: int = DIGITS) -> np.ndarray:
+    """Numbers rounded to so many significant digits; 0 stays 0."""
+    size = np.floor(np.log10(np.where(values > 0, values, 1.0)))
+    return np.where(values > 0, np.round(values / 10.0**size, digits - 1) * 10.0**size, 0.0)
+
+
+def nearest_distinct(nearest: _Nearest, queries: np.ndarray):
+    """The same for any number of queries, without bars; equal queries are searched once."""
+    once, same = np.unique(queries, axis=0, return_inverse=True)
+    same = same.ravel()
+    parts = [nearest(once[at : at + CHUNK_QUERIES], None, None) for at in range(0, len(once), CHUNK_QUERIES)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    rows = np.concatenate([p[0] + i * CHUNK_QUERIES for i, p in enumerate(parts)])
+    cols, dist = (np.concatenate([p[x] for p in parts]) for x in (1, 2))
+    sizes = np.bincount(rows, minlength=len(once))
+    starts = np.cumsum(sizes) - sizes
+    repeat = sizes[same]
+    out = np.repeat(np.arange(len(queries)), repeat)
+    pick = np.repeat(starts[same], repeat) + _places(out)
+    return out, cols[pick], dist[pick]
 
 
 def _tile_join(k: int, metric: str, bar: str | None, has_label: bool):
@@ -230,9 +256,11 @@ def _tile_join(k: int, metric: str, bar: str | None, has_label: bool):
                 refs, r = refs.filter(pa.array(keep)), r[keep]
                 ref_bars = ref_bars[keep] if bar else None
             nearest = _Nearest(r, metric, k)
-            for start in range(0, len(q), CHUNK_QUERIES):
+            if not bar:
+                picked.append(nearest_distinct(nearest, q))
+            for start in range(0, len(q) if bar else 0, CHUNK_QUERIES):
                 stop = start + CHUNK_QUERIES
-                rows, cols, dist = nearest(q[start:stop], bars[start:stop] if bar else None, ref_bars)
+                rows, cols, dist = nearest(q[start:stop], bars[start:stop], ref_bars)
                 picked.append((rows + start, cols, dist))
         rows, cols, dist = (np.concatenate(part) for part in zip(*picked, strict=True))
         out = {
@@ -433,8 +461,8 @@ def knn_join(
 ) -> DataFrame:
     """The k nearest reference rows of every query row.
 
-    Returns ``query_id, ref_id, [ref_label,] dist, rank``; distances are rounded
-    to nine digits and ties go to the smaller reference id. ``bar`` names a
+    Returns ``query_id, ref_id, [ref_label,] dist, rank``; distances have twelve
+    significant digits and ties go to the smaller reference id. ``bar`` names a
     column of both sides; pairs with equal values in it are not compared (the
     id for a self join, the fold for cross-validation).
     """

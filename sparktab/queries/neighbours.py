@@ -33,9 +33,19 @@ def _self_join(embeddings: DataFrame, metric: str = "cosine") -> DataFrame:
     )
 
 
-@query(SELF + "SELECT query_id, ref_id, ref_label, dist, rank FROM near")
+@query(SELF + "SELECT query_id, ref_id, ref_label, round(dist, 9) AS dist, rank FROM near")
 def knn_self(spark: SparkSession, folder: str) -> DataFrame:
-    return _self_join(_embeddings(spark, folder))
+    return _self_join(_embeddings(spark, folder)).withColumn("dist", F.round("dist", 9))
+
+
+@query(SELF + "SELECT query_id, ref_id, ref_label, round(dist, 9) AS dist, rank FROM near")
+def knn_self_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same join by way of cells around pivots and several tiles, as large tables take it."""
+    embeddings = _embeddings(spark, folder)
+    found = knn_join(
+        embeddings, embeddings, 5, id_col="vec_id", vector_col="embedding", label_col="label", bar="vec_id", tile_rows=200, pivots=16
+    )
+    return found.withColumn("dist", F.round("dist", 9))
 
 
 @query(
@@ -144,7 +154,7 @@ GRID = f"""WITH base AS ({vectors()}),
 
 def _grid(spark: SparkSession, folder: str) -> DataFrame:
     folds = materialize(kfold(_embeddings(spark, folder), "vec_id", "label"), "folds")
-    grid = knn.knn_grid(folds, "vec_id", "embedding", "label")
+    grid = knn.knn_grid(folds, "vec_id", "embedding", "label", metric="cosine")
     return grid.withColumn("accuracy", F.round("accuracy", 6))
 
 

@@ -42,7 +42,8 @@ def neighbour_ctes(queries: str, refs: str, k: int, where: str = "TRUE", metric:
     q_side AS (SELECT *, sqrt(list_dot_product(v, v)) AS nv FROM {queries}),
     r_side AS (SELECT *, sqrt(list_dot_product(v, v)) AS nv FROM {refs}),
     pairs AS (
-      SELECT q.id AS query_id, r.id AS ref_id, r.label AS ref_label, round({dist}, 9) AS dist
+      SELECT q.id AS query_id, r.id AS ref_id, r.label AS ref_label,
+        CASE WHEN {dist} < 1e-15 THEN 0 ELSE {dist} END AS dist
       FROM q_side q, r_side r WHERE {where}),
     near AS (
       SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, ref_id)::INTEGER AS rank FROM pairs

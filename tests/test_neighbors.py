@@ -22,7 +22,7 @@ def brute(q, r, k, metric, barred=lambda a, b: False):
                 dist = 1 - (a @ b / size if size else 0.0)
             else:
                 dist = np.sqrt(((a - b) ** 2).sum())
-            found.append((round(float(dist), 9) + 0.0, ri))
+            found.append((0.0 if metric == "cosine" and dist < 1e-15 else float(f"{dist:.11e}"), ri))
         out[qi] = sorted(found)[:k]
     return out
 
@@ -151,20 +151,42 @@ def test_grid_is_the_same_as_single_runs(spark):
     grid = {(r.weights, r.k): r.accuracy for r in knn.knn_grid(df, "id", "v", "y", max_k=5).collect()}
     assert len(grid) == 10
     for weights, k in (("uniform", 3), ("distance", 5)):
-        near = knn_join(df, df, k, id_col="id", vector_col="v", label_col="y", bar="fold")
+        near = knn_join(df, df, k, id_col="id", vector_col="v", label_col="y", bar="fold", metric="euclidean")
         preds = knn.knn_predict(near, weights=weights).withColumnRenamed("query_id", "id").join(df, "id")
         by_fold = preds.groupBy("fold").agg(F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("a"))
         assert grid[weights, k] == pytest.approx(by_fold.agg(F.avg("a")).first()[0])
 
 
-def test_grid_of_many_classes(spark, monkeypatch):
-    rows = [(i, v, int(i % 11), f) for i, v, _, f in clustered(120, 8, spread=0.8)]
+def test_grid_of_many_classes(spark):
+    rows = [(i, v, int(i % 60), f) for i, v, _, f in clustered(180, 8, spread=0.8)]
     df = spark.createDataFrame(rows, SCHEMA)
-    few = sorted(knn.knn_grid(df, "id", "v", "y", max_k=6).collect())
-    monkeypatch.setattr(knn, "COLUMN_CLASSES", 3)
-    many = sorted(knn.knn_grid(df, "id", "v", "y", max_k=6).collect())
-    assert [r[:2] for r in many] == [r[:2] for r in few]
-    assert [r.accuracy for r in many] == pytest.approx([r.accuracy for r in few])
+    grid = {(r.weights, r.k): r.accuracy for r in knn.knn_grid(df, "id", "v", "y", max_k=3).collect()}
+    near = knn_join(df, df, 3, id_col="id", vector_col="v", label_col="y", bar="fold", metric="euclidean")
+    preds = knn.knn_predict(near).withColumnRenamed("query_id", "id").join(df, "id")
+    by_fold = preds.groupBy("fold").agg(F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("a"))
+    assert grid["uniform", 3] == pytest.approx(by_fold.agg(F.avg("a")).first()[0])
+
+
+def test_small_distances_are_told_apart(spark):
+    df = spark.createDataFrame([(0, [0.0, 0.0]), (1, [9e-11, 0.0]), (2, [1e-11, 0.0])], "id int, v array<double>")
+    got = joined(knn_join(df, df, 2, id_col="id", vector_col="v", metric="euclidean", bar="id"))
+    assert got[0] == [(1e-11, 2), (9e-11, 1)] and [i for _, i in got[1]] == [2, 0]
+    angles = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate([0.0, 3e-6, 1e-6, 2.0])]
+    got = joined(knn_join(*[spark.createDataFrame(angles, "id int, v array<double>")] * 2, 3, id_col="id", vector_col="v", bar="id"))
+    assert [i for _, i in got[0]] == [2, 1, 3] and got[0][0][0] == pytest.approx(5e-13, rel=1e-6)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_rows_that_tie_with_all_references(spark, metric):
+    """Zero, binary and one-hot vectors, thousands of equal queries: as brute force, in little time."""
+    rng = np.random.default_rng(21)
+    refs = [(i, v) for i, v in enumerate([np.zeros(6)] * 5 + list(np.eye(6)) * 20 + list(rng.integers(0, 2, (400, 6)).astype(float)))]
+    queries = [(i, refs[i % 500][1]) for i in range(3000)]
+    as_df = lambda rows: spark.createDataFrame([(i, v.tolist()) for i, v in rows], "id int, v array<double>")
+    got = joined(knn_join(as_df(queries), as_df(refs), 4, id_col="id", vector_col="v", metric=metric))
+    want = brute(queries[:500], refs, 4, metric)
+    for i, _ in queries:
+        assert [j for _, j in got[i]] == [j for _, j in want[i % 500]]
 
 
 def test_many_barred_values(spark, monkeypatch):
