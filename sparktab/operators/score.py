@@ -2,65 +2,132 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.functions.values import sql_name
-from sparktab.operators.knn import KnnModel
-from sparktab.operators.preprocess import Preprocessor, columns_to_array, require_columns
+from sparktab.functions.values import quoted, sql_name
+from sparktab.operators.knn import KnnModel, ModelError, load_model, save_model
+from sparktab.operators.preprocess import (
+    PreprocessError,
+    Preprocessor,
+    columns_to_array,
+    definition,
+    from_definition,
+    load_params,
+    read_text,
+    rename_columns,
+    require_columns,
+    save_params,
+    write_text,
+)
 from sparktab.sources.readers import read_table
 from sparktab.sources.writers import write_predictions
 
-# The measured quantities of one request record; each comes as a
-# mean, a standard error and a worst value, which gives the 30 fields.
-MEASURES = (
-    "radius",
-    "texture",
-    "perimeter",
-    "area",
-    "smoothness",
-    "compactness",
-    "concavity",
-    "concave_points",
-    "symmetry",
-    "fractal_dimension",
-)
+# The fields of one request record.
 RECORD_FIELDS = (
-    *(f"mean_{m}" for m in MEASURES),
-    *(f"{m}_error" for m in MEASURES),
-    *(f"worst_{m}" for m in MEASURES),
+    "mean_radius",
+    "mean_texture",
+    "mean_perimeter",
+    "mean_area",
+    "mean_smoothness",
+    "mean_compactness",
+    "mean_concavity",
+    "mean_concave_points",
+    "mean_symmetry",
+    "mean_fractal_dimension",
+    "radius_error",
+    "texture_error",
+    "perimeter_error",
+    "area_error",
+    "smoothness_error",
+    "compactness_error",
+    "concavity_error",
+    "concave_points_error",
+    "symmetry_error",
+    "fractal_dimension_error",
+    "worst_radius",
+    "worst_texture",
+    "worst_perimeter",
+    "worst_area",
+    "worst_smoothness",
+    "worst_compactness",
+    "worst_concavity",
+    "worst_concave_points",
+    "worst_symmetry",
+    "worst_fractal_dimension",
 )
 
 
+INPUT_ROW = "_input_row"
+
+
 @dataclass
 class Scorer:
     """A model with the preprocessing its input needs.
 
-    ``features`` are the input columns that must be there. Without a
-    preprocessor they are the vector itself, in order.
+    ``features`` are the input columns that must be there, under the names they
+    have before ``rename``. Without a preprocessor they are the vector itself,
+    in order.
     """
 
     model: KnnModel
     features: Sequence[str]
     preprocessor: Preprocessor | None = None
     params: Mapping[str, Any] = field(default_factory=dict)
-
-    def vectors(self, df: DataFrame) -> DataFrame:
-        """Id and vector of every row, after the feature check."""
-        require_columns(df, [self.model.id_col, *self.features])
-        names = list(self.features)
+    rename: Mapping[str, str] = field(default_factory=dict)
+
+    def vectors(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """The kept columns and the vector of every row, after the feature check."""
+        before = {new: old for old, new in self.rename.items()}
+        lacking = [before.get(c, c) for c in self.renamed_features() if c not in rename_columns(df, self.rename).columns]
+        if lacking:
+            raise PreprocessError(f"missing columns: {', '.join(lacking)}")
+        ready, names = rename_columns(df, {k: v for k, v in self.rename.items() if k not in keep}), self.renamed_features()
         if self.preprocessor is not None:
-            df = self.preprocessor.transform(df, self.params, keep=[self.model.id_col])
+            ready = self.preprocessor.transform(ready, self.params, keep=keep)
             names = self.preprocessor.output_names(self.params)
-        return columns_to_array(df, names, self.model.vector_col, keep=[self.model.id_col])
+        return columns_to_array(ready, names, self.model.vector_col, keep=keep)
+
+    def renamed_features(self) -> list[str]:
+        return [self.rename.get(c, c) for c in self.features]
 
     def predict(self, df: DataFrame, proba: bool = False) -> DataFrame:
-        return self.model.predict(self.vectors(df), proba)
+        """``<id>, [class_0..class_n,] prediction`` for every row."""
+        require_columns(df, [self.model.id_col])
+        return self.model.predict(self.vectors(df, [self.model.id_col]), proba)
+
+
+def save_scorer(scorer: Scorer, path: str) -> None:
+    """Model, preprocessor, fitted parameters and input names, for another process to load."""
+    spark = scorer.model.refs.sparkSession
+    save_model(scorer.model, f"{path}/model")
+    plan = scorer.preprocessor
+    if plan is not None:
+        save_params(spark, scorer.params, f"{path}/fitted")
+    saved = {"features": list(scorer.features), "rename": dict(scorer.rename), "preprocessor": None if plan is None else definition(plan)}
+    write_text(spark, json.dumps(saved), f"{path}/scorer")
+
+
+def load_scorer(spark: SparkSession, path: str) -> Scorer:
+    try:
+        saved = json.loads(read_text(spark, f"{path}/scorer"))
+    except AnalysisException as error:
+        raise ModelError(f"no scorer at {path}") from error
+    plan = saved["preprocessor"]
+    return Scorer(
+        model=load_model(spark, f"{path}/model"),
+        features=saved["features"],
+        preprocessor=None if plan is None else from_definition(plan),
+        params={} if plan is None else load_params(spark, f"{path}/fitted"),
+        rename=saved["rename"],
+    )
 
 
 def positive_share(model: KnnModel) -> Column:
@@ -69,13 +136,19 @@ def positive_share(model: KnnModel) -> Column:
 
 
 def score(df: DataFrame, scorer: Scorer, proba: bool = False) -> DataFrame:
-    """The input with ``prediction`` and, if asked, ``prediction_proba``, joined by id."""
-    id_col = scorer.model.id_col
-    found = scorer.predict(df, proba)
-    columns = [F.col(id_col), F.col("prediction")]
+    """Every input row with ``prediction`` and, if asked, ``prediction_proba``.
+
+    Rows carry their columns through the vote, so they need no id: rows with a
+    null id or one that repeats are scored like any other. Columns that bear the
+    new names already are replaced.
+    """
+    made = ["prediction", *(["prediction_proba"] if proba else [])]
+    columns = [c for c in df.columns if c not in made]
+    packed = df.withColumn(INPUT_ROW, F.struct(*map(quoted, columns)))
+    found = scorer.model.append(scorer.vectors(packed, [INPUT_ROW]), proba)
     if proba:
-        columns.append(positive_share(scorer.model).alias("prediction_proba"))
-    return df.join(found.select(*columns), id_col)
+        found = found.withColumn("prediction_proba", positive_share(scorer.model))
+    return found.select(*[F.col(INPUT_ROW).getField(c).alias(c) for c in columns], *made)
 
 
 def prediction_summary(scored: DataFrame) -> DataFrame:
@@ -93,12 +166,16 @@ def score_files(
     spark: SparkSession,
     input_path: str,
     output_path: str,
-    scorer: Scorer,
+    scorer: Scorer | str,
     proba: bool = False,
     schema: T.StructType | None = None,
     output_format: str = "parquet",
 ) -> DataFrame:
-    """File in, predictions file out; returns the written predictions."""
+    """File in, predictions file out; the scorer is one at hand or the path of a saved one.
+
+    Returns the written predictions.
+    """
+    scorer = load_scorer(spark, scorer) if isinstance(scorer, str) else scorer
     df = read_table(spark, input_path, schema=schema)
     write_predictions(scorer.predict(df, proba), output_path, scorer.model.id_col, output_format)
     options = {"schema": None} if output_format == "csv" else {}

@@ -37,7 +37,7 @@ def data_stage(spark: SparkSession, config: Mapping[str, Any], schema: T.StructT
     if schema is None and config["data_source"].get("type", "csv") == "csv":
         rules = config.get("data_validation", {}).get("schema", {}).get("columns", [])
         schema = schema_from_rules(rules) if config.get("schema_from_rules") and rules else None
-    df = require_rows(load_source(spark, config["data_source"], schema))
+    df = require_rows(load_source(spark, config["data_source"], schema, warn_if_empty=False))
     run_validation(df, config)
     return df
 
@@ -58,12 +58,10 @@ def model_params(config: Mapping[str, Any]) -> dict[str, Any]:
 def predictions_of(model: KnnModel, processed: DataFrame, target: str, positive: int = 1) -> DataFrame:
     """``<id>, split, y_true, y_pred, y_proba`` for every row, written once."""
     at = sorted(model.classes).index(positive) if positive in model.classes else None
-    found = model.predict(processed, proba=True)
+    found = model.append(processed.select(model.id_col, "split", F.col(target).alias("y_true"), model.vector_col), proba=True)
     share = F.col(f"class_{at}") if at is not None else F.lit(None).cast("double")
-    columns = [model.id_col, F.col("prediction").alias("y_pred"), share.alias("y_proba")]
-    truth = processed.select(model.id_col, "split", F.col(target).alias("y_true"))
-    scored = truth.join(found.select(*columns), model.id_col)
-    return materialize(scored.select(model.id_col, "split", "y_true", "y_pred", "y_proba"), "predictions")
+    scored = found.select(model.id_col, "split", "y_true", F.col("prediction").alias("y_pred"), share.alias("y_proba"))
+    return materialize(scored, "predictions")
 
 
 def train_stage(
@@ -71,10 +69,14 @@ def train_stage(
 ) -> Trained:
     """Split, fit on train, transform all, train, evaluate every split.
 
-    The rename comes first, so the configured names are those after it.
+    The rename comes first, so the configured names are those after it; the
+    scorer asks for the names before it. Metrics are those asked for, else
+    those of ``metrics.report``.
     """
     target = config.get("target", "target")
-    df = rename_columns(df, config.get("preprocessing", {}).get("rename_columns", {}))
+    metrics = metrics or config.get("metrics", {}).get("report")
+    renames = config.get("preprocessing", {}).get("rename_columns", {})
+    df = rename_columns(df, renames)
     require_columns(df, [id_col, target])
     sizes = config.get("data_split", {})
     split = stratified_split(
@@ -85,6 +87,7 @@ def train_stage(
         valid=sizes.get("valid_size", 0.2),
         seed=sizes.get("random_state", 42),
     )
+    split = materialize(split, "split")  # fitting and transforming read it several times
     plan, params = fit_on_train(split, config)
     processed = plan.transform(split, params, keep=[id_col, target, "split"])
     processed = columns_to_array(processed, plan.output_names(params), VECTOR)
@@ -92,7 +95,9 @@ def train_stage(
     model_type = config.get("model", {}).get("type", "knn")
     model = train_model(train, id_col, VECTOR, target, model_type, model_params(config))
     predictions = predictions_of(model, processed, target)
-    scorer = Scorer(model, config.get("raw_features", []), plan, params)
+    before = {new: old for old, new in renames.items()}
+    features = [before.get(c, c) for c in config.get("raw_features", [])]
+    scorer = Scorer(model, features, plan, params, renames)
     return Trained(scorer, processed, predictions, classification_report(predictions, ["split"], metrics))
 
 

@@ -81,11 +81,16 @@ def predictions_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""{SCORED} SELECT vec_id, y_pred AS prediction FROM preds""")
 def batch_inference(spark: SparkSession, folder: str) -> DataFrame:
+    """A file under the raw names, scored by a stored scorer that renames them."""
     rows = feature_table(spark, folder)
     source, sink = f"{scratch_path(spark, 'input')}.csv", scratch_path(spark, "output")
-    features = rows.drop("label")
+    scorer = make_scorer(rows)
+    scorer.features, scorer.rename = ["first", *FEATURES[1:]], {"first": "f0"}
+    stored = scratch_path(spark, "scorer")
+    s.save_scorer(scorer, stored)
+    features = rows.drop("label").withColumnRenamed("f0", "first")
     features.write.option("header", True).csv(source)
-    return s.score_files(spark, source, sink, make_scorer(rows), schema=features.schema)
+    return s.score_files(spark, source, sink, stored, schema=features.schema)
 
 
 def _records(rows: DataFrame) -> DataFrame:
@@ -146,10 +151,13 @@ EVENT_RULES = [
     FROM gaps GROUP BY ALL"""
 )
 def stream_quality(spark: SparkSession, folder: str) -> DataFrame:
-    stream = _event_stream(spark, folder)
+    """Events arrive in four files whose times overlap, one file a batch; rows may be as late as the month is long."""
+    events = table(spark, folder, "events")
+    arriving = materialize(events.repartition(4, F.xxhash64("event_id")), "events")
+    stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(_folder_of(arriving))
     stream = stream.withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
     sink, checkpoint = scratch_path(spark, "quality"), scratch_path(spark, "progress")
-    quality_stream(stream, EVENT_RULES, "ts", sink, checkpoint).awaitTermination()
+    quality_stream(stream, EVENT_RULES, "ts", sink, checkpoint, watermark="60 days").awaitTermination()
     return latest_windows(spark, sink)
 
 
@@ -202,6 +210,7 @@ def stage_data(spark: SparkSession, folder: str) -> DataFrame:
 TRAIN_CONFIG = {
     "target": "label",
     "raw_features": FEATURES,
+    "metrics": {"report": ["accuracy", "precision", "recall", "F1 score", "ROC AUC", "specificity", "npv"]},
     "preprocessing": {"rename_columns": {"d1": "f1"}, "f0": {"scaler": "minmax"}, "f1": {"scaler": "standard"}},
     "features": {"continuous": ["f0", "f1"]},
     "data_split": {"test_size": 0.2, "valid_size": 0.2, "random_state": 42},
@@ -236,6 +245,7 @@ def stage_train(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""{STAGE} SELECT vec_id, y_pred AS prediction, round(y_proba, 6) AS prediction_proba FROM preds""")
 def stage_infer(spark: SparkSession, folder: str) -> DataFrame:
     rows = feature_table(spark, folder).withColumnRenamed("f1", "d1")
-    trained = train_stage(rows, TRAIN_CONFIG, "vec_id")
-    out = infer_stage(rows.drop("label"), trained.scorer, TRAIN_CONFIG)
+    stored = scratch_path(spark, "scorer")
+    s.save_scorer(train_stage(rows, TRAIN_CONFIG, "vec_id").scorer, stored)
+    out = infer_stage(rows.drop("label"), s.load_scorer(spark, stored), TRAIN_CONFIG)
     return out.select("vec_id", "prediction", F.round("prediction_proba", 6).alias("prediction_proba"))

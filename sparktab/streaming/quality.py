@@ -41,13 +41,15 @@ def quality_stream(
     sink: str,
     checkpoint: str,
     window: str = "1 day",
-    watermark: str = "1 hour",
+    *,
+    watermark: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Write every changed window of every batch; ``latest_windows`` reads the result.
 
-    Update mode also reports windows the watermark has not closed yet, so the
-    result covers all rows that were not too late.
+    Update mode also reports windows the watermark has not closed yet. Rows
+    later than the watermark are not counted, so the caller says how late rows
+    may come.
     """
     counts = windowed_quality(stream, rules, time_col, window, watermark)
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators.knn import ModelError, train_model
 from sparktab.operators.preprocess import PreprocessError, columns_to_array
-from sparktab.operators.score import RECORD_FIELDS, Scorer, parse_records, prediction_summary, record_schema, score, score_files, score_json
+from sparktab.operators.score import RECORD_FIELDS, Scorer, load_scorer, parse_records, prediction_summary, record_schema, save_scorer, score, score_files, score_json
 from sparktab.plans.stages import data_stage, infer_stage, train_stage
 from sparktab.sources.readers import SourceError
 from sparktab.streaming.quality import latest_windows, quality_stream, windowed_quality
@@ -142,3 +142,51 @@ def test_quality_stream_equals_batch(spark, small, tmp_path):
     quality_stream(stream, rules, "ts", sink, str(tmp_path / "cp"), watermark="40 days").awaitTermination()
     want = windowed_quality(events, rules, "ts", "1 day")
     assert sorted(latest_windows(spark, sink).collect()) == sorted(want.select(*latest_windows(spark, sink).columns).collect())
+
+
+def test_every_row_is_scored(spark, scorer):
+    """Null ids and ids that repeat, on both ways of voting."""
+    rows = [(1, 1.0, 19.0), (None, 18.0, 2.0), (7, 1.0, 19.0), (7, 18.0, 2.0)]
+    df = spark.createDataFrame(rows, "id bigint, f1 double, f2 double").withColumn("prediction", F.lit("old"))
+    want = [(1, 0, 0.0), (7, 0, 0.0), (7, 1, 1.0), (None, 1, 1.0)]
+    for limit in (None, 0):
+        from sparktab.operators import knn
+
+        kept, scorer.model._local = knn.LOCAL_BYTES, None
+        knn.LOCAL_BYTES = kept if limit is None else limit
+        try:
+            got = score(df, scorer, proba=True).select("id", "prediction", "prediction_proba").collect()
+        finally:
+            knn.LOCAL_BYTES, scorer.model._local = kept, None
+        assert sorted((tuple(r) for r in got), key=lambda r: (r[0] is None, r)) == want
+
+
+def test_small_models_move_no_rows(spark, scorer):
+    df = spark.range(50).selectExpr("id", "double(id % 20) f1", "20 - double(id % 20) f2")
+    plan = score(df, scorer, proba=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_saved_scorer_with_rename_and_steps(spark, tmp_path):
+    config = {
+        **CONFIG,
+        "raw_features": ["x 1", "kind"],
+        "features": {"continuous": ["x1"], "categorical": ["kind"]},
+        "preprocessing": {"rename_columns": {"x 1": "x1"}, "kind": {"encoding": "ordinal"}, "outlier_columns": ["x2"]},
+        "metrics": {"report": ["recall"]},
+    }
+    rows = twelve(spark).withColumn("kind", F.concat(F.lit("k"), F.col("x2") % 3)).withColumnRenamed("x1", "x 1")
+    trained = train_stage(rows, config, "id")
+    assert "recall" in trained.report.columns and "npv" not in trained.report.columns
+    save_scorer(trained.scorer, str(tmp_path / "s"))
+    loaded = load_scorer(spark, str(tmp_path / "s"))
+    raw = rows.drop("target")
+    want = sorted(score(raw, trained.scorer, proba=True).collect())
+    assert sorted(score(raw, loaded, proba=True).collect()) == want and len(want) == 12
+    raw.write.parquet(str(tmp_path / "in.parquet"))
+    out = score_files(spark, str(tmp_path / "in.parquet"), str(tmp_path / "out"), str(tmp_path / "s"))
+    assert out.count() == 12
+    with pytest.raises(PreprocessError, match="x 1"):
+        score(raw.drop("x 1"), loaded)
+    with pytest.raises(ModelError):
+        load_scorer(spark, str(tmp_path / "none"))
