@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +30,9 @@ DEFAULT_ENCODING = "onehot"
 DEFAULT_BINS = 4
 UNSEEN_CODE = -1
 EDGE_GAP = 1e-8
-
-MAX_ONEHOT = 1_000
-MAX_ORDINAL = 100_000
+# The strategies of an imputer by kind, and what "constant" fills in unless told.
+STRATEGIES = {"numeric": ("mean", "median", "most_frequent", "constant"), "category": ("most_frequent", "constant")}
+CONSTANT_FILL = {"numeric": 0.0, "category": "missing_value"}
 
 
 class PreprocessError(ValueError):
@@ -49,6 +49,11 @@ class Branch:
     scaler: str | None = None
     bins: int | None = None
     encoding: str | None = None
+    fill_value: Any = None
+
+    def constant(self) -> Any:
+        """What the strategy ``constant`` puts in."""
+        return CONSTANT_FILL[self.kind] if self.fill_value is None else self.fill_value
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -105,37 +110,29 @@ def modes(df: DataFrame, values: Mapping[str, Column]) -> dict[str, Any]:
     return {r["name"]: r["value"] for r in best.collect()}
 
 
-def value_counts(
-    df: DataFrame, values: Mapping[str, Column], limits: Mapping[str, int]
-) -> dict[str, list[tuple[Any, int]] | None]:
+def value_counts(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[tuple[Any, int]]]:
     """Distinct values and their counts per column, sorted, a missing value last.
 
-    All columns must be of one type. A column with more distinct values than
-    its limit gives None, so what reaches the driver is bounded.
+    All columns must be of one type. For columns whose values become output
+    columns, which bounds what reaches the driver by the width of the result.
     """
     if not values:
         return {}
     pairs = [F.struct(F.lit(name).alias("name"), v.alias("value")) for name, v in values.items()]
     counts = df.select(F.inline(F.array(*pairs))).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    most = sum(limits.values()) + len(limits)
-    rows = counts.limit(most + 1).collect()
-    wide: set[str] = set()
-    if len(rows) > most:
-        sizes = counts.groupBy("name").agg(F.count("value").alias("n")).collect()
-        wide = {row["name"] for row in sizes if row["n"] > limits[row["name"]]}
-        rows = counts.where(~F.col("name").isin(list(wide))).collect()
-    found: dict[str, list[tuple[Any, int]]] = {name: [] for name in values if name not in wide}
-    for row in rows:
+    found: dict[str, list[tuple[Any, int]]] = {name: [] for name in values}
+    for row in counts.collect():
         found[row["name"]].append((row["value"], row["n"]))
-    for name, items in found.items():
+    for items in found.values():
         items.sort(key=lambda item: (item[0] is None, item[0] if item[0] is not None else 0))
-        if sum(v is not None for v, _ in items) > limits[name]:
-            wide.add(name)
-    return {name: None if name in wide else found[name] for name in values}
+    return found
 
 
 def code_table(df: DataFrame, value: Column) -> dict[str, Any]:
-    """Codes of many categories as a table in the shared folder, and whether one is missing."""
+    """Codes of the categories as a table in the shared folder, and whether one is missing.
+
+    ``save_params`` takes the table along.
+    """
     known = df.select(value.alias("_category")).distinct()
     missing = not known.where("_category is null").isEmpty()
     ranked = running_sums(known.dropna().withColumn("n", F.lit(1)), "_category", ["n"])
@@ -192,7 +189,7 @@ class Preprocessor:
     passthrough: Sequence[str] = ()
     rename: Mapping[str, str] = field(default_factory=dict)
     steps: Sequence[tuple[str, Step]] = ()
-    exact_rows: int | None = None
+    step_settings: Mapping[str, Any] | None = None
 
     def _input(self, df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
         return rename_columns(apply_steps(df, self.steps, params["steps"]), self.rename)
@@ -210,11 +207,10 @@ class Preprocessor:
         if branch.scaler is None:
             return value
         scale = params["scale"][branch.column]
+        # A column that was constant in fitting is only shifted: the divisor 0 becomes 1.
         if branch.scaler == "minmax":
-            low, width = scale["min"], scale["max"] - scale["min"]
-            return F.when(value.isNotNull(), F.lit(0.0)) if width == 0 else (value - low) / width
-        mean, std = scale["mean"], scale["std"]
-        return F.when(value.isNotNull(), F.lit(0.0)) if std == 0 else (value - mean) / std
+            return (value - scale["min"]) / ((scale["max"] - scale["min"]) or 1.0)
+        return (value - scale["mean"]) / (scale["std"] or 1.0)
 
     def fit(self, df: DataFrame) -> dict[str, Any]:
         """Learn everything: one aggregate for all numbers, one count for all categories.
@@ -225,27 +221,28 @@ class Preprocessor:
         params.update({"impute": {}, "scale": {}, "edges": {}, "categories": {}})
         df = self._input(df, params)
         require_columns(df, [*[b.column for b in self.branches], *self.passthrough])
+        for b in self.branches:
+            if b.impute and b.impute not in STRATEGIES[b.kind]:
+                raise PreprocessError(f"{b.column}: unknown imputer strategy {b.impute!r} for a {b.kind} column")
         numeric = [b for b in self.branches if b.kind == "numeric"]
         self._fit_numeric(df, numeric, params)
         binned = [b for b in numeric if b.bins]
         for bins in sorted({b.bins for b in binned}):
             values = {b.column: self._scaled(df, b, params) for b in binned if b.bins == bins}
-            edges = quantiles(df, values, [i / bins for i in range(bins + 1)], **self._limits())
+            edges = quantiles(df, values, [i / bins for i in range(bins + 1)])
             params["edges"].update({c: drop_close_edges(e) for c, e in edges.items()})
         self._fit_categories(df, params)
         return params
 
-    def _limits(self) -> dict[str, int]:
-        return {} if self.exact_rows is None else {"exact_rows": self.exact_rows}
-
     def _fit_numeric(self, df: DataFrame, numeric: Sequence[Branch], params: dict) -> None:
         value = {b.column: present(df, b.column).cast("double") for b in numeric}
         fill = {}
         medians = {b.column: value[b.column] for b in numeric if b.impute == "median"}
         if medians:
-            found = quantiles(df, medians, [0.5], **self._limits())
+            found = quantiles(df, medians, [0.5])
             fill.update({c: q[0] if q else None for c, q in found.items()})
         fill.update(modes(df, {b.column: value[b.column] for b in numeric if b.impute == "most_frequent"}))
+        fill.update({b.column: float(b.constant()) for b in numeric if b.impute == "constant"})
         summed = [b for b in numeric if b.impute == "mean" or b.scaler]
         stats = [F.count(F.lit(1)).alias("n")]
         for i, b in enumerate(summed):
@@ -254,18 +251,20 @@ class Preprocessor:
             stats += [part.alias(f"{name}{i}") for name, part in parts.items()]
         row = df.agg(*stats).first() if summed else None
         for i, b in enumerate(summed):
-            if row[f"n{i}"] == 0:
+            missing = row["n"] - row[f"n{i}"] if b.impute else 0
+            put_in = fill.get(b.column) if b.impute == "constant" and missing else None
+            if row[f"n{i}"] == 0 and put_in is None:
                 raise PreprocessError(f"{b.column} has no values to learn from")
-            low, high = row[f"min{i}"], row[f"max{i}"]
-            mean = min(max(row[f"mean{i}"], low), high)
+            ends = [v for v in (row[f"min{i}"], row[f"max{i}"], put_in) if v is not None]
+            low, high = min(ends), max(ends)
+            mean = min(max(row[f"mean{i}"], low), high) if row[f"n{i}"] else put_in
             if b.impute == "mean":
                 fill[b.column] = mean
-            missing = row["n"] - row[f"n{i}"] if b.impute else 0
             if b.scaler == "minmax":
                 params["scale"][b.column] = {"min": low, "max": high}
             elif b.scaler == "standard":
                 constant = low == high and (not missing or fill.get(b.column) == low)
-                var = 0.0 if constant else row[f"var{i}"]
+                var = 0.0 if constant else row[f"var{i}"] or 0.0
                 mean, var = _with_filled(row[f"n{i}"], mean, var, 0 if constant else missing, fill.get(b.column))
                 params["scale"][b.column] = {"mean": mean, "std": math.sqrt(var)}
             elif b.scaler:
@@ -277,33 +276,27 @@ class Preprocessor:
     def _fit_categories(self, df: DataFrame, params: dict) -> None:
         branches = {b.column: b for b in self.branches if b.kind == "category"}
         for names in _common_type(df, list(branches)).values():
-            encoded = [c for c in names if branches[c].encoding]
-            plain = {c: present(df, c) for c in names if not branches[c].encoding and branches[c].impute}
-            fill = modes(df, plain)
-            limits = {c: MAX_ONEHOT if branches[c].encoding == "onehot" else MAX_ORDINAL for c in encoded}
-            counts = value_counts(df, {c: present(df, c) for c in encoded}, limits)
-            for c, items in counts.items():
-                if items is None:
-                    self._fit_wide(df, branches[c], fill, params)
-                    continue
-                if branches[c].impute:
-                    fill[c] = _top(items)
-                    items = [item for item in items if item[0] is not None]
-                params["categories"][c] = [v for v, _ in items]
+            wide = {c: present(df, c) for c in names if branches[c].encoding == "onehot"}
+            counts = value_counts(df, wide)
+            others = [c for c in names if c not in wide and branches[c].impute == "most_frequent"]
+            fill = modes(df, {c: present(df, c) for c in others})
             for c in names:
+                if branches[c].impute == "constant":
+                    fill[c] = branches[c].constant()
+                elif branches[c].impute and c in counts:
+                    fill[c] = _top(counts[c])
                 if branches[c].impute:
                     params["impute"][c] = _known(fill.get(c), c)
-
-    def _fit_wide(self, df: DataFrame, branch: Branch, fill: dict, params: dict) -> None:
-        """More categories than may reach the driver: codes become a table."""
-        c = branch.column
-        if branch.encoding == "onehot":
-            raise PreprocessError(f"{c} has more than {MAX_ONEHOT} categories")
-        value = present(df, c)
-        if branch.impute:
-            fill.update(modes(df, {c: value}))
-            value = F.coalesce(value, F.lit(_known(fill.get(c), c)))
-        params["categories"][c] = code_table(df, value)
+            for c, items in counts.items():
+                known = {v for v, _ in items}
+                if branches[c].impute and None in known:
+                    known = (known - {None}) | {fill[c]}
+                params["categories"][c] = sorted(known, key=lambda v: (v is None, v if v is not None else 0))
+            for c in names:
+                if branches[c].encoding == "ordinal":
+                    value = present(df, c)
+                    value = F.coalesce(value, F.lit(fill[c])) if branches[c].impute else value
+                    params["categories"][c] = code_table(df, value)
 
     def _branch_output(self, df: DataFrame, branch: Branch, params: Mapping[str, Any]) -> list[Column]:
         if branch.kind == "numeric":
@@ -355,23 +348,12 @@ class Preprocessor:
         return out
 
 
-def _ordinal_codes(df: DataFrame, name: str, items: Sequence | Mapping[str, Any]) -> DataFrame:
-    """Codes by position in the sorted categories; a seen missing value stays missing.
-
-    A category list is at most MAX_ORDINAL rows and is broadcast; a code table
-    is joined as it comes.
-    """
-    if isinstance(items, Mapping):
-        codes, missing = df.sparkSession.read.parquet(items["table"]), items["missing"]
-    else:
-        known = [c for c in items if c is not None]
-        missing = len(known) < len(items)
-        schema = f"_category {df.schema[name].dataType.simpleString()}, _code double"
-        rows = [(c, float(i)) for i, c in enumerate(known)]
-        codes = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    joined = df.join(codes, quoted(name) == F.col("_category"), "left")
+def _ordinal_codes(df: DataFrame, name: str, codes: Mapping[str, Any]) -> DataFrame:
+    """Codes by position in the sorted categories; a seen missing value stays missing."""
+    table = df.sparkSession.read.schema(f"_category {df.schema[name].dataType.simpleString()}, _code double").parquet(codes["table"])
+    joined = df.join(table, quoted(name) == F.col("_category"), "left")
     unseen = F.lit(float(UNSEEN_CODE))
-    if missing:
+    if codes["missing"]:
         unseen = F.when(quoted(name).isNotNull(), unseen)
     code = F.coalesce(F.col("_code"), unseen).alias(name)
     return joined.select(*[code if c == name else quoted(c) for c in df.columns])
@@ -380,14 +362,15 @@ def _ordinal_codes(df: DataFrame, name: str, items: Sequence | Mapping[str, Any]
 def branch_from_settings(column: str, kind: str, settings: Mapping[str, Any]) -> Branch:
     default = NUMERIC_IMPUTE if kind == "numeric" else CATEGORY_IMPUTE
     impute = settings.get("imputer_strategy", default) if settings.get("impute", True) else None
+    fill = settings.get("fill_value")
     if kind == "numeric":
         scaler = settings.get("scaler", DEFAULT_SCALER)
         bins = settings.get("n_buckets", DEFAULT_BINS) if settings.get("bucketize", False) else None
         scaler = scaler if scaler in ("minmax", "standard") else None
-        return Branch(column, kind, impute=impute, scaler=scaler, bins=bins)
+        return Branch(column, kind, impute=impute, scaler=scaler, bins=bins, fill_value=fill)
     encoding = settings.get("encoding", DEFAULT_ENCODING)
     encoding = encoding if encoding in ("onehot", "ordinal") else None
-    return Branch(column, kind, impute=impute, encoding=encoding)
+    return Branch(column, kind, impute=impute, encoding=encoding, fill_value=fill)
 
 
 def build_preprocessor(config: Mapping[str, Any]) -> Preprocessor:
@@ -416,6 +399,7 @@ def build_preprocessor(config: Mapping[str, Any]) -> Preprocessor:
         passthrough=[c for c in raw if c not in {*continuous, *categorical}],
         rename=rename,
         steps=build_steps(names, filled),
+        step_settings={"names": names, "settings": filled},
     )
 
 
@@ -426,10 +410,50 @@ def fit_transform(df: DataFrame, config: Mapping[str, Any], keep: Sequence[str]
 
 
 def save_params(spark: SparkSession, params: Mapping[str, Any], path: str) -> None:
-    """Fitted parameters as one JSON text."""
-    rows = spark.createDataFrame([(json.dumps(params),)], "value string")
-    rows.coalesce(1).write.mode("overwrite").text(path)
+    """Fitted parameters as one JSON text, and the code tables beside it."""
+    categories = dict(params["categories"])
+    for i, (name, found) in enumerate(sorted(categories.items())):
+        if isinstance(found, Mapping):
+            spark.read.parquet(found["table"]).write.mode("overwrite").parquet(f"{path}/codes/{i}")
+            categories[name] = {**found, "table": f"codes/{i}"}
+    write_text(spark, json.dumps({**params, "categories": categories}), f"{path}/params")
 
 
 def load_params(spark: SparkSession, path: str) -> dict[str, Any]:
-    return json.loads(spark.read.text(path).first().value)
+    params = json.loads(read_text(spark, f"{path}/params"))
+    for found in params["categories"].values():
+        if isinstance(found, dict):
+            found["table"] = f"{path}/{found['table']}"
+    return params
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """One small text as a file of its own."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path).first().value
+
+
+def definition(plan: Preprocessor) -> dict[str, Any]:
+    """A preprocessor as plain values; feature steps must come from settings."""
+    if plan.steps and plan.step_settings is None:
+        raise PreprocessError("feature steps without settings cannot be stored")
+    return {
+        "branches": [asdict(b) for b in plan.branches],
+        "passthrough": list(plan.passthrough),
+        "rename": dict(plan.rename),
+        "step_settings": plan.step_settings,
+    }
+
+
+def from_definition(saved: Mapping[str, Any]) -> Preprocessor:
+    asked = saved["step_settings"]
+    return Preprocessor(
+        branches=[Branch(**b) for b in saved["branches"]],
+        passthrough=saved["passthrough"],
+        rename=saved["rename"],
+        steps=build_steps(asked["names"], asked["settings"]) if asked else (),
+        step_settings=asked,
+    )

@@ -1,10 +1,9 @@
 """Exact quantiles of several columns with linear interpolation.
 
-Small tables use the built-in exact aggregate. On large ones that aggregate
-would hold every distinct value in one task, so a sketch first brackets each
-wanted rank between two values; one more pass counts what lies below the
-bracket and the values inside it, and the rank is read off that narrow part.
-If a bracket misses its rank it is widened and the pass repeated.
+A sketch brackets each wanted rank between two values; one more pass counts what
+lies below the brackets, and another the values inside them, from which the
+ranks are read off. All columns share the passes, and no task holds all values
+of a column. If a bracket misses its rank it is widened and the passes repeated.
 """
 
 from __future__ import annotations
@@ -17,66 +16,61 @@ from pyspark.sql import functions as F
 
 from sparktab.plans.running import running_sums
 
-EXACT_ROWS = 10_000_000
 SKETCH_ACCURACY = 10_000
 
 
-def quantiles(
-    df: DataFrame,
-    columns: dict[str, Column],
-    probabilities: Sequence[float],
-    exact_rows: int = EXACT_ROWS,
-) -> dict[str, list[float] | None]:
+def quantiles(df: DataFrame, columns: dict[str, Column], probabilities: Sequence[float]) -> dict[str, list[float] | None]:
     """For each named double expression its quantiles; nulls are skipped."""
-    values = df.select(*[c.cast("double").alias(name) for name, c in columns.items()])
-    counts = values.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first()
-    small = [c for c in columns if 0 < counts[c] <= exact_rows]
-    large = [c for c in columns if counts[c] > exact_rows]
-    out: dict[str, list[float] | None] = dict.fromkeys(columns)
-    if small:
-        levels = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(f"`{c}`", levels).alias(c) for c in small]).first()
-        out.update({c: list(row[c]) for c in small})
-    for c in large:
-        out[c] = _by_brackets(values.select(F.col(f"`{c}`").alias("v")).dropna(), counts[c], probabilities)
+    names = list(columns)
+    values = df.select(*[columns[c].cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    sizes = values.agg(*[f(F.col(f"v{i}")).alias(f"{n}{i}") for i in range(len(names)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    ranks = {
+        i: sorted({r for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
+        for i in range(len(names))
+        if (n := sizes[f"n{i}"])
+    }
+    found: dict[tuple[int, int], float] = {}
+    margin = 2.0 / SKETCH_ACCURACY
+    while wanted := [(i, r) for i, rs in ranks.items() for r in rs if (i, r) not in found]:
+        found.update(_select(values, _brackets(values, wanted, sizes, margin)))
+        margin *= 8
+    out: dict[str, list[float] | None] = dict.fromkeys(names)
+    for i in ranks:
+        n, picked = sizes[f"n{i}"], []
+        for p in probabilities:
+            at = p * (n - 1)
+            low, high = found[i, math.floor(at)], found[i, math.ceil(at)]
+            picked.append(low + (high - low) * (at - math.floor(at)))
+        out[names[i]] = picked
     return out
 
 
-def _by_brackets(df: DataFrame, n: int, probabilities: Sequence[float]) -> list[float]:
-    ranks = sorted({r for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-    found: dict[int, float] = {}
-    margin = 2.0 / SKETCH_ACCURACY
-    while len(found) < len(ranks):
-        open_ranks = [r for r in ranks if r not in found]
-        steps = [s for r in open_ranks for s in (max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin))]
-        ends = df.agg(F.percentile_approx("v", steps, SKETCH_ACCURACY).alias("e"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        brackets = []
-        for i, rank in enumerate(open_ranks):
-            low, high = ends.e[2 * i], ends.e[2 * i + 1]
-            brackets.append((rank, ends.lo if steps[2 * i] == 0.0 else low, ends.hi if steps[2 * i + 1] == 1.0 else high))
-        found.update(_select(df, brackets))
-        margin *= 8
-    out = []
-    for p in probabilities:
-        at = p * (n - 1)
-        low, high = found[math.floor(at)], found[math.ceil(at)]
-        out.append(low + (high - low) * (at - math.floor(at)))
+def _brackets(values: DataFrame, wanted: list[tuple[int, int]], sizes, margin: float) -> list[tuple[int, int, float, float]]:
+    """(column, rank, low, high) that should hold each wanted rank."""
+    steps: dict[int, list[float]] = {}
+    for i, r in wanted:
+        n = sizes[f"n{i}"]
+        steps.setdefault(i, []).extend((max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin)))
+    ends = values.agg(*[F.percentile_approx(f"v{i}", s, SKETCH_ACCURACY).alias(f"e{i}") for i, s in steps.items()]).first()
+    out, used = [], dict.fromkeys(steps, 0)
+    for i, r in wanted:
+        at = used[i]
+        used[i] += 2
+        low = sizes[f"lo{i}"] if steps[i][at] == 0.0 else ends[f"e{i}"][at]
+        high = sizes[f"hi{i}"] if steps[i][at + 1] == 1.0 else ends[f"e{i}"][at + 1]
+        out.append((i, r, low, high))
     return out
 
 
-def _select(df: DataFrame, brackets: list[tuple[int, float, float]]) -> dict[int, float]:
+def _select(values: DataFrame, brackets: list[tuple[int, int, float, float]]) -> dict[tuple[int, int], float]:
     """The values at the ranks whose bracket really holds them."""
-    below = df.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{r}") for r, lo, _ in brackets]).first()
-    inside = F.array(
-        *[F.when(F.col("v").between(lo, hi), F.lit(r).cast("bigint")) for r, lo, hi in brackets]
-    )
-    counted = (
-        df.select("v", F.explode(F.array_compact(inside)).alias("rank"))
-        .groupBy("rank", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    summed = running_sums(counted, "v", ["n"], by=["rank"])
-    start = F.create_map(*[F.lit(x).cast("bigint") for r, _, _ in brackets for x in (r, below[f"b{r}"])])
-    placed = summed.withColumn("end", F.col("run_n") + start[F.col("rank")])
+    below = values.agg(*[F.count_if(F.col(f"v{i}") < F.lit(lo)).alias(f"b{j}") for j, (i, _, lo, _) in enumerate(brackets)]).first()
+    inside = [F.when(F.col(f"v{i}").between(lo, hi), F.struct(F.lit(j).alias("j"), F.col(f"v{i}").alias("v"))) for j, (i, _, lo, hi) in enumerate(brackets)]
+    counted = values.select(F.inline(F.array_compact(F.array(*inside)))).groupBy("j", "v").agg(F.count(F.lit(1)).alias("n"))
+    summed = running_sums(counted, "v", ["n"], by=["j"])
+    start = F.create_map(*[F.lit(x).cast("bigint") for j in range(len(brackets)) for x in (j, below[f"b{j}"])])
+    rank = F.create_map(*[F.lit(x).cast("bigint") for j, b in enumerate(brackets) for x in (j, b[1])])
+    j = F.col("j").cast("bigint")
+    placed = summed.withColumn("end", F.col("run_n") + start[j]).withColumn("rank", rank[j])
     hit = (F.col("end") > F.col("rank")) & (F.col("end") - F.col("n") <= F.col("rank"))
-    return {row.rank: row.v for row in placed.where(hit).select("rank", "v").collect()}
+    return {brackets[row.j][:2]: row.v for row in placed.where(hit).select("j", "v").collect()}

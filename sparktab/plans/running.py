@@ -8,21 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICE_VALUES = 100_000
-MAX_SLICES = 2_000
-
+from sparktab.session import materialize
 
-def slice_edges(df: DataFrame, order_col: str, slice_values: int = SLICE_VALUES) -> list:
-    """Cut points that give slices of about ``slice_values`` rows of ``df``; at most MAX_SLICES.
-
-    The points are values picked in hash order, so they spread like the
-    values themselves, of whatever type.
-    """
-    slices = min(MAX_SLICES, -(-df.count() // slice_values))
-    if slices <= 1:
-        return []
-    picked = df.select(F.col(order_col).alias("v")).distinct().orderBy(F.xxhash64("v"), "v").limit(slices - 1)
-    return sorted(row.v for row in picked.collect())
+SLICE_VALUES = 100_000
 
 
 def running_sums(
@@ -35,19 +23,21 @@ def running_sums(
 ) -> DataFrame:
     """Add ``run_<c>``: the sum of c over all rows up to and including this one.
 
-    ``df`` holds one row per (by, order_col) value. Rows are cut into slices of
-    the order column, summed inside their slice, and shifted by the totals of
-    the slices before; the totals are a table of slices x ``by`` groups.
+    ``df`` holds one row per (by, order_col) value. Rows are dealt into ranges
+    of the order column, as many as their number asks for, and written with the
+    number of their range, which fixes the ranges. Sums run inside a range and
+    are shifted by the totals of the ranges before, a table of ranges x ``by``
+    groups.
     """
-    edges = slice_edges(df, order_col, slice_values or SLICE_VALUES)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if not edges:
+    df = materialize(df, "ordered")
+    slices = -(-df.count() // (slice_values or SLICE_VALUES))
+    if slices <= 1:
         inside = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(inside).alias(f"run_{c}") for c in sums])
 
-    levels = F.array(*[F.lit(e) for e in edges])
-    place = F.size(F.filter(levels, lambda e: e < F.col(order_col)))
-    sliced = df.withColumn("_slice", -place if descending else place)
+    dealt = df.repartitionByRange(slices, order).withColumn("_slice", F.spark_partition_id())
+    sliced = materialize(dealt, "ranges")
     inside = W.partitionBy(*by, "_slice").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     within = sliced.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
 

@@ -81,14 +81,17 @@ def feat_ratio_square(spark: SparkSession, folder: str) -> DataFrame:
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
       round(l_quantity * l_discount, 6) AS l_quantity_x_l_discount,
       round(l_quantity * l_tax, 6) AS l_quantity_x_l_tax,
+      (l_linenumber + 2000000000) * (l_linenumber + 2000000000)::BIGINT AS big_x_large,
       round(l_discount * l_tax, 6) AS l_discount_x_l_tax FROM lineitem"""
 )
 def feat_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two of the columns are 32-bit integers whose product needs 64."""
     columns = ["l_quantity", "l_discount", "l_tax"]
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    out = f.Products(columns).transform(table(spark, folder, "lineitem").select(*keys, *columns))
-    out = out.drop(*columns)
-    return rounded(out, [c for c in out.columns if c not in keys])
+    big = (F.col("l_linenumber") + 2_000_000_000).cast("int")
+    rows = table(spark, folder, "lineitem").select(*keys, *columns, big.alias("big"), big.alias("large"))
+    out = f.Products(["big", "large"]).transform(f.Products(columns).transform(rows)).drop(*columns, "big", "large")
+    return rounded(out, [c for c in out.columns if c not in keys and c != "big_x_large"])
 
 
 @query(
@@ -109,13 +112,17 @@ def feat_outlier_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 EVENT_TEXT = """moments AS (
   SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 10 = 1 THEN 'not a date'
+    WHEN event_id % 10 = 2 THEN strftime(ts, '%m/%d/%Y %H:%M') WHEN event_id % 10 = 3 THEN strftime(ts, '%d.%m.%Y %H:%M:%S')
     ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment FROM events),
-  parsed AS (SELECT event_id, TRY_CAST(moment AS TIMESTAMP) AS t FROM moments)"""
+  parsed AS (
+    SELECT event_id, coalesce(TRY_CAST(moment AS TIMESTAMP), try_strptime(moment, '%m/%d/%Y %H:%M'),
+      try_strptime(moment, '%d.%m.%Y %H:%M:%S')) AS t FROM moments)"""
 
 
 def _event_text(spark: SparkSession, folder: str) -> DataFrame:
     digit = F.col("event_id") % 10
     text = F.when(digit == 0, None).when(digit == 1, "not a date")
+    text = text.when(digit == 2, F.date_format("ts", "MM/dd/yyyy HH:mm")).when(digit == 3, F.date_format("ts", "dd.MM.yyyy HH:mm:ss"))
     text = text.otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     return table(spark, folder, "events").select("event_id", text.alias("moment"))
 
@@ -163,7 +170,7 @@ def lenient_parse(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("event").alias("kind"),
         F.col("event_id").alias("id"),
         F.lit(None).cast("double").alias("number"),
-        as_timestamp(events, "moment").alias("moment"),
+        as_timestamp(events, "moment", f.DATE_FORMATS).alias("moment"),
     )
     return numbers.unionByName(moments)
 
@@ -241,6 +248,43 @@ def impute_median(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(_fit_apply(part_gaps(spark, folder), branches), ["p_size", "p_retailprice"])
 
 
+@query(
+    f"""WITH {PART} SELECT p_partkey, coalesce(p_size, -1)::DOUBLE AS p_size, coalesce(p_type, 'none') AS p_type FROM part_clean"""
+)
+def impute_constant(spark: SparkSession, folder: str) -> DataFrame:
+    branches = [
+        Branch("p_size", "numeric", impute="constant", fill_value=-1),
+        Branch("p_type", "category", impute="constant", fill_value="none"),
+    ]
+    return _fit_apply(part_gaps(spark, folder), branches)
+
+
+@query(
+    f"""WITH {PART},
+    marked AS (
+      SELECT p_partkey, p_partkey % 2 = 0 AS learn, coalesce(p_size, 0)::DOUBLE AS size,
+        CASE WHEN p_partkey % 2 = 0 THEN 5.0 ELSE p_partkey END::DOUBLE AS same FROM part_clean),
+    s AS (
+      SELECT min(size) AS lo, max(size) AS hi, avg(size) AS m, stddev_pop(size) AS d FROM marked WHERE learn)
+    SELECT p_partkey, round((size - lo) / (hi - lo), 6) AS size_minmax, same - 5 AS same_minmax,
+      round((size - m) / d, 6) + 0.0 AS size_standard, same - 5 AS same_standard FROM marked, s"""
+)
+def scale_other_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Fitted on even keys, where one column is constant, and applied to all rows."""
+    learn = F.col("p_partkey") % 2 == 0
+    rows = part_gaps(spark, folder).select(
+        "p_partkey",
+        F.coalesce(F.col("p_size"), F.lit(0)).cast("double").alias("size"),
+        F.when(learn, 5.0).otherwise(F.col("p_partkey").cast("double")).alias("same"),
+    )
+    out = rows.select("p_partkey")
+    for scaler in ("minmax", "standard"):
+        plan = Preprocessor([Branch(c, "numeric", scaler=scaler) for c in ("size", "same")])
+        scaled = plan.transform(rows, plan.fit(rows.where(learn)), ["p_partkey"])
+        out = out.join(scaled.withColumnsRenamed({c: f"{c}_{scaler}" for c in ("size", "same")}), "p_partkey")
+    return rounded(out, ["size_minmax", "size_standard"]).withColumn("size_standard", F.round("size_standard", 6) + F.lit(0.0))
+
+
 @query(
     f"""WITH {PART},
     t AS (SELECT p_type AS top FROM part_clean WHERE p_type IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
