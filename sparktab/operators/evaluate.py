@@ -111,9 +111,7 @@ def roc_auc(preds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def _curve(preds: DataFrame, by: Sequence[str]) -> DataFrame:
     groups = running_sums(score_groups(preds, by), "score", ["pos", "neg"], by, descending=True)
-    totals = score_groups(preds, by).groupBy(*by).agg(
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
-    )
+    totals = groups.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     if by:
         return groups.join(totals, list(by)), totals
     row = totals.first()

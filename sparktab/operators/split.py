@@ -9,7 +9,6 @@ its class. Ids must be unique.
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 from fractions import Fraction
@@ -19,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
-LITERAL_CLASSES = 64
 SLICE_ROWS = 100_000
+#: Classes up to which their quotas are sent to every task; more of them are joined.
+SENT_CLASSES = 100_000
 
 
 class SplitError(ValueError):
@@ -33,13 +32,11 @@ def order_key(id_col: str, seed: int) -> Column:
 
 
 def class_counts(df: DataFrame, target: str | None) -> dict:
-    """Rows per class; refuses a target that is no class label."""
+    """Rows per class, one number each; refuses missing labels."""
     if target is None:
         return {None: df.count()}
     counts = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise SplitError(f"{target} has more than {MAX_CLASSES} classes")
+    rows = counts.collect()
     if any(r.label is None for r in rows):
         raise SplitError(f"{target} has missing labels")
     return {r.label: r.n for r in sorted(rows, key=lambda r: r.label)}
@@ -70,7 +67,7 @@ def draw_sizes(n: int, test: float, valid: float) -> tuple[int, int]:
 def _digits(n_rows: int) -> int:
     """Leading hex digits that give slices of about SLICE_ROWS rows."""
     digits = 1
-    while digits < 6 and n_rows / 16**digits > SLICE_ROWS:
+    while n_rows / 16**digits > SLICE_ROWS:
         digits += 1
     return digits
 
@@ -80,20 +77,13 @@ def _label(df: DataFrame, target: str | None) -> Column:
 
 
 def _attach(df: DataFrame, label: str, values: dict[Any, dict], fields: dict[str, str]) -> DataFrame:
-    """Add one struct per class as column ``of_class``.
-
-    A few classes become a literal map, so this is a projection; more of them
-    (MAX_CLASSES at most) are broadcast.
-    """
+    """Add one struct per class as column ``of_class``, by a join on the label."""
     schema = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
-    if len(values) <= LITERAL_CLASSES and all(type(k) in (int, str) for k in values):
-        text = F.lit(json.dumps({str(k): v for k, v in values.items()}))
-        found = F.from_json(text, f"map<string, {schema}>")[F.col(label).cast("string")]
-        return df.select("*", found.alias("of_class"))
     label_type = df.schema[label].dataType.simpleString()
     rows = [(k, tuple(v[name] for name in fields)) for k, v in values.items()]
     table = df.sparkSession.createDataFrame(rows, f"_label {label_type}, of_class {schema}")
-    return df.join(F.broadcast(table), F.col(label) == F.col("_label")).drop("_label")
+    table = F.broadcast(table) if len(rows) <= SENT_CLASSES else table
+    return df.join(table, F.col(label) == F.col("_label")).drop("_label")
 
 
 def cut_points(

@@ -90,45 +90,36 @@ def value_checks(df: DataFrame, rule: Rule) -> dict[str, Column]:
     return checks
 
 
-def _message(rule: Rule, check: str, n: Column) -> Column:
-    parts = {
-        "name": rule["name"],
-        "need": "required" if is_required(rule) else "optional",
-        "bound": rule.get("min" if check == "below_min" else "max"),
-        "allowed": list(rule.get("allowed_values", ())),
-    }
-    before, after = MESSAGES[check].split("{n}")
-    return F.concat(F.lit(before.format(**parts)), n.cast("string"), F.lit(after.format(**parts)))
+def _message(rule: Rule, check: str, n: int) -> str:
+    return MESSAGES[check].format(
+        name=rule["name"],
+        n=n,
+        need="required" if is_required(rule) else "optional",
+        bound=rule.get("min" if check == "below_min" else "max"),
+        allowed=list(rule.get("allowed_values", ())),
+    )
+
+
+def structure_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The presence and type rows of the report; reads no data."""
+    return df.sparkSession.createDataFrame(structure_findings(df, rules), REPORT_SCHEMA)
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The report: one row per column and check, with severity ok/info/warning/error.
 
     All value checks of all columns are one aggregation over one scan that
-    reads only the ruled columns.
+    reads only the ruled columns. Its one row comes to the driver, and the
+    report is built from it, so nothing is read again.
     """
-    counted, parts = [], []
-    for i, rule in checkable(df, rules):
-        for check, broken in value_checks(df, rule).items():
-            key = f"c{i}_{check}"
-            counted.append(F.count_if(broken).alias(key))
+    checks = [(i, rule, check, broken) for i, rule in checkable(df, rules) for check, broken in value_checks(df, rule).items()]
+    found = structure_findings(df, rules)
+    if checks:
+        counts = df.agg(*[F.count_if(broken).alias(f"c{at}") for at, (*_, broken) in enumerate(checks)]).first()
+        for (i, rule, check, _), n in zip(checks, counts, strict=True):
             bad = "warning" if check == "missing" and not is_required(rule) else "error"
-            n = F.col(key)
-            parts.append(
-                F.struct(
-                    F.lit(i).alias("ordinal"),
-                    F.lit(rule["name"]).alias("column"),
-                    F.lit(check).alias("check"),
-                    F.when(n > 0, bad).otherwise("ok").alias("severity"),
-                    n.alias("n"),
-                    F.when(n > 0, _message(rule, check, n)).alias("message"),
-                )
-            )
-    report = df.sparkSession.createDataFrame(structure_findings(df, rules), REPORT_SCHEMA)
-    if counted:
-        values = df.agg(*counted).select(F.inline(F.array(*parts)))
-        report = report.unionByName(values)
-    return report
+            found.append((i, rule["name"], check, bad, n, _message(rule, check, n)) if n else (i, rule["name"], check, "ok", 0, None))
+    return df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
 
 
 def report_status(report: DataFrame) -> DataFrame:

@@ -85,19 +85,22 @@ def customer_gaps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+COLUMNS = ("column", "check", "severity", "n")
+
+
 def _findings(spark: SparkSession, folder: str, *checks: str) -> DataFrame:
-    report = v.validate(customer_gaps(spark, folder), RULES).select("column", "check", "severity", "n")
+    report = v.validate(customer_gaps(spark, folder), RULES).select(*COLUMNS)
     return report.where(F.col("check").isin(*checks)) if checks else report
 
 
 @query(FINDINGS + "SELECT * FROM findings WHERE \"check\" = 'presence'")
 def validate_presence(spark: SparkSession, folder: str) -> DataFrame:
-    return _findings(spark, folder, "presence")
+    return v.structure_report(customer_gaps(spark, folder), RULES).where(F.col("check") == "presence").select(*COLUMNS)
 
 
 @query(FINDINGS + "SELECT * FROM findings WHERE \"check\" = 'dtype'")
 def validate_dtype(spark: SparkSession, folder: str) -> DataFrame:
-    return _findings(spark, folder, "dtype")
+    return v.structure_report(customer_gaps(spark, folder), RULES).where(F.col("check") == "dtype").select(*COLUMNS)
 
 
 @query(FINDINGS + "SELECT * FROM findings WHERE \"check\" = 'missing'")

@@ -53,16 +53,16 @@ def test_hold_out_and_plain_split(spark):
     assert plain == {"test": 20, "valid": 20, "train": 60}
 
 
-def test_the_split_is_a_projection(spark, small):
+def test_the_split_moves_no_rows(spark, small):
     df = spark.read.parquet(f"{small}/orders.parquet")
     plan = s.stratified_split(df, "o_orderkey", "o_orderstatus")._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
 def test_many_classes_give_the_same_split(spark, monkeypatch):
     df = spark.range(400).withColumn("y", (F.col("id") % 7).cast("int"))
     few = sorted(s.stratified_split(df, "id", "y").collect())
-    monkeypatch.setattr(s, "LITERAL_CLASSES", 2)
+    monkeypatch.setattr(s, "SENT_CLASSES", 2)
     assert sorted(s.stratified_split(df, "id", "y").collect()) == few
 
 
@@ -105,3 +105,10 @@ def test_union_restores_the_table(spark):
     split = s.stratified_split(two_classes(spark, 20, 30), "id", "y")
     parts = [split.where(F.col("split") == n) for n in ("train", "valid", "test")]
     assert sorted(s.union_splits(parts).collect()) == sorted(split.collect())
+
+
+def test_many_classes(spark):
+    df = spark.range(60_000).selectExpr("id", "id % 20000 as label")
+    out = s.stratified_split(df, "id", "label", test=0.25, valid=0.25)
+    sizes = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert sizes == {"test": 15_000, "valid": 15_000, "train": 30_000}
