@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = configured or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="sparktab-")
     spark.conf.set(CHECKPOINT_KEY, folder)
@@ -54,8 +55,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     For results that several jobs read: the table outlives lost executors and
-    cuts the lineage.
+    cuts the lineage. It is removed when the driver's process ends.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    store, folder = _stored(spark, path)
+    store.deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _stored(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, folder = _stored(spark, path)
+    return store.exists(folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of results that newer ones replace."""
+    store, folder = _stored(spark, path)
+    store.delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparktab.operators.validate import Rule, checkable, value_checks
+from sparktab.session import path_exists, remove_path
 from sparktab.streaming.score import start
 
 
@@ -45,26 +46,33 @@ def quality_stream(
     watermark: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write every changed window of every batch; ``latest_windows`` reads the result.
+    """Write the windows as they stand after each batch; ``latest_windows`` reads the result.
 
-    Update mode also reports windows the watermark has not closed yet. Rows
+    A batch's folder holds its changed windows and, from the folder before, the
+    others; folders older than that go, so reading never grows with the number
+    of batches, and a batch that is run again overwrites its own folder. Update
+    mode also reports windows the watermark has not closed yet. Rows
     later than the watermark are not counted, so the caller says how late rows
     may come.
     """
     counts = windowed_quality(stream, rules, time_col, window, watermark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, before = batch.sparkSession, f"{sink}/batch={batch_id - 1}"
+        if path_exists(spark, before):
+            old = spark.read.schema(batch.schema).parquet(before)
+            batch = batch.unionByName(old.join(batch, ["window_start", "window_end"], "left_anti"))
         batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        remove_path(spark, f"{sink}/batch={batch_id - 2}")
 
     return start(counts, write, checkpoint, "update", trigger)
 
 
 def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
-    """The last state of every window."""
-    changes = spark.read.option("basePath", sink).parquet(f"{sink}/batch=*")
-    values = [c for c in changes.columns if c not in ("window_start", "window_end", "batch")]
-    last = F.max_by(F.struct(*values), F.col("batch")).alias("last")
-    return changes.groupBy("window_start", "window_end").agg(last).select("window_start", "window_end", "last.*")
+    """The last state of every window: that of the last batch."""
+    states = spark.read.option("basePath", sink).parquet(f"{sink}/batch=*")
+    last = states.agg(F.max("batch")).first()[0]
+    return states.where(F.col("batch") == last).drop("batch")
 
 
 def distinct_stream(stream: DataFrame, columns: Sequence[str], time_col: str, watermark: str) -> DataFrame:
