@@ -30,6 +30,8 @@ SAMPLE = 20_000
 #: Members of a bucket from which it is cut into tiles; cost of a verified pair against a probe row.
 TILE, PAIR_COST = 256, 0.01
 ROWS_PER_TASK = 200_000
+#: Row numbers (8 bytes each) that are sent to every task at most.
+SENT_ROWS = 2_000_000
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -284,12 +286,18 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The table with one row of each group: that of the least id (nulls last), of its repeats the first stored.
 
     The table with its fingerprints is written once to the shared folder, which
-    fixes the row numbers that decide between rows of the same id.
+    fixes the row numbers that decide between rows of the same id. The numbers
+    of the copies are counted and, if few enough, sent to the rows, so that
+    texts stay where they are; else rows and numbers are joined.
     """
     fp, row = fresh(df, "simhash_fp"), fresh(df, "simhash_row")
     marked = append(df.withColumn(row, F.monotonically_increasing_id()), text_col, lambda t: (simhash(t, width),), {fp: "long"})
     marked = materialize(marked, "marked")
     rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    groups = grouped(marked.select(F.col(fp).alias("fp"), rank.alias("rank")), distance)
-    keep = groups.select(F.col("first.row").alias(row)).distinct()
-    return marked.join(keep, row, "left_semi").select(*df.columns)
+    prints = marked.select(F.col(fp).alias("fp"), F.col(row).alias("own"), rank.alias("rank"))
+    groups = grouped(prints.select("fp", "rank"), distance)
+    gone = prints.select("fp", "own").join(groups, "fp").where("own <> first.row").select(F.col("own").alias(row))
+    gone = materialize(gone, "copies")
+    if gone.count() <= SENT_ROWS:
+        gone = F.broadcast(gone)
+    return marked.join(gone, row, "left_anti").select(*df.columns)
