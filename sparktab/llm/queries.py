@@ -46,7 +46,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_spans(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")).drop("text")
+    found = secret_spans(pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", "log10_guesses")
 
 
 @query
