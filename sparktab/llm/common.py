@@ -31,6 +31,27 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[old].alias(new) for new, old in columns.items()])
 
 
+#: Spark's setting of the bytes in one Arrow batch, its default, and what whole texts get instead.
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def map_texts(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` over whole texts, in small batches unless the session has a size of its own.
+
+    A batch is held by the JVM and by Python at once, for every task of an
+    executor; with texts little is gained beyond a few megabytes.
+    """
+    if df.sparkSession.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        df.sparkSession.conf.set(BATCH_KEY, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
+def texts_of(column: pa.Array) -> Iterator[bytes | None]:
+    """The values of a text column as UTF-8, one after the other."""
+    for value in column.cast(pa.binary()):
+        yield value.as_py()
+
+
 def append(df: DataFrame, column: str, fn: Callable[[bytes | None], tuple], fields: dict[str, str]) -> DataFrame:
     """Add columns computed from each whole value of one text column.
 
@@ -45,11 +66,11 @@ def append(df: DataFrame, column: str, fn: Callable[[bytes | None], tuple], fiel
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out = [fn(v) for v in batch.column(at).cast(pa.binary()).to_pylist()]
+            out = [fn(v) for v in texts_of(batch.column(at))]
             made = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
-    return df.mapInArrow(run, schema)
+    return map_texts(df, run, schema)
 
 
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:

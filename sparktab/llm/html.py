@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import append, fresh
+from sparktab.llm.common import append, fresh, map_texts
 from sparktab.llm.urls import host_of
 from sparktab.session import materialize
 
@@ -354,7 +354,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
     kind = "host string, wrapper string"
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partial = pages.select("host", "html").mapInArrow(learn, kind)
+    partial = map_texts(pages.select("host", "html"), learn, kind)
     salted = partial.repartition(parts, "host", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).mapInArrow(join, kind)
     return salted.repartition(parts, "host").mapInArrow(join, kind)
 

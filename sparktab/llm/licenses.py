@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import append, pick
+from sparktab.llm.common import append, map_texts, pick, texts_of
 
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words (the rarest) a template is looked up by, words a start may drift by edits, least share of words in order.
@@ -79,14 +79,14 @@ def document_counts(df: DataFrame, text_col: str, words: set[bytes]) -> tuple[di
         counts: dict[bytes, int] = {}
         n = 0
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
+            for text in texts_of(batch.column(0)):
                 n += 1
                 for w in words.intersection(words_of(text)):
                     counts[w] = counts.get(w, 0) + 1
         out = [(b"", n), *counts.items()]
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w, _ in out]), pa.array([c for _, c in out], pa.int64())], names=["word", "n"])
 
-    rows = pick(df, text=text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = map_texts(pick(df, text=text_col), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r["word"].encode(): r["n"] for r in rows}
     return counts, counts.pop(b"", 0)
 
