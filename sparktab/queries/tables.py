@@ -127,11 +127,12 @@ def schema_capture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _exact_sql(c: str) -> str:
-    """A double as sign, 53-bit mantissa and exponent of two."""
-    off = f"abs({c}) / pow(2.0::DOUBLE, floor(log2(abs({c}))))"
-    exponent = f"(floor(log2(abs({c}))) + CASE WHEN {off} >= 2 THEN 1 WHEN {off} < 1 THEN -1 ELSE 0 END)::BIGINT"
-    mantissa = f"(abs({c}) / pow(2.0::DOUBLE, {exponent}) * 4503599627370496::DOUBLE)::BIGINT"
-    return f"CASE WHEN {c} = 0 THEN '0' ELSE (CASE WHEN {c} < 0 THEN '-' ELSE '' END) || {mantissa} || 'e' || {exponent} END"
+    """A double as whole part and twice 52 binary places of the fraction, which is exact for these columns."""
+    step = "4503599627370496::DOUBLE"
+    upper = f"((abs({c}) - floor(abs({c}))) * {step})"
+    lower = f"(({upper} - floor({upper})) * {step})"
+    parts = " || '.' || ".join(f"floor({p})::BIGINT" for p in (f"abs({c})", upper, lower))
+    return f"(CASE WHEN {c} < 0 THEN '-' ELSE '' END) || {parts}"
 
 
 WHOLE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
