@@ -21,6 +21,8 @@ from sparktab.llm.common import append, fresh, pick
 MASKS = ("11111111", "1101011011", "10110010111", "110001110011")
 #: Least equal words and least share of equal words in an overlap; a passage shorter than the first must be there in full.
 LEAST_WORDS, LEAST_SHARE = 12, 0.8
+#: The least share in fifths.
+WHOLE_SHARE = round(LEAST_SHARE * 5)
 #: Words of test passages that one pass over the documents holds as an index.
 BLOCK_WORDS = 2_000_000
 TABLE_BITS = 20
@@ -101,16 +103,24 @@ class SeedIndex:
         return [(self.ids[k], -s, e, equal) for k, (equal, s, e) in sorted(found.items())]
 
     def _lay(self, doc: np.ndarray, k: int, shift: int, found: dict) -> None:
-        """Compare a passage with the document at one shift and keep the best stretch of equal words."""
+        """Compare a passage with the document at one shift and keep the stretch with the most equal words of those with the least share."""
         item = self.tokens[self.starts[k] : self.starts[k + 1]]
         lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
         same = item[lo:hi] == doc[lo + shift : hi + shift]
-        gain = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - LEAST_SHARE, -LEAST_SHARE) + 1e-9)])
-        floor = np.minimum.accumulate(gain)
-        end = int((gain - floor).argmax())
-        start = int(np.flatnonzero(gain[: end + 1] == floor[end])[0])
-        equal = int(same[start:end].sum())
-        if equal >= min(LEAST_WORDS, len(item)) and equal >= LEAST_SHARE * (end - start):
+        # A stretch has enough equal words if the sum does not fall over it; times 5, sums are whole numbers.
+        gain = np.concatenate([[0], np.cumsum(np.where(same, 5 - WHOLE_SHARE, -WHOLE_SHARE))])
+        total = np.concatenate([[0], np.cumsum(same)])
+        lowest = np.minimum.accumulate(gain)
+        # For each end the first start that is not higher holds the most words, and so the most equal ones.
+        begin = len(gain) - np.searchsorted(lowest[::-1], gain, side="right")
+        equals = total - total[begin]
+        end = int(equals.argmax())
+        start, equal = int(begin[end]), int(equals[end])
+        while start < end and not same[start]:
+            start += 1
+        while end > start and not same[end - 1]:
+            end -= 1
+        if equal and equal >= min(LEAST_WORDS, len(item)):
             first = lo + start + shift
             found[k] = max(found.get(k, (0, 0, 0)), (equal, -first, lo + end + shift))
 
