@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html import unescape
@@ -24,7 +25,7 @@ from sparktab.llm.common import append, fresh, map_texts
 from sparktab.llm.urls import host_of
 from sparktab.session import materialize
 
-#: Depth from which elements hang beside each other; longest group that is sought as a repetition.
+#: Depth from which elements hang beside each other, but for those that decide about their content; longest group that is sought as a repetition.
 DEEPEST, LONGEST_GROUP = 150, 4
 #: Nodes from which a list that does not fold becomes one repeated group.
 LONGEST_LIST = 48
@@ -77,22 +78,32 @@ def _key(tag: str, attributes: str) -> str:
 def parse(html: str) -> Element:
     """The balanced tree of a page: raw elements are left out, missing end tags put in, stray ones ignored."""
     root = Element("", "")
-    stack, at, raw = [root], 0, None
+    # For each open element where its children hang and which deep elements hold content; and how often a tag is open.
+    stack, homes, chains, opened, at = [root], [root], [()], Counter(), 0
+
+    def close(i: int) -> None:
+        ends = any(e.tag not in INLINE for e in stack[max(i, DEEPEST) :])
+        opened.subtract(e.tag for e in stack[i:])
+        del stack[i:], homes[i:], chains[i:]
+        there = homes[-1].children
+        if ends and there and (isinstance(there[-1], str) or there[-1].tag in INLINE):
+            there.append(Element("div", "div"))
+
     for m in TOKEN.finditer(html):
         if m.start() < at:
             continue
         if m.start() > at:
-            stack[-1].children.append(html[at : m.start()])
+            homes[-1].children.append(html[at : m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             if m[0].startswith("<![CDATA["):
-                stack[-1].children.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+                homes[-1].children.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
                 if tag in INLINE and stack[i].tag not in INLINE:
                     break
@@ -104,29 +115,42 @@ def parse(html: str) -> Element:
                 at = end.end() if end else len(html)
             continue
         closes = SAME_CLOSES.get(tag, CLOSED_BY_BLOCK if tag not in INLINE else None)
-        if closes:
+        if closes and any(opened[c] for c in closes):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in closes:
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in SCOPES:
                     break
-        if tag not in INLINE and tag in SAME_CLOSES:
+        if tag not in INLINE and tag in SAME_CLOSES and opened["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in SCOPES:
                     break
         element = Element(tag, _key(tag, attributes))
-        stack[-1].children.append(element)
-        if tag not in VOID and not attributes.endswith("/") and len(stack) < DEEPEST:
+        homes[-1].children.append(element)
+        if tag not in VOID and not attributes.endswith("/"):
+            chain = chains[-1]
+            kind = _deep_kind(element, chain) if len(stack) >= DEEPEST else ""
+            homes.append(element if kind or len(stack) < DEEPEST else homes[-1])
+            chains.append((*chain, kind) if kind else chain)
             stack.append(element)
+            opened[tag] += 1
     if at < len(html):
-        stack[-1].children.append(html[at:])
+        homes[-1].children.append(html[at:])
     return root
 
 
+def _deep_kind(element: Element, chain: tuple) -> str:
+    """What an element below DEEPEST decides about its content, if it must hold it: each kind once, and none within boilerplate."""
+    kind = element.tag if element.tag in MAIN_TAGS else "heading" if element.tag in HEADINGS else ""
+    if _boiler(element.key):
+        kind = "header" if element.key == "header" else "boiler"
+    return "" if kind in chain or "boiler" in chain else kind
+
+
 @lru_cache(maxsize=64)
 def _closing(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}[^>]*>", re.I)
