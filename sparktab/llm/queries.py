@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktab.llm.common import pick, table
 from sparktab.llm.decontaminate import overlaps
+from sparktab.llm.exact import exact_dedup
 from sparktab.llm.html import extract_text
 from sparktab.llm.licenses import license_scan
 from sparktab.llm.lm import lm_scores
@@ -93,6 +94,18 @@ def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op13_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 ORACLES["op4_url_filter"] = f"""
 WITH parts AS (
   SELECT page_id, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '') AS raw_host,
