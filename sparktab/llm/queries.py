@@ -14,6 +14,7 @@ from sparktab.llm.html import extract_text
 from sparktab.llm.licenses import license_scan
 from sparktab.llm.lm import lm_scores
 from sparktab.llm.mixing import LEAST_SHARE, REST, ROUNDS, TEMPER, mix
+from sparktab.llm.negatives import hard_negatives
 from sparktab.llm.pii import pii_spans
 from sparktab.llm.quality import fit_rules, quality
 from sparktab.llm.secrets import secret_spans
@@ -94,6 +95,33 @@ def op10_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pick(table(spark, sf_dir, "embeddings"), vec_id="vec_id", embedding="embedding", label="label")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", turned), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH rows AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.q, r.q)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND (a.label <> r.label OR a.vec_id <> r.vec_id)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(table(spark, sf_dir, "documents"))
