@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -76,3 +77,25 @@ def append(df: DataFrame, column: str, fn: Callable[[bytes | None], tuple], fiel
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     """Tasks for so many rows: the session's number, or more where tasks would grow."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
+
+
+#: What stands for a null id in arrays of ids, and a score below all others.
+NO_ID, LOWEST = np.iinfo(np.int64).max, np.iinfo(np.int64).min // 2
+
+
+class Best:
+    """The k best (score, id) of one search: higher scores first, then smaller ids, null ids last."""
+
+    __slots__ = ("ids", "k", "null", "scores")
+
+    def __init__(self, k: int) -> None:
+        self.k = k
+        self.scores, self.ids, self.null = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def floor(self) -> int:
+        return int(self.scores[-1]) if len(self.scores) == self.k else LOWEST
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, null: np.ndarray) -> None:
+        scores, ids, null = np.r_[self.scores, scores], np.r_[self.ids, ids], np.r_[self.null, null]
+        order = np.lexsort((ids, null, -scores))[: self.k]
+        self.scores, self.ids, self.null = scores[order], ids[order], null[order]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import map_texts
+from sparktab.llm.common import NO_ID, Best, map_texts
 from sparktab.session import materialize
 
 #: Components are multiplied by this and rounded down, and held to so many bits.
@@ -32,8 +32,6 @@ DIRECTIONS, DIRECTION_ROWS = 8, 64
 SLACK = 1e-6
 #: Bytes of anchors sent to the rows in one pass over the table, and rows of a block whose angles are bounded together.
 SEND_BYTES, BLOCK = 32 << 20, 1024
-NO_ID = np.iinfo(np.int64).max
-LOWEST = np.iinfo(np.int64).min // 2
 
 
 def whole_vector(name: str, scale: int = SCALE) -> Column:
@@ -115,27 +113,9 @@ class _Rows:
         return size * np.cos(farthest) - off, size * np.cos(nearest) + off
 
 
-class _Best:
-    """The k best (score, id) of one search: higher scores first, then smaller ids, null ids last."""
-
-    __slots__ = ("ids", "k", "null", "scores")
-
-    def __init__(self, k: int) -> None:
-        self.k = k
-        self.scores, self.ids, self.null = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def floor(self) -> int:
-        return int(self.scores[-1]) if len(self.scores) == self.k else LOWEST
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, null: np.ndarray) -> None:
-        scores, ids, null = np.r_[self.scores, scores], np.r_[self.ids, ids], np.r_[self.null, null]
-        order = np.lexsort((ids, null, -scores))[: self.k]
-        self.scores, self.ids, self.null = scores[order], ids[order], null[order]
-
-
 def _search_positives(anchors: _Anchors, k: int):
     """Offers a block of rows to every anchor; rows of its label, itself left out."""
-    best = [_Best(k) for _ in anchors.ids]
+    best = [Best(k) for _ in anchors.ids]
 
     def offer(rows: _Rows) -> None:
         for i, found in enumerate(best):
@@ -161,7 +141,7 @@ def windows(positive: int, least: int = LEAST_PERCENT, most: int = MOST_PERCENT)
 
 def _search_negatives(anchors: _Anchors, k: int, least: int, most: int):
     """Offers a block of rows to every window of every anchor; rows of other labels."""
-    looked = [[((place, p, s), *windows(s, least, most), _Best(k)) for place, p, s in own] for own in anchors.positives]
+    looked = [[((place, p, s), *windows(s, least, most), Best(k)) for place, p, s in own] for own in anchors.positives]
     looked = [[w for w in own if w[1] <= w[2]] for own in looked]
 
     def offer(rows: _Rows) -> None:

@@ -11,6 +11,7 @@ from sparktab.llm.common import pick, table
 from sparktab.llm.decontaminate import overlaps
 from sparktab.llm.exact import exact_dedup
 from sparktab.llm.html import extract_text
+from sparktab.llm.lexical import ranked_search, treap_index
 from sparktab.llm.licenses import license_scan
 from sparktab.llm.lm import lm_scores
 from sparktab.llm.mixing import LEAST_SHARE, REST, ROUNDS, TEMPER, mix
@@ -122,6 +123,30 @@ QUALIFY rank <= 10
 """
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "benchmark"), treap_index(table(spark, sf_dir, "documents")))
+
+
+TERMS = f"unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term"
+
+ORACLES["op12_ranked_search"] = f"""
+WITH tokens AS (SELECT doc_id, {TERMS} FROM documents),
+postings AS MATERIALIZED (SELECT doc_id, term, count(*)::BIGINT AS tf FROM tokens GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY ALL),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, docs),
+lengths AS (SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM sizes, totals),
+asked AS (SELECT DISTINCT item_id, {TERMS} FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (doc_id) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 @query
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(table(spark, sf_dir, "documents"))
