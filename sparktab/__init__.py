@@ -8,6 +8,7 @@ from sparktab.operators.profile import duplicate_count, fingerprint, head_sample
 from sparktab.operators.score import Scorer, score, score_files, score_json
 from sparktab.operators.split import kfold, stratified_split
 from sparktab.operators.validate import enforce, quarantine, run_validation, validate
+from sparktab.plans.approx import knn_join_approx
 from sparktab.plans.neighbors import knn_join
 from sparktab.plans.stages import data_stage, infer_stage, train_stage
 from sparktab.sources.readers import load_source, read_table
@@ -28,6 +29,7 @@ __all__ = [
     "kfold",
     "knn_grid",
     "knn_join",
+    "knn_join_approx",
     "knn_predict",
     "load_model",
     "load_source",

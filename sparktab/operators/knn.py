@@ -19,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from sparktab.functions.distance import METRICS
 from sparktab.functions.values import quoted
 from sparktab.operators.split import class_counts
+from sparktab.plans.approx import knn_join_approx
 from sparktab.plans.neighbors import _matrix, _Nearest, knn_join, nearest_distinct
 from sparktab.session import materialize
 
@@ -63,8 +64,10 @@ class KnnModel:
             self._local = spark.sparkContext.broadcast(Local(vectors, codes, sorted(self.classes), self.n_neighbors, self.metric, self.weights))
         return self._local
 
-    def neighbours(self, queries: DataFrame, bar: str | None = None) -> DataFrame:
-        return knn_join(
+    def neighbours(self, queries: DataFrame, bar: str | None = None, approximate: Mapping[str, Any] | None = None) -> DataFrame:
+        """The nearest references of every row; exact unless settings of the approximate join are given."""
+        join = knn_join if approximate is None else knn_join_approx
+        return join(
             queries,
             self.refs,
             self.n_neighbors,
@@ -73,6 +76,7 @@ class KnnModel:
             label_col=self.label_col,
             metric=self.metric,
             bar=bar,
+            **(approximate or {}),
         )
 
     def predict(self, queries: DataFrame, proba: bool = False) -> DataFrame:
@@ -244,19 +248,18 @@ def knn_predict(
     return votes.groupBy("query_id").agg(*shares, F.min_by("ref_label", best).alias("prediction"))
 
 
-def _choices(weighted: DataFrame, max_k: int, weights: Sequence[str]) -> DataFrame:
-    """The prediction at every k: every neighbour votes in each k it belongs to.
+def _choices(weighted: DataFrame, weights: Sequence[str]) -> DataFrame:
+    """The prediction at every k, on the row of rank k: ``query_id, k`` and one column for each weighting.
 
-    At most max_k * (max_k + 1) / 2 rows per query, in the partitioning of the join.
+    A label's votes never fall along the rank, so the winner among the first k rows is
+    the best running count any of them has. Both windows run in the partitioning of the
+    join, whatever the number of classes, and hold one row per neighbour.
     """
-    ks = F.explode(F.sequence(F.col("rank"), F.lit(max_k))).alias("k")
-    found = weighted.withColumn("n_found", F.max("rank").over(W.partitionBy("query_id")))
-    votes = found.select("query_id", "n_found", "ref_label", *weights, ks).where("k <= n_found")
-    sums = votes.groupBy("query_id", "k", "ref_label").agg(*[F.sum(w).alias(w) for w in weights])
-    best = [
-        F.min_by("ref_label", F.struct(-F.round(w, VOTE_DIGITS), F.col("ref_label"))).alias(w) for w in weights
-    ]
-    return sums.groupBy("query_id", "k").agg(*best)
+    own = W.partitionBy("query_id", "ref_label").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
+    so_far = W.partitionBy("query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
+    counted = weighted.select("query_id", "rank", "ref_label", *[F.round(F.sum(w).over(own), VOTE_DIGITS).alias(w) for w in weights])
+    best = [F.min(F.struct(-F.col(w), F.col("ref_label"))).over(so_far).getField("ref_label").alias(w) for w in weights]
+    return counted.select("query_id", F.col("rank").alias("k"), *best)
 
 
 def knn_grid(
@@ -272,7 +275,7 @@ def knn_grid(
     """Cross-validated accuracy of every k up to ``max_k`` under each weighting.
 
     One join finds the ``max_k`` nearest rows outside the query's own fold;
-    running votes along the rank then give the prediction for all k at once.
+    running votes along the rank then give the prediction for all k in one pass.
     Returns ``weights, k, accuracy`` as the mean over the folds' accuracies.
     ``folds`` is read several times and is best a stored table.
     """
@@ -284,7 +287,7 @@ def knn_grid(
         F.try_divide(F.lit(1.0), F.col("dist"))
     )
     weighted = nearest.withColumns({"uniform": F.lit(1.0), "distance": near})
-    chosen = _choices(weighted, max_k, weights)
+    chosen = _choices(weighted, weights)
     truth = folds.select(F.col(id_col).alias("query_id"), F.col(fold_col).alias("fold"), F.col(label_col).alias("label"))
     hits = chosen.join(truth, "query_id").groupBy("k", "fold")
     by_fold = hits.agg(*[F.avg((F.col(w) == F.col("label")).cast("double")).alias(w) for w in weights])

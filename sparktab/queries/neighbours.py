@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparktab.functions.distance import distance
 from sparktab.operators import knn
 from sparktab.operators.split import kfold, stratified_split
+from sparktab.plans.approx import SEED, knn_join_approx, recall
 from sparktab.plans.neighbors import knn_join
 from sparktab.queries.registry import query, table
 from sparktab.queries.sql import neighbour_ctes, split_ctes, vectors, vote_ctes
@@ -48,6 +49,48 @@ def knn_self_cells(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("dist", F.round("dist", 9))
 
 
+#: Settings of the approximate join for vectors that hardly cluster, as the embeddings are.
+APPROX = {"tables": 16, "bits": 6, "flips": 2}
+
+
+def buckets_sql(source: str, dim: int, tables: int, bits: int, flips: int) -> str:
+    """CTEs ending in ``own`` (id, table, bucket) and ``visited`` (id, table, bucket of every crossing)."""
+    crossings = " UNION ALL ".join(
+        f"SELECT id, t, xor(bucket, {' + '.join(f'(1 << near[{j + 1}])' for j in range(flips) if way >> j & 1) or '0'}) AS bucket FROM sided" for way in range(1 << flips)
+    )
+    return f"""
+    drawn AS (
+      SELECT p, i, md5('{SEED}|' || p || '|' || i) AS h
+      FROM (SELECT unnest(range({tables * bits})) AS p) CROSS JOIN (SELECT unnest(range({dim})) AS i)),
+    planes AS (
+      SELECT p, list(sqrt(-2 * ln((('0x' || substr(h, 1, 13))::BIGINT + 1) / pow(2, 52)))
+        * cos(2 * pi() * ('0x' || substr(h, 14, 13))::BIGINT / pow(2, 52)) ORDER BY i) AS plane FROM drawn GROUP BY p),
+    margins AS (SELECT id, p // {bits} AS t, p % {bits} AS j, list_dot_product(v, plane) AS m FROM {source}, planes),
+    sided AS (
+      SELECT id, t, sum(CASE WHEN m >= 0 THEN 1 << j ELSE 0 END)::BIGINT AS bucket, list(j ORDER BY abs(m)) AS near FROM margins GROUP BY ALL),
+    own AS (SELECT id, t, bucket FROM sided),
+    visited AS ({crossings})"""
+
+
+@query(
+    f"""WITH base AS ({vectors()}), {buckets_sql("base", 64, **APPROX)},
+    {neighbour_ctes("base", "base", 5, "q.id <> r.id")},
+    met AS (SELECT DISTINCT q.id AS query_id, r.id AS ref_id FROM visited q JOIN own r ON q.t = r.t AND q.bucket = r.bucket AND q.id <> r.id),
+    found AS (
+      SELECT query_id, ref_id, ref_label, dist, row_number() OVER (PARTITION BY query_id ORDER BY dist, ref_id)::INTEGER AS rank
+      FROM met JOIN pairs USING (query_id, ref_id) QUALIFY rank <= 5)
+    SELECT query_id, ref_id, ref_label, round(dist, 9) AS dist, rank,
+      (SELECT count(f.ref_id) / count(*) FROM near n LEFT JOIN found f USING (query_id, ref_id)) AS recall FROM found"""
+)
+def knn_self_approx(spark: SparkSession, folder: str) -> DataFrame:
+    """The self join by hyperplane buckets, with its recall against the exact join beside every row."""
+    embeddings = _embeddings(spark, folder)
+    found = knn_join_approx(embeddings, embeddings, 5, id_col="vec_id", vector_col="embedding", label_col="label", bar="vec_id", **APPROX)
+    found = materialize(found, "found")
+    share = recall(found, _self_join(embeddings)).select("recall")
+    return found.withColumn("dist", F.round("dist", 9)).crossJoin(F.broadcast(share))
+
+
 @query(
     f"""WITH base AS ({vectors()}), {neighbour_ctes("base", "base", 5, "q.id <> r.id", "euclidean")}
     SELECT query_id, ref_id, ref_label, round(dist, 6) AS dist, rank FROM near"""

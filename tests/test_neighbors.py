@@ -157,6 +157,40 @@ def test_grid_is_the_same_as_single_runs(spark):
         assert grid[weights, k] == pytest.approx(by_fold.agg(F.avg("a")).first()[0])
 
 
+def test_running_votes(spark):
+    """The winner after every rank, with ties, vanishing weights and labels that catch up; no explode, no new shuffle."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for q in range(40):
+        dist = np.sort(rng.integers(0, 6, 12)) / 4
+        rows += [(q, j + 1, int(rng.integers(0, 3)), float(dist[j])) for j in range(int(rng.integers(1, 13)))]
+    near = spark.createDataFrame(rows, "query_id long, rank int, ref_label int, dist double").repartition(3, "query_id")
+    weighted = knn.with_weights(near, "distance").withColumnRenamed("weight", "distance").withColumn("uniform", F.lit(1.0))
+    chosen = knn._choices(weighted, knn.WEIGHTS)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+    got = {(r.query_id, r.k): (r.uniform, r.distance) for r in chosen.collect()}
+    held = {}
+    for r in weighted.collect():
+        held.setdefault(r.query_id, {})[r["rank"]] = r
+    want = {}
+    for q, own in held.items():
+        for k in own:
+            votes = {w: {} for w in knn.WEIGHTS}
+            for j in range(1, k + 1):
+                for w in knn.WEIGHTS:
+                    votes[w][own[j].ref_label] = votes[w].get(own[j].ref_label, 0.0) + own[j][w]
+            want[q, k] = tuple(min(votes[w], key=lambda c: (-round(votes[w][c], 9), c)) for w in knn.WEIGHTS)  # noqa: B023
+    assert got == want
+
+
+def test_model_asks_either_join(spark):
+    rows = clustered(200, 4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = knn.train_model(df, "id", "v", "y", params={"n_neighbors": 4})
+    assert joined(model.neighbours(df, bar="id")) == joined(model.neighbours(df, bar="id", approximate={"tables": 1, "bits": 0}))
+
+
 def test_grid_of_many_classes(spark):
     rows = [(i, v, int(i % 60), f) for i, v, _, f in clustered(180, 8, spread=0.8)]
     df = spark.createDataFrame(rows, SCHEMA)
