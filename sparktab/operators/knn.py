@@ -20,7 +20,7 @@ from sparktab.functions.distance import METRICS
 from sparktab.functions.values import quoted
 from sparktab.operators.split import class_counts
 from sparktab.plans.approx import knn_join_approx
-from sparktab.plans.neighbors import _matrix, _Nearest, knn_join, nearest_distinct
+from sparktab.plans.neighbors import _matrix, _Nearest, _vectors, knn_join, nearest_distinct
 from sparktab.session import materialize
 
 # The vote weightings and the parameters of a model that names none.
@@ -136,23 +136,26 @@ class Local:
 
 
 def vote_in_place(df: DataFrame, vector_col: str, local, label_type: T.DataType, proba: bool) -> DataFrame:
-    """Add the votes of a broadcast model to every row, in its partition."""
+    """Add the votes of a broadcast model to every row, in its partition.
+
+    Only the vector goes to Python; the other columns of the row wait in the JVM.
+    """
     shares = [f"class_{i}" for i in range(len(local.value.classes))] if proba else []
-    fields = [T.StructField(c, T.DoubleType()) for c in shares] + [T.StructField("prediction", label_type)]
-    schema = T.StructType([*df.schema.fields, *fields])
+    voted = T.StructType([*[T.StructField(c, T.DoubleType()) for c in shares], T.StructField("prediction", label_type)])
     label_arrow = to_arrow_type(label_type)
 
-    def run(batches):
+    @F.arrow_udf(voted)
+    def vote(vectors: pa.Array) -> pa.Array:
         model = local.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes, votes = model.vote(_matrix(batch, vector_col))
-            labels = pa.array([model.classes[c] if c >= 0 else None for c in codes], label_arrow)
-            columns = [pa.array(votes[:, i]) for i in range(len(shares))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns, labels], names=[*batch.schema.names, *shares, "prediction"])
-
-    return df.mapInArrow(run, schema)
+        codes, votes = model.vote(_vectors(vectors, vector_col))
+        labels = pa.array([model.classes[c] if c >= 0 else None for c in codes], label_arrow)
+        return pa.StructArray.from_arrays([*[pa.array(votes[:, i]) for i in range(len(shares))], labels], names=voted.names)
+
+    name = "_vote"
+    while name in df.columns:
+        name += "_"
+    out = df.withColumn(name, vote(quoted(vector_col)))
+    return out.select(*map(quoted, df.columns), *[F.col(name).getField(c).alias(c) for c in voted.names])
 
 
 def fit_knn(

@@ -65,9 +65,6 @@ RECORD_FIELDS = (
 )
 
 
-INPUT_ROW = "_input_row"
-
-
 @dataclass
 class Scorer:
     """A model with the preprocessing its input needs.
@@ -91,10 +88,13 @@ class Scorer:
             raise PreprocessError(f"missing columns: {', '.join(lacking)}")
         ready, names = rename_columns(df, {k: v for k, v in self.rename.items() if k not in keep}), self.renamed_features()
         if self.preprocessor is not None:
-            ready = self.preprocessor.transform(ready, self.params, keep=keep)
-            names = self.preprocessor.output_names(self.params)
+            ready, names = self.preprocessor.transform(ready, self.params, keep=keep), self.vector_names()
         return columns_to_array(ready, names, self.model.vector_col, keep=keep)
 
+    def vector_names(self) -> list[str]:
+        """What the places of the vector hold."""
+        return self.renamed_features() if self.preprocessor is None else self.preprocessor.output_names(self.params)
+
     def renamed_features(self) -> list[str]:
         return [self.rename.get(c, c) for c in self.features]
 
@@ -135,20 +135,57 @@ def positive_share(model: KnnModel) -> Column:
     return F.col("class_1") if len(model.classes) > 1 else F.lit(0.0)
 
 
+def _with_vectors(df: DataFrame, scorer: Scorer, made: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """The vectors beside all input columns but the ``made`` ones, under names no feature has; and these columns by old name."""
+    prefix = "_in"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    columns = [c for c in df.columns if c not in made]
+    carried = [f"{prefix}{i}" for i in range(len(columns))]
+    both = df.select("*", *[quoted(c).alias(new) for c, new in zip(columns, carried, strict=True)])
+    return scorer.vectors(both, carried), {c: F.col(new).alias(c) for c, new in zip(columns, carried, strict=True)}
+
+
+def _vote(vectors: DataFrame, back: Mapping[str, Column], scorer: Scorer, proba: bool) -> DataFrame:
+    found = scorer.model.append(vectors, proba)
+    share = [positive_share(scorer.model).alias("prediction_proba")] if proba else []
+    return found.select(*back.values(), "prediction", *share)
+
+
+def _set_aside(vectors: DataFrame, back: Mapping[str, Column], scorer: Scorer) -> tuple[DataFrame, DataFrame]:
+    """Vectors that are whole, and the input rows of the others with the names of what they lack."""
+    lacking, names = "missing_features", F.array(*[F.lit(n) for n in scorer.vector_names()])
+    bad = F.transform(scorer.model.vector_col, lambda x, i: F.when(x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), F.get(names, i)))
+    marked = vectors.withColumn(lacking, F.array_compact(bad))
+    rejected = marked.where(F.size(lacking) > 0).select(*[c for n, c in back.items() if n != lacking], lacking)
+    return marked.where(F.size(lacking) == 0).drop(lacking), rejected
+
+
+def _made(proba: bool) -> list[str]:
+    return ["prediction", *(["prediction_proba"] if proba else [])]
+
+
 def score(df: DataFrame, scorer: Scorer, proba: bool = False) -> DataFrame:
     """Every input row with ``prediction`` and, if asked, ``prediction_proba``.
 
-    Rows carry their columns through the vote, so they need no id: rows with a
-    null id or one that repeats are scored like any other. Columns that bear the
-    new names already are replaced.
+    Rows carry their columns past the vote, so they need no id: rows with a null id
+    or one that repeats are scored like any other. Columns that bear the new names
+    already are replaced. A feature that is still missing after imputation raises
+    while the job runs; ``score_or_reject`` sets such rows aside.
     """
-    made = ["prediction", *(["prediction_proba"] if proba else [])]
-    columns = [c for c in df.columns if c not in made]
-    packed = df.withColumn(INPUT_ROW, F.struct(*map(quoted, columns)))
-    found = scorer.model.append(scorer.vectors(packed, [INPUT_ROW]), proba)
-    if proba:
-        found = found.withColumn("prediction_proba", positive_share(scorer.model))
-    return found.select(*[F.col(INPUT_ROW).getField(c).alias(c) for c in columns], *made)
+    return _vote(*_with_vectors(df, scorer, _made(proba)), scorer, proba)
+
+
+def score_or_reject(df: DataFrame, scorer: Scorer, proba: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The scored rows, and the input rows no vote can be had for, with ``missing_features``.
+
+    Rejected are rows with a null, NaN or infinite value among the features as the
+    model takes them, thus after imputation; every such feature is named. One bad
+    row costs its own score and nothing else.
+    """
+    vectors, back = _with_vectors(df, scorer, _made(proba))
+    whole, rejected = _set_aside(vectors, back, scorer)
+    return _vote(whole, back, scorer, proba), rejected
 
 
 def prediction_summary(scored: DataFrame) -> DataFrame:
@@ -170,14 +207,25 @@ def score_files(
     proba: bool = False,
     schema: T.StructType | None = None,
     output_format: str = "parquet",
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """File in, predictions file out; the scorer is one at hand or the path of a saved one.
 
+    With ``rejects_path`` rows that miss a feature are written there, as Parquet with
+    their columns and ``missing_features``; without it the first of them fails the job.
     Returns the written predictions.
     """
     scorer = load_scorer(spark, scorer) if isinstance(scorer, str) else scorer
     df = read_table(spark, input_path, schema=schema)
-    write_predictions(scorer.predict(df, proba), output_path, scorer.model.id_col, output_format)
+    if rejects_path is None:
+        found = scorer.predict(df, proba)
+    else:
+        require_columns(df, [scorer.model.id_col])
+        vectors, back = _with_vectors(df, scorer, [])
+        whole, rejected = _set_aside(vectors, back, scorer)
+        rejected.write.mode("overwrite").parquet(rejects_path)
+        found = scorer.model.predict(whole.select(back[scorer.model.id_col], scorer.model.vector_col), proba)
+    write_predictions(found, output_path, scorer.model.id_col, output_format)
     options = {"schema": None} if output_format == "csv" else {}
     return read_table(spark, output_path, output_format, **options)
 

@@ -49,8 +49,11 @@ SAFETY = 1e-6
 def _matrix(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     """The vectors of a list column as a float64 matrix."""
     column = table.column(name)
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    return _vectors(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, name)
+
+
+def _vectors(column: pa.Array, name: str) -> np.ndarray:
+    """The same of one array."""
     n = len(column)
     flat = column.flatten()
     values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)

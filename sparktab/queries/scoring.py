@@ -33,9 +33,9 @@ def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     return to_columns(rows.withColumn("embedding", vector), "embedding", FEATURES)
 
 
-def make_scorer(rows: DataFrame) -> s.Scorer:
+def make_scorer(rows: DataFrame, split: DataFrame | None = None) -> s.Scorer:
     """A model of the training split of a feature table."""
-    split = stratified_split(rows, "vec_id", "label")
+    split = stratified_split(rows, "vec_id", "label") if split is None else split
     train = columns_to_array(split.where(F.col("split") == "train"), FEATURES, "features")
     return s.Scorer(train_model(train, "vec_id", "features", "label"), FEATURES)
 
@@ -55,12 +55,32 @@ def array_to_columns(spark: SparkSession, folder: str) -> DataFrame:
       round(y_proba, 6) AS prediction_proba FROM preds"""
 )
 def score_append(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feature_table(spark, folder)
-    scorer = make_scorer(rows)
-    out = s.score(stratified_split(rows, "vec_id", "label"), scorer, proba=True)
+    split = stratified_split(feature_table(spark, folder), "vec_id", "label")
+    out = s.score(split, make_scorer(split, split), proba=True)
     return out.drop(*FEATURES).withColumn("prediction_proba", F.round("prediction_proba", 6))
 
 
+@query(
+    f"""{SCORED} SELECT vec_id, CASE WHEN vec_id % 7 < 2 THEN 'rejected' ELSE 'scored' END AS outcome,
+      CASE WHEN vec_id % 7 > 1 THEN y_pred END AS prediction, CASE WHEN vec_id % 7 > 1 THEN round(y_proba, 6) END AS prediction_proba,
+      CASE vec_id % 7 WHEN 0 THEN 'f3' WHEN 1 THEN 'f0,f63' END AS missing_features FROM preds"""
+)
+def score_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """By id some rows lack a feature, some hold NaN in one and infinity in another; they are set aside and named."""
+    rows = feature_table(spark, folder)
+    gaps = rows.withColumns(
+        {
+            "f3": F.when(F.col("vec_id") % 7 != 0, F.col("f3")),
+            "f0": F.when(F.col("vec_id") % 7 == 1, F.lit(float("nan"))).otherwise(F.col("f0")),
+            "f63": F.when(F.col("vec_id") % 7 == 1, F.lit(float("-inf"))).otherwise(F.col("f63")),
+        }
+    )
+    good, bad = s.score_or_reject(gaps, make_scorer(rows), proba=True)
+    good = good.select("vec_id", F.lit("scored").alias("outcome"), "prediction", F.round("prediction_proba", 6).alias("prediction_proba"), F.lit(None).cast("string").alias("missing_features"))
+    none = [F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("double").alias("prediction_proba")]
+    return good.unionByName(bad.select("vec_id", F.lit("rejected").alias("outcome"), *none, F.concat_ws(",", "missing_features").alias("missing_features")))
+
+
 @query(
     f"""{SCORED} SELECT count(*)::BIGINT AS n_predictions, round(avg(y_proba), 6) AS proba_mean,
       round(min(y_proba), 6) AS proba_min, round(max(y_proba), 6) AS proba_max FROM preds"""

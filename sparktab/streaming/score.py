@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from sparktab.operators.score import Scorer, score, score_json
+from sparktab.operators.score import Scorer, score_json, score_or_reject
 
 
 def score_stream(
@@ -29,11 +29,8 @@ def score_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        if json_col is None:
-            scored = score(batch, scorer, proba)
-        else:
-            scored, rejects = score_json(batch, json_col, scorer)
-            rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch={batch_id}")
+        scored, rejects = score_or_reject(batch, scorer, proba) if json_col is None else score_json(batch, json_col, scorer)
+        rejects.write.mode("overwrite").parquet(f"{sink}/rejects/batch={batch_id}")
         scored.write.mode("overwrite").parquet(f"{sink}/scored/batch={batch_id}")
         batch.unpersist()
 

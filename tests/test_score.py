@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators.knn import ModelError, train_model
 from sparktab.operators.preprocess import PreprocessError, columns_to_array
-from sparktab.operators.score import RECORD_FIELDS, Scorer, load_scorer, parse_records, prediction_summary, record_schema, save_scorer, score, score_files, score_json
+from sparktab.operators.score import RECORD_FIELDS, Scorer, load_scorer, parse_records, prediction_summary, record_schema, save_scorer, score, score_files, score_json, score_or_reject
 from sparktab.plans.stages import data_stage, infer_stage, train_stage
 from sparktab.sources.readers import SourceError
 from sparktab.streaming.quality import latest_windows, quality_stream, windowed_quality
@@ -78,6 +78,55 @@ def test_score_appends(spark, scorer):
         score(df.drop("f2"), scorer)
 
 
+def test_score_sends_the_vector_only(spark, scorer):
+    """One Arrow function over the vector; no struct of the row, no join, no shuffle."""
+    df = spark.range(5).selectExpr("id", "double(id) AS f1", "20D - id AS f2", "repeat('x', 1000) AS note", "map('a', id) AS extra")
+    plan = score(df, scorer, proba=True)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and plan.count("ArrowEvalPython") == 1
+    assert "MapInArrow" not in plan and "Exchange" not in plan and "named_struct" not in plan and "struct(id" not in plan
+    assert score(df, scorer).columns == ["id", "f1", "f2", "note", "extra", "prediction"]
+
+
+BAD = [(1, 1.0, 19.0, "a"), (2, None, 19.0, "b"), (3, float("nan"), float("inf"), "c"), (None, 18.0, 2.0, "d"), (2, 18.0, None, "e"), (4, 18.0, float("-inf"), "f")]
+
+
+def test_bad_rows_are_set_aside(spark, scorer):
+    df = spark.createDataFrame(BAD, "id bigint, f1 double, f2 double, missing_features string")
+    good, bad = score_or_reject(df, scorer, proba=True)
+    assert {(r.id, r.prediction, r.prediction_proba, r.missing_features) for r in good.collect()} == {(1, 0, 0.0, "a"), (None, 1, 1.0, "d")}
+    assert bad.columns == ["id", "f1", "f2", "missing_features"]
+    assert sorted((r.id, r.missing_features) for r in bad.collect()) == [(2, ["f1"]), (2, ["f2"]), (3, ["f1", "f2"]), (4, ["f2"])]
+    with pytest.raises(Exception, match="missing"):
+        score(df, scorer).collect()
+    good, bad = score_or_reject(df.where("false"), scorer)
+    assert good.count() == bad.count() == 0
+
+
+def test_imputed_features_are_not_missing(spark):
+    rows = [(i, float(i) if i % 4 else None, float(12 - i), i % 2) for i in range(12)]
+    df = spark.createDataFrame(rows, "id bigint, x1 double, x2 double, target int")
+    trained = train_stage(df, CONFIG, "id")
+    fresh = spark.createDataFrame([(1, None, 1.0), (2, 1.0, None)], "id bigint, x1 double, x2 double")
+    good, bad = score_or_reject(fresh, trained.scorer)
+    assert [r.id for r in good.collect()] == [1] and [(r.id, r.missing_features) for r in bad.collect()] == [(2, ["x2"])]
+
+
+def test_files_with_bad_rows(spark, scorer, tmp_path):
+    (tmp_path / "in.csv").write_text("id,f1,f2,note\n7,1.0,19.0,x\n8,,5.0,y\n9,15.0,5.0,z\n")
+    out = score_files(spark, f"{tmp_path}/in.csv", f"{tmp_path}/out", scorer, rejects_path=f"{tmp_path}/bad")
+    assert {r.id: r.prediction for r in out.collect()} == {7: 0, 9: 1}
+    assert [(r.id, r.note, r.missing_features) for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == [(8, "y", ["f1"])]
+
+
+def test_bad_rows_do_not_stop_a_stream(spark, scorer, tmp_path):
+    df = spark.createDataFrame([(r[0], r[1], r[2]) for r in BAD], "id bigint, f1 double, f2 double")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    score_stream(stream, scorer, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/scored")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "out/rejects")).count() == 4
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_score_files(spark, scorer, tmp_path, fmt):
     (tmp_path / "in.csv").write_text("id,f1,f2\n7,1.0,19.0\n8,15.0,5.0\n")
