@@ -80,17 +80,21 @@ def rake(cells: DataFrame, margins: Margins, rounds: int = ROUNDS) -> DataFrame:
 
     Each step multiplies every cell by target over sum of its margin's value.
     Sums combine before the shuffle, so a value that holds most cells is one row
-    per task; the state is written after each round.
+    per task; target shares lie beside each cell, and the state is written after
+    each round.
     """
     state = materialize(cells.withColumn("w", F.col("n") / F.lit(_total(cells, "n") or 1.0)), "cells")
-    targets = [materialize(_targets(state, c, margins.targets.get(c)), "targets") for c in margins.columns]
+    shares = {c: fresh(state, f"share_{c}") for c in margins.columns}
+    for column, share in shares.items():
+        state = state.join(_targets(cells, column, margins.targets.get(column)).withColumnRenamed("share", share), column)
+    state = materialize(state, "cells")
     for _ in range(rounds):
-        for column, target in zip(margins.columns, targets, strict=True):
+        for column, share in shares.items():
             sums = state.groupBy(column).agg(F.sum("w").alias("sum_w"))
-            factor = sums.join(target, column).select(column, F.when(F.col("sum_w") > 0, F.col("share") / F.col("sum_w")).otherwise(0.0).alias("factor"))
-            state = state.join(factor, column).withColumn("w", F.col("w") * F.col("factor")).drop("factor")
+            factor = F.when(F.col("sum_w") > 0, F.col(share) / F.col("sum_w")).otherwise(0.0)
+            state = state.join(sums, column).withColumn("w", F.col("w") * factor).drop("sum_w")
         state = materialize(state, "cells")
-    return state
+    return state.drop(*shares.values())
 
 
 def mix(df: DataFrame, margins: Margins | None = None, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> tuple[DataFrame, dict[str, str]]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from sparktab.llm.common import append, fresh, partitions, pick
+from sparktab.llm.common import append, partitions, pick
 from sparktab.llm.components import components
 from sparktab.session import materialize
 
@@ -280,24 +280,3 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = grouped(prints.select("fp", F.col("id").alias("rank")), distance)
     out = prints.join(groups, "fp", "left")
     return out.select("id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id"))
-
-
-def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, width: int = 3) -> DataFrame:
-    """The table with one row of each group: that of the least id (nulls last), of its repeats the first stored.
-
-    The table with its fingerprints is written once to the shared folder, which
-    fixes the row numbers that decide between rows of the same id. The numbers
-    of the copies are counted and, if few enough, sent to the rows, so that
-    texts stay where they are; else rows and numbers are joined.
-    """
-    fp, row = fresh(df, "simhash_fp"), fresh(df, "simhash_row")
-    marked = append(df.withColumn(row, F.monotonically_increasing_id()), text_col, lambda t: (simhash(t, width),), {fp: "long"})
-    marked = materialize(marked, "marked")
-    rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    prints = marked.select(F.col(fp).alias("fp"), F.col(row).alias("own"), rank.alias("rank"))
-    groups = grouped(prints.select("fp", "rank"), distance)
-    gone = prints.select("fp", "own").join(groups, "fp").where("own <> first.row").select(F.col("own").alias(row))
-    gone = materialize(gone, "copies")
-    if gone.count() <= SENT_ROWS:
-        gone = F.broadcast(gone)
-    return marked.join(gone, row, "left_anti").select(*df.columns)

@@ -9,7 +9,7 @@ from sparktab.llm import decontaminate, mixing, quality, secrets
 from sparktab.llm.queries import QUERIES
 from tests.llm.test_mixing import fitted
 from tests.llm.test_quality import plain as plain_counts
-from tests.llm.test_simhash import plain_components, plain_print
+from tests.llm.test_shingles import plain_kept
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,13 +28,9 @@ def test_stages_take_effect(spark, small):
     docs = spark.createDataFrame([rows[d] for d in sorted(kept)], docs.schema)
     out = corpus_pipeline.near_duplicates(spark, docs, small)
     assert out.columns == COLUMNS
-    prints = {d: plain_print(rows[d].text) for d in kept}
-    roots = plain_components(prints.values())
-    groups = {}
-    for d, p in prints.items():
-        groups.setdefault(roots[p], []).append(d)
+    texts = [(d, rows[d].text) for d in kept]
     kept = {r.doc_id for r in out.collect()}
-    assert kept == {min(g) for g in groups.values()}
+    assert kept == plain_kept(texts)
 
     docs = spark.createDataFrame([rows[d] for d in sorted(kept)], docs.schema)
     out = corpus_pipeline.benchmark_leaks(spark, docs, small)

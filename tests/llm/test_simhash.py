@@ -7,7 +7,7 @@ import xxhash
 
 from sparktab.llm.components import components
 from sparktab.llm.queries import QUERIES
-from sparktab.llm.simhash import hamming_links, plan_partitions, simhash, simhash_dedup, simhash_groups
+from sparktab.llm.simhash import hamming_links, plan_partitions, simhash, simhash_groups
 
 
 def plain_print(text):
@@ -103,8 +103,4 @@ def test_odd_rows(odd, none):
     assert len(rows) == 8
     assert {r.component_id for r in rows if r.id in (1, 2, 3)} == {1}
     assert Counter(r.component_id for r in rows)[4] == 3
-    kept = simhash_dedup(odd)
-    assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6]
     assert simhash_groups(none).count() == 0
-    assert simhash_dedup(none).count() == 0
