@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.values import as_number, as_timestamp
 from sparktab.operators import features as f
+from sparktab.operators.sparse import fit_sparse, sparse_distance, to_sparse
 from sparktab.operators.preprocess import Branch, Preprocessor, build_preprocessor, rename_columns as rename
 from sparktab.operators.preprocess import select_features as select
 from sparktab.operators.split import stratified_split
 from sparktab.queries.registry import query, table
+from sparktab.session import materialize
 from sparktab.queries.sql import split_ctes
 
 
@@ -388,6 +390,56 @@ def encode_onehot(spark: SparkSession, folder: str) -> DataFrame:
     return plan.transform(orders, plan.fit(learn), ["o_orderkey"])
 
 
+#: Orders by kind and by clerk-like customer, learnt on those that are not pending: places of the sparse vector.
+SPARSE = f"""{STATUS},
+    rows AS (SELECT o_orderkey, kind, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS buyer, o_orderkey % 8 AS size FROM kinds JOIN orders USING (o_orderkey)),
+    learn AS (SELECT * FROM rows WHERE kind NOT LIKE 'P%'),
+    kind_codes AS (SELECT kind, row_number() OVER (ORDER BY kind) AS at FROM (SELECT DISTINCT kind FROM learn)),
+    buyer_codes AS (
+      SELECT buyer, (SELECT count(*) FROM kind_codes) + row_number() OVER (ORDER BY buyer NULLS LAST) AS at FROM (SELECT DISTINCT buyer FROM learn)),
+    placed AS (
+      SELECT o_orderkey, size, k.at AS kind_at, b.at AS buyer_at
+      FROM rows r LEFT JOIN kind_codes k USING (kind) LEFT JOIN buyer_codes b ON r.buyer IS NOT DISTINCT FROM b.buyer)"""
+
+
+def _sparse(spark: SparkSession, folder: str) -> DataFrame:
+    orders, _ = _kinds(spark, folder)
+    buyer = table(spark, folder, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")).alias("buyer"))
+    rows = orders.join(buyer, "o_orderkey").withColumn("size", F.col("o_orderkey") % 8)
+    codes = fit_sparse(rows.where(F.col("o_orderstatus") != "P"), ["kind", "buyer"], ["size"])
+    return to_sparse(rows, codes, "vector", ["o_orderkey"])
+
+
+@query(
+    f"""WITH {SPARSE}
+    SELECT o_orderkey, concat_ws(',', 0, kind_at, buyer_at) AS indices,
+      concat_ws(',', size, CASE WHEN kind_at IS NOT NULL THEN 1 END, CASE WHEN buyer_at IS NOT NULL THEN 1 END) AS vals FROM placed"""
+)
+def encode_onehot_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinds and thousands of customers, some missing and some unseen, beside a number; as texts to be compared."""
+    whole = F.transform("vector.values", lambda v: v.cast("bigint").cast("string"))
+    return _sparse(spark, folder).select("o_orderkey", F.array_join("vector.indices", ",").alias("indices"), F.array_join(whole, ",").alias("vals"))
+
+
+@query(
+    f"""WITH {SPARSE},
+    pairs AS (
+      SELECT a.o_orderkey, b.o_orderkey AS other, a.size AS x, b.size AS y, a.size * b.size AS both_sizes,
+        (a.kind_at IS NOT NULL)::INTEGER + (a.buyer_at IS NOT NULL)::INTEGER AS n, (b.kind_at IS NOT NULL)::INTEGER + (b.buyer_at IS NOT NULL)::INTEGER AS m,
+        coalesce(a.kind_at = b.kind_at, false)::INTEGER + coalesce(a.buyer_at = b.buyer_at, false)::INTEGER AS same
+      FROM placed a JOIN placed b ON b.o_orderkey = a.o_orderkey + 1)
+    SELECT o_orderkey, other, round(sqrt((x - y) * (x - y) + n + m - 2 * same), 6) AS euclidean,
+      round(1 - coalesce((both_sizes + same) / nullif(sqrt(x * x + n) * sqrt(y * y + m), 0), 0), 6) AS cosine FROM pairs"""
+)
+def sparse_distances(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances of sparse vectors of neighbouring orders; in SQL those of the dense form."""
+    rows = materialize(_sparse(spark, folder), "sparse")
+    other = rows.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("o_orderkey").alias("other"), F.col("vector").alias("next"))
+    both = rows.join(other, "o_orderkey")
+    made = [F.round(sparse_distance(F.col("vector"), F.col("next"), m), 6).alias(m) for m in ("euclidean", "cosine")]
+    return both.select("o_orderkey", "other", *made)
+
+
 @query(
     f"""WITH {STATUS}, codes AS (SELECT kind, (row_number() OVER (ORDER BY kind) - 1)::DOUBLE AS code FROM known)
     SELECT o_orderkey, coalesce(code, -1) AS kind FROM kinds LEFT JOIN codes USING (kind)"""

@@ -14,7 +14,7 @@ from sparktab.operators.split import split_sizes, stratified_split
 from sparktab.queries.registry import query, table
 from sparktab.queries.sql import split_ctes
 from sparktab.session import scratch_path
-from sparktab.sources.readers import load_source, read_table
+from sparktab.sources.readers import load_source, read_rejects, read_table
 from sparktab.sources.writers import write_splits as write_split_table
 
 FORMATS = ("csv", "json", "orc", "parquet")
@@ -26,6 +26,22 @@ def _stored(df: DataFrame, fmt: str, name: str) -> str:
     return path
 
 
+#: Orders as lines of a file; by key some have a text for a number, a field too few, or a field too many.
+LINES = """CASE o_orderkey % 10 WHEN 0 THEN concat_ws(',', o_orderkey, 'none', o_orderpriority) WHEN 1 THEN concat_ws(',', o_orderkey, o_custkey)
+      WHEN 2 THEN concat_ws(',', o_orderkey, o_custkey, o_orderpriority, 'more') ELSE concat_ws(',', o_orderkey, o_custkey, o_orderpriority) END"""
+
+
+@query(
+    f"""SELECT CASE WHEN o_orderkey % 10 > 2 THEN o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 10 > 2 THEN o_custkey END AS o_custkey,
+      CASE WHEN o_orderkey % 10 > 2 THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderkey % 10 < 3 THEN {LINES} END AS record FROM orders"""
+)
+def scan_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{scratch_path(spark, 'lines')}.csv"
+    table(spark, folder, "orders").selectExpr(f"{LINES} AS value").write.text(path)
+    good, bad = read_rejects(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderpriority string", "record", header=False)
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query(
     """SELECT o_orderpriority, count(*)::BIGINT AS n_rows, round(sum(o_totalprice), 2) AS total,
       min(o_orderdate) AS first_date FROM orders GROUP BY ALL"""

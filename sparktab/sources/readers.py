@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from pathlib import PurePosixPath
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparktab.functions.values import quoted
+
 log = logging.getLogger(__name__)
 
 # Readable formats and the file suffix of each.
@@ -93,3 +98,29 @@ def require_rows(df: DataFrame) -> DataFrame:
     if not df.columns or df.isEmpty():
         raise SourceError("the loaded table is empty")
     return df
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType | str, record_col: str = "_record", **options: Any) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV that fit the schema, and the text of those that do not, as ``record_col``.
+
+    A row is broken if it has too few or too many fields or a field that cannot be read
+    as its type; nothing of it reaches the good rows, and one such row stops no job.
+    """
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*schema.fields, T.StructField(record_col, T.StringType())])
+    df = read_table(spark, path, "csv", whole, mode="PERMISSIVE", columnNameOfCorruptRecord=record_col, **options)
+    # always true, but asks for every field, so a row is judged alike whichever columns are read later
+    parsed = F.hash(*[quoted(c) for c in schema.fieldNames()]) >= -(1 << 31)
+    record = quoted(record_col)
+    return df.where(record.isNull() & parsed).drop(record_col), df.where(record.isNotNull() & parsed).select(record)
+
+
+@contextmanager
+def source_errors(path: str) -> Iterator[None]:
+    """Errors of reading a table that come only when a job runs, as ``SourceError``."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        if "FAILED_READ_FILE" in str(error) or "CANNOT_READ" in str(error) or "MALFORMED_RECORD" in str(error):
+            raise SourceError(f"cannot read {path}: {str(error)[:300]}") from error
+        raise

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparktab.operators import profile as p
-from sparktab.sources.readers import SourceError, load_source, read_table, require_rows, schema_from_rules
+from sparktab.sources.readers import SourceError, load_source, read_table, require_rows, schema_from_rules, read_rejects, source_errors
 from sparktab.sources.writers import write_predictions, write_splits
 
 
@@ -96,3 +96,20 @@ def test_head_and_schema(spark):
     df = spark.range(10).repartition(4)
     assert [r.id for r in p.head_sample(df, ["id"], 3).collect()] == [0, 1, 2]
     assert [tuple(r) for r in p.schema_rows(df).collect()] == [(0, "id", "bigint")]
+
+
+def test_broken_rows_are_set_aside(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c\n1,x,2.5\n2,y\nthree,z,1.0\n4,w,1.0,more\n5,,\n")
+    good, bad = read_rejects(spark, f"{tmp_path}/t.csv", "a int, b string, c double")
+    assert sorted((r.a, r.b, r.c) for r in good.collect()) == [(1, "x", 2.5), (5, None, None)]
+    assert good.select("b").count() == 2 and good.columns == ["a", "b", "c"]
+    assert sorted(r["_record"] for r in bad.collect()) == ["2,y", "4,w,1.0,more", "three,z,1.0"]
+
+
+def test_errors_of_a_running_job(spark, tmp_path):
+    (tmp_path / "t.parquet").mkdir()
+    (tmp_path / "t.parquet/part.parquet").write_bytes(b"no such format at all")
+    with pytest.raises(SourceError, match="cannot read"), source_errors(f"{tmp_path}/t.parquet"):
+        spark.read.schema("a int").parquet(f"{tmp_path}/t.parquet").collect()
+    with pytest.raises(ZeroDivisionError), source_errors("x"):
+        1 / 0  # noqa: B018
