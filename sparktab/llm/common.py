@@ -57,19 +57,21 @@ def append(df: DataFrame, column: str, fn: Callable[[bytes | None], tuple], fiel
     """Add columns computed from each whole value of one text column.
 
     ``fn`` gets the UTF-8 bytes (None for null) and returns one value per field.
-    Rows stay in their partition and other columns pass through untouched; one
-    value is worked on at a time, so memory is that of an Arrow batch.
+    Rows stay in their partition and other columns pass through untouched; a new
+    name the table has already gets underscores. One value is worked on at a time,
+    so memory is that of an Arrow batch.
     """
-    schema = T.StructType([*df.schema.fields, *[T.StructField(k, T._parse_datatype_string(v)) for k, v in fields.items()]])
-    at, kinds, names = df.columns.index(column), [ARROW[k] for k in fields.values()], [*df.columns, *fields]
+    made = [fresh(df, k) for k in fields]
+    schema = T.StructType([*df.schema.fields, *[T.StructField(k, T._parse_datatype_string(v)) for k, v in zip(made, fields.values(), strict=True)]])
+    at, kinds, names = df.columns.index(column), [ARROW[k] for k in fields.values()], [*df.columns, *made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             out = [fn(v) for v in texts_of(batch.column(at))]
-            made = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+            arrays = [pa.array([row[i] for row in out], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=names)
 
     return map_texts(df, run, schema)
 

@@ -126,9 +126,9 @@ class SeedIndex:
 
 
 def passages(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[int, list[str]]]]:
-    """Test passages with words, in blocks of bounded size read one after the other; one row per id and text."""
+    """Test passages with words, in blocks of bounded size read one after the other; one row per id (null too) and text."""
     block, size = [], 0
-    for row in pick(benchmark, id=id_col, text=text_col).where("id is not null and text is not null").distinct().orderBy("id").toLocalIterator():
+    for row in pick(benchmark, id=id_col, text=text_col).where("text is not null").distinct().orderBy("id").toLocalIterator():
         words = words_of(row["text"].encode())
         if words:
             block.append((row["id"], words))
@@ -145,7 +145,7 @@ def _probe(df: DataFrame, text_col: str, column: str, items: list) -> DataFrame:
 
     def scan(text: bytes | None) -> tuple:
         hits = index.value.matches(words_of(text))
-        return (";".join(f"{k}:{s}:{e}:{n}" for k, s, e, n in hits),)
+        return (";".join(f"{'' if k is None else k}:{s}:{e}:{n}" for k, s, e, n in hits),)
 
     return append(df, text_col, scan, {column: "string"})
 
@@ -154,11 +154,13 @@ def overlaps(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_i
     """The table with its overlaps as text: ``item:first:end:equal`` joined by semicolons, in words from 0.
 
     Every row stays; null and empty texts and an empty benchmark give empty
-    text. Words are runs of letters and digits in lower case. The index of one
+    text. A passage without id is matched like any other and has an empty id; a
+    column of the table that bears the new name keeps it, the new one gets
+    underscores. Words are runs of letters and digits in lower case. The index of one
     block of test passages is broadcast, its size bounded by ``block_words``; a
     larger benchmark takes a pass over the batch for each block.
     """
-    out, made = df, []
+    out, made, column = df, [], fresh(df, column)
     for i, items in enumerate(passages(benchmark, item_id, item_text, block_words)):
         made.append(fresh(out, f"{column}_block{i}"))
         out = _probe(out, text_col, made[-1], items)

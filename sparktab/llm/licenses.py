@@ -156,6 +156,7 @@ def license_scan(df: DataFrame, text_col: str = "text", templates: tuple[Templat
     ``matches`` has ``label:first word:share`` for every match. A null or empty
     text has no words and no labels. All documents count for the rarity of
     words; the index holds the templates alone, so it is small for any corpus.
+    Where the table has a column of a new name, the new one gets underscores.
     """
     vocabulary = {w for t in templates for w in words_of(t.text.encode())}
     index = Index(templates, *document_counts(df, text_col, vocabulary))

@@ -103,7 +103,8 @@ def mix(df: DataFrame, margins: Margins | None = None, id_col: str = "doc_id", t
     The weight is the cell's target tokens over its tokens; the probability is
     the weight over the largest weight, so that sampled tokens meet the margins
     in expectation and no probability exceeds 1. The draw depends on the id
-    alone: repeated ids fall together, a null id counts as empty. Null margin
+    alone: repeated ids fall together, a null id counts as empty. A column topic
+    that the table has is taken as it is, and none is added. Null margin
     values are a value of their own; values below the least share of tokens are
     fitted together, so that one odd document cannot set the scale. Where
     targets are given, values without one are never drawn.

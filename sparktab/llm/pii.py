@@ -139,7 +139,7 @@ def pii_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The table with counts, digest and spans of the personal data in each whole text.
 
     Every row stays; null and empty texts have no spans. Other columns pass
-    through (they must not bear the names of the new ones).
+    through; where one bears the name of a new one, the new one gets underscores.
     """
 
     def scan(text: bytes | None) -> tuple:

@@ -57,7 +57,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     found = overlaps(docs, table(spark, sf_dir, "benchmark")).where("overlaps <> ''")
-    items = F.transform(F.split("overlaps", ";"), lambda x: F.split(x, ":")[0].cast("long"))
+    items = F.transform(F.split("overlaps", ";"), lambda x: F.split(x, ":")[0].try_cast("long"))
     return found.select("doc_id", items.alias("item_ids"), F.size(items).cast("long").alias("n_items"), "overlaps")
 
 

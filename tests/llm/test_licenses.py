@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from sparktab.llm.licenses import NOTICES, TEMPLATES, Index, document_counts, license_scan, words_of
 from sparktab.llm.queries import QUERIES
 
@@ -63,3 +65,14 @@ def test_odd_rows(odd, none):
     assert rows[4].base_labels == rows[None].base_labels == "mit" and rows[5].n_words == 200_001
     assert license_scan(none.select("doc_id", "text")).count() == 0
     assert words_of(None) == []
+
+
+def test_taken_names(odd):
+    """Columns that bear the new names keep their values; the new ones get underscores, with the same results."""
+    plain = license_scan(odd.select("doc_id", "text"))
+    new = plain.columns[2:]
+    both = odd.select("doc_id", "text", *[F.lit(f"own {c}").alias(c) for c in new])
+    got = license_scan(both)
+    assert got.columns == ["doc_id", "text", *new, *[c + "_" for c in new]]
+    assert sorted(map(repr, (tuple(r[c + "_"] for c in new) for r in got.collect()))) == sorted(map(repr, (tuple(r[c] for c in new) for r in plain.collect())))
+    assert all(r[c] == f"own {c}" for r in got.collect() for c in new)

@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from sparktab.llm.pii import BASE, find_pii, iban_valid, luhn, pii_spans
 from sparktab.llm.queries import QUERIES
 
@@ -88,3 +90,14 @@ def test_odd_rows(odd, none):
     assert rows[1].spans == rows[2].spans == rows[5].spans == "" and rows[4].n_email == rows[None].n_email == 1
     assert pii_spans(none.select("doc_id", "text")).count() == 0
     assert find_pii("1" * 300_000 + "." + "a" * 300_000 + "@") == []
+
+
+def test_taken_names(odd):
+    """Columns that bear the new names keep their values; the new ones get underscores, with the same results."""
+    plain = pii_spans(odd.select("doc_id", "text"))
+    new = plain.columns[2:]
+    both = odd.select("doc_id", "text", *[F.lit(f"own {c}").alias(c) for c in new])
+    got = pii_spans(both)
+    assert got.columns == ["doc_id", "text", *new, *[c + "_" for c in new]]
+    assert sorted(map(repr, (tuple(r[c + "_"] for c in new) for r in got.collect()))) == sorted(map(repr, (tuple(r[c] for c in new) for r in plain.collect())))
+    assert all(r[c] == f"own {c}" for r in got.collect() for c in new)

@@ -81,6 +81,13 @@ def test_odd_rows_pass_every_stage(spark, odd, none, small):
             docs = out if name != "quality_rules" else given
 
 
+def test_mixture_of_documents_with_topics(spark, odd, small):
+    given = odd.withColumn("topic", odd.lang)
+    out = corpus_pipeline.mixture(spark, given, small)
+    assert out.columns[: len(given.columns)] == given.columns and len(set(out.columns)) == len(out.columns)
+    assert 0 < out.count() <= 8
+
+
 def test_fit_of_the_helper():
     import numpy as np
 

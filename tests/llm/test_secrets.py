@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparktab.llm.queries import QUERIES
 from sparktab.llm.secrets import find_secrets, guess_cost, load_words, mask_secrets, masked, secret_spans
 
@@ -112,3 +114,14 @@ def test_odd_rows(odd, none):
     out = mask_secrets(odd)
     assert out.columns == odd.columns and out.count() == 8
     assert secret_spans(none.select("doc_id", "text")).count() == mask_secrets(none).count() == 0
+
+
+def test_taken_names(odd):
+    """Columns that bear the new names keep their values; the new ones get underscores, with the same results."""
+    plain = secret_spans(odd.select("doc_id", "text"))
+    new = plain.columns[2:]
+    both = odd.select("doc_id", "text", *[F.lit(f"own {c}").alias(c) for c in new])
+    got = secret_spans(both)
+    assert got.columns == ["doc_id", "text", *new, *[c + "_" for c in new]]
+    assert sorted(map(repr, (tuple(r[c + "_"] for c in new) for r in got.collect()))) == sorted(map(repr, (tuple(r[c] for c in new) for r in plain.collect())))
+    assert all(r[c] == f"own {c}" for r in got.collect() for c in new)
