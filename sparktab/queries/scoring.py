@@ -17,7 +17,7 @@ from sparktab.queries.sql import BINARY, neighbour_ctes, report_ctes, scored_cte
 from sparktab.session import materialize, scratch_path
 from sparktab.sources.readers import read_table
 from sparktab.sources.writers import write_predictions
-from sparktab.streaming.quality import distinct_stream, latest_windows, quality_stream
+from sparktab.streaming.quality import distinct_stream, late_rows, latest_windows, quality_stream
 from sparktab.streaming.score import score_stream, start
 
 DIMS = 64
@@ -181,6 +181,26 @@ def stream_quality(spark: SparkSession, folder: str) -> DataFrame:
     return latest_windows(spark, sink)
 
 
+@query(
+    """WITH firsts AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS batch FROM events),
+    ends AS (SELECT *, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end FROM firsts),
+    mark AS (SELECT max(ts) - INTERVAL 12 DAY AS water FROM firsts WHERE batch = 0),
+    judged AS (SELECT window_end, batch = 1 AND window_end <= water AS late FROM ends, mark)
+    SELECT window_end::TIMESTAMP AS window_end, count(*) FILTER (NOT late)::BIGINT AS n_rows, count(*) FILTER (late)::BIGINT AS n_late
+    FROM judged GROUP BY ALL"""
+)
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the events come first, the others after them: those of days closed by then are named late, and none is lost."""
+    events, path = table(spark, folder, "events"), scratch_path(spark, "events")
+    sink, checkpoint = scratch_path(spark, "quality"), scratch_path(spark, "progress")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        events.where(part).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.schema).parquet(path)
+        quality_stream(stream, EVENT_RULES, "ts", sink, checkpoint, watermark="12 days").awaitTermination()
+    both = latest_windows(spark, sink).join(late_rows(spark, sink), ["window_start", "window_end"], "full")
+    return both.select("window_end", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_late", F.lit(0)).alias("n_late"))
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "events").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)

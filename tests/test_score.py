@@ -8,7 +8,7 @@ from sparktab.operators.preprocess import PreprocessError, columns_to_array
 from sparktab.operators.score import RECORD_FIELDS, Scorer, load_scorer, parse_records, prediction_summary, record_schema, save_scorer, score, score_files, score_json, score_or_reject
 from sparktab.plans.stages import data_stage, infer_stage, train_stage
 from sparktab.sources.readers import SourceError
-from sparktab.streaming.quality import latest_windows, quality_stream, windowed_quality
+from sparktab.streaming.quality import late_rows, latest_windows, quality_stream, windowed_quality
 from sparktab.streaming.score import score_stream
 
 CONFIG = {
@@ -239,3 +239,23 @@ def test_saved_scorer_with_rename_and_steps(spark, tmp_path):
         score(raw.drop("x 1"), loaded)
     with pytest.raises(ModelError):
         load_scorer(spark, str(tmp_path / "none"))
+
+
+def test_late_rows_are_named(spark, tmp_path):
+    """Batches out of order: rows seen are rows counted plus rows late; a time is missing; a closed window stays as it was."""
+    batches = [
+        [(1, "2024-01-01 10:00"), (2, "2024-01-03 12:00"), (None, "2024-01-03 13:00")],
+        [(3, "2024-01-01 11:00"), (4, "2024-01-02 23:00"), (5, None)],
+        [(None, "2024-01-01 12:00"), (7, "2024-01-06 01:00")],
+        [(8, "2024-01-03 05:00"), (9, "2024-01-05 23:59"), (10, None)],
+    ]
+    schema, source = "value int, at string", str(tmp_path / "in")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).selectExpr("value", "cast(at AS timestamp_ntz) AS ts").coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("value int, ts timestamp_ntz").parquet(source)
+        quality_stream(stream, [{"name": "value", "dtype": "int"}], "ts", str(tmp_path / "out"), str(tmp_path / "cp"), watermark="1 day").awaitTermination()
+    windows = {r.window_start.day: (r.n_rows, r.value_missing) for r in latest_windows(spark, str(tmp_path / "out")).collect()}
+    late = {r.window_start and r.window_start.day: r.n_late for r in late_rows(spark, str(tmp_path / "out")).collect()}
+    assert windows == {1: (1, 0), 2: (1, 0), 3: (2, 1), 5: (1, 0), 6: (1, 0)}
+    assert late == {1: 2, 3: 1, None: 2}
+    assert sum(n for n, _ in windows.values()) + sum(late.values()) == sum(map(len, batches))
