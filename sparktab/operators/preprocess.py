@@ -19,6 +19,7 @@ from sparktab.functions.values import present, quoted, sql_name
 from sparktab.operators.features import Step, apply_steps, build_steps, fit_steps
 from sparktab.plans.quantiles import quantiles
 from sparktab.plans.running import running_sums
+from sparktab.plans.sketches import sketched_quantiles
 from sparktab.session import scratch_path
 
 # Defaults of a column without settings of its own, the code of a
@@ -190,6 +191,13 @@ class Preprocessor:
     rename: Mapping[str, str] = field(default_factory=dict)
     steps: Sequence[tuple[str, Step]] = ()
     step_settings: Mapping[str, Any] | None = None
+    #: Size of the sketches medians and bin edges come from; exact without.
+    quantile_sketch: int | None = None
+
+    def _quantiles(self, df: DataFrame, values: dict[str, Column], shares: Sequence[float]) -> dict[str, list[float] | None]:
+        if self.quantile_sketch is None:
+            return quantiles(df, values, shares)
+        return sketched_quantiles(df, values, shares, self.quantile_sketch)
 
     def _input(self, df: DataFrame, params: Mapping[str, Any]) -> DataFrame:
         return rename_columns(apply_steps(df, self.steps, params["steps"]), self.rename)
@@ -229,7 +237,7 @@ class Preprocessor:
         binned = [b for b in numeric if b.bins]
         for bins in sorted({b.bins for b in binned}):
             values = {b.column: self._scaled(df, b, params) for b in binned if b.bins == bins}
-            edges = quantiles(df, values, [i / bins for i in range(bins + 1)])
+            edges = self._quantiles(df, values, [i / bins for i in range(bins + 1)])
             params["edges"].update({c: drop_close_edges(e) for c, e in edges.items()})
         self._fit_categories(df, params)
         return params
@@ -239,7 +247,7 @@ class Preprocessor:
         fill = {}
         medians = {b.column: value[b.column] for b in numeric if b.impute == "median"}
         if medians:
-            found = quantiles(df, medians, [0.5])
+            found = self._quantiles(df, medians, [0.5])
             fill.update({c: q[0] if q else None for c, q in found.items()})
         fill.update(modes(df, {b.column: value[b.column] for b in numeric if b.impute == "most_frequent"}))
         fill.update({b.column: float(b.constant()) for b in numeric if b.impute == "constant"})
@@ -400,6 +408,7 @@ def build_preprocessor(config: Mapping[str, Any]) -> Preprocessor:
         rename=rename,
         steps=build_steps(names, filled),
         step_settings={"names": names, "settings": filled},
+        quantile_sketch=settings.get("quantile_sketch"),
     )
 
 
@@ -445,6 +454,7 @@ def definition(plan: Preprocessor) -> dict[str, Any]:
         "passthrough": list(plan.passthrough),
         "rename": dict(plan.rename),
         "step_settings": plan.step_settings,
+        "quantile_sketch": plan.quantile_sketch,
     }
 
 
@@ -456,4 +466,5 @@ def from_definition(saved: Mapping[str, Any]) -> Preprocessor:
         rename=saved["rename"],
         steps=build_steps(asked["names"], asked["settings"]) if asked else (),
         step_settings=asked,
+        quantile_sketch=saved.get("quantile_sketch"),
     )

@@ -12,7 +12,7 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -112,16 +112,48 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     reads only the ruled columns. Its one row comes to the driver, and the
     report is built from it, so nothing is read again.
     """
-    checks = [(i, rule, check, broken) for i, rule in checkable(df, rules) for check, broken in value_checks(df, rule).items()]
+    checks = _value_checks(df, rules)
+    counts = df.agg(*_counts(checks)).first() if checks else ()
+    return _report(df, rules, checks, counts)
+
+
+def _value_checks(df: DataFrame, rules: Sequence[Rule]) -> list[tuple[int, Rule, str, Column]]:
+    return [(i, rule, check, broken) for i, rule in checkable(df, rules) for check, broken in value_checks(df, rule).items()]
+
+
+def _counts(checks: Sequence[tuple]) -> list[Column]:
+    return [F.count_if(broken).alias(f"c{at}") for at, (*_, broken) in enumerate(checks)]
+
+
+def _report(df: DataFrame, rules: Sequence[Rule], checks: Sequence[tuple], counts: Sequence[int]) -> DataFrame:
     found = structure_findings(df, rules)
-    if checks:
-        counts = df.agg(*[F.count_if(broken).alias(f"c{at}") for at, (*_, broken) in enumerate(checks)]).first()
-        for (i, rule, check, _), n in zip(checks, counts, strict=True):
-            bad = "warning" if check == "missing" and not is_required(rule) else "error"
-            found.append((i, rule["name"], check, bad, n, _message(rule, check, n)) if n else (i, rule["name"], check, "ok", 0, None))
+    for (i, rule, check, _), n in zip(checks, counts, strict=True):
+        bad = "warning" if check == "missing" and not is_required(rule) else "error"
+        found.append((i, rule["name"], check, bad, n, _message(rule, check, n)) if n else (i, rule["name"], check, "ok", 0, None))
     return df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
 
 
+class Watch:
+    """Rules counted while a table is on its way to somewhere else, so that it is not read for them.
+
+    ``df`` is the table to write or otherwise run to its end, once; ``report`` and
+    ``n_rows`` then have what passed. They wait for that job.
+    """
+
+    def __init__(self, df: DataFrame, rules: Sequence[Rule]) -> None:
+        self._source, self._rules, self._checks = df, rules, _value_checks(df, rules)
+        self._seen = Observation()
+        self.df = df.observe(self._seen, F.count(F.lit(1)).alias("n_rows"), *_counts(self._checks))
+
+    @property
+    def n_rows(self) -> int:
+        return self._seen.get["n_rows"]
+
+    def report(self) -> DataFrame:
+        """The report ``validate`` would give of the same rows."""
+        return _report(self._source, self._rules, self._checks, [self._seen.get[f"c{at}"] for at in range(len(self._checks))])
+
+
 def report_status(report: DataFrame) -> DataFrame:
     """One row: status, number of errors and of warnings."""
     errors = F.count_if(F.col("severity") == "error")
@@ -203,19 +235,33 @@ def enforce(report: DataFrame, action: str = "raise") -> list[str]:
     return errors
 
 
-def run_validation(df: DataFrame, config: Mapping[str, Any]) -> DataFrame | None:
-    """Apply a ``data_validation`` setting: rules, policy, or nothing if disabled."""
+def configured_rules(config: Mapping[str, Any]) -> Sequence[Rule]:
+    """The rules of a ``data_validation`` setting; none if it is disabled."""
     settings = config.get("data_validation", {})
     rules = settings.get("schema", {}).get("columns", [])
     if not settings.get("enabled", True) or not rules:
         log.info("validation is disabled or has no rules")
-        return None
-    report = validate(df, rules)
+        return []
+    return rules
+
+
+def act_on(report: DataFrame, config: Mapping[str, Any]) -> None:
+    """Write the report where the setting asks for it, and stop or warn."""
+    settings = config.get("data_validation", {})
     if settings.get("report_path"):
         from sparktab.sources.writers import write_json
 
         write_json(report_document(report), settings["report_path"])
     enforce(report, settings.get("action_on_error", "raise"))
+
+
+def run_validation(df: DataFrame, config: Mapping[str, Any]) -> DataFrame | None:
+    """Apply a ``data_validation`` setting: rules, policy, or nothing if disabled."""
+    rules = configured_rules(config)
+    if not rules:
+        return None
+    report = validate(df, rules)
+    act_on(report, config)
     return report
 
 

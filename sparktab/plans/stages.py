@@ -15,9 +15,9 @@ from sparktab.operators.knn import DEFAULT_PARAMS, KnnModel, train_model
 from sparktab.operators.preprocess import Preprocessor, build_preprocessor, columns_to_array, rename_columns, require_columns
 from sparktab.operators.score import Scorer, score
 from sparktab.operators.split import stratified_split
-from sparktab.operators.validate import run_validation
+from sparktab.operators.validate import Watch, act_on, configured_rules, run_validation
 from sparktab.session import materialize
-from sparktab.sources.readers import load_source, require_rows, schema_from_rules
+from sparktab.sources.readers import SourceError, load_source, require_rows, schema_from_rules
 
 VECTOR = "features"
 
@@ -33,13 +33,24 @@ class Trained:
 
 
 def data_stage(spark: SparkSession, config: Mapping[str, Any], schema: T.StructType | None = None) -> DataFrame:
-    """Load the source table, refuse an empty one, and apply the column rules."""
+    """Load the source table, refuse an empty one, and apply the column rules.
+
+    With rules the source is read once: they are counted while the table is written
+    to the shared folder, from where later steps read it.
+    """
     if schema is None and config["data_source"].get("type", "csv") == "csv":
         rules = config.get("data_validation", {}).get("schema", {}).get("columns", [])
         schema = schema_from_rules(rules) if config.get("schema_from_rules") and rules else None
-    df = require_rows(load_source(spark, config["data_source"], schema, warn_if_empty=False))
-    run_validation(df, config)
-    return df
+    df = load_source(spark, config["data_source"], schema, warn_if_empty=False)
+    rules = configured_rules(config)
+    if not rules or not df.columns:
+        return require_rows(df)
+    watch = Watch(df, rules)
+    loaded = materialize(watch.df, "loaded")
+    if not watch.n_rows:
+        raise SourceError("the loaded table is empty")
+    act_on(watch.report(), config)
+    return loaded
 
 
 def fit_on_train(

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.values import as_number, as_timestamp
 from sparktab.operators import features as f
-from sparktab.operators.sparse import fit_sparse, sparse_distance, to_sparse
 from sparktab.operators.preprocess import Branch, Preprocessor, build_preprocessor, rename_columns as rename
 from sparktab.operators.preprocess import select_features as select
 from sparktab.operators.split import stratified_split
+from sparktab.operators.sparse import fit_sparse, sparse_distance, to_sparse
+from sparktab.plans.sketches import merge_sketches, quantile_sketches, rank_error, sketch_quantiles
 from sparktab.queries.registry import query, table
 from sparktab.session import materialize
 from sparktab.queries.sql import split_ctes
@@ -358,6 +359,19 @@ def bin_quantile(spark: SparkSession, folder: str) -> DataFrame:
     return out.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query()
+def quantiles_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles of the event values from one sketch per type, merged, and how far their ranks are off. The sketch draws lots, so no SQL."""
+    events, shares = table(spark, folder, "events"), [0.25, 0.5, 0.75]
+    merged = merge_sketches(quantile_sketches(events, {"value": F.col("value")}, ["event_type"]), ["value"])
+    found = materialize(merged.select(F.posexplode(sketch_quantiles(F.col("value"), shares)).alias("at", "estimate")), "quantiles")
+    ranks = events.join(F.broadcast(found)).groupBy("at").agg(
+        F.count("value").alias("n_values"), F.first("estimate").alias("estimate"), F.avg((F.col("value") < F.col("estimate")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("estimate")).cast("double")).alias("up_to")
+    )
+    share = F.get(F.array(*map(F.lit, shares)), F.col("at"))
+    return ranks.select(share.alias("share"), "n_values", "estimate", F.greatest(F.lit(0.0), F.col("below") - share, share - F.col("up_to")).alias("rank_off"), F.lit(rank_error()).alias("rank_error"))
+
+
 @query(
     f"""WITH {PRICE_BINS}
     SELECT p_partkey, (bin = 0)::INTEGER::DOUBLE AS price_bin_0, (bin = 1)::INTEGER::DOUBLE AS price_bin_1,

@@ -120,6 +120,14 @@ LABEL_RULES = [
 EVENT_RULES = [{"name": "event_type", "dtype": "str", "allowed_values": ["click", "view"]}]
 
 
+@query(FINDINGS + "SELECT * FROM findings")
+def validate_watched(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole report from the counts taken while the table was written."""
+    watch = v.Watch(customer_gaps(spark, folder), RULES)
+    watch.df.write.parquet(scratch_path(spark, "watched"))
+    return watch.report().select(*COLUMNS)
+
+
 @query(
     f"""{FINDINGS}
     SELECT "column", n FROM findings WHERE "check" = 'invalid'

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sparktab.operators.knn import ModelError, train_model
 from sparktab.operators.preprocess import PreprocessError, columns_to_array
 from sparktab.operators.score import RECORD_FIELDS, Scorer, load_scorer, parse_records, prediction_summary, record_schema, save_scorer, score, score_files, score_json, score_or_reject
+from sparktab.operators.validate import ValidationError
 from sparktab.plans.stages import data_stage, infer_stage, train_stage
 from sparktab.sources.readers import SourceError
 from sparktab.streaming.quality import late_rows, latest_windows, quality_stream, windowed_quality
@@ -68,6 +69,22 @@ def test_data_stage(spark, tmp_path):
         data_stage(spark, {"data_source": {"raw_path": str(tmp_path / "none")}})
 
 
+def test_data_stage_reads_its_source_once(spark, tmp_path):
+    """The rules are counted on the way to the shared folder; later steps do not see the source."""
+    path = tmp_path / "t"
+    twelve(spark).write.option("header", True).csv(str(path))
+    rules = [{"name": "x1", "dtype": "int", "max": 10}]
+    config = {"data_source": {"raw_path": str(path)}, "schema_from_rules": True, "data_validation": {"action_on_error": "warn", "schema": {"columns": rules}}}
+    out = data_stage(spark, {**config, "schema_from_rules": False})
+    assert not any(str(path) in f for f in out.inputFiles()) and out.count() == 12
+    config["data_validation"]["action_on_error"] = "raise"
+    with pytest.raises(ValidationError, match="x1"):
+        data_stage(spark, {**config, "schema_from_rules": False})
+    twelve(spark).where("false").coalesce(1).write.mode("overwrite").option("header", True).csv(str(path))
+    with pytest.raises(SourceError, match="empty"):
+        data_stage(spark, config)
+
+
 def test_score_appends(spark, scorer):
     df = spark.createDataFrame([(100, 1.0, 19.0, "kept"), (101, 18.0, 2.0, "kept")], "id bigint, f1 double, f2 double, note string")
     rows = {r.id: r for r in score(df, scorer, proba=True).collect()}
