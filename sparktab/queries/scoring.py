@@ -55,7 +55,7 @@ def array_to_columns(spark: SparkSession, folder: str) -> DataFrame:
       round(y_proba, 6) AS prediction_proba FROM preds"""
 )
 def score_append(spark: SparkSession, folder: str) -> DataFrame:
-    split = stratified_split(feature_table(spark, folder), "vec_id", "label")
+    split = materialize(stratified_split(feature_table(spark, folder), "vec_id", "label"), "split")
     out = s.score(split, make_scorer(split, split), proba=True)
     return out.drop(*FEATURES).withColumn("prediction_proba", F.round("prediction_proba", 6))
 
