@@ -3,8 +3,11 @@
 A page becomes a balanced token stream, its repeated groups folded. Streams of
 one host are aligned one after the other: a part that one side lacks becomes
 optional, a group that repeats becomes a repetition, texts become slots. The
-result is a union-free regular expression over tags. Its slots are judged once
-per host, and every page is laid over the wrapper to read the main ones.
+result is a union-free regular expression over tags. Every slot keeps how many
+different texts it has, on how many different pages, and how much text. Its
+elements and slots are judged once per host by these: where the article is, what
+of it a class name that hints at boilerplate really marks, and which texts the
+host repeats. Every page is laid over the judged wrapper.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ from sparktab.session import materialize
 DEEPEST, LONGEST_GROUP = 150, 4
 #: Nodes from which a list that does not fold becomes one repeated group.
 LONGEST_LIST = 48
-#: Pages a host must have before a text that all of them share counts as part of the template (outside articles).
-TEMPLATE_PAGES = 4
+#: Smallest checksums that a slot keeps of its texts; counts below this number are exact, larger ones estimated.
+SKETCH = 16
+#: Share of a host's main text from which an element holds the article, whatever its class says.
+BODY_SHARE = 0.9
 #: Bytes of wrappers up to which they are sent to every task, and salts that share a host's partial wrappers out.
 SEND_BYTES, SALTS = 32 << 20, 16
 
@@ -55,7 +60,7 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|dis
 
 
 class Element:
-    """A page's element: key (tag and boilerplate words), and children, texts among them as plain strings."""
+    """A page's element: key (tag and boilerplate words, with ~ where they only qualify a name's last part), and children, texts as plain strings."""
 
     __slots__ = ("children", "key", "tag")
 
@@ -68,8 +73,9 @@ def _key(tag: str, attributes: str) -> str:
     words = set()
     for m in ATTRIBUTE.finditer(attributes):
         for name in (m[2] or m[3] or m[4] or "").lower().split():
-            parts = () if tag in MAIN_TAGS else re.split(r"[-_]+", name)
-            words |= {w for w in (name, *parts) if w in BOILER_WORDS}
+            *parts, last = (name,) if tag in MAIN_TAGS else [x for x in re.split(r"[-_]+", name) if x] or [name]
+            strong = {w for w in (name, last) if w in BOILER_WORDS}
+            words |= strong or {f"~{w}" for w in parts if w in BOILER_WORDS}
     if HIDDEN.search(attributes):
         words.add("hidden")
     return ".".join([tag, *sorted(words)])
@@ -156,8 +162,17 @@ def _closing(tag: str) -> re.Pattern:
     return re.compile(rf"</{tag}[^>]*>", re.I)
 
 
-# A node of a wrapper is [key, optional, repeated, content]: the content of "#" (a text
-# slot) is a checksum of its text, 0 where texts differ; that of others their nodes.
+# A node of a wrapper is [key, optional, repeated, content]. The content of "#" (a text slot)
+# is [checksums of its texts, checksums of page and text, characters], that of others their nodes.
+
+
+def smallest(sums: list) -> list:
+    return sorted(set(sums))[:SKETCH]
+
+
+def distinct(sums: list) -> float:
+    """How many different values the kept checksums stand for."""
+    return len(sums) if len(sums) < SKETCH else (SKETCH - 1) * 2**32 / (sums[-1] + 1)
 
 
 def fold(nodes: list) -> list:
@@ -196,17 +211,20 @@ def spread(nodes: list) -> list:
     return [x for n in nodes for x in (spread(n[3]) if n[0][0] == "(" else [n])]
 
 
-def shape(element: Element) -> list:
-    """The nodes of an element's content, folded."""
+def shape(element: Element, page: int = 0) -> list:
+    """The nodes of an element's content, folded; ``page`` is a checksum of the whole page."""
     out = []
     for child in element.children:
         if isinstance(child, str):
-            if child.strip() and not (out and out[-1][0] == "#"):
-                out.append(["#", False, False, crc32(" ".join(child.split()).encode()) or 1])
-            elif child.strip():
-                out[-1] = ["#", False, False, 0]
+            words = " ".join(child.split()).encode()
+            if words:
+                slot = ["#", False, False, [[crc32(words)], [crc32(words, page)], len(words)]]
+                if out and out[-1][0] == "#":
+                    out[-1] = merge(out[-1], slot)
+                else:
+                    out.append(slot)
         else:
-            out.append([child.key, False, False, shape(child)])
+            out.append([child.key, False, False, shape(child, page)])
     return fold(out)
 
 
@@ -239,15 +257,14 @@ def pairs(a: list, b: list) -> Iterator[tuple[int | None, int | None]]:
 
 
 def merge(a: list, b: list) -> list:
-    """One node for both: what only one side has becomes optional, differing texts a slot."""
+    """One node for both: what only one side has becomes optional, the texts of both fill one slot."""
     if a[0] == "#":
-        return ["#", a[1] or b[1], a[2] or b[2], a[3] if a[3] == b[3] else 0]
+        (texts, places, size), (texts2, places2, size2) = a[3], b[3]
+        return ["#", a[1] or b[1], a[2] or b[2], [smallest(texts + texts2), smallest(places + places2), size + size2]]
     return [a[0], a[1] or b[1], a[2] or b[2], merge_lists(a[3], b[3])]
 
 
 def merge_lists(a: list, b: list) -> list:
-    if a == b:
-        return a
     out = []
     for x, y in pairs(a, b):
         if x is not None and y is not None:
@@ -258,12 +275,29 @@ def merge_lists(a: list, b: list) -> list:
     return bounded(out)
 
 
-def slots(nodes: list) -> dict:
-    """A wrapper for reading: by key whether it is optional, and its slots or its shared text's checksum."""
+class Slot:
+    """A wrapper's element or text for reading: what the host has there, and whether it is left out."""
+
+    __slots__ = ("below", "drop", "main", "places", "size", "texts")
+
+    def __init__(self, texts: float, places: float, size: int, below: dict):
+        self.texts, self.places, self.size, self.below = texts, places, size, below
+        self.main, self.drop = 0, False
+
+
+def slots(nodes: list) -> dict[str, Slot]:
+    """The nodes by key, with the figures of all that is below. Neither depends on the order in which pages came."""
     by: dict[str, list] = {}
     for n in spread(nodes):
         by[n[0]] = merge(by[n[0]], n) if n[0] in by else n
-    return {k: (n[1], n[3] if k == "#" else slots(n[3])) for k, n in by.items()}
+    out = {}
+    for key, _, _, content in by.values():
+        if key == "#":
+            out[key] = Slot(distinct(content[0]), distinct(content[1]), content[2], {})
+        else:
+            below = slots(content)
+            out[key] = Slot(*(sum(getattr(x, field) for x in below.values()) for field in ("texts", "places", "size")), below)
+    return out
 
 
 def expression(nodes: list) -> str:
@@ -281,36 +315,89 @@ def _boiler(key: str) -> bool:
     return tag in BOILER_TAGS or bool(words) or tag == "header"
 
 
-def _has(nodes: list, tag: str) -> bool:
-    return any(n[0] != "#" and ((n[0].split(".")[0] == tag and not _boiler(n[0])) or (not (_boiler(n[0]) and n[0][0] != "(") and _has(n[3], tag))) for n in nodes)
-
-
-def _holds(element: Element, tag: str) -> bool:
-    """Whether the page has such an element outside of boilerplate."""
-    return any(not isinstance(c, str) and not _boiler(c.key) and (c.tag == tag or _holds(c, tag)) for c in element.children)
+def _left_out(key: str) -> bool:
+    """Elements that are boilerplate by their tag, or hidden, whatever the host's pages show."""
+    tag, *words = key.split(".")
+    return tag in BOILER_TAGS or "hidden" in words
 
 
 class Wrapper:
-    """A host's wrapper and the judgement of its slots."""
+    """A host's wrapper and the judgement of its slots.
+
+    The article is where the wrapper has article elements (else main elements,
+    else the whole page). An element whose class hints at boilerplate is left out
+    if the host repeats its texts on different pages, or if it is a container and
+    holds less than ``BODY_SHARE`` of the main text; inside the article the last
+    part of its class name must be the hint, and paragraphs, headings, items and
+    inline elements stay unless repeated. Without an article, a text that all
+    different pages share is the host's own, if such texts are the smaller part.
+    """
 
-    def __init__(self, nodes: list, pages: int):
-        self.slots, self.pages = slots(nodes), pages
-        self.region = next((t for t in MAIN_TAGS if _has(nodes, t)), None)
+    def __init__(self, nodes: list):
+        self.slots = slots(nodes)
+        self.region = next((t for t in MAIN_TAGS if self._measure(self.slots, t, False)), None)
+        total = self._measure(self.slots, self.region, self.region is None)
+        self._judge(self.slots, self.region is None, total)
+        if self.region is None:
+            shared = list(self._shared(self.slots))
+            if 2 * sum(x.size for x in shared) <= total:
+                for x in shared:
+                    x.drop = True
+
+    def _measure(self, here: dict, region: str | None, inside: bool) -> int:
+        """Characters of main text, noted at every element."""
+        for key, x in here.items():
+            if key == "#":
+                x.main = x.size if inside else 0
+            elif not _left_out(key):
+                x.main = self._measure(x.below, region, inside or key.split(".")[0] == region)
+        return sum(x.main for x in here.values())
+
+    def _judge(self, here: dict, inside: bool, total: int) -> None:
+        for key, x in here.items():
+            tag, *words = key.split(".")
+            if _left_out(key):
+                x.drop = True
+                continue
+            if words:
+                within = inside and self.region is not None
+                container = tag not in INLINE and not (within and tag in PARTS)
+                hint = not within or any(w[0] != "~" for w in words)
+                x.drop = 2 * x.texts <= x.places or (container and hint and x.main < BODY_SHARE * total)
+            self._judge(x.below, inside or tag == self.region, total)
+
+    def _shared(self, here: dict) -> Iterator[Slot]:
+        for key, x in here.items():
+            if key == "#" and x.texts == 1 < x.places:
+                yield x
+            elif not x.drop:
+                yield from self._shared(x.below)
 
     def read(self, page: Element) -> str:
         """Blocks of the page's main text, white space within each one space, one line each."""
         blocks: list[list[str]] = [[]]
-        region = self.region if self.region and _holds(page, self.region) else None
-        self._walk(page, self.slots, region, region is None, False, True, blocks)
+        region = self.region if self.region and self._holds(page, self.slots) else None
+        self._walk(page, self.slots, region, region is None, False, blocks)
         lines = (" ".join("".join(b).split()) for b in blocks)
         return "\n".join(line for line in lines if line)
 
-    def _walk(self, element: Element, here: dict, region: str | None, inside: bool, header: bool, always: bool, blocks: list) -> None:
+    def _drops(self, child: Element, slot: Slot | None) -> bool:
+        return slot.drop if slot else _left_out(child.key)
+
+    def _holds(self, element: Element, here: dict) -> bool:
+        """Whether the page has the host's article element."""
+        for child in element.children:
+            if not isinstance(child, str):
+                slot = here.get(child.key)
+                if not self._drops(child, slot) and (child.tag == self.region or self._holds(child, slot.below if slot else {})):
+                    return True
+        return False
+
+    def _walk(self, element: Element, here: dict, region: str | None, inside: bool, header: bool, blocks: list) -> None:
         for child in element.children:
             if isinstance(child, str):
-                shared = here.get("#")
-                template = region is None and always and shared and not shared[0] and shared[1] and self.pages >= TEMPLATE_PAGES
-                if inside and not template and (not header or element.tag in HEADINGS):
+                slot = here.get("#")
+                if inside and not (slot and slot.drop) and (not header or element.tag in HEADINGS):
                     blocks[-1].append(unescape(child))
                 continue
             block = child.tag not in INLINE
@@ -318,39 +405,35 @@ class Wrapper:
                 blocks.append([])
             elif child.tag == "br":
                 blocks[-1].append(" ")
-            below = header
-            if _boiler(child.key):
-                if not (child.key == "header" and inside and region):
-                    if block:
-                        blocks.append([])
-                    continue
-                below = True
-            optional, content = here.get(child.key, (True, {}))
-            self._walk(child, content, region, inside or child.tag == region, below, always and not optional, blocks)
+            slot, top = here.get(child.key), child.tag == "header"
+            if not self._drops(child, slot) and not (top and not (inside and region)):
+                self._walk(child, slot.below if slot else {}, region, inside or child.tag == region, header or top, blocks)
             if block:
                 blocks.append([])
 
+
+# Headings, and elements that are parts of a running text.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARTS = HEADINGS | frozenset("p li dt dd td th tr pre blockquote figcaption".split())
 
 
 @lru_cache(maxsize=256)
 def load(text: str) -> Wrapper:
-    saved = json.loads(text)
-    return Wrapper(saved["nodes"], saved["pages"])
+    return Wrapper(json.loads(text))
+
+
+def learn_page(html: str) -> list:
+    return shape(parse(html), crc32(html.encode()))
 
 
 def _dump(wrappers: dict) -> Iterator[pa.RecordBatch]:
     if wrappers:
-        texts = [json.dumps({"nodes": n, "pages": p}, separators=(",", ":")) for n, p in wrappers.values()]
+        texts = [json.dumps(n, separators=(",", ":")) for n in wrappers.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(wrappers)), pa.array(texts)], names=["host", "wrapper"])
 
 
-def _add(wrappers: dict, host: str, nodes: list, pages: int) -> None:
-    if host in wrappers:
-        old, n = wrappers[host]
-        wrappers[host] = (merge_lists(old, nodes), n + pages)
-    else:
-        wrappers[host] = (nodes, pages)
+def _add(wrappers: dict, host: str, nodes: list) -> None:
+    wrappers[host] = merge_lists(wrappers[host], nodes) if host in wrappers else nodes
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
@@ -365,15 +448,14 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         wrappers: dict[str, tuple] = {}
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                _add(wrappers, host, shape(parse(html or "")), 1)
+                _add(wrappers, host, learn_page(html or ""))
         yield from _dump(wrappers)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers: dict[str, tuple] = {}
         for batch in batches:
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                saved = json.loads(text)
-                _add(wrappers, host, saved["nodes"], saved["pages"])
+                _add(wrappers, host, json.loads(text))
         yield from _dump(wrappers)
 
     kind = "host string, wrapper string"
@@ -386,9 +468,11 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", column: str = "text") -> DataFrame:
     """The table with the main text of every page.
 
-    All pages of a host form its wrapper; pages without a host share one. Null
-    html is empty and an empty page has empty text. Small sets of wrappers
-    (checked by size) are sent to the pages; larger ones are joined by host.
+    All pages of a host form its wrapper, in whatever order they come; pages
+    without a host share one. Equal pages count once where texts are compared, so
+    repeated rows get the text of one. Null html is empty, an empty page has empty
+    text, an empty table gives one. Small sets of wrappers (checked by size) are
+    sent to the pages; larger ones are joined by host.
     """
     host, wrapper = fresh(df, "page_host"), fresh(df, "page_wrapper")
     pages = df.withColumn(host, host_of(F.col(url_col)))
@@ -401,7 +485,7 @@ def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", co
 
     def read(value: bytes | None) -> tuple:
         saved, _, html = value.decode().partition("\x00")
-        text = load(saved).read(parse(html)) if saved else Wrapper([], 0).read(parse(html))
+        text = load(saved or "[]").read(parse(html))
         return text, len(text)
 
     kept = [*df.columns, both]
