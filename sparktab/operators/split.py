@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sparktab.plans.running import running_sums
+from sparktab.session import materialize
+
 SLICE_ROWS = 100_000
 #: Classes up to which their quotas are sent to every task; more of them are joined.
 SENT_CLASSES = 100_000
@@ -55,6 +58,28 @@ def quotas(counts: dict, total: int) -> dict:
     return taken
 
 
+def quota_table(sizes: DataFrame, total: int, label: str = "label", n: str = "n", quota: str = "quota") -> DataFrame:
+    """``quotas`` as a table: sizes per class (whole numbers, labels unique) with the share of each class.
+
+    Remainders are ranked in slices of their order, so any number of classes
+    stays distributed; the driver gets two sums. Ties go to the smaller label.
+    """
+    if sizes.where(F.col(label).isNull()).limit(1).count():
+        raise SplitError(f"{label} has missing labels")
+    rows = sizes.agg(F.sum(n)).first()[0] or 0
+    if rows == 0:
+        return sizes.withColumn(quota, F.lit(0).cast("bigint"))
+    product = F.col(n).cast("decimal(18,0)") * F.lit(total).cast("decimal(18,0)")
+    shares = sizes.withColumn("_product", product).withColumn("_rows", F.lit(rows).cast("decimal(18,0)"))
+    shares = shares.withColumn("_floor", F.expr("_product div _rows"))
+    ranked = shares.withColumn("_order", F.struct((-(F.col("_product") % F.col("_rows"))).alias("short"), F.col(label).alias("label")))
+    ranked = ranked.withColumn("_one", F.lit(1).cast("bigint")).drop("_product", "_rows")
+    ranked = materialize(running_sums(ranked, "_order", ["_one"]), "remainders")
+    left = total - ranked.agg(F.sum("_floor")).first()[0]
+    more = F.when(F.col("run__one") <= left, 1).otherwise(0)
+    return ranked.select(*sizes.columns, (F.col("_floor") + more).cast("bigint").alias(quota))
+
+
 def draw_sizes(n: int, test: float, valid: float) -> tuple[int, int]:
     """Sizes of the test draw, and of the valid draw from what is left."""
     if not (0 <= test < 1 and 0 <= valid < 1 and test + valid < 1):
@@ -162,6 +187,33 @@ def stratified_split(
     return marked.withColumn("split", split).drop("of_class")
 
 
+def stratified_split_by_table(
+    df: DataFrame,
+    id_col: str,
+    target: str,
+    test: float = 0.2,
+    valid: float = 0.2,
+    seed: int = 42,
+) -> DataFrame:
+    """The split of ``stratified_split`` for any number of classes: sizes and quotas stay tables.
+
+    Rows are ranked in one shuffle on (class, leading digits); the quotas travel
+    with the offsets of those slices, so a class that holds most of the table
+    is spread over all tasks in the join as well. The driver gets sums only.
+    """
+    counted = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(counted, "classes")
+    rows = counted.agg(F.sum("n")).first()[0] or 0
+    n_test, n_valid = draw_sizes(rows, test, valid)
+    ends = quota_table(counted, n_test, quota="in_test")
+    ends = quota_table(ends.withColumn("rest", F.col("n") - F.col("in_test")), n_valid, n="rest", quota="in_valid")
+    ends = ends.select("label", F.struct("in_test", (F.col("in_test") + F.col("in_valid")).alias("through")).alias("of_class"))
+    ranked = rank_in_class(df, id_col, target, seed, ends)
+    place = F.col("class_rank")
+    split = F.when(place <= F.col("of_class.in_test"), "test").when(place <= F.col("of_class.through"), "valid").otherwise("train")
+    return ranked.withColumn("split", split).drop("class_rank", "of_class")
+
+
 def half_sample(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     """Half of the rows (rounded down), without replacement."""
     keys = cut_points(df, id_col, None, seed, {"half": {None: df.count() // 2}})
@@ -174,9 +226,13 @@ def complement(df: DataFrame, sample: DataFrame, id_col: str) -> DataFrame:
     return df.join(sample.select(id_col), id_col, "left_anti")
 
 
-def rank_in_class(df: DataFrame, id_col: str, target: str | None, seed: int = 42) -> DataFrame:
+def rank_in_class(
+    df: DataFrame, id_col: str, target: str | None, seed: int = 42, of_class: DataFrame | None = None
+) -> DataFrame:
     """Add ``class_rank``, 1 for the first row of its class in hash order.
 
+    ``of_class`` (columns label, of_class) gives every row the value of its class.
+
     Rows are ranked inside (class, leading digits) and shifted by the rows of
     the slices before, so a class that holds most of the table is spread over
     all tasks. The slice sizes are at most classes x slices rows.
@@ -188,10 +244,14 @@ def rank_in_class(df: DataFrame, id_col: str, target: str | None, seed: int = 42
     sizes = keyed.groupBy("_label", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy("_label").orderBy("_slice")) - F.col("_n")
     offsets = sizes.select("_label", "_slice", before.alias("_before"))
+    added = []
+    if of_class is not None:
+        offsets = offsets.join(of_class.select(F.col("label").alias("_label"), "of_class"), "_label")
+        added = ["of_class"]
     place = F.row_number().over(W.partitionBy("_label", "_slice").orderBy("_key"))
     placed = keyed.withColumn("_place", place).join(offsets, ["_label", "_slice"])
     rank = (F.col("_place") + F.col("_before")).cast("bigint")
-    return placed.withColumn("class_rank", rank).select(*df.columns, "class_rank")
+    return placed.withColumn("class_rank", rank).select(*df.columns, "class_rank", *added)
 
 
 def kfold(df: DataFrame, id_col: str, target: str | None, k: int = 5, seed: int = 42) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.values import as_number, as_timestamp
 from sparktab.operators import features as f
+from sparktab.operators.moments import Scale, apply_state, fit_state, merge_states
 from sparktab.operators.preprocess import Branch, Preprocessor, build_preprocessor, rename_columns as rename
 from sparktab.operators.preprocess import select_features as select
 from sparktab.operators.split import stratified_split
@@ -490,6 +491,26 @@ def fit_train_apply_all(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("o_totalprice", F.round("o_totalprice", 6) + F.lit(0.0))
 
 
+@query(
+    f"""WITH {ORDER_SPLIT},
+    gaps AS (SELECT *, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice::DOUBLE END AS gappy FROM split_rows),
+    s AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, avg(gappy) AS mean,
+        sqrt(var_pop(gappy) * count(gappy) / count(*)) AS std FROM gaps WHERE split = 'train')
+    SELECT o_orderkey, split, round((o_totalprice - lo) / (hi - lo), 6) + 0.0 AS o_totalprice,
+      round((coalesce(gappy, mean) - mean) / std, 6) + 0.0 AS gappy FROM gaps, s"""
+)
+def fit_merge_apply(spark: SparkSession, folder: str) -> DataFrame:
+    """States of the train rows by priority and day, merged by priority, then to one and applied to all rows in one plan."""
+    split = stratified_split(table(spark, folder, "orders"), "o_orderkey", "o_orderstatus")
+    rows = split.withColumn("gappy", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice").cast("double")))
+    columns = ["o_totalprice", "gappy"]
+    parts = fit_state(rows.where("split = 'train'"), columns, ["o_orderpriority", "o_orderdate"])
+    by_priority = merge_states(parts, columns, ["o_orderpriority"])
+    state = merge_states(by_priority, columns)
+    out = apply_state(rows, state, {"o_totalprice": Scale("minmax"), "gappy": Scale("standard", impute=True)})
+    return out.select("o_orderkey", "split", *[(F.round(c, 6) + F.lit(0.0)).alias(c) for c in columns])
+
+
 PART_CONFIG = {
     "features": {"continuous": ["size", "price"], "categorical": ["p_type"]},
     "raw_features": ["p_size", "p_retailprice", "p_type", "p_brand"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.operators.split import complement, half_sample, kfold, stratified_split
+from sparktab.operators.split import complement, half_sample, kfold, stratified_split, stratified_split_by_table
 from sparktab.operators.split import split_sizes as sizes
 from sparktab.operators.split import union_splits as union
 from sparktab.queries.registry import query, table
@@ -29,6 +29,16 @@ def split_stratified(spark: SparkSession, folder: str) -> DataFrame:
     return hold.withColumnsRenamed({"split": "hold_out", "s": "split"})
 
 
+@query(
+    f"""WITH {split_ctes("orders", "o_orderkey", "o_custkey", test=0.25, valid=0.1)}
+    SELECT o_orderkey, o_custkey, split FROM split_rows"""
+)
+def split_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """A class for every customer: quotas by largest remainder as a table."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return stratified_split_by_table(orders, "o_orderkey", "o_custkey", test=0.25, valid=0.1)
+
+
 @query(
     """WITH keyed AS (
       SELECT o_orderkey, row_number() OVER (ORDER BY md5('42|' || o_orderkey)) AS place,

@@ -112,3 +112,36 @@ def test_many_classes(spark):
     out = s.stratified_split(df, "id", "label", test=0.25, valid=0.25)
     sizes = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert sizes == {"test": 15_000, "valid": 15_000, "train": 30_000}
+
+
+@pytest.mark.parametrize("slice_values", [7, 100_000])
+@pytest.mark.parametrize("total", [0, 1, 333, 1000])
+def test_quota_table_is_quotas(spark, monkeypatch, slice_values, total):
+    monkeypatch.setitem(s.running_sums.__globals__, "SLICE_VALUES", slice_values)
+    counts = {i: 1 + (i * i) % 7 for i in range(250)}
+    want = s.quotas(counts, total)
+    table = spark.createDataFrame(list(counts.items()), "label int, n long")
+    assert {r.label: r.quota for r in s.quota_table(table, total).collect()} == want
+
+
+def test_quota_table_of_nothing_and_of_nulls(spark):
+    table = spark.createDataFrame([("a", 0), ("b", 0)], "label string, n long")
+    assert [r.quota for r in s.quota_table(table, 0).collect()] == [0, 0]
+    assert s.quota_table(table.where("false"), 0).count() == 0
+    with pytest.raises(s.SplitError):
+        s.quota_table(spark.createDataFrame([(None, 3)], "label string, n long"), 1)
+
+
+def test_split_by_table_is_the_split(spark, monkeypatch):
+    monkeypatch.setattr(s, "SLICE_ROWS", 50)
+    df = spark.range(900).selectExpr("id", "if(id % 3 = 0, 0, id % 97) as y")
+    one = {(r.id, r.split) for r in s.stratified_split(df, "id", "y", 0.3, 0.1).collect()}
+    assert {(r.id, r.split) for r in s.stratified_split_by_table(df, "id", "y", 0.3, 0.1).collect()} == one
+    assert s.stratified_split_by_table(df.where("false"), "id", "y").count() == 0
+
+
+def test_a_million_classes(spark):
+    df = spark.range(2_000_000).selectExpr("id", "id % 1000000 as label")
+    out = s.stratified_split_by_table(df, "id", "label", test=0.25, valid=0.25)
+    sizes = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    assert sizes == {"test": 500_000, "valid": 500_000, "train": 1_000_000}
