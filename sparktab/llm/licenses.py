@@ -19,11 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktab.llm import license_texts as texts
 from sparktab.llm.common import append, map_texts, pick, texts_of
 
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words (the rarest) a template is looked up by, words a start may drift by edits, least share of words in order.
 RARE, DRIFT, LEAST_SHARE = 4, 3, 0.75
+#: Words of a template that allow one more word of drift.
+DRIFT_WORDS = 24
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,16 @@ NOTICES = (
     Template("unlicense", "This is free and unencumbered software released into the public domain", ("public domain",)),
     Template("proprietary", "All rights reserved", ("all rights reserved",)),
 )
-TEMPLATES = BASE + NOTICES
+WHOLE = (
+    Template("mit-file", texts.MIT, ("free of charge", "to deal in the software without restriction", "without warranty of any kind")),
+    Template("bsd-3-clause", texts.BSD_3, ("redistribution and use", "this list of conditions", "neither the name", "endorse or promote products")),
+    Template("isc-file", texts.ISC, ("with or without fee", "disclaims all warranties")),
+    Template("zlib", texts.ZLIB, ("must not be misrepresented", "altered source versions")),
+    Template("apache-2.0-notice", texts.APACHE_2_NOTICE, ("apache license", "2 0", "required by applicable law")),
+    Template("gpl-3.0-notice", texts.GPL_3_NOTICE, ("general public license", "version 3", "any later version")),
+    Template("mpl-2.0-notice", texts.MPL_2_NOTICE, ("mozilla public license", "with this file")),
+)
+TEMPLATES = BASE + NOTICES + WHOLE
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -120,7 +132,7 @@ class Index:
                     starts.setdefault(k, {}).setdefault(at - i, set()).add(i)
         out = []
         for k, by in starts.items():
-            drift = 0 if self.templates[k].base else DRIFT
+            drift = self._drift(k)
             last = None
             for start in sorted(by):
                 agree = reduce(set.union, (by.get(start + d, set()) for d in range(drift + 1)))
@@ -133,11 +145,15 @@ class Index:
                     last = at + len(self.words[k]) - 1
         return len(words), sorted(out, key=lambda m: (m[1], m[0]))
 
+    def _drift(self, k: int) -> int:
+        return 0 if self.templates[k].base else max(DRIFT, len(self.words[k]) // DRIFT_WORDS)
+
     def _verify(self, words: list[bytes], k: int, at: int) -> float:
         want = self.words[k]
         if self.templates[k].base:
             return float(words[at : at + len(want)] == want)
-        window = words[max(0, at - DRIFT) : at + len(want) + 2 * DRIFT]
+        drift = self._drift(k)
+        window = words[max(0, at - drift) : at + len(want) + 2 * drift]
         for phrase in self.phrases[k]:
             if not any(window[i : i + len(phrase)] == phrase for i in range(len(window) - len(phrase) + 1)):
                 return 0.0

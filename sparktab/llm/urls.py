@@ -52,7 +52,7 @@ def canonical(url: Column) -> Column:
 
 
 def matching_rule(host: Column, path: Column, rules: tuple[Rule, ...], of) -> Column:
-    """A property of the longest rule that fits (the first of equal length); null without one."""
+    """A property of the longest rule that fits (the last of equal length); null without one."""
     out = F.lit(None).cast("string")
     for rule in sorted(rules, key=lambda r: len(r.name)):
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
@@ -99,7 +99,8 @@ def url_filter(df: DataFrame, listed: DataFrame, url_col: str = "url", rules: tu
 
     ``listed`` has a column ``canonical`` (nulls are ignored, repeats count
     once). The longest rule decides; without a rule a listed URL is blocked and
-    any other allowed. Null or odd URLs have empty host and path and are allowed.
+    any other allowed. Null or odd URLs have empty host and path and are allowed;
+    repeated rows each get their verdict; an empty table gives an empty one.
     Only distinct canonical URLs go through the filter, so a URL on a third of
     all rows is probed once per task.
     """

@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from sparktab.llm.licenses import NOTICES, TEMPLATES, Index, document_counts, license_scan, words_of
+from sparktab.llm.licenses import NOTICES, TEMPLATES, WHOLE, Index, document_counts, license_scan, words_of
 from sparktab.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -76,3 +76,26 @@ def test_taken_names(odd):
     assert got.columns == ["doc_id", "text", *new, *[c + "_" for c in new]]
     assert sorted(map(repr, (tuple(r[c + "_"] for c in new) for r in got.collect()))) == sorted(map(repr, (tuple(r[c] for c in new) for r in plain.collect())))
     assert all(r[c] == f"own {c}" for r in got.collect() for c in new)
+
+
+def test_whole_texts_with_edits():
+    """Whole licences are found with a holder's name put in and words lost; without a key phrase they are not."""
+    index = Index(TEMPLATES, {w: 1 + len(w) for t in WHOLE for w in words_of(t.text.encode())}, 100_000)
+    rng = random.Random(5)
+
+    def labels(words):
+        return {index.templates[k].label: (at, share) for k, at, share in index.scan(" ".join(words).encode())[1]}
+
+    for t in WHOLE:
+        words = [w.decode() for w in words_of(t.text.encode())]
+        assert labels(["lead"] * 40 + words + ["trail"] * 40)[t.label] == (40, 1.0), t.label
+        kept = {w for p in t.phrases for w in p.split()}
+        loose = [i for i, w in enumerate(words) if w not in kept]
+        gone = set(rng.sample(loose, len(words) // 25))
+        edited = [w for i, w in enumerate(words) if i not in gone]
+        edited[len(edited) // 2 : len(edited) // 2] = ["acme"] if len(words) > 60 else []
+        found = labels(["lead"] * 40 + edited + ["trail"] * 40) if all(" ".join(p.split()) in " ".join(edited) for p in t.phrases) else {t.label: (40, 1.0)}
+        assert found[t.label][1] > 0.9, t.label
+        phrase = t.phrases[-1].split()
+        broken = " ".join(words).replace(" ".join(phrase), " ".join(phrase[:-1] + ["other"])).split()
+        assert t.label not in labels(broken), t.label

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from sparktab.llm import urls
+from sparktab.llm.queries import QUERIES, listed_pages
 from sparktab.llm.urls import bloom_blocks, canonical, listed_urls, url_filter
 
 
@@ -79,3 +80,31 @@ def test_large_filter_is_joined(spark, monkeypatch):
 def test_canonical(spark):
     df = spark.createDataFrame([("https://WWW.a.com:443/b//index.htm?x#y",), ("x",), (None,)], "u string")
     assert [r[0] for r in df.select(canonical(F.col("u"))).collect()] == ["a.com/b", None, None]
+
+
+def test_false_hits_reach_the_join_and_go(spark, monkeypatch):
+    """A filter too small for its list lets many others through; none of them stays."""
+    monkeypatch.setattr(urls, "BITS_PER_URL", 2)
+    listed = spark.range(3000).select(F.concat(F.lit("l.com/"), "id").alias("canonical"))
+    others = spark.range(3000).select(F.concat(F.lit("o.com/"), "id").alias("canonical"))
+    blocks = 3000 * 2 // 256
+    block, bits = urls._place(F.col("canonical"), blocks)
+    probes = others.select("canonical", block.alias("block"), *[b.alias(f"b{i}") for i, b in enumerate(bits)])
+    assert probes.join(bloom_blocks(listed, "canonical", blocks), "block").where(" and ".join(f"w{i} & b{i} <> 0" for i in range(8))).count() > 500
+    assert sorted(listed_urls(others.unionByName(listed), listed).collect()) == sorted(listed.collect())
+
+
+def test_query_blocks_by_the_list_alone(spark, small):
+    rows = QUERIES["op4_url_filter"](spark, small).collect()
+    listed = {r.canonical for r in listed_pages(spark).collect()}
+    assert len(listed) == 540_000
+    seen = {u: c for u, c in spark.read.parquet(f"{small}/pages.parquet").select("page_id", canonical(F.col("url"))).collect()}
+    assert all(r.verdict == ("block" if seen[r.page_id] in listed else "allow") for r in rows if r.rule is None)
+    assert listed - set(seen.values()) and all((r.host, r.path) == plain(u.url) for r, u in zip(sorted(rows), spark.read.parquet(f"{small}/pages.parquet").orderBy("page_id").collect(), strict=True))
+
+
+def test_very_long_urls(spark):
+    long = "http://bad.com/" + "a" * 300_000
+    df = spark.createDataFrame([(1, long), (2, long + "b"), (3, long + "?" + "q" * 1000)], "page_id int, url string")
+    listed = spark.createDataFrame([(long[7:],)], "canonical string")
+    assert {r.page_id: r.verdict for r in url_filter(df, listed)[0].collect()} == {1: "block", 2: "allow", 3: "block"}
