@@ -1,9 +1,10 @@
 """A small causal self-attention model over subword ids, in numpy.
 
-An input piece has a row in tables of queries, keys, values and outputs; the
-sum of attended values and the piece's own output predicts the class of the next
-piece. The most frequent pieces are classes of their own, the others share
-classes by frequency, and a piece within a class is predicted by its count.
+Every piece of the vocabulary has a row of its own with its query, key, key
+bias, value and output; the sum of attended values and the piece's own output
+predicts the class of the next piece. The most frequent pieces are classes of
+their own, the others share classes by frequency, and a piece within a class is
+predicted by its count.
 """
 
 from __future__ import annotations
@@ -12,20 +13,22 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Width of queries and keys, width of values, classes (of which shared), input rows (of which shared).
-HEAD, WIDTH, CLASSES, SHARED_CLASSES, ROWS, SHARED_ROWS = 8, 16, 64, 8, 2048, 64
+#: Width of queries and keys, width of values, classes (of which shared).
+HEAD, WIDTH, CLASSES, SHARED_CLASSES = 8, 16, 64, 8
+#: Columns of a piece's row.
+Q, K, B, V, R = slice(0, HEAD), slice(HEAD, 2 * HEAD), 2 * HEAD, slice(2 * HEAD + 1, 2 * HEAD + 1 + WIDTH), slice(2 * HEAD + 1 + WIDTH, 2 * HEAD + 1 + 2 * WIDTH)
+COLUMNS = R.stop
 #: Earlier pieces a window repeats for context, and pieces it scores.
-CONTEXT, STRIDE = 8, 40
+CONTEXT, STRIDE = 64, 64
 WINDOW = CONTEXT + STRIDE
 BEGIN, END, PAD, SPECIALS = 0, 1, 2, 3  # after the vocabulary
-PAD_ROW = ROWS - SPECIALS + PAD
 #: Bounds of attention scores before the exponential; PAD stays at the lower one.
 LIMIT = 20
 
 
 @dataclass
 class Pieces:
-    """What the counts of pieces fix: rows and classes of all pieces, and log chances within classes."""
+    """What the counts of pieces fix: rows (by falling count) and classes of all pieces, and log chances within classes."""
 
     size: int
     row: np.ndarray
@@ -33,6 +36,10 @@ class Pieces:
     inside: np.ndarray
     class_log: np.ndarray
 
+    @property
+    def pad(self) -> int:
+        return int(self.row[self.size + PAD])
+
 
 def arrange(counts: np.ndarray) -> Pieces:
     """Rows and classes from the counts of all vocabulary pieces and of END (last)."""
@@ -47,10 +54,7 @@ def arrange(counts: np.ndarray) -> Pieces:
     mass = np.cumsum(full[rest] + 0.5)
     cls[rest] = own + np.minimum(SHARED_CLASSES - 1, (mass - 0.25) / mass[-1] * SHARED_CLASSES).astype(np.int32)
     row = np.zeros(len(full), np.int32)
-    singles = min(ROWS - SHARED_ROWS - SPECIALS, len(full))
-    row[order[:singles]] = np.arange(singles)
-    row[order[singles:]] = singles + np.arange(len(full) - singles) % SHARED_ROWS
-    row[size:] = ROWS - SPECIALS + np.arange(SPECIALS)
+    row[order] = np.arange(len(full))
     smooth = full + 0.5
     sums = np.bincount(cls, smooth, minlength=CLASSES)
     return Pieces(size, row, cls, np.log(smooth / sums[cls]), np.log(np.maximum(sums, 0.5) / np.maximum(sums, 0.5).sum()))
@@ -62,19 +66,24 @@ def initial(pieces: Pieces, seed: int = 0) -> dict[str, np.ndarray]:
     def small(*shape: int) -> np.ndarray:
         return rng.normal(0, 0.1, shape).astype(np.float32)
 
-    p = {"q": small(ROWS, HEAD), "k": small(ROWS, HEAD), "b": np.zeros((ROWS, 1), np.float32), "v": small(ROWS, WIDTH), "r": small(ROWS, WIDTH)}
-    p["b"][PAD_ROW] = -2 * LIMIT
-    p |= {"pq": small(WINDOW, HEAD), "pk": small(WINDOW, HEAD), "w": small(CLASSES, WIDTH), "o": pieces.class_log.astype(np.float32)}
-    return p
+    rows = small(len(pieces.row), COLUMNS)
+    rows[:, B] = 0
+    rows[pieces.pad, B] = -2 * LIMIT
+    return {"rows": rows, "pq": small(STRIDE, HEAD), "pk": small(WINDOW, HEAD), "w": small(CLASSES, WIDTH), "o": pieces.class_log.astype(np.float32)}
+
+
+#: Parameters that every window uses.
+SHARED = ("o", "pk", "pq", "w")
 
 
 def flat(params: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([params[k].ravel() for k in sorted(params)])
+    """The parameters that every window uses, as one vector."""
+    return np.concatenate([params[k].ravel() for k in SHARED])
 
 
 def unflat(vector: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k in sorted(like):
+    for k in SHARED:
         out[k] = vector[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
         at += like[k].size
     return out
@@ -88,6 +97,7 @@ class Stream:
     target: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    pad: int
 
     @classmethod
     def of(cls, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces) -> Stream:
@@ -100,7 +110,7 @@ class Stream:
         inputs[inner] = ids
         target = np.full(len(inputs), pieces.size + END, np.int32)
         target[:-1][inner[1:]] = inputs[1:][inner[1:]]
-        return cls(pieces.row[inputs], target, starts, ends)
+        return cls(pieces.row[inputs], target, starts, ends, pieces.pad)
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """Document and first scored place of every window; a place is scored in one window."""
@@ -110,100 +120,110 @@ class Stream:
         return doc, self.starts[doc] + nth * STRIDE
 
     def cut(self, doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Input rows of some windows (PAD outside the document), places, and which of them are scored."""
+        """Input rows of some windows (PAD outside the document), places to score, and which of them are there."""
         at = first[:, None] + np.arange(-CONTEXT, STRIDE)
         there = (at >= self.starts[doc][:, None]) & (at < self.ends[doc][:, None])
         at = np.clip(at, 0, len(self.rows) - 1)
-        rows = np.where(there, self.rows[at], PAD_ROW)
-        there[:, :CONTEXT] = False
-        return rows, at, there
+        return np.where(there, self.rows[at], self.pad), at[:, CONTEXT:], there[:, CONTEXT:]
 
 
-_CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
+#: The context is before every place to score; of the places themselves each sees those up to itself.
+_CAUSAL = np.tril(np.ones((STRIDE, STRIDE), np.float32))
 
 
-def log_chances(p: dict, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Natural log chance of the target class at each place to score: masked attention over a batch of windows."""
-    e = (p["q"][rows[:, CONTEXT:]] + p["pq"][CONTEXT:]) @ (p["k"][rows] + p["pk"]).transpose(0, 2, 1)
-    e += p["b"][rows].transpose(0, 2, 1)
+def _attend(p: dict, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of a batch of windows, queries, keys, and the masked exponentials of their scores."""
+    x = np.take(p["rows"], rows, axis=0)
+    q, k = x[:, CONTEXT:, Q] + p["pq"], x[:, :, K] + p["pk"]
+    e = q @ k.transpose(0, 2, 1)
+    e += x[:, None, :, B]
     np.clip(e, -LIMIT, LIMIT, out=e)
     np.exp(e, out=e)
-    e *= _CAUSAL[CONTEXT:]
-    h = e @ p["v1"][rows]  # the last column sums the weights
-    h = h[:, :, :WIDTH] / h[:, :, WIDTH:]
-    h += p["r"][rows[:, CONTEXT:]]
+    e[:, :, CONTEXT:] *= _CAUSAL
+    return x, q, k, e
+
+
+def _classes(p: dict, h: np.ndarray) -> np.ndarray:
+    """Unscaled log chances of the classes at every place, one place a row."""
     logits = h.reshape(-1, WIDTH) @ p["w"].T
     logits += p["o"]
-    np.clip(logits, -80, 80, out=logits)
+    return np.clip(logits, -80, 80, out=logits)
+
+
+def log_chances(p: dict, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural log chance of the target class at each place to score: masked attention over a batch of windows."""
+    x, _, _, e = _attend(p, rows)
+    h = e @ x[:, :, V]
+    h /= e.sum(2, keepdims=True)
+    h += x[:, CONTEXT:, R]
+    logits = _classes(p, h)
     goal = logits[np.arange(len(logits)), classes.ravel()]
     np.exp(logits, out=logits)
-    return (goal - np.log(logits @ np.ones(CLASSES, np.float32))).reshape(len(rows), STRIDE)
+    return (goal - np.log(logits @ np.ones(CLASSES, logits.dtype))).reshape(len(rows), STRIDE)
 
 
-def gradients(p: dict, rows: np.ndarray, classes: np.ndarray, scored: np.ndarray) -> tuple[float, dict]:
-    """Mean loss of the scored places and its gradients."""
-    q, k, v = p["q"][rows] + p["pq"], p["k"][rows] + p["pk"], p["v"][rows]
-    a = q @ k.transpose(0, 2, 1) + p["b"][rows].transpose(0, 2, 1)
-    a = np.exp(np.clip(a, -LIMIT, LIMIT)) * _CAUSAL
+def gradients(p: dict, rows: np.ndarray, classes: np.ndarray, scored: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, dict]:
+    """Mean loss of the scored places, the rows used with their gradients, and gradients of the shared parameters."""
+    x, q, k, a = _attend(p, rows)
     a /= a.sum(2, keepdims=True)
-    h = a @ v + p["r"][rows]
-    logits = h @ p["w"].T + p["o"]
-    logits -= logits.max(2, keepdims=True)
-    chance = np.exp(logits)
-    chance /= chance.sum(2, keepdims=True)
-    n = max(1, int(scored.sum()))
-    picked = np.take_along_axis(chance, classes[:, :, None], 2)[:, :, 0]
-    loss = float(-(np.log(picked + 1e-12) * scored).sum() / n)
-    d = chance
-    np.put_along_axis(d, classes[:, :, None], (picked - 1)[:, :, None], 2)
-    d *= (scored / n)[:, :, None].astype(np.float32)
-    dh = d @ p["w"]
-    da = dh @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g = {"w": np.tensordot(d, h, ((0, 1), (0, 1))), "o": d.sum((0, 1)), "pq": dq.sum(0), "pk": dk.sum(0)}
-    at = rows.ravel()
-    for name, x in (("q", dq), ("k", dk), ("b", ds.sum(1)[:, :, None]), ("v", a.transpose(0, 2, 1) @ dh), ("r", dh)):
-        g[name] = np.zeros_like(p[name])
-        np.add.at(g[name], at, x.reshape(len(at), -1))
-    return loss, g
-
-
-class Adam:
-    def __init__(self, params: dict, rate: float = 0.01):
-        self.rate, self.t = rate, 0
-        self.m = {k: np.zeros_like(x) for k, x in params.items()}
-        self.s = {k: np.zeros_like(x) for k, x in params.items()}
-
-    def step(self, params: dict, grads: dict) -> None:
-        self.t += 1
-        for k, g in grads.items():
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.s[k] += 0.01 * (g * g - self.s[k])
-            m, s = self.m[k] / (1 - 0.9**self.t), self.s[k] / (1 - 0.99**self.t)
-            params[k] -= (self.rate * m / (np.sqrt(s) + 1e-8)).astype(np.float32)
-
-
-def train(params: dict, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces, rate: float, batch: int = 64, seed: int = 0) -> tuple[float, int]:
-    """One pass of Adam over the windows of some documents, in place; mean loss and places seen."""
+    v, seen = x[:, :, V], a @ x[:, :, V]
+    h = seen + x[:, CONTEXT:, R]
+    d = np.exp(_classes(p, h))
+    d /= d.sum(1, keepdims=True)
+    n, places, goals = max(1, int(scored.sum())), np.arange(len(d)), classes.ravel()
+    loss = float(-(np.log(d[places, goals] + 1e-12) * scored.ravel()).sum() / n)
+    d[places, goals] -= 1
+    d *= (scored.reshape(-1, 1) / n).astype(d.dtype)
+    dh = (d @ p["w"]).reshape(h.shape)
+    ds = dh @ v.transpose(0, 2, 1)
+    ds -= (dh * seen).sum(2, keepdims=True)
+    ds *= a
+    dx = np.zeros_like(x)
+    dx[:, CONTEXT:, Q], dx[:, :, K], dx[:, :, B] = ds @ k, ds.transpose(0, 2, 1) @ q, ds.sum(1)
+    dx[:, :, V], dx[:, CONTEXT:, R] = a.transpose(0, 2, 1) @ dh, dh
+    shared = {"w": d.T @ h.reshape(-1, WIDTH), "o": d.sum(0), "pq": dx[:, CONTEXT:, Q].sum(0), "pk": dx[:, :, K].sum(0)}
+    order = np.argsort(rows, axis=None, kind="stable")
+    at = rows.ravel()[order]
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return loss, at[starts], np.add.reduceat(dx.reshape(-1, COLUMNS)[order], starts, axis=0), shared
+
+
+class Adagrad:
+    """Steps by the root of the squared gradients so far; rows that a batch does not use stay as they are."""
+
+    def __init__(self, params: dict, rate: float):
+        self.rate, self.sums = rate, {k: np.zeros_like(x) for k, x in params.items()}
+
+    def _step(self, param: np.ndarray, sums: np.ndarray, g: np.ndarray, at: np.ndarray | slice) -> None:
+        total = sums[at] + g * g
+        sums[at] = total
+        param[at] -= self.rate * g / (np.sqrt(total) + 1e-7)
+
+    def step(self, params: dict, at: np.ndarray, g: np.ndarray, shared: dict) -> None:
+        self._step(params["rows"], self.sums["rows"], g, at)
+        for k, x in shared.items():
+            self._step(params[k], self.sums[k], x, slice(None))
+
+
+def train(params: dict, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces, rate: float, batch: int = 32, seed: int = 0) -> tuple[float, np.ndarray]:
+    """One pass over the windows of some documents, in place; mean loss, and how often each row was an input."""
     stream = Stream.of(ids, lengths, pieces)
     doc, first = stream.windows()
-    order, adam, total, places = np.random.default_rng(seed).permutation(len(doc)), Adam(params, rate), 0.0, 0
+    order, steps, total = np.random.default_rng(seed).permutation(len(doc)), Adagrad(params, rate), 0.0
     for i in range(0, len(order), batch):
         part = order[i : i + batch]
         rows, at, scored = stream.cut(doc[part], first[part])
-        loss, grads = gradients(params, rows, pieces.cls[stream.target[at]], scored)
-        adam.step(params, grads)
-        n = int(scored.sum())
-        total, places = total + loss * n, places + n
-    return total / max(1, places), places
+        loss, used, g, shared = gradients(params, rows, pieces.cls[stream.target[at]], scored)
+        own = used != pieces.pad
+        steps.step(params, used[own], g[own], shared)
+        total += loss * int(scored.sum())
+    return total / max(1, len(stream.rows)), np.bincount(stream.rows, minlength=len(pieces.row))
 
 
-def score(params: dict, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces, batch: int = 64) -> np.ndarray:
+def score(params: dict, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces, batch: int = 32) -> np.ndarray:
     """Decimal log probability of each document."""
     if not len(lengths):
         return np.zeros(0)
-    params = params | {"v1": np.hstack([params["v"], np.ones((ROWS, 1), np.float32)])}
     stream = Stream.of(ids, lengths, pieces)
     out = np.add.reduceat(pieces.inside[stream.target], stream.starts)
     goals = pieces.cls[stream.target]
@@ -211,6 +231,6 @@ def score(params: dict, ids: np.ndarray, lengths: np.ndarray, pieces: Pieces, ba
     for i in range(0, len(doc), batch):
         d = doc[i : i + batch]
         rows, at, scored = stream.cut(d, first[i : i + batch])
-        chances = log_chances(params, rows, goals[at[:, CONTEXT:]])
-        np.add.at(out, d, (chances * scored[:, CONTEXT:]).sum(1, dtype=np.float64))
+        chances = log_chances(params, rows, goals[at])
+        np.add.at(out, d, (chances * scored).sum(1, dtype=np.float64))
     return out / np.log(10)

@@ -1,9 +1,9 @@
 """Language-model scoring of whole texts: smoothed word counts and a causal attention model.
 
 Word counts, from which the counts of subword pieces follow, cover every
-training document. The attention model is trained on a fixed share of the
-training documents in shards whose parameters are averaged, and scores every
-piece of every document once.
+training document. The attention model learns from every training document
+once, in shards whose parameters are averaged, and scores every piece of every
+document once.
 """
 
 from __future__ import annotations
@@ -28,8 +28,12 @@ RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 FOLDS, HELD_OUT = 5, 1
 #: Most words (the most frequent) whose counts are sent to every task; the rest is joined.
 HEAD_WORDS = 200_000
-#: Share of the training documents the attention model learns from (or so many, if more), per shard, and rounds.
-TRAIN_SHARE, TRAIN_LEAST, SHARD_DOCS, ROUNDS, RATE = 1 / 64, 1500, 400, 2, 0.01
+#: Rounds of training, each on its own part of the training documents; bytes of text a shard has on average; rate of learning.
+ROUNDS, SHARD_BYTES, RATE = 3, 2 << 20, 0.2
+#: Most shards a task learns one after the other, and rows of the model that are averaged together.
+TASK_SHARDS, BLOCK = 16, 512
+#: The block of the parameters that every window uses.
+SHARED = -1
 #: Distinct words kept by a task, and bytes of text worked on at once.
 KEPT_WORDS, GROUP_BYTES = 400_000, 4 << 20
 
@@ -172,48 +176,103 @@ def _groups(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Parameters after some rounds over the sampled documents (columns shard, text).
+class Average:
+    """Sums of the parameters of several shards, each row weighted by how often the shard used it."""
 
-    In a round every shard starts from the shared parameters and makes one pass;
-    the averages by places seen start the next one. Averages are added up in
-    tasks first, so the driver gets about the square root of the shards.
+    def __init__(self, pieces: attention.Pieces):
+        n = len(pieces.row)
+        self.weight, self.rows = np.zeros(n), np.zeros((n, attention.COLUMNS), np.float32)
+        self.places, self.shared = 0.0, 0.0
+
+    def add(self, params: dict[str, np.ndarray], used: np.ndarray) -> None:
+        at, places = np.flatnonzero(used), float(used.sum())
+        self.weight[at] += used[at]
+        self.rows[at] += params["rows"][at] * used[at, None].astype(np.float32)
+        self.places, self.shared = self.places + places, self.shared + attention.flat(params) * places
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """One record for every block of rows in use, and one for what every window uses."""
+        at = np.flatnonzero(self.weight)
+        if not len(at):
+            return
+        yield _sums(SHARED, np.zeros(1, np.int32), np.array([self.places]), np.asarray(self.shared, np.float32))
+        for part in np.split(at, np.flatnonzero(np.diff(at // BLOCK)) + 1):
+            yield _sums(int(part[0]) // BLOCK, part.astype(np.int32), self.weight[part], self.rows[part])
+
+
+SUMS = "block int, at binary, weight binary, sums binary"
+
+
+def _sums(block: int, at: np.ndarray, weight: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([block], pa.int32()), *(pa.array([x.tobytes()]) for x in (at, weight, sums))]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "at", "weight", "sums"])
+
+
+def add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted means of the rows of each block; a task has all records of its blocks, and holds the model's rows at most."""
+    found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for block, *parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at, weight = np.frombuffer(parts[0], np.int32) % BLOCK, np.frombuffer(parts[1])
+            sums = np.frombuffer(parts[2], np.float32).reshape(len(at), -1)
+            total = found.setdefault(block, (np.zeros(BLOCK), np.zeros((BLOCK if block != SHARED else 1, sums.shape[1]))))
+            total[0][at] += weight
+            total[1][at] += sums
+    for block, (weight, sums) in found.items():
+        at = np.flatnonzero(weight)
+        means = (sums[at] / weight[at, None]).astype(np.float32)
+        yield _sums(block, (at + max(block, 0) * BLOCK).astype(np.int32), weight[at], means)
+
+
+def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: int, rounds: int = ROUNDS, rate: float = RATE) -> dict[str, np.ndarray]:
+    """Parameters after every document (columns id, text) has been learnt once.
+
+    A digest of the id and the text deals documents to rounds and shards. In a
+    round every shard starts from the shared parameters and makes one pass over its
+    documents, in the order of the digest, so a shard computed again gives the same. A task adds up
+    its shards, then tasks are added up by block of rows; a row that no shard
+    used stays. The driver gets one mean for each row, however many shards there are.
     """
     spark = docs.sparkSession
     params = attention.initial(pieces)
-    shards = docs.select("shard").distinct().count()
-    if not shards:
-        return params
+    digest, each = F.xxhash64("id", "text"), max(1, -(-shards // rounds))
+    dealt = docs.select("text", digest.alias("digest"), F.pmod(digest, F.lit(rounds)).alias("round"), F.pmod(F.shiftright(digest, 20), F.lit(each)).alias("shard"))
+    tasks = min(each, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-each // TASK_SHARDS)))
     for r in range(rounds):
         start = spark.sparkContext.broadcast((params, pieces))
 
-        def learn(batches: Iterator[pa.RecordBatch], start=start, rate=RATE * 0.5**r, seed=r) -> Iterator[pa.RecordBatch]:
-            texts = [t for b in batches for t in b.column("text").cast(pa.binary()).to_pylist()]
-            if not texts:
-                return
+        def learn(batches: Iterator[pa.RecordBatch], start=start, rate=rate * 0.5**r, seed=r) -> Iterator[pa.RecordBatch]:
             given, arranged = start.value
-            own = {k: v.copy() for k, v in given.items()}
-            _, _, ids, lengths = Lexicon(tokenizer.value, {}).read(texts)
-            _, places = attention.train(own, ids, lengths, arranged, rate, seed=seed)
-            yield pa.RecordBatch.from_arrays([pa.array([float(places)]), pa.array([(attention.flat(own) * places).astype(np.float64).tobytes()])], names=["places", "sums"])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            places, sums = 0.0, 0.0
-            for b in batches:
-                for n, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    places, sums = places + n, sums + np.frombuffer(s, np.float64)
-            if places:
-                yield pa.RecordBatch.from_arrays([pa.array([places]), pa.array([sums.tobytes()])], names=["places", "sums"])
-
-        kind = "places double, sums binary"
-        learned = map_texts(docs.repartition(shards, "shard"), learn, kind)
-        added = learned.repartition(max(1, math.isqrt(shards))).mapInArrow(add, kind).collect()
-        places = sum(row["places"] for row in added)
-        if not places:
-            break
-        vector = sum(np.frombuffer(row["sums"], np.float64) for row in added) / places
-        params = attention.unflat(vector, params)
-        start.unpersist()
+            average, lexicon, shard, texts = Average(arranged), Lexicon(tokenizer.value, {}), None, []
+
+            def one() -> None:
+                if texts:
+                    own = {k: v.copy() for k, v in given.items()}
+                    _, _, ids, lengths = lexicon.read(texts)
+                    _, used = attention.train(own, ids, lengths, arranged, rate, seed=seed)
+                    average.add(own, used)
+                    texts.clear()
+
+            for batch in batches:
+                for next_shard, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                    if next_shard != shard:
+                        one()
+                    shard = next_shard
+                    texts.append(text)
+            one()
+            yield from average.batches()
+
+        part = dealt.where(F.col("round") == r).repartition(tasks, "shard").sortWithinPartitions("shard", "digest").select("shard", "text")
+        means = map_texts(part, learn, SUMS).repartition("block").mapInArrow(add_sums, SUMS).collect()  # at most the model's rows
+        params = {k: v.copy() for k, v in params.items()}
+        for row in means:
+            values = np.frombuffer(row["sums"], np.float32)
+            if row["block"] == SHARED:
+                params |= attention.unflat(values, params)
+            else:
+                at = np.frombuffer(row["at"], np.int32)
+                params["rows"][at] = values.reshape(len(at), -1)
+        start.destroy()
     return params
 
 
@@ -229,19 +288,15 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
     docs = pick(df, id=id_col, text=text_col).withColumn("held_out", held_out(F.col("id")))
     training = docs.where("not held_out")
     words = materialize(count_words(training), "words")
-    n_docs = training.count()
+    sizes = training.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    n_docs, shards = sizes["n"], max(1, -(-(sizes["bytes"] or 0) // SHARD_BYTES))
     sums = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
     total, distinct = (sums["n"] or 0) + n_docs, sums["v"] + (n_docs > 0)
     tokenizer = spark.sparkContext.broadcast(Tokenizer(load_ranks(ranks)))
     size = tokenizer.value.size
     pieces = attention.arrange(np.append(count_pieces(words, tokenizer, size), n_docs).astype(float))
 
-    share = min(1.0, max(TRAIN_SHARE, TRAIN_LEAST / max(1, n_docs)))
-    shards = max(1, math.ceil(n_docs * share / SHARD_DOCS))
-    digest = F.xxhash64("id", "text")
-    sampled = training.where(F.pmod(digest, F.lit(1 << 20)) < int(share * (1 << 20)))
-    sampled = materialize(sampled.select(F.pmod(F.xxhash64("text", "id"), F.lit(shards)).alias("shard"), "text"), "sample")
-    params = train_model(sampled, tokenizer, pieces)
+    params = train_model(training, tokenizer, pieces, shards) if n_docs else attention.initial(pieces)
     model = spark.sparkContext.broadcast((params, pieces, frequent(words, head_words)))
 
     tail_type = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))

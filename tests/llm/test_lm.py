@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from sparktab.llm import attention as A
+from sparktab.llm import lm
 from sparktab.llm.lm import RANKS, Lexicon, Tokenizer, frequent, lm_scores, load_ranks, words_of
 
 
@@ -27,12 +28,13 @@ def by_hand(params, ids, pieces):
     rows = np.append(pieces.row[pieces.size + A.BEGIN], pieces.row[ids])
     goals = np.append(ids, pieces.size + A.END)
     total = 0.0
+    x = params["rows"].astype(float)
     for i, goal in enumerate(goals):
-        lo = max(0, i // A.STRIDE * A.STRIDE - A.CONTEXT)
         first = i // A.STRIDE * A.STRIDE - A.CONTEXT
-        q = params["q"][rows[i]] + params["pq"][i - first]
-        weights = [np.exp(q @ (params["k"][rows[j]] + params["pk"][j - first]) + params["b"][rows[j], 0]) for j in range(lo, i + 1)]
-        h = sum(w * params["v"][rows[j]] for w, j in zip(weights, range(lo, i + 1), strict=True)) / sum(weights) + params["r"][rows[i]]
+        lo = max(0, first)
+        q = x[rows[i], A.Q] + params["pq"][i - first - A.CONTEXT]
+        weights = [np.exp(q @ (x[rows[j], A.K] + params["pk"][j - first]) + x[rows[j], A.B]) for j in range(lo, i + 1)]
+        h = sum(w * x[rows[j], A.V] for w, j in zip(weights, range(lo, i + 1), strict=True)) / sum(weights) + x[rows[i], A.R]
         logits = params["w"] @ h + params["o"]
         total += logits[pieces.cls[goal]] - np.log(np.exp(logits).sum()) + pieces.inside[goal]
     return total / math.log(10)
@@ -41,7 +43,7 @@ def by_hand(params, ids, pieces):
 def test_scores_are_those_place_by_place(tiny):
     pieces, params = tiny
     rng = np.random.default_rng(14)
-    lengths = np.array([0, 1, 39, 40, 41, 130, 0])
+    lengths = np.array([0, 1, 63, 64, 65, 127, 128, 300, 0])
     ids = rng.integers(0, 300, lengths.sum())
     got = A.score(params, ids, lengths, pieces, batch=3)
     ends = np.cumsum(lengths)
@@ -60,7 +62,7 @@ def test_chances_add_up(tiny):
 
 def first_class(params, pieces):
     row = pieces.row[pieces.size + A.BEGIN]
-    logits = params["w"] @ (params["v"][row] + params["r"][row]) + params["o"]
+    logits = params["w"] @ (params["rows"][row, A.V] + params["rows"][row, A.R]) + params["o"]
     return np.exp(logits) / np.exp(logits).sum()
 
 
@@ -73,20 +75,23 @@ def tail(params, piece, pieces):
 def test_gradients_are_those_of_the_loss(tiny):
     pieces, params = tiny
     params = {k: v.astype(np.float64) for k, v in params.items()}
-    stream = A.Stream.of(np.random.default_rng(15).integers(0, 300, 70), np.array([70]), pieces)
+    stream = A.Stream.of(np.random.default_rng(15).integers(0, 300, 150), np.array([150]), pieces)
     rows, at, scored = stream.cut(*stream.windows())
     classes = pieces.cls[stream.target[at]]
-    _, grads = A.gradients(params, rows, classes, scored)
+    _, used, of_rows, grads = A.gradients(params, rows, classes, scored)
+    assert used.tolist() == np.unique(rows).tolist()
+    grads["rows"] = np.zeros_like(params["rows"])
+    grads["rows"][used] = of_rows
     rng = np.random.default_rng(16)
     for name in grads:
-        used = np.argwhere(np.abs(grads[name]) > 1e-5)
-        for where in rng.permutation(used)[:4]:
+        where_used = np.argwhere(np.abs(grads[name]) > 1e-5)
+        for where in rng.permutation(where_used)[: 40 if name == "rows" else 4]:
             where = tuple(where)
             keep = params[name][where]
             params[name][where] = keep + 1e-5
-            up, _ = A.gradients(params, rows, classes, scored)
+            up = A.gradients(params, rows, classes, scored)[0]
             params[name][where] = keep - 1e-5
-            down, _ = A.gradients(params, rows, classes, scored)
+            down = A.gradients(params, rows, classes, scored)[0]
             params[name][where] = keep
             assert grads[name][where] == pytest.approx((up - down) / 2e-5, rel=2e-2, abs=1e-6), name
 
@@ -100,13 +105,57 @@ def test_training_beats_counts_on_held_out_text(spark, tokenizer):
     params = A.initial(pieces)
     _, _, held, sizes = lexicon.read(texts[500:])
     before = A.score(params, held, sizes, pieces).sum()
-    A.train(params, ids, lengths, pieces, 0.01)
+    A.train(params, ids, lengths, pieces, 0.2)
     after = A.score(params, held, sizes, pieces).sum()
     n = sizes.sum() + len(sizes)
     unigram = (pieces.inside + pieces.class_log[pieces.cls])[held].sum() / math.log(10)
     assert after / n > before / n + 0.2 and after > unigram
 
 
+@pytest.fixture(scope="module")
+def learnt(spark, tokenizer):
+    """Documents (id, text), and the pieces arranged by their counts."""
+    rows = [(i, r.text) for i, r in enumerate(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").limit(300).collect())]
+    _, _, ids, _ = Lexicon(tokenizer, {}).read([t.encode() for _, t in rows])
+    return rows, A.arrange(np.append(np.bincount(ids, minlength=tokenizer.size), len(rows)).astype(float))
+
+
+def test_rounds_and_shards_are_those_of_plain_code(spark, tokenizer, learnt):
+    """Every document is learnt once; rows are averaged by use, whatever tasks the shards fall to."""
+    rows, pieces = learnt
+    df = spark.createDataFrame(rows, "id long, text string")
+    digests = {r.id: r.d for r in df.selectExpr("id", "xxhash64(id, text) d").collect()}
+    rounds, each = 2, 3
+    given, seen = A.initial(pieces), 0
+    for r in range(rounds):
+        weight, sums, shared, places = np.zeros(len(pieces.row)), np.zeros(given["rows"].shape), 0.0, 0
+        for s in range(each):
+            mine = sorted((digests[i], t) for i, t in rows if digests[i] % rounds == r and (digests[i] >> 20) % each == s)
+            seen += len(mine)
+            own = {k: v.copy() for k, v in given.items()}
+            _, _, ids, lengths = Lexicon(tokenizer, {}).read([t.encode() for _, t in mine])
+            _, used = A.train(own, ids, lengths, pieces, 0.2 * 0.5**r, seed=r)
+            weight, sums = weight + used, sums + own["rows"] * used[:, None]
+            shared, places = shared + A.flat(own) * used.sum(), places + used.sum()
+        at = np.flatnonzero(weight)
+        given["rows"][at] = sums[at] / weight[at, None]
+        given |= A.unflat(shared / places, given)
+    assert seen == len(rows)
+    got = lm.train_model(df.repartition(4), spark.sparkContext.broadcast(tokenizer), pieces, shards=rounds * each, rounds=rounds, rate=0.2)
+    for k in given:  # a step divides by the size of its gradient, so that rounding shows in rows of hardly any gradient
+        assert np.isclose(got[k], given[k], rtol=1e-2, atol=1e-3).mean() > 0.999, k
+
+
+def test_more_documents_teach_more(spark, tokenizer, learnt):
+    rows, pieces = learnt
+    sent = spark.sparkContext.broadcast(tokenizer)
+    _, _, held, sizes = Lexicon(tokenizer, {}).read([t.encode() for _, t in rows[200:]])
+    scores = [A.score(A.initial(pieces), held, sizes, pieces).sum()]
+    for n in (20, 200):
+        scores.append(A.score(lm.train_model(spark.createDataFrame(rows[:n], "id long, text string"), sent, pieces, shards=2), held, sizes, pieces).sum())
+    assert scores[0] < scores[1] < scores[2]
+
+
 def test_pieces_spell_the_words(tokenizer):
     back = {v: k for k, v in tokenizer.ranks.items()}
     texts = ["Ünï 漢字 Xy".encode(), b"", None, b"a" * 3000]
