@@ -82,8 +82,8 @@ class Scorer:
 
     def vectors(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """The kept columns and the vector of every row, after the feature check."""
-        before = {new: old for old, new in self.rename.items()}
-        lacking = [before.get(c, c) for c in self.renamed_features() if c not in rename_columns(df, self.rename).columns]
+        before, there = {new: old for old, new in self.rename.items()}, set(rename_columns(df, self.rename).columns)
+        lacking = [before.get(c, c) for c in self.renamed_features() if c not in there]
         if lacking:
             raise PreprocessError(f"missing columns: {', '.join(lacking)}")
         ready, names = rename_columns(df, {k: v for k, v in self.rename.items() if k not in keep}), self.renamed_features()
@@ -137,10 +137,10 @@ def positive_share(model: KnnModel) -> Column:
 
 def _with_vectors(df: DataFrame, scorer: Scorer, made: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
     """The vectors beside all input columns but the ``made`` ones, under names no feature has; and these columns by old name."""
-    prefix = "_in"
-    while any(c.startswith(prefix) for c in df.columns):
+    prefix, there = "_in", df.columns
+    while any(c.startswith(prefix) for c in there):
         prefix += "_"
-    columns = [c for c in df.columns if c not in made]
+    columns = [c for c in there if c not in made]
     carried = [f"{prefix}{i}" for i in range(len(columns))]
     both = df.select("*", *[quoted(c).alias(new) for c, new in zip(columns, carried, strict=True)])
     return scorer.vectors(both, carried), {c: F.col(new).alias(c) for c, new in zip(columns, carried, strict=True)}
