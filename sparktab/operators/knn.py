@@ -26,6 +26,8 @@ from sparktab.session import materialize
 # The vote weightings and the parameters of a model that names none.
 WEIGHTS = ("uniform", "distance")
 DEFAULT_PARAMS = {"n_neighbors": 5, "metric": "cosine", "weights": "uniform"}
+#: Settings that say how neighbours are found, not which: taken and not looked at.
+NO_EFFECT = ("algorithm", "leaf_size", "n_jobs", "random_state")
 
 VOTE_DIGITS = 9
 #: Bytes of reference vectors up to which a model is sent to the rows instead of the rows to tiles.
@@ -158,15 +160,34 @@ def vote_in_place(df: DataFrame, vector_col: str, local, label_type: T.DataType,
     return out.select(*map(quoted, df.columns), *[F.col(name).getField(c).alias(c) for c in voted.names])
 
 
+def checked_params(params: Mapping[str, Any] | None) -> dict[str, Any]:
+    """Model settings with the defaults of those not given.
+
+    A name that is not known is refused, so that no setting is dropped in silence.
+    ``p`` is the exponent of the Minkowski distance, of which only 2 is there;
+    other metrics do not use it.
+    """
+    given = dict(params or {})
+    unknown = sorted(set(given) - {*DEFAULT_PARAMS, *NO_EFFECT, "p"})
+    if unknown:
+        raise ModelError(f"unknown model settings: {', '.join(unknown)}; known: {', '.join([*DEFAULT_PARAMS, 'p', *NO_EFFECT])}")
+    out = {name: given.get(name, default) for name, default in DEFAULT_PARAMS.items()}
+    if out["metric"] not in METRICS:
+        raise ModelError(f"unknown metric {out['metric']!r}")
+    if out["weights"] not in WEIGHTS:
+        raise ModelError(f"unknown weights {out['weights']!r}")
+    if out["metric"] == "minkowski" and given.get("p", 2) != 2:
+        raise ModelError(f"the Minkowski distance has p = 2 only, not {given['p']!r}")
+    if isinstance(out["n_neighbors"], bool) or not isinstance(out["n_neighbors"], int) or out["n_neighbors"] < 1:
+        raise ModelError(f"n_neighbors must be a whole number of 1 or more, not {out['n_neighbors']!r}")
+    return out
+
+
 def fit_knn(
     df: DataFrame, id_col: str, vector_col: str, label_col: str, params: Mapping[str, Any] | None = None
 ) -> KnnModel:
     """Write the training rows once, with the sorted classes."""
-    params = {**DEFAULT_PARAMS, **(params or {})}
-    if params["metric"] not in METRICS:
-        raise ModelError(f"unknown metric {params['metric']!r}")
-    if params["weights"] not in WEIGHTS:
-        raise ModelError(f"unknown weights {params['weights']!r}")
+    params = checked_params(params)
     for name in (id_col, vector_col, label_col):
         if name not in df.columns:
             raise ModelError(f"missing column {name!r}")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktab.operators.evaluate import classification_report
-from sparktab.operators.knn import DEFAULT_PARAMS, KnnModel, train_model
+from sparktab.operators.knn import KnnModel, checked_params, train_model
 from sparktab.operators.preprocess import Preprocessor, build_preprocessor, columns_to_array, rename_columns, require_columns
 from sparktab.operators.score import Scorer, score
 from sparktab.operators.split import stratified_split
@@ -61,11 +61,6 @@ def fit_on_train(
     return plan, plan.fit(df.where(F.col(split_col) == "train"))
 
 
-def model_params(config: Mapping[str, Any]) -> dict[str, Any]:
-    given = config.get("model", {}).get("params", {})
-    return {name: given.get(name, default) for name, default in DEFAULT_PARAMS.items()}
-
-
 def predictions_of(model: KnnModel, processed: DataFrame, target: str, positive: int = 1) -> DataFrame:
     """``<id>, split, y_true, y_pred, y_proba`` for every row, written once."""
     at = sorted(model.classes).index(positive) if positive in model.classes else None
@@ -86,6 +81,8 @@ def train_stage(
     """
     target = config.get("target", "target")
     metrics = metrics or config.get("metrics", {}).get("report")
+    settings = config.get("model", {})
+    model_settings = checked_params(settings.get("params"))  # a wrong name fails before any work
     renames = config.get("preprocessing", {}).get("rename_columns", {})
     df = rename_columns(df, renames)
     require_columns(df, [id_col, target])
@@ -103,8 +100,7 @@ def train_stage(
     processed = plan.transform(split, params, keep=[id_col, target, "split"])
     processed = columns_to_array(processed, plan.output_names(params), VECTOR)
     train = processed.where(F.col("split") == "train")
-    model_type = config.get("model", {}).get("type", "knn")
-    model = train_model(train, id_col, VECTOR, target, model_type, model_params(config))
+    model = train_model(train, id_col, VECTOR, target, settings.get("type", "knn"), model_settings)
     predictions = predictions_of(model, processed, target)
     before = {new: old for old, new in renames.items()}
     features = [before.get(c, c) for c in config.get("raw_features", [])]

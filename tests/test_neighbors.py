@@ -252,3 +252,19 @@ def test_model_errors_and_round_trip(spark, tmp_path):
     again = knn.load_model(spark, str(tmp_path / "m"))
     assert again.settings() == model.settings()
     assert sorted(again.predict(df, True).collect()) == sorted(model.predict(df, True).collect())
+
+
+@pytest.mark.parametrize(
+    "params",
+    [{"n_neighbours": 3}, {"metric_params": {}}, {"metric": "hamming"}, {"weights": "rank"}, {"metric": "minkowski", "p": 1}, {"n_neighbors": 0}, {"n_neighbors": "3"}, {"n_neighbors": True}],
+)
+def test_settings_that_mean_nothing_are_refused(params):
+    with pytest.raises(knn.ModelError):
+        knn.checked_params(params)
+
+
+def test_settings_and_defaults():
+    assert knn.checked_params(None) == knn.checked_params({}) == knn.DEFAULT_PARAMS
+    given = {"n_neighbors": 7, "metric": "minkowski", "p": 2, "algorithm": "auto", "leaf_size": 30, "n_jobs": -1, "random_state": 42}
+    assert knn.checked_params(given) == {"n_neighbors": 7, "metric": "minkowski", "weights": "uniform"}
+    assert knn.checked_params({"p": 1})["metric"] == "cosine"
