@@ -20,13 +20,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.plans.neighbors import TILE_BYTES, _matrix, _tile_join, _unit, _vector, _with_fields
+from sparktab.plans.neighbors import _matrix, _unit, _vector, _with_fields, held_rows, tile_join
 from sparktab.session import materialize
 
 #: References a bucket should hold, which sets the number of hyperplanes of a table.
 BUCKET_ROWS = 1024
 TABLES, FLIPS, SEED = 8, 1, 42
 MOST_BITS = 40
+#: Rows sent to a task; what a task holds is the references of one bucket, at most a tile of them.
+ROWS_PER_TASK = 200_000
 
 
 def hyperplanes(dim: int, n: int, seed: int = SEED) -> np.ndarray:
@@ -142,7 +144,7 @@ def knn_join_approx(
     q = materialize(_add_cells(q, "query_vector", planes, centre, tables, min(flips, bits)), "visits")
     r = materialize(_add_cells(once, "ref_vector", planes, centre, tables, 0), "buckets")
 
-    tile_rows = tile_rows or max(1024, TILE_BYTES // (8 * dim))
+    tile_rows = tile_rows or held_rows(dim)
     visits, held = (df.select(F.explode("cells").alias("cell")).groupBy("cell").count() for df in (q, r))
     large = visits.withColumnRenamed("count", "nq").join(held.withColumnRenamed("count", "nr"), "cell")
     large = large.where((F.col("nq") > tile_rows) | (F.col("nr") > tile_rows))
@@ -154,10 +156,11 @@ def knn_join_approx(
         mine = F.pmod(F.xxhash64(key), F.coalesce(f"{own}s", F.lit(1))).cast("int").alias(own)
         return cells.select(*names, "cell", mine, F.explode(F.sequence(F.lit(0), F.coalesce(f"{other}s", F.lit(1)) - 1)).alias(other))
 
-    tile = ["cell", "r_part", "q_part"]
     fields = [q.schema["query_id"], r.schema["ref_id"], *([r.schema["ref_label"]] if label_col else []), T.StructField("dist", T.DoubleType())]
-    met = dealt(q, q_names, "q_part", "query_id", "r_part").groupBy(*tile).cogroup(dealt(r, r_names, "r_part", "ref_id", "q_part").groupBy(*tile))
-    found = met.applyInArrow(_tile_join(k, metric, barred, bool(label_col)), T.StructType(fields))
+    n_queries = q.count()
+    sent = n_queries * tables << min(flips, bits)
+    tasks = max(math.ceil((sent + size.n * tables) / ROWS_PER_TASK), min(queries.sparkSession.sparkContext.defaultParallelism, tables << bits))
+    found = tile_join(dealt(q, q_names, "q_part", "query_id", "r_part"), dealt(r, r_names, "r_part", "ref_id", "q_part"), k, metric, barred, T.StructType(fields), tasks)
     order = W.partitionBy("query_id").orderBy("dist", "ref_id")
     # a pair found in several tables lies beside itself in the order; repeated queries are told by nothing, as in the exact join
     once_each = found.withColumn("again", F.lag("ref_id").over(order)).where(~F.col("again").eqNullSafe(F.col("ref_id"))).drop("again")

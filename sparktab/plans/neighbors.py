@@ -7,15 +7,17 @@ nearest rows; the triangle inequality on the distances to the pivots decides
 that, so no neighbour is lost. If that rules out little (distances all alike),
 or there are few rows, cells are left aside and the tiles are cut by hash alone.
 
-Both sides meet in a cogroup on (cell, reference part, query part). Every group
-holds a bounded number of rows of either side whatever the skew, computes its
-distances as a matrix product, and returns k rows per query; pairs are never
-written out. A window then merges the k best of each tile.
+Both sides are sorted by (cell, reference part, query part), references first.
+A task holds the bounded references of one tile, whatever the skew, and its
+queries pass by in batches; distances are matrix products, and k rows per query
+come out; pairs are never written out. A window then merges the k best of each
+tile. Small tiles do not make rows travel more often: see ``_parts``.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,10 +28,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TILE_BYTES = 32 << 20
-CHUNK_CELLS = 1 << 21
-CHUNK_QUERIES = 1024
+#: Bytes of reference vectors (as floats) that a task holds.
+TILE_BYTES = 64 << 20
+CHUNK_CELLS = 1 << 18
+CHUNK_QUERIES = 512
 BLOCK_REFS = 2048
+#: Times a row is sent at most for tiles that are smaller than a task holds.
+MOST_COPIES = 4
+#: Candidates per query and neighbour that are gathered before they are cut to the k best.
+GATHERED = 2
 MAX_PIVOTS = 512
 MAX_BARS = 100
 MAX_PIVOT_VALUES = 1 << 22
@@ -52,11 +59,13 @@ def _matrix(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
     return _vectors(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column, name)
 
 
-def _vectors(column: pa.Array, name: str) -> np.ndarray:
-    """The same of one array."""
+def _vectors(column: pa.Array, name: str, floats: bool = False) -> np.ndarray:
+    """The same of one array; with ``floats``, float arrays stay float."""
     n = len(column)
     flat = column.flatten()
-    values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    values = flat.to_numpy(zero_copy_only=False)
+    if not (floats and values.dtype == np.float32):
+        values = values.astype(np.float64, copy=False)
     if column.null_count or flat.null_count or (n and len(values) % n):
         raise ValueError(f"{name}: missing vectors, missing values or unequal lengths")
     matrix = values.reshape(n, -1) if n else values.reshape(0, 0)
@@ -68,10 +77,15 @@ def _vectors(column: pa.Array, name: str) -> np.ndarray:
     return matrix
 
 
+def _norms(matrix: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, 1 for zero rows."""
+    norms = np.sqrt((matrix * matrix).sum(axis=1))
+    return np.where(norms > 0, norms, 1.0)
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; zero rows stay zero."""
-    norms = np.sqrt((matrix * matrix).sum(axis=1))
-    return matrix / np.where(norms > 0, norms, 1.0)[:, None]
+    return matrix / _norms(matrix)[:, None]
 
 
 def _points(matrix: np.ndarray, metric: str, side: int) -> np.ndarray:
@@ -112,15 +126,32 @@ def _places(rows: np.ndarray) -> np.ndarray:
     return np.arange(len(rows)) - np.repeat(starts, np.diff(np.r_[starts, len(rows)]))
 
 
+def _equal_rows(vectors: np.ndarray) -> np.ndarray:
+    """A number for every row, the same for the same bytes."""
+    data = np.ascontiguousarray(vectors)
+    words = data.view(np.uint32 if data.itemsize == 4 else np.uint64)
+    odd = np.random.default_rng(0).integers(0, 1 << 63, words.shape[1], np.uint64) * np.uint64(2) + np.uint64(1)
+    keys = np.empty(len(data), np.uint64)
+    for at in range(0, len(data), BLOCK_REFS):
+        part = words[at : at + BLOCK_REFS].astype(np.uint64)
+        keys[at : at + BLOCK_REFS] = ((part ^ (part >> np.uint64(15))) * odd).sum(axis=1, dtype=np.uint64)
+    _, first, same = np.unique(keys, return_index=True, return_inverse=True)
+    for at in range(0, len(data), BLOCK_REFS):
+        if (words[at : at + BLOCK_REFS] != words[first[same[at : at + BLOCK_REFS]]]).any():
+            whole = data.view(np.dtype((np.void, data.itemsize * data.shape[1]))).ravel()
+            return np.unique(whole, return_inverse=True)[1]
+    return same
+
+
 def _first_of_equal(vectors: np.ndarray, groups: np.ndarray, n: int) -> np.ndarray:
     """Rows among the first n of their (equal vector, group), which are all that can win."""
-    data = np.ascontiguousarray(vectors)
-    keys = data.view(np.dtype((np.void, data.itemsize * data.shape[1]))).ravel()
-    _, same = np.unique(keys, return_inverse=True)
+    keep = np.ones(len(vectors), dtype=bool)
+    if not vectors.size:
+        return keep if len(vectors) <= n else _places(np.zeros(len(vectors))) < n
+    same = _equal_rows(vectors)
     order = np.lexsort((np.arange(len(same)), groups, same))
     runs = same[order].astype(np.int64) * (int(groups.max(initial=0)) + 1) + groups[order]
-    keep = np.zeros(len(same), dtype=bool)
-    keep[order[_places(runs) < n]] = True
+    keep[order[_places(runs) >= n]] = False
     return keep
 
 
@@ -132,16 +163,21 @@ class _Nearest:
     and their distance is then computed exactly.
     """
 
-    def __init__(self, refs: np.ndarray, metric: str, k: int) -> None:
-        self.metric, self.k = metric, k
+    def __init__(self, refs: np.ndarray, metric: str, k: int, ref_bars: np.ndarray | None = None, few: bool = True) -> None:
+        """``ref_bars``: what bars pairs, a number for each reference; ``few``: of which each bars few."""
+        self.metric, self.k, self.refs = metric, k, refs
+        self.ref_bars, self.few = ref_bars, few
         if metric == "cosine":
-            self.refs = _unit(refs)
-            self.screen = self.refs.astype(np.float32)
             self.shift, self.half_squares = None, None
+            self.norms, self.screen = np.empty(len(refs)), np.empty(refs.shape, np.float32)
+            for at in range(0, len(refs), BLOCK_REFS):
+                part = refs[at : at + BLOCK_REFS].astype(np.float64)
+                self.norms[at : at + BLOCK_REFS] = _norms(part)
+                self.screen[at : at + BLOCK_REFS] = part / self.norms[at : at + BLOCK_REFS, None]
         else:
-            self.refs, self.shift = refs, refs.mean(axis=0)
+            self.shift = refs.mean(axis=0, dtype=np.float64)
             self.screen = refs - self.shift
-            self.half_squares = (self.screen * self.screen).sum(axis=1) / 2
+            self.half_squares = np.einsum("ij,ij->i", self.screen, self.screen) / 2
 
     def _scores(self, queries: np.ndarray, block: slice) -> np.ndarray:
         scores = queries @ self.screen[block].T
@@ -156,14 +192,18 @@ class _Nearest:
             return np.full(len(squares), (dim + 8) * 1.2e-7 + 4e-9)
         gap = np.sqrt(np.maximum(squares - 2 * np.where(np.isfinite(least), least, 0.0), 0.0))
         size = squares + 2 * self.half_squares.max()
-        return (dim + 8) * 1e-15 * size + 4e-9 * (gap + np.sqrt((dim + 8) * 1e-15 * size) + 1e-9)
+        hidden = 2.0 * 10.0 ** (1 - DIGITS) * gap * gap
+        return (dim + 8) * 1e-15 * size + 4e-9 * (gap + np.sqrt((dim + 8) * 1e-15 * size) + 1e-9) + hidden
 
     def _exact(self, queries: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
         """Distances to DIGITS significant digits; cosine as half the square of the gap of unit vectors."""
         out = np.empty(len(rows))
-        step = max(1, CHUNK_CELLS // queries.shape[1])
+        step = max(1, CHUNK_CELLS // max(1, queries.shape[1]))
         for at in range(0, len(rows), step):
-            q, r = queries[rows[at : at + step]], self.refs[cols[at : at + step]]
+            q, chosen = queries[rows[at : at + step]], cols[at : at + step]
+            r = self.refs[chosen].astype(np.float64, copy=False)
+            if self.metric == "cosine":
+                r = r / self.norms[chosen, None]
             gap = q - r
             squares = np.einsum("ij,ij->i", gap, gap)
             if self.metric == "cosine":
@@ -173,13 +213,27 @@ class _Nearest:
                 out[at : at + step] = np.sqrt(squares)
         return significant(out)
 
-    def __call__(self, queries: np.ndarray, bars: np.ndarray | None, ref_bars: np.ndarray | None):
+    def _bar(self, block: np.ndarray, bars: np.ndarray, start: int) -> None:
+        ref_bars = self.ref_bars[start : start + BLOCK_REFS]
+        if self.few:
+            i, j = _matching(bars, ref_bars)
+            block[i, j] = -np.inf
+        else:
+            np.putmask(block, bars[:, None] == ref_bars[None, :], -np.inf)
+
+    def _above(self, block: np.ndarray, squares: np.ndarray, least: np.ndarray) -> np.ndarray:
+        floor = np.maximum(least - self._slack(squares, least), LOWEST_SCORE)
+        return block >= floor.astype(block.dtype)[:, None]
+
+    def __call__(self, queries: np.ndarray, bars: np.ndarray | None):
         """Query rows, reference rows and distances of the k nearest.
 
-        Every block is cut to the k best by exact distance and place, so rows
-        that tie with many references hold no more than k of them.
+        Candidates are cut to the k best by exact distance and place whenever
+        there are many, so rows that tie with many references hold few of them;
+        the k-th distance so far is the bar for the blocks that follow.
         """
         k, n = self.k, len(queries)
+        queries = queries.astype(np.float64, copy=False)
         if self.metric == "cosine":
             queries = _unit(queries)
             screen = queries.astype(np.float32)
@@ -190,21 +244,33 @@ class _Nearest:
         least = np.full(n, -np.inf)
         rows = cols = np.zeros(0, dtype=np.int64)
         dist = np.zeros(0)
+        held, fresh = [], 0
         for start in range(0, len(self.refs), BLOCK_REFS):
             block = self._scores(screen, slice(start, start + BLOCK_REFS))
             if bars is not None:
-                i, j = _matching(bars, ref_bars[start : start + BLOCK_REFS])
-                block[i, j] = -np.inf
-            if block.shape[1] > k:
+                self._bar(block, bars, start)
+            wanted = self._above(block, squares, least)
+            if block.shape[1] > k and np.count_nonzero(wanted) > GATHERED * k * n:
                 least = np.maximum(least, -np.partition(-block, k - 1, axis=1)[:, k - 1])
-            floor = np.maximum(least - self._slack(squares, least), LOWEST_SCORE)
-            wanted = block >= floor.astype(block.dtype)[:, None]
+                wanted = self._above(block, squares, least)
             i, j = np.divmod(np.flatnonzero(wanted), block.shape[1])
-            rows, cols = np.concatenate([rows, i]), np.concatenate([cols, j + start])
-            dist = np.concatenate([dist, self._exact(queries, i, j + start)])
+            held.append((i, j + start))
+            fresh += len(i)
+            last = start + BLOCK_REFS >= len(self.refs)
+            if not last and fresh < GATHERED * k * n // 2:
+                continue
+            new_rows, new_cols = (np.concatenate(part) for part in zip(*held, strict=True))
+            held, fresh = [], 0
+            rows, cols = np.concatenate([rows, new_rows]), np.concatenate([cols, new_cols])
+            dist = np.concatenate([dist, self._exact(queries, new_rows, new_cols)])
             order = np.lexsort((cols, dist, rows))
-            order = order[_places(rows[order]) < k]
+            places = _places(rows[order])
+            order, places = order[places < k], places[places < k]
             rows, cols, dist = rows[order], cols[order], dist[order]
+            full = places == k - 1
+            kth = dist[full]
+            reached = 1.0 - kth if self.metric == "cosine" else (squares[rows[full]] - kth * kth) / 2
+            least[rows[full]] = np.maximum(least[rows[full]], reached)
         return rows, cols, dist
 
 
@@ -218,7 +284,7 @@ def nearest_distinct(nearest: _Nearest, queries: np.ndarray):
     """The same for any number of queries, without bars; equal queries are searched once."""
     once, same = np.unique(queries, axis=0, return_inverse=True)
     same = same.ravel()
-    parts = [nearest(once[at : at + CHUNK_QUERIES], None, None) for at in range(0, len(once), CHUNK_QUERIES)]
+    parts = [nearest(once[at : at + CHUNK_QUERIES], None) for at in range(0, len(once), CHUNK_QUERIES)]
     if not parts:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     rows = np.concatenate([p[0] + i * CHUNK_QUERIES for i, p in enumerate(parts)])
@@ -231,53 +297,94 @@ def nearest_distinct(nearest: _Nearest, queries: np.ndarray):
     return out, cols[pick], dist[pick]
 
 
-def _tile_join(k: int, metric: str, bar: str | None, has_label: bool):
-    """The cogroup function of one tile: k nearest references of each query.
+class _Tile:
+    """The references of one tile, sorted by id, so that the first of equal ones win."""
+
+    def __init__(self, batches: list[pa.RecordBatch], k: int, metric: str, bar: str | None) -> None:
+        vectors = np.concatenate([_equal_lengths(_vectors(b.column("ref_vector"), "ref_vector", floats=True), batches) for b in batches])
+        names = [n for n in ("ref_id", "ref_label", "ref_bar") if n in batches[0].schema.names]
+        table = pa.Table.from_batches([b.select(names) for b in batches]).combine_chunks()
+        codes = None
+        self.values = None
+        if bar:
+            coded = table.column("ref_id" if bar == "self" else "ref_bar").combine_chunks().dictionary_encode(null_encoding="encode")
+            codes, self.values = coded.indices.to_numpy(), coded.dictionary
+        groups = codes if bar == "group" else np.zeros(len(vectors), np.int64)
+        keep = _first_of_equal(vectors, groups, k + 1 if bar == "self" else k)
+        if not keep.all():
+            table, vectors = table.filter(pa.array(keep)), vectors[keep]
+            codes = codes[keep] if bar else None
+        self.table, self.bar = table, bar
+        self.nearest = _Nearest(vectors, metric, k, codes, bar == "self")
+
+    def search(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """Query ids, places of references and distances, chunk by chunk."""
+        ids, queries = batch.column("query_id"), _vectors(batch.column("query_vector"), "query_vector", floats=True)
+        if queries.shape[1] != self.nearest.refs.shape[1]:
+            raise ValueError("query and reference vectors of unequal length")
+        if not self.bar:
+            rows, cols, dist = nearest_distinct(self.nearest, queries)
+            yield ids.take(pa.array(rows)), cols, dist
+            return
+        barred = ids if self.bar == "self" else batch.column("query_bar")
+        bars = pc.fill_null(pc.index_in(barred, value_set=self.values), -1).to_numpy()
+        for at in range(0, len(ids), CHUNK_QUERIES):
+            rows, cols, dist = self.nearest(queries[at : at + CHUNK_QUERIES], bars[at : at + CHUNK_QUERIES])
+            yield ids.take(pa.array(rows + at)), cols, dist
+
+
+def _equal_lengths(vectors: np.ndarray, batches: list[pa.RecordBatch]) -> np.ndarray:
+    if vectors.shape[1] != len(batches[0].column("ref_vector")[0]):
+        raise ValueError("ref_vector: vectors of unequal length")
+    return vectors
+
+
+TILE = ("cell", "r_part", "q_part")
+
+
+def _tile_join(k: int, metric: str, bar: str | None, names: list[str]):
+    """The k nearest references of each query of rows sorted by tile, references before queries.
 
     ``bar`` is "self" where the barred column is the row id, "group" for
-    other columns. References are sorted by id, so the first of equal ones win.
+    other columns.
     """
 
-    def join(queries: pa.Table, refs: pa.Table) -> pa.Table:
-        picked = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))]
-        queries, refs = queries.combine_chunks(), refs.combine_chunks().sort_by("ref_id")
-        if queries.num_rows and refs.num_rows:
-            q, r = _matrix(queries, "query_vector"), _matrix(refs, "ref_vector")
-            if q.shape[1] != r.shape[1]:
-                raise ValueError("query and reference vectors of unequal length")
-            bars = ref_bars = None
-            groups = np.zeros(len(r), dtype=np.int64)
-            if bar:
-                names = ("query_id", "ref_id") if bar == "self" else ("query_bar", "ref_bar")
-                both = [queries[names[0]].combine_chunks(), refs[names[1]].combine_chunks()]
-                codes = pa.chunked_array(both).combine_chunks().dictionary_encode().indices
-                codes = codes.to_numpy(zero_copy_only=False).astype(np.int64)
-                bars, ref_bars = codes[: len(q)], codes[len(q) :]
-                groups = ref_bars if bar == "group" else groups
-            keep = _first_of_equal(r, groups, k + 1 if bar == "self" else k)
-            if not keep.all():
-                refs, r = refs.filter(pa.array(keep)), r[keep]
-                ref_bars = ref_bars[keep] if bar else None
-            nearest = _Nearest(r, metric, k)
-            if not bar:
-                picked.append(nearest_distinct(nearest, q))
-            for start in range(0, len(q) if bar else 0, CHUNK_QUERIES):
-                stop = start + CHUNK_QUERIES
-                rows, cols, dist = nearest(q[start:stop], bars[start:stop], ref_bars)
-                picked.append((rows + start, cols, dist))
-        rows, cols, dist = (np.concatenate(part) for part in zip(*picked, strict=True))
-        out = {
-            "query_id": queries["query_id"].take(pa.array(rows)),
-            "ref_id": refs["ref_id"].take(pa.array(cols)),
-        }
-        if has_label:
-            out["ref_label"] = refs["ref_label"].take(pa.array(cols))
-        out["dist"] = pa.array(dist, pa.float64())
-        return pa.table(out)
+    def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, bool, pa.RecordBatch]]:
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in (*TILE, "queries")]
+        new = np.logical_or.reduce([c[1:] != c[:-1] for c in keys])
+        starts = np.r_[0, np.flatnonzero(new) + 1]
+        for at, end in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
+            yield tuple(c[at] for c in keys[:3]), bool(keys[3][at]), batch.slice(at, end - at)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, refs, tile = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for key, queries, part in runs(batch):
+                if key != current:
+                    current, refs, tile = key, [], None
+                if not queries:
+                    refs.append(part)
+                    continue
+                if refs:
+                    tile, refs = _Tile(refs, k, metric, bar), []
+                if tile is None:
+                    continue
+                for ids, cols, dist in tile.search(part):
+                    at = pa.array(cols)
+                    found = [tile.table.column(n).combine_chunks().take(at) for n in names[1:-1]]
+                    yield pa.RecordBatch.from_arrays([ids, *found, pa.array(dist)], names=names)
 
     return join
 
 
+def tile_join(queries: DataFrame, refs: DataFrame, k: int, metric: str, bar: str | None, fields: T.StructType, tasks: int) -> DataFrame:
+    """Both sides, dealt to tiles, brought together and joined; ranks are not merged yet."""
+    sides = queries.withColumn("queries", F.lit(True)).unionByName(refs.withColumn("queries", F.lit(False)), allowMissingColumns=True)
+    return sides.repartition(tasks, *TILE).sortWithinPartitions(*TILE, "queries", "ref_id").mapInArrow(_tile_join(k, metric, bar, fields.fieldNames()), fields)
+
+
 def _place_refs(pivots: np.ndarray, metric: str):
     """Adds the nearest pivot and the distance to it."""
 
@@ -388,24 +495,33 @@ def _vector(df: DataFrame, name: str) -> Column:
 
 
 def _parts(n_queries: int, n_refs: int, dim: int, tile_rows: int, parallel: int) -> tuple[int, int]:
-    """Reference parts and query parts of a cell: full tiles, or more of them for idle cores."""
-    r_parts = math.ceil(max(n_refs, 1) / tile_rows)
-    full = math.ceil(max(n_queries, 1) / tile_rows)
+    """Reference parts and query parts of a cell: full tiles, or more of them for idle cores.
+
+    Every reference part sends the queries once more, every query part the
+    references. Tiles smaller than a task holds are therefore made only as long
+    as a row is sent MOST_COPIES times at most: what is sent grows with the
+    rows, not with their square.
+    """
+    holds = max(tile_rows, held_rows(dim))
+
+    def cut(n: int) -> int:
+        return max(min(math.ceil(max(n, 1) / tile_rows), MOST_COPIES), math.ceil(n / holds))
+
+    r_parts = cut(n_refs)
     worth = math.ceil(n_queries * n_refs * dim / r_parts / MIN_TILE_PRODUCTS)
-    return r_parts, max(full, min(worth, math.ceil(parallel / r_parts)))
+    return r_parts, max(cut(n_queries), min(worth, math.ceil(parallel / r_parts)))
 
 
-def _spread_tiles(df: DataFrame, tile: list[str], n_tiles: int) -> DataFrame:
-    """Shuffle by tile: room to spread few tiles, several tiles per task for many.
+def held_rows(dim: int) -> int:
+    """Rows of this many values that a task holds."""
+    return max(1024, TILE_BYTES // (4 * max(dim, 1)))
 
-    The session's own number of shuffle partitions is left alone if it is enough.
-    """
-    spark = df.sparkSession
-    parallel = spark.sparkContext.defaultParallelism
-    tasks = 4 * n_tiles if n_tiles <= parallel else min(MAX_TASKS, max(4 * parallel, n_tiles // 4))
-    if n_tiles == 1 or tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
-        return df
-    return df.repartition(tasks, *tile)
+
+def _tasks(parallel: int, n_tiles: int) -> int:
+    """Room to spread few tiles, several tiles per task for many."""
+    if n_tiles == 1:
+        return 1
+    return 4 * n_tiles if n_tiles <= parallel else min(MAX_TASKS, max(4 * parallel, n_tiles // 4))
 
 
 def _count_both(queries: DataFrame, refs: DataFrame) -> tuple[int, int]:
@@ -487,7 +603,7 @@ def knn_join(
     n_queries, n_refs = _count_both(queries, refs)
     first = r.select(F.size("ref_vector").alias("d")).first()
     dim = first.d if first else 1
-    tile_rows = tile_rows or max(1024, TILE_BYTES // (8 * max(dim, 1)))
+    tile_rows = tile_rows or held_rows(dim)
     if pivots is None:
         pivots = 1 if n_refs <= tile_rows else math.ceil(CELLS_PER_TILE * n_refs / tile_rows)
     pivots = max(1, min(pivots, MAX_PIVOTS, MAX_PIVOT_VALUES // max(dim, 1)))
@@ -517,12 +633,6 @@ def knn_join(
 
     out = [q_fields["query_id"], r_fields["ref_id"], *([r_fields["ref_label"]] if label_col else [])]
     out.append(T.StructField("dist", T.DoubleType()))
-    tile = ["cell", "r_part", "q_part"]
-    found = (
-        _spread_tiles(q, tile, n_tiles)
-        .groupBy(*tile)
-        .cogroup(_spread_tiles(r, tile, n_tiles).groupBy(*tile))
-        .applyInArrow(_tile_join(k, metric, barred, bool(label_col)), T.StructType(out))
-    )
+    found = tile_join(q, r, k, metric, barred, T.StructType(out), _tasks(parallel, n_tiles))
     order = W.partitionBy("query_id").orderBy("dist", "ref_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
