@@ -1,10 +1,15 @@
-"""Near copies by word shingles: candidates by bands of minima, every link verified on whole shingle sets.
-
-Texts of the same words are one node. A node has the minima of its shingle
-hashes under fixed permutations; nodes that agree in all minima of some band meet
-in a bucket, where their whole shingle sets are compared. Bands come in rounds:
-a bucket whose members the rounds before have linked needs no second look, so
-most texts are sent once.
+"""Near copies by word shingles: candidates by SimHash, the rest by bands, every link verified on whole shingle sets.
+
+Texts of the same words are one node. A node has the SimHash of its shingles;
+fingerprints within a few bits are found by the generalised pigeonhole principle
+(``simhash.hamming_links``), and the nodes of a group of them meet in a bucket,
+where their whole shingle sets are compared.
+
+Pairs of the wanted similarity mostly lie some ten bits apart, which no pigeonhole
+over 64 bits can index. So a node also has the minima of its shingle hashes under
+fixed permutations, and nodes that agree in all minima of some band meet as well.
+Bands come in rounds: a bucket whose members the rounds before have linked needs
+no second look, so most texts are sent once.
 """
 
 from __future__ import annotations
@@ -21,11 +26,13 @@ from xxhash import xxh64_intdigest
 
 from sparktab.llm.common import append, fresh, map_texts, partitions, texts_of
 from sparktab.llm.components import components
-from sparktab.llm.simhash import SEED, TILE
+from sparktab.llm.simhash import SEED, TILE, hamming_links, majority
 from sparktab.session import materialize
 
 #: Words of a shingle, and the least Jaccard similarity of near copies.
 WIDTH, SIMILAR = 5, 0.8
+#: Bits in which fingerprints of candidates differ at most.
+DISTANCE = 3
 #: Bands and minima in a band: a pair of similarity s meets with chance 1 - (1 - s^4)^32, at 0.8 all but 5 in 10^8.
 BANDS, MINIMA = 32, 4
 #: The first band of each round, and the end: most links show in the first bands.
@@ -93,19 +100,22 @@ def digest_of(words: list[bytes]) -> bytes:
 
 
 def _prints(rows: DataFrame, width: int) -> DataFrame:
-    """``id, digest, bands`` for every row; bands only where a task sees the digest first."""
+    """``id, digest, fp, bands`` for every row; the last two only where a task sees the digest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            digests, made = [], []
+            digests, prints, made = [], [], []
             for words in map(words_of, texts_of(batch.column(1))):
                 digests.append(digest_of(words))
-                made.append(None if digests[-1] in seen else bands(shingle_set(words, width)))
+                hashes = None if digests[-1] in seen else shingle_set(words, width)
+                prints.append(None if hashes is None else majority(hashes) if len(hashes) else 0)
+                made.append(None if hashes is None else bands(hashes))
                 seen.add(digests[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(made, pa.binary())], names=["id", "digest", "bands"])
+            columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(prints, pa.int64()), pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "fp", "bands"])
 
-    return map_texts(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, digest binary, bands binary")
+    return map_texts(rows, run, f"id {rows.schema['id'].dataType.simpleString()}, digest binary, fp long, bands binary")
 
 
 def _one_text_each(rows: DataFrame) -> DataFrame:
@@ -125,18 +135,30 @@ def _one_text_each(rows: DataFrame) -> DataFrame:
     return map_texts(rows.select("text"), run, "digest binary, text string")
 
 
-def shingle_links(nodes: DataFrame, rows: DataFrame, first: int, end: int, width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:
-    """Edges ``u, v`` that connect all nodes whose texts are similar and that meet in one of these bands.
+def by_fingerprint(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``node, digest, root, band, key``: one key for the nodes whose fingerprints such distances connect."""
+    prints = materialize(nodes.select("fp").distinct(), "fingerprints")
+    groups = components(hamming_links(prints, prints.count(), distance))
+    met = nodes.join(groups.select(F.col("node").alias("fp"), F.col("root").alias("group")), "fp", "left")
+    return met.select("node", "digest", "root", F.lit(-1).alias("band"), F.coalesce("group", "fp").alias("key"))
+
+
+def by_bands(nodes: DataFrame, first: int, end: int) -> DataFrame:
+    """The same for these bands: one key for the nodes that agree in all minima of one."""
+    members = nodes.select("node", "digest", "root", "bands", F.explode(F.sequence(F.lit(first), F.lit(end - 1))).alias("band"))
+    return members.select("node", "digest", "root", "band", F.expr("substring(bands, band * 8 + 1, 8)").alias("key"))
 
-    ``nodes`` has columns node, digest, bands and root, the group known so far; ``rows``
-    has column text. Buckets within one group are left out, buckets of the same members
+
+def shingle_links(members: DataFrame, rows: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:
+    """Edges ``u, v`` that connect all nodes whose texts are similar and that meet under a key of some band.
+
+    ``members`` has columns node, digest, band, key and root, the group known so far;
+    ``rows`` has column text. Buckets within one group are left out, buckets of the same members
     count once. A bucket of more than TILE members is cut into tiles that meet in pairs;
     a task holds two tiles at a time and returns a forest, never all pairs. Texts are
     sent to their buckets once, and their shingle sets made there.
     """
-    spark = nodes.sparkSession
-    members = nodes.select("node", "digest", "root", "bands", F.explode(F.sequence(F.lit(first), F.lit(end - 1))).alias("band"))
-    members = members.select("node", "digest", "root", "band", F.expr("substring(bands, band * 8 + 1, 8)").alias("key"))
+    spark = members.sparkSession
     sums = [F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
     buckets = members.groupBy("band", "key").agg(*sums).where("low <> high").groupBy("n", "low", "high", "x", "y").agg(F.min(F.struct("band", "key")).alias("b"))
     tiles = F.ceil(F.sqrt(F.col("n") / TILE)).cast("long")
@@ -163,12 +185,17 @@ def shingle_links(nodes: DataFrame, rows: DataFrame, first: int, end: int, width
 
 
 def shingle_groups(nodes: DataFrame, rows: DataFrame, width: int = WIDTH, similar: float = SIMILAR) -> DataFrame:
-    """``nodes`` (node, digest, bands, ...) with ``root``, the least node of the group of similar texts."""
-    roots = nodes.select("node", F.col("node").alias("root"))
-    for first, end in pairwise(ROUNDS):
-        known = nodes.select("node", "digest", "bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        links = shingle_links(known, rows, first, end, width, similar)
-        if first:
+    """``nodes`` (node, digest, fp, bands, ...) with ``root``, the least node of the group of similar texts."""
+    roots = None
+    for first, end in [(None, None), *pairwise(ROUNDS)]:
+        known = nodes.select("node", "digest", "fp", "bands")
+        if roots is None:
+            known = known.withColumn("root", F.col("node"))
+        else:
+            known = known.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        members = by_fingerprint(known) if first is None else by_bands(known, first, end)
+        links = shingle_links(members, rows, width, similar)
+        if roots is not None:
             links = links.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
         roots = components(links)
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -181,14 +208,14 @@ def shingle_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are copies, so all without words (null ones too) are one group; links of similarity
     ``similar`` or more are followed through. Of rows that repeat the id and the words
     of the row that stays, the one whose values have the least digest stays. Nothing of
-    the table is written but ids, digests and bands; it is read once for them, once for
-    each round of bands and once for the result, and digests and ids of the copies go to
+    the table is written but ids, digests, fingerprints and bands; it is read once for them,
+    once for the fingerprints' links, once for each round of bands and once for the result, and digests and ids of the copies go to
     the rows.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     prints = materialize(_prints(rows, width), "prints")
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"))
-    nodes = prints.groupBy("digest").agg(F.min(rank).alias("first"), F.first("bands", ignorenulls=True).alias("bands"))
+    nodes = prints.groupBy("digest").agg(F.min(rank).alias("first"), F.first("fp", ignorenulls=True).alias("fp"), F.first("bands", ignorenulls=True).alias("bands"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     placed = materialize(shingle_groups(nodes, rows, width, similar).select("digest", "root", "first"), "groups")
     winners = placed.groupBy("root").agg(F.min(F.struct("first", "digest")).alias("best")).select("best.digest", F.col("best.first.id").alias("id"))

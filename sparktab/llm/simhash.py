@@ -44,7 +44,11 @@ def simhash(text: bytes | None, width: int = 3) -> int:
         shingles = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*[words[i:] for i in range(width)], strict=False))
-    hashes = np.array([xxh64_intdigest(s, SEED) for s in shingles], np.uint64)
+    return majority(np.array([xxh64_intdigest(s, SEED) for s in shingles], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed number."""
     lanes = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(lanes[:, i], minlength=256) @ _BYTE_BITS for i in range(8)])
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.int64)[0])
