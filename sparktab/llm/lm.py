@@ -11,10 +11,12 @@ from __future__ import annotations
 import base64
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from sparktab.session import materialize
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Folds of the documents and the one held out.
 FOLDS, HELD_OUT = 5, 1
-#: Most words (the most frequent) whose counts are sent to every task; the rest is joined.
+#: Most words (the most frequent) whose counts and pieces are sent to every task; other counts are joined.
 HEAD_WORDS = 200_000
 #: Rounds of training, each on its own part of the training documents; bytes of text a shard has on average; rate of learning.
 ROUNDS, SHARD_BYTES, RATE = 3, 2 << 20, 0.2
@@ -120,43 +122,55 @@ def frequent(words: DataFrame, most: int = HEAD_WORDS) -> dict[bytes, int]:
     return dict(zip(got.column("word").cast(pa.binary()).to_pylist(), got.column("n").to_pylist(), strict=True))
 
 
+class Known:
+    """Words with their pieces, one after the other, and log counts (NaN where there is none)."""
+
+    def __init__(self, tokenizer: Tokenizer, words: list[bytes], counts: dict[bytes, int]):
+        self.words = words
+        found = [tokenizer.pieces(b" " + w) for w in words]
+        self.length = np.fromiter(map(len, found), np.int64, len(words))
+        self.buffer = np.fromiter(chain.from_iterable(found), np.int32, int(self.length.sum()))
+        n = np.fromiter((counts.get(w, 0) for w in words), float, len(words))
+        self.log = np.log10(n + 0.5, where=n > 0, out=np.full(len(words), np.nan))
+
+
 class Lexicon(dict):
-    """Numbers for the words a task meets, with their pieces and their log count where it is at hand."""
+    """Numbers for the words a task meets, with their pieces and their log count where it is at hand.
 
-    def __init__(self, tokenizer: Tokenizer, counts: dict[bytes, int]):
+    Words that are ``known`` beforehand are not cut into pieces again.
+    """
+
+    def __init__(self, tokenizer: Tokenizer, counts: dict[bytes, int], known: Known | None = None):
         super().__init__()
-        self.pieces, self.counts = tokenizer.pieces, counts
+        self.tokenizer, self.counts, self.known = tokenizer, counts, known or Known(tokenizer, [], {})
         self.empty()
 
     def empty(self) -> None:
         self.clear()
-        self.words: list[bytes] = []
-        self.buffer, self.used = np.zeros(1 << 20, np.int32), 0
-        self.offset, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.log = np.zeros(1 << 16)
+        self.update(zip(self.known.words, range(len(self.known.words)), strict=True))
+        self.words: list[bytes] = list(self.known.words)
+        self.buffer, self.length, self.log = self.known.buffer, self.known.length, self.known.log
+        self.offset = np.cumsum(self.length) - self.length
 
     def __missing__(self, word: bytes) -> int:
-        i, found = len(self.words), self.pieces(b" " + word)
-        if i == len(self.offset):
-            self.offset, self.length, self.log = (np.concatenate([x, np.zeros_like(x)]) for x in (self.offset, self.length, self.log))
-        while self.used + len(found) > len(self.buffer):
-            self.buffer = np.concatenate([self.buffer, np.zeros_like(self.buffer)])
-        self.buffer[self.used : self.used + len(found)] = found
-        self.offset[i], self.length[i] = self.used, len(found)
-        n = self.counts.get(word)
-        self.log[i] = math.log10(n + 0.5) if n else np.nan
-        self.used += len(found)
+        self[word] = i = len(self.words)
         self.words.append(word)
-        self[word] = i
         return i
 
+    def _learn(self) -> None:
+        """Pieces of the words that are new."""
+        new = Known(self.tokenizer, self.words[len(self.length) :], self.counts)
+        self.offset = np.concatenate([self.offset, len(self.buffer) + np.cumsum(new.length) - new.length])
+        self.buffer, self.length, self.log = (np.concatenate([getattr(self, x), getattr(new, x)]) for x in ("buffer", "length", "log"))
+
     def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Word numbers of all texts and words per text; pieces of all texts and pieces per text."""
-        if len(self.words) > KEPT_WORDS:
+        if len(self.words) > max(KEPT_WORDS, 2 * len(self.known.words)):
             self.empty()
         parts = [words_of(t) for t in texts]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        numbers = np.fromiter((self[w] for p in parts for w in p), np.int64, int(sizes.sum()))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        numbers = np.fromiter(map(self.__getitem__, chain.from_iterable(parts)), np.int64, int(sizes.sum()))
+        self._learn()
         lengths = self.length[numbers]
         before = np.cumsum(lengths) - lengths
         ids = self.buffer[np.repeat(self.offset[numbers] - before, lengths) + np.arange(int(lengths.sum()))]
@@ -224,7 +238,7 @@ def add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _sums(block, (at + max(block, 0) * BLOCK).astype(np.int32), weight[at], means)
 
 
-def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: int, rounds: int = ROUNDS, rate: float = RATE) -> dict[str, np.ndarray]:
+def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: int, rounds: int = ROUNDS, rate: float = RATE, known: Broadcast | None = None) -> dict[str, np.ndarray]:
     """Parameters after every document (columns id, text) has been learnt once.
 
     A digest of the id and the text deals documents to rounds and shards. In a
@@ -232,6 +246,7 @@ def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: in
     documents, in the order of the digest, so a shard computed again gives the same. A task adds up
     its shards, then tasks are added up by block of rows; a row that no shard
     used stays. The driver gets one mean for each row, however many shards there are.
+    The pieces of ``known`` words are at hand in every task.
     """
     spark = docs.sparkSession
     params = attention.initial(pieces)
@@ -243,7 +258,7 @@ def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: in
 
         def learn(batches: Iterator[pa.RecordBatch], start=start, rate=rate * 0.5**r, seed=r) -> Iterator[pa.RecordBatch]:
             given, arranged = start.value
-            average, lexicon, shard, texts = Average(arranged), Lexicon(tokenizer.value, {}), None, []
+            average, lexicon, shard, texts = Average(arranged), Lexicon(tokenizer.value, {}, known and known.value), None, []
 
             def one() -> None:
                 if texts:
@@ -272,6 +287,7 @@ def train_model(docs: DataFrame, tokenizer, pieces: attention.Pieces, shards: in
             else:
                 at = np.frombuffer(row["at"], np.int32)
                 params["rows"][at] = values.reshape(len(at), -1)
+        params["rows"][:, attention.ONE] = 1  # a mean of ones, without its rounding
         start.destroy()
     return params
 
@@ -296,14 +312,16 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
     size = tokenizer.value.size
     pieces = attention.arrange(np.append(count_pieces(words, tokenizer, size), n_docs).astype(float))
 
-    params = train_model(training, tokenizer, pieces, shards) if n_docs else attention.initial(pieces)
-    model = spark.sparkContext.broadcast((params, pieces, frequent(words, head_words)))
+    head = frequent(words, head_words)
+    sent = spark.sparkContext.broadcast(Known(tokenizer.value, list(head), head))
+    params = train_model(training, tokenizer, pieces, shards, known=sent) if n_docs else attention.initial(pieces)
+    model = spark.sparkContext.broadcast((params, pieces))
 
     tail_type = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given, arranged, counts = model.value
-        lexicon = Lexicon(tokenizer.value, counts)
+        given, arranged = model.value
+        lexicon = Lexicon(tokenizer.value, {}, sent.value)  # a word that is not known counts with the tail
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             for lo, hi in _groups(texts):

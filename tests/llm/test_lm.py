@@ -204,3 +204,55 @@ def test_odd_rows(odd, none):
     assert sorted(r.base_score for r in got) == pytest.approx(sorted(w[4] for w in want), rel=1e-9)
     assert len({r.score for r in got if r.n_tokens == 1}) == 1
     assert lm_scores(none).count() == 0
+
+
+def test_a_run_of_windows_is_learnt_like_its_windows_one_by_one(tiny):
+    """Windows side by side share their contexts; losses and gradients stay those of the windows alone."""
+    pieces, params = tiny
+    params = {k: v.astype(np.float64) for k, v in params.items()}
+    lengths = np.array([300, 0, 63, 64, 500, 1])
+    stream = A.Stream.of(np.random.default_rng(17).integers(0, 300, lengths.sum()), lengths, pieces)
+    windows = stream.windows()
+    rows, at, scored = stream.cut(*windows)
+    loss, used, of_rows, shared = A.gradients(params, rows, pieces.cls[stream.target[at]], scored)
+    for run in (1, 4, 7):
+        run_rows, classes, there, fresh, doc = A.side_by_side(stream, pieces.cls[stream.target], run)
+        assert there.sum() == scored.sum() == len(stream.rows) and doc.tolist() == windows[0].tolist()
+        got, run_used, run_of_rows, run_shared = A.gradients(params, run_rows, classes, there, fresh)
+        assert got == pytest.approx(loss, rel=1e-9)
+        own, run_own = used != pieces.pad, run_used != pieces.pad
+        assert used[own].tolist() == run_used[run_own].tolist()
+        np.testing.assert_allclose(run_of_rows[run_own], of_rows[own], rtol=1e-6, atol=1e-12)
+        for k in shared:
+            np.testing.assert_allclose(run_shared[k], shared[k], rtol=1e-6, atol=1e-12)
+
+
+def test_scores_do_not_hang_on_the_batch_and_stay_finite(tiny):
+    pieces, params = tiny
+    lengths = np.array([700, 0, 64, 5, 129])
+    ids = np.random.default_rng(18).integers(0, 300, lengths.sum())
+    assert A.score(params, ids, lengths, pieces, batch=1) == pytest.approx(A.score(params, ids, lengths, pieces), rel=1e-6)
+    wide = {k: v * 200 for k, v in params.items()}
+    wide["rows"][:, A.ONE], wide["rows"][pieces.pad, A.B] = 1, -2 * A.LIMIT
+    assert np.isfinite(A.score(wide, ids, lengths, pieces)).all()
+    lost = A.gradients(wide, *(x for x in A.side_by_side(A.Stream.of(ids, lengths, pieces), pieces.cls[A.Stream.of(ids, lengths, pieces).target], 4)[:4]))
+    assert np.isfinite(lost[0]) and np.isfinite(lost[2]).all()
+
+
+def test_known_words_are_not_cut_again(tokenizer):
+    cut = []
+
+    class Counting:
+        def pieces(self, word):
+            cut.append(word)
+            return tokenizer.pieces(word)
+
+    known = lm.Known(tokenizer, [b"one", b"two"], {b"one": 3})
+    texts = [b"two new one", b"", None, b"new one"]
+    lexicon = Lexicon(Counting(), {}, known)
+    got, want = lexicon.read(texts), Lexicon(tokenizer, {b"one": 3}).read(texts)
+    assert cut == [b" new"] and all(a.tolist() == b.tolist() for a, b in zip(got[1:], want[1:], strict=True))
+    assert [lexicon.words[i] for i in got[0]] == [b"two", b"new", b"one", b"new", b"one"]
+    assert lexicon.log[0] == pytest.approx(math.log10(3.5)) and np.isnan(lexicon.log[1:]).all()
+    lexicon.empty()
+    assert lexicon.read([b"one two"])[0].tolist() == [0, 1] and cut == [b" new"]
